@@ -94,14 +94,19 @@ def _side_object(side: str) -> str:
 
 
 def infer_schema(named: DataFrame) -> PinnedSchema:
-    """C1 over named inferences (rows with a reason are ignored)."""
-    ok = named.where(F.col("_reason").isNull())
-    order = F.struct(F.col("occurred_at"), F.col("id"))
-    agg = ok.agg(
-        F.min_by("inputs.cols", order).alias("in_first"),
-        F.min_by("outputs.cols", order).alias("out_first"),
-        F.expr(f"schema_of_variant_agg({_side_object('inputs')})").alias("in_types"),
-        F.expr(f"schema_of_variant_agg({_side_object('outputs')})").alias("out_types"),
+    """C1 over named inferences (rows with a reason are ignored).
+
+    The ``_reason`` test sits inside the aggregates rather than in a ``where``:
+    a filter would be pushed below the payload projection and inline (and so
+    evaluate twice) the whole frame expression.
+    """
+    ok = F.col("_reason").isNull()
+    order = F.when(ok, F.struct(F.col("occurred_at"), F.col("id")))
+    agg = named.agg(
+        F.min_by(F.when(ok, F.col("inputs.cols")), order).alias("in_first"),
+        F.min_by(F.when(ok, F.col("outputs.cols")), order).alias("out_first"),
+        F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('inputs')}, NULL))").alias("in_types"),
+        F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('outputs')}, NULL))").alias("out_types"),
     ).collect()[0]
     return PinnedSchema(_side(agg.in_first, agg.in_types), _side(agg.out_first, agg.out_types))
 

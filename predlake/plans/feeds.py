@@ -101,3 +101,174 @@ def kserve_pairs(spark: SparkSession, sf_dir: str, topic: str = "kserve") -> Dat
                                _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)),
                                resp_ts, F.col("event_id") * 2 + 1, topic))
     return req.unionByName(resp)
+
+
+def kserve_envelopes(df: DataFrame, ce_id: Column, ts: Column, req_body: Column,
+                     resp_body: Column, offset: Column, topic: str = "kserve",
+                     resp_ts: Column | None = None) -> DataFrame:
+    """A request and a response envelope per row of ``df`` (same ``ce_id``)."""
+    resp_ts = ts if resp_ts is None else resp_ts
+    req = df.select(*envelope(req_body, ce_id, _headers(ce_id, F.lit(REQUEST_TYPE)),
+                              ts, offset * 2, topic))
+    resp = df.select(*envelope(resp_body, ce_id,
+                               _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)),
+                               resp_ts, offset * 2 + 1, topic))
+    return req.unionByName(resp)
+
+
+# --- lineitem: multi-row payloads ---------------------------------------------
+
+MESSAGE_ROWS = 16   # datapoints per message; an order's lines span several messages
+
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def order_messages(spark: SparkSession, sf_dir: str, size: int = MESSAGE_ROWS) -> DataFrame:
+    """``lineitem`` -> one row per message: an order's lines in chunks of ``size``.
+
+    Lines are numbered per order by (linenumber, partkey, suppkey,
+    extendedprice); chunking bounds a message whatever the order's size, and
+    the window and the grouping share one shuffle on ``l_orderkey``.
+    """
+    from pyspark.sql import Window
+    li = table(spark, sf_dir, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    li = li.withColumn("_rn", F.row_number().over(w) - 1)
+    li = li.withColumn("chunk", F.floor(F.col("_rn") / size)).withColumn("i", F.col("_rn") % size)
+    g = li.groupBy("l_orderkey", "chunk").agg(
+        F.sort_array(F.collect_list(F.struct(
+            "i", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+            "l_linenumber"))).alias("lines"),
+        F.max("l_shipdate").alias("ts"),
+        F.max("l_returnflag").alias("max_flag"))
+    return g.withColumn("ce_id", F.concat(F.lit("o"), F.col("l_orderkey").cast("string"),
+                                          F.lit("-"), F.col("chunk").cast("string")))
+
+
+def _resp(id_col: Column, model: Column, **payload: Column) -> Column:
+    return F.to_json(F.struct(id_col.alias("id"), model.alias("model_name"),
+                              F.lit("v1").alias("model_version"),
+                              *[v.alias(k) for k, v in payload.items()]))
+
+
+def v1_orders(spark: SparkSession, sf_dir: str, truncate_flag: str | None = None) -> DataFrame:
+    """V1: ``instances`` = [[quantity, extendedprice], ...], ``predictions`` = [discount, ...].
+
+    With ``truncate_flag``, messages whose largest returnflag equals it lose
+    their last prediction (J2 then truncates to the shorter side).
+    """
+    m = order_messages(spark, sf_dir)
+    req = F.to_json(F.struct(F.expr("transform(lines, l -> array(l.l_quantity, l.l_extendedprice))")
+                             .alias("instances")))
+    preds = F.expr("transform(lines, l -> l.l_discount)")
+    if truncate_flag is not None:
+        preds = F.when(F.col("max_flag") == truncate_flag,
+                       F.slice(preds, 1, F.size("lines") - 1)).otherwise(preds)
+    resp = _resp(F.col("ce_id"), F.lit("lineitem-v1"), predictions=preds)
+    return kserve_envelopes(m, F.col("ce_id"), F.col("ts"), req, resp,
+                            F.col("l_orderkey") * 64 + F.col("chunk"))
+
+
+def _tensor(name: str, datatype: str, data: Column, shape: Column | None = None) -> Column:
+    shape = F.array(F.size(data)) if shape is None else shape
+    return F.struct(F.lit(name).alias("name"), shape.alias("shape"),
+                    F.lit(datatype).alias("datatype"), data.alias("data"))
+
+
+def _json_list(*items: Column) -> Column:
+    """A JSON array of differently typed objects (an SQL array needs one type)."""
+    return F.concat(F.lit("["), F.concat_ws(",", *[F.to_json(i) for i in items]), F.lit("]"))
+
+
+def v2_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 named tensors: quantity FP64, returnflag BYTES, linenumber INT32 -> tax FP64."""
+    m = order_messages(spark, sf_dir)
+    ins = _json_list(
+        _tensor("quantity", "FP64", F.expr("transform(lines, l -> l.l_quantity)")),
+        _tensor("returnflag", "BYTES", F.expr("transform(lines, l -> l.l_returnflag)")),
+        _tensor("linenumber", "INT32", F.expr("transform(lines, l -> l.l_linenumber)")))
+    outs = F.array(_tensor("tax", "FP64", F.expr("transform(lines, l -> l.l_tax)")))
+    req = F.concat(F.lit('{"inputs":'), ins, F.lit("}"))
+    resp = _resp(F.col("ce_id"), F.lit("lineitem-v2"), outputs=outs)
+    return kserve_envelopes(m, F.col("ce_id"), F.col("ts"), req, resp,
+                            F.col("l_orderkey") * 64 + F.col("chunk"))
+
+
+# --- embeddings: matrix tensors -----------------------------------------------
+
+EMBED_TS = "2024-01-01 00:00:00"
+
+
+def _embed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return (e.withColumn("ce_id", F.concat(F.lit("vec-"), F.col("vec_id").cast("string")))
+             .withColumn("ts", F.lit(EMBED_TS).cast("timestamp") + F.make_dt_interval(secs=F.col("vec_id")))
+             # float32 -> double first, so the JSON text is the exact float value
+             .withColumn("vec", F.expr("transform(embedding, x -> cast(x as double))")))
+
+
+def v2_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``[1, 64]`` tensor per vector (P5) -> label ``[1]``."""
+    e = _embed_base(spark, sf_dir)
+    ins = F.array(_tensor("embedding", "FP32", F.array(F.col("vec")),
+                          F.array(F.lit(1), F.size("vec"))))
+    outs = F.array(_tensor("label", "INT32", F.array(F.col("label"))))
+    return kserve_envelopes(e, F.col("ce_id"), F.col("ts"), F.to_json(F.struct(ins.alias("inputs"))),
+                            _resp(F.col("ce_id"), F.lit("embedder"), outputs=outs), F.col("vec_id"))
+
+
+def v2_text_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A BYTES ``[1]`` tensor next to a ``[1, 64]`` tensor (P4 list cells)."""
+    e = _embed_base(spark, sf_dir)
+    ins = _json_list(
+        _tensor("text", "BYTES", F.array(F.col("ce_id"))),
+        _tensor("embedding", "FP32", F.array(F.col("vec")), F.array(F.lit(1), F.size("vec"))))
+    outs = F.array(_tensor("label", "INT32", F.array(F.col("label"))))
+    return kserve_envelopes(e, F.col("ce_id"), F.col("ts"), F.concat(F.lit('{"inputs":'), ins, F.lit("}")),
+                            _resp(F.col("ce_id"), F.lit("embedder"), outputs=outs), F.col("vec_id"))
+
+
+# --- documents + labels: dict rows --------------------------------------------
+
+def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events with dict rows whose keys differ and are out of order.
+
+    inputs ``[{n_chars, lang}, {source, lang}]``; outputs from ``labels``
+    (left join) ``[{quality, toxic}, {toxic}]`` -- unlabelled documents have
+    empty dicts. No ``occurred_at``: the envelope time is used.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = table(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id", "left")
+    head = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"),
+                              F.lit("doc-quality").alias("model_name")))
+    body = F.concat(
+        F.substring_index(head, "}", 1),   # the head object without its closing brace
+        F.lit(',"inputs":'), _json_list(F.struct("n_chars", "lang"), F.struct("source", "lang")),
+        F.lit(',"outputs":'), _json_list(F.struct("quality", "toxic"), F.struct("toxic")),
+        F.lit("}"))
+    ts = F.lit(EMBED_TS).cast("timestamp") + F.make_dt_interval(secs=F.col("doc_id"))
+    return j.select(*envelope(body, F.col("doc_id"), _headers(F.col("doc_id").cast("string")),
+                              ts, F.col("doc_id"), topic="documents"))
+
+
+# --- conversations: turns as request / response --------------------------------
+
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user turn is a request, the assistant turn right after it its response.
+
+    ``ce_id`` = conv-turn of the user turn; an assistant turn answers turn-1.
+    Both sides of a conversation share one timestamp (one window).
+    """
+    c = table(spark, sf_dir, "conversations")
+    is_user = F.col("role") == "user"
+    ref_turn = F.when(is_user, F.col("turn")).otherwise(F.col("turn") - 1)
+    ce_id = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), ref_turn.cast("string"))
+    ts = F.lit(EMBED_TS).cast("timestamp") + F.make_dt_interval(mins=F.col("conv_id").cast("int"))
+    req = F.to_json(F.struct(F.array(F.array(F.col("text"))).alias("instances")))
+    resp = _resp(ce_id, F.lit("assistant"), predictions=F.array(F.col("text")))
+    body = F.when(is_user, req).otherwise(resp)
+    ctype = F.when(is_user, F.lit(REQUEST_TYPE)).otherwise(F.lit(RESPONSE_TYPE))
+    c = c.where(F.col("role").isin("user", "assistant"))
+    return c.select(*envelope(body, ce_id, _headers(ce_id, ctype, format_iso(ts)), ts,
+                              F.col("conv_id") * 1024 + F.col("turn"), topic="conversations"))

@@ -106,12 +106,18 @@ def datapoints(inferences: DataFrame,
 
 
 def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = None,
-               schema: PinnedSchema | None = None) -> Logged:
-    """M2: one logger, batch or stream input (schema must be given for streams)."""
-    proc = EVENT_PROCESSORS.get(spec.events.type)
-    if proc is None:
-        raise SpecError(f"unknown events type {spec.events.type!r}")
-    inferences = filter_spec(proc(envelopes, spec.events.config), spec.filters)
+               schema: PinnedSchema | None = None,
+               inferences: DataFrame | None = None) -> Logged:
+    """M2: one logger, batch or stream input (schema must be given for streams).
+
+    ``inferences`` lets several loggers share one parsed + correlated frame.
+    """
+    if inferences is None:
+        proc = EVENT_PROCESSORS.get(spec.events.type)
+        if proc is None:
+            raise SpecError(f"unknown events type {spec.events.type!r}")
+        inferences = proc(envelopes, spec.events.config)
+    inferences = filter_spec(inferences, spec.filters)
     names = spec.column_names()
     if schema is None:
         provider = SCHEMA_PROVIDERS.get(spec.schema.type if spec.schema else "avro")
@@ -126,12 +132,21 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
             catalog: str | None = None) -> DataFrame:
     """M1: several loggers on one feed -> one frame with a ``logger`` column.
 
-    The loggers' columns may differ, so each logger's row is packed as JSON
-    (``to_json``); each logger has its own filter, names and schema.
+    Envelopes are parsed and correlated once per events type; every logger
+    filters, names and types that shared frame (the shared shuffle is reused
+    across the union's branches). Each logger's typed columns are packed as
+    JSON in ``data`` since the loggers' schemas differ.
     """
+    shared: dict[tuple, DataFrame] = {}
     out = None
     for spec in specs:
-        logged = run_logger(spec, envelopes, catalog)
+        key = (spec.events.type, tuple(sorted(spec.events.config.items())))
+        if key not in shared:
+            proc = EVENT_PROCESSORS.get(spec.events.type)
+            if proc is None:
+                raise SpecError(f"unknown events type {spec.events.type!r}")
+            shared[key] = proc(envelopes, spec.events.config)
+        logged = run_logger(spec, envelopes, catalog, inferences=shared[key])
         g = logged.good
         packed = g.select(F.lit(spec.name).alias("logger"), "id", "occurred_at",
                           F.to_json(F.struct(*[F.col(f"`{c}`") for c in g.columns

@@ -74,3 +74,202 @@ def correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
     inf = kserve_inferences(feeds.kserve_pairs(spark, sf_dir))
     return datapoints(inf).good
+
+
+# --- lineitem: V1 and V2 multi-row payloads -------------------------------------
+
+_CHUNKS = """
+WITH l AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey
+            ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS rn
+  FROM lineitem),
+c AS (SELECT *, rn // 16 AS chunk, rn % 16 AS i FROM l),
+m AS (SELECT l_orderkey, chunk, max(l_shipdate) AS ts, max(l_returnflag) AS max_flag,
+             count(*) AS n
+      FROM c GROUP BY l_orderkey, chunk)
+"""
+_CHUNK_ID = "'o' || c.l_orderkey || '-' || c.chunk || '_' || c.i"
+
+
+@query("v1_rows", f"""{_CHUNKS}
+SELECT {_CHUNK_ID} AS id, {_iso('m.ts')} AS occurred_at,
+       c.l_quantity AS X0, c.l_extendedprice AS X1, c.l_discount AS Y0
+FROM c JOIN m USING (l_orderkey, chunk)
+""")
+def v1_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 list rows and scalar predictions per message."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.v1_orders(spark, sf_dir))).good
+
+
+@query("zip_truncate", f"""{_CHUNKS}
+SELECT {_CHUNK_ID} AS id, {_iso('m.ts')} AS occurred_at,
+       c.l_quantity AS X0, c.l_extendedprice AS X1, c.l_discount AS Y0
+FROM c JOIN m USING (l_orderkey, chunk)
+WHERE NOT (m.max_flag = 'R' AND c.i = m.n - 1)
+""")
+def zip_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewer predictions than instances -> rows truncated to the shorter side."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.v1_orders(spark, sf_dir, truncate_flag="R"))).good
+
+
+@query("v2_named", f"""{_CHUNKS}
+SELECT {_CHUNK_ID} AS id, {_iso('m.ts')} AS occurred_at,
+       c.l_quantity AS quantity, c.l_returnflag AS returnflag,
+       CAST(c.l_linenumber AS BIGINT) AS linenumber, c.l_tax AS tax
+FROM c JOIN m USING (l_orderkey, chunk)
+""")
+def v2_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 named tensors (FP64, BYTES, INT32) transposed to rows."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.v2_orders(spark, sf_dir))).good
+
+
+# --- embeddings: matrix tensors ----------------------------------------------------
+
+def _embed_ts() -> str:
+    return f"(TIMESTAMP '{feeds.EMBED_TS}' + to_seconds(vec_id))"
+
+
+def _embed_cols(prefix: str) -> str:
+    return ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {prefix}{i}" for i in range(64))
+
+
+@query("v2_matrix", f"""
+SELECT 'vec-' || vec_id || '_0' AS id, {_iso(_embed_ts())} AS occurred_at,
+       {_embed_cols('X')}, CAST(label AS BIGINT) AS label
+FROM embeddings
+""")
+def v2_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 2-D tensor -> its rows, positional columns X0..X63."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.v2_matrix(spark, sf_dir))).good
+
+
+OVERRIDE_INPUTS = [f"f{i}" for i in range(64)]
+
+
+@query("names_override", f"""
+SELECT 'vec-' || vec_id || '_0' AS id, {_iso(_embed_ts())} AS occurred_at,
+       {_embed_cols('f')}, CAST(label AS BIGINT) AS target
+FROM embeddings
+""")
+def names_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: columnNames override by position (inputs f0..f63, outputs target)."""
+    apply_defaults(spark)
+    inf = kserve_inferences(feeds.v2_matrix(spark, sf_dir))
+    return datapoints(inf, input_names=OVERRIDE_INPUTS, output_names=["target"]).good
+
+
+@query("v2_text_embedding", f"""
+SELECT 'vec-' || vec_id || '_0' AS id, {_iso(_embed_ts())} AS occurred_at,
+       'vec-' || vec_id AS text, CAST(embedding AS DOUBLE[]) AS embedding,
+       CAST(label AS BIGINT) AS label
+FROM embeddings
+""")
+def v2_text_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 2-D tensor among several becomes a list cell."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.v2_text_embedding(spark, sf_dir))).good
+
+
+# --- documents + labels: dict rows ----------------------------------------------------
+
+_DOC_TS = f"(TIMESTAMP '{feeds.EMBED_TS}' + to_seconds(d.doc_id))"
+
+
+@query("row_shapes", f"""
+SELECT CAST(d.doc_id AS VARCHAR) || '_0' AS id, {_iso(_DOC_TS)} AS occurred_at,
+       d.n_chars AS n_chars, d.lang AS lang, CAST(NULL AS VARCHAR) AS source,
+       CAST(l.quality AS BIGINT) AS quality, CAST(l.toxic AS BIGINT) AS toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)
+UNION ALL
+SELECT CAST(d.doc_id AS VARCHAR) || '_1' AS id, {_iso(_DOC_TS)} AS occurred_at,
+       CAST(NULL AS BIGINT) AS n_chars, d.lang AS lang, d.source AS source,
+       CAST(NULL AS BIGINT) AS quality, CAST(l.toxic AS BIGINT) AS toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)
+""")
+def row_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dict rows with missing keys and keys out of order; union of keys."""
+    apply_defaults(spark)
+    return datapoints(parse_json_events(feeds.document_events(spark, sf_dir))).good
+
+
+# --- conversations ------------------------------------------------------------------------
+
+@query("correlate_turns", f"""
+SELECT 'c' || u.conv_id || '-' || u.turn || '_0' AS id,
+       {_iso(f"(TIMESTAMP '{feeds.EMBED_TS}' + to_minutes(CAST(u.conv_id AS INTEGER)))")} AS occurred_at,
+       u.text AS X0, a.text AS Y0
+FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'
+""")
+def correlate_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user turn paired with the assistant turn that answers it."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.conversation_turns(spark, sf_dir))).good
+
+
+# --- filters and fan-out --------------------------------------------------------------------
+
+_CORRELATED = f"""
+SELECT *, {_resp_ts()} AS rts FROM events
+WHERE floor(epoch_us(ts) / 10000000) = floor(epoch_us({_resp_ts()}) / 10000000)
+"""
+
+
+@query("model_filters", f"""
+SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at,
+       user_id AS X0, CAST(json_extract_string(props, '$.k') AS BIGINT) AS X1, value AS Y0
+FROM ({_CORRELATED}) WHERE event_type = 'click'
+""")
+def model_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep one model name and version (applied after the pairing)."""
+    from predlake.operators.filters import filter_models
+    apply_defaults(spark)
+    inf = filter_models(kserve_inferences(feeds.kserve_pairs(spark, sf_dir)), "click", "v1")
+    return datapoints(inf).good
+
+
+FAN_OUT_SPECS = [
+    {"name": "view-logger", "topic": "kserve", "events": {"type": "kserve", "config": {}},
+     "schema": {"type": "avro", "config": {"columnNames": {"inputs": ["user", "k"], "outputs": ["score"]}}},
+     "filters": {"modelName": "view"},
+     "destination": {"type": "parquet", "config": {"url": "file:///tmp/unused"}}},
+    {"name": "purchase-logger", "topic": "kserve", "events": {"type": "kserve", "config": {}},
+     "filters": {"modelName": "purchase", "modelVersion": "v1"},
+     "destination": {"type": "parquet", "config": {"url": "file:///tmp/unused"}}},
+]
+
+
+@query("fan_out", f"""
+SELECT CASE event_type WHEN 'view' THEN 'view-logger' ELSE 'purchase-logger' END AS logger,
+       CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at
+FROM ({_CORRELATED}) WHERE event_type IN ('view', 'purchase')
+""")
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 M2: two loggers on one topic, each with its own filter and names."""
+    from predlake.plans.logger import fan_out as run_fan_out
+    from predlake.plans.spec import LoggerSpec
+    apply_defaults(spark)
+    specs = [LoggerSpec.from_dict(d) for d in FAN_OUT_SPECS]
+    return run_fan_out(specs, feeds.kserve_pairs(spark, sf_dir)).select("logger", "id", "occurred_at")
+
+
+# --- flagship --------------------------------------------------------------------------------
+
+@query("entry_model_hours", f"""
+SELECT event_type AS model_name, date_trunc('hour', rts) AS hour,
+       count(*) AS inferences, count(*) AS datapoints
+FROM ({_CORRELATED}) GROUP BY event_type, date_trunc('hour', rts)
+""")
+def entry_model_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlated KServe traffic counted per model and hour (inferences, datapoints)."""
+    from pyspark.sql import functions as F
+    apply_defaults(spark)
+    inf = kserve_inferences(feeds.kserve_pairs(spark, sf_dir), with_rejects=False)
+    return (inf.where(F.col("_reason").isNull())
+            .groupBy("model_name", F.date_trunc("hour", "occurred_at").alias("hour"))
+            .agg(F.count(F.lit(1)).alias("inferences"),
+                 F.sum(F.least(F.size("inputs.rows"), F.size("outputs.rows"))).alias("datapoints")))
