@@ -272,3 +272,80 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.where(F.col("role").isin("user", "assistant"))
     return c.select(*envelope(body, ce_id, _headers(ce_id, ctype, format_iso(ts)), ts,
                               F.col("conv_id") * 1024 + F.col("turn"), topic="conversations"))
+
+
+# --- broken traffic: every quarantine reason --------------------------------------
+
+BAD_UNKNOWN_TYPE = "org.example.unknown"
+
+
+def broken_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``kserve_pairs`` feed with faults chosen by model (event_type) and ``k``:
+
+    error -> request without ce_id; signup -> response with a null body;
+    view -> response without "id"; click -> request with neither instances
+    nor inputs; purchase with k >= 90 -> malformed request JSON; purchase
+    with k < 10 -> response of an unknown CloudEvent type.
+    """
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    et, k = F.col("event_type"), F.col("k")
+    ce_id = F.concat(F.lit("evt-"), F.col("event_id").cast("string"))
+    resp_ts = F.col("ts") + F.make_dt_interval(secs=response_delay_ms(F.col("event_id")) / 1000.0)
+    good_req = F.to_json(F.struct(F.array(F.array(F.col("user_id"), k)).alias("instances")))
+    req_body = (F.when(et == "click", F.to_json(F.struct(F.array(F.col("user_id")).alias("data"))))
+                .when((et == "purchase") & (k >= 90), F.lit('{"instances": [['))
+                .otherwise(good_req))
+    resp_fields = [F.col("event_type").alias("model_name"), F.lit("v1").alias("model_version"),
+                   F.array(F.col("value")).alias("predictions")]
+    resp_body = (F.when(et == "signup", F.lit(None).cast("string"))
+                 .when(et == "view", F.to_json(F.struct(*resp_fields)))
+                 .otherwise(F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), *resp_fields))))
+    req_headers = F.when(et == "error", F.array(F.struct(F.lit("ce_type").alias("key"),
+                                                          F.lit(REQUEST_TYPE).cast("binary").alias("value")))) \
+                   .otherwise(_headers(ce_id, F.lit(REQUEST_TYPE)))
+    resp_type = F.when((et == "purchase") & (k < 10), F.lit(BAD_UNKNOWN_TYPE)).otherwise(F.lit(RESPONSE_TYPE))
+    req = ev.select(*envelope(req_body, ce_id, req_headers, F.col("ts"), F.col("event_id") * 2, "kserve"))
+    resp = ev.select(*envelope(resp_body, ce_id, _headers(ce_id, resp_type, format_iso(resp_ts)),
+                               resp_ts, F.col("event_id") * 2 + 1, "kserve"))
+    return req.unionByName(resp)
+
+
+# --- timestamps in several ISO-8601 forms ------------------------------------------
+
+def iso_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events whose ``occurred_at`` uses a form chosen by event_type.
+
+    click: extended with Z; view: local time with a +02:00 offset; signup:
+    basic form (whole seconds); purchase: a date only; error: empty text.
+    """
+    ev = table(spark, sf_dir, "events")
+    ts, et = F.col("ts"), F.col("event_type")
+    txt = (F.when(et == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+           .when(et == "view", F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'"))
+           .when(et == "signup", F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
+           .when(et == "purchase", F.date_format(ts, "yyyy-MM-dd"))
+           .otherwise(F.lit("")))
+    body = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"), et.alias("model_name"),
+        F.array(F.struct(F.col("event_id").alias("e"))).alias("inputs"),
+        F.array(F.struct(F.col("value").alias("v"))).alias("outputs"),
+        txt.alias("occurred_at")))
+    return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")),
+                               ts, F.col("event_id"), topic="json-events"))
+
+
+def mixed_type_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events whose ``code`` is a number, except text ``"E<k>"`` for errors."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    code = F.when(F.col("event_type") == "error", F.concat(F.lit('"E'), k, F.lit('"'))).otherwise(k)
+    body = F.concat(
+        F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('","model_name":"'), F.col("event_type"),
+        F.lit('","inputs":[{"user_id":'), F.coalesce(F.col("user_id").cast("string"), F.lit("null")),
+        F.lit(',"code":'), F.coalesce(code, F.lit("null")),
+        F.lit('}],"outputs":[{"value":'), F.coalesce(F.col("value").cast("string"), F.lit("null")),
+        F.lit("}]}"))
+    return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")),
+                               F.col("ts"), F.col("event_id"), topic="json-events"))

@@ -273,3 +273,82 @@ def entry_model_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("model_name", F.date_trunc("hour", "occurred_at").alias("hour"))
             .agg(F.count(F.lit(1)).alias("inferences"),
                  F.sum(F.least(F.size("inputs.rows"), F.size("outputs.rows"))).alias("datapoints")))
+
+
+# --- quarantine, timestamps, schema ------------------------------------------------------------
+
+_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+
+@query("event_validity", f"""
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN event_type = 'error' THEN 'missing_event_id'
+              WHEN event_type = 'signup' THEN 'null_body'
+              WHEN event_type = 'view' THEN 'response_without_id'
+              WHEN event_type = 'click' THEN 'no_instances_or_inputs'
+              WHEN {_K} >= 90 THEN 'malformed_body'
+              WHEN {_K} < 10 THEN 'unknown_event_type' END AS reason
+  FROM events) WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'paired' AS reason, count(*) AS n FROM ({_CORRELATED})
+WHERE event_type = 'purchase' AND {_K} >= 10 AND {_K} < 90
+""")
+def event_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every refused envelope gets a reason; good pairs counted."""
+    from pyspark.sql import functions as F
+    apply_defaults(spark)
+    inf = kserve_inferences(feeds.broken_pairs(spark, sf_dir))
+    return (inf.groupBy(F.coalesce(F.col("_reason"), F.lit("paired")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("iso_times", f"""
+SELECT CAST(event_id AS VARCHAR) || '_0' AS id,
+       CASE event_type WHEN 'signup' THEN {_iso("date_trunc('second', ts)")}
+                       WHEN 'purchase' THEN {_iso("date_trunc('day', ts)")}
+                       ELSE {_iso('ts')} END AS occurred_at,
+       event_id AS e, value AS v
+FROM events WHERE event_type <> 'error'
+""")
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z, offset, basic and date-only forms parsed; output as UTC ISO text."""
+    apply_defaults(spark)
+    return datapoints(parse_json_events(feeds.iso_time_events(spark, sf_dir))).good
+
+
+
+@query("schema_enforce", """
+SELECT CASE WHEN event_type = 'error' THEN 'type_mismatch' ELSE 'ok' END AS reason,
+       count(*) AS n
+FROM events GROUP BY 1
+""")
+def schema_enforce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 Q1: a pinned schema (code BIGINT); text codes do not cast -> quarantine."""
+    from pyspark.sql import functions as F
+    from predlake.operators.schema import PinnedSchema
+    apply_defaults(spark)
+    pinned = PinnedSchema([("user_id", "bigint"), ("code", "bigint")], [("value", "double")])
+    logged = datapoints(parse_json_events(feeds.mixed_type_events(spark, sf_dir)), schema=pinned)
+    return (logged.rows.groupBy(F.coalesce(F.col("_reason"), F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("schema_infer", """
+SELECT * FROM (VALUES ('inputs', 0, 'quantity', 'double'), ('inputs', 1, 'returnflag', 'string'),
+                      ('inputs', 2, 'linenumber', 'bigint'), ('outputs', 0, 'tax', 'double'))
+       AS t(side, pos, name, type)
+""")
+def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Infer from the V2 feed, register in a catalog table, read it back."""
+    import uuid
+    from predlake.operators.rows import name_columns
+    from predlake.operators.schema import lookup, resolve
+    from predlake.session import checkpoint_dir
+    apply_defaults(spark)
+    catalog = f"{checkpoint_dir(spark)}/schema-catalog-{uuid.uuid4().hex}"
+    named = name_columns(kserve_inferences(feeds.v2_orders(spark, sf_dir)))
+    resolve(named, catalog, "lineitem-v2-value")            # C1 + C2
+    found = lookup(spark, catalog, "lineitem-v2-value")     # C3
+    rows = [(side, i, n, t) for side, cols in (("inputs", found.inputs), ("outputs", found.outputs))
+            for i, (n, t) in enumerate(cols)]
+    return spark.createDataFrame(rows, "side string, pos int, name string, type string")
