@@ -1,0 +1,11 @@
+"""Spec filters applied to inferences (shared by batch and stream loggers)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from predlake.operators.filters import filter_spec
+
+
+def apply_filters(inferences: DataFrame, filters: dict | None) -> DataFrame:
+    return filter_spec(inferences, filters)

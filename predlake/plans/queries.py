@@ -352,3 +352,51 @@ def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(side, i, n, t) for side, cols in (("inputs", found.inputs), ("outputs", found.outputs))
             for i, (n, t) in enumerate(cols)]
     return spark.createDataFrame(rows, "side string, pos int, name string, type string")
+
+
+# --- streaming ----------------------------------------------------------------------------------
+
+STREAM_SPEC = {
+    "name": "kserve-stream", "topic": "kserve", "events": {"type": "kserve", "config": {}},
+    "destination": {"type": "parquet", "config": {"url": "", "maxRecordsPerFile": 100000}},
+}
+
+
+def _stream_run(spark: SparkSession, sf_dir: str, late_files: tuple[int, ...] = ()) -> tuple[str, object]:
+    """Land the correlate feed as 8 time-ordered files, stream them one file
+    per micro-batch through the stateful pairing into Parquet (availableNow),
+    and return the output folder. ``late_files`` are delivered last."""
+    import os
+    from predlake.plans.spec import LoggerSpec
+    from predlake.sources.envelopes import land_envelopes, stream_envelopes
+    from predlake.streaming.logger import pin_schema, run_to_parquet, scratch
+    apply_defaults(spark)
+    base = scratch(spark, "stream")
+    landed = f"{base}/landing"
+    paths = land_envelopes(feeds.kserve_pairs(spark, sf_dir), landed, files=8)
+    if late_files:
+        t = max(os.path.getmtime(p) for p in paths)
+        for j, i in enumerate(late_files):
+            os.utime(paths[i], (t + 1 + j, t + 1 + j))
+    spec = LoggerSpec.from_dict({**STREAM_SPEC, "destination": {
+        "type": "parquet", "config": {"url": f"{base}/lake", "maxRecordsPerFile": 100000}}})
+    schema = pin_schema(spark, spec, landed, catalog=f"{base}/catalog")
+    q = run_to_parquet(spec, stream_envelopes(spark, landed, max_files_per_trigger=1), schema,
+                       checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    return f"{base}/lake/{spec.name}", q
+
+
+@query("stream_correlate", ORACLES["correlate"])
+def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 X1 W1 W2 ST1 ST2 K2: the correlate feed as a stream, landed and read back."""
+    out, _ = _stream_run(spark, sf_dir)
+    return spark.read.parquet(out)
+
+
+@query("stream_late")
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files delivered after later ones; their rows behind the
+    watermark are dropped (pairs lost), as a stream processor would."""
+    out, _ = _stream_run(spark, sf_dir, late_files=(2, 3, 4))
+    return spark.read.parquet(out)
