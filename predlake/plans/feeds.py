@@ -349,3 +349,54 @@ def mixed_type_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}]}"))
     return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")),
                                F.col("ts"), F.col("event_id"), topic="json-events"))
+
+
+# --- repeats: re-sent requests and responses, null ids --------------------------------
+
+def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``kserve_pairs`` feed plus repeats chosen by model (event_type).
+
+    Base: request R0 at ``ts`` ``[[user_id, k]]``; response S0 at
+    ``rts = ts + delay`` ``[value]``. Extra per model: click -> R1 at ts+1ms
+    with ``k + 1000``; view -> S1 at rts+2ms with ``value + 1``; signup -> a
+    null-id response at ts-1ms; purchase -> a null-id response at
+    ts + delay/2; error -> a null-id response at rts+3ms.
+    """
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    et = F.col("event_type")
+    delay = response_delay_ms(F.col("event_id"))
+    rts = F.col("ts") + F.make_dt_interval(secs=delay / 1000.0)
+
+    def ms(n):
+        return F.make_dt_interval(secs=F.lit(n / 1000.0))
+
+    def item(kind, ts, off, x1=None, y0=None, rid=True, when=None):
+        s = F.struct(F.lit(kind).alias("kind"), ts.alias("ets"),
+                     (F.col("event_id") * 10 + off).alias("off"),
+                     (x1 if x1 is not None else F.col("k")).alias("x1"),
+                     (y0 if y0 is not None else F.col("value")).alias("y0"),
+                     F.lit(rid).alias("rid"))
+        return s if when is None else F.when(when, s)
+    items = F.array_compact(F.array(
+        item("R", F.col("ts"), 0),
+        item("S", rts, 1),
+        item("R", F.col("ts") + ms(1), 2, x1=F.col("k") + 1000, when=et == "click"),
+        item("S", rts + ms(2), 3, y0=F.col("value") + 1, when=et == "view"),
+        item("S", F.col("ts") - ms(1), 4, y0=F.col("value") + 2, rid=False, when=et == "signup"),
+        item("S", F.col("ts") + F.make_dt_interval(secs=F.floor(delay / 2) / 1000.0), 5,
+             rid=False, when=et == "purchase"),
+        item("S", rts + ms(3), 6, rid=False, when=et == "error")))
+    x = ev.select("*", F.explode(items).alias("e"))
+    ce_id = F.concat(F.lit("evt-"), F.col("event_id").cast("string"))
+    req = F.to_json(F.struct(F.array(F.array(F.col("user_id"), F.col("e.x1"))).alias("instances")))
+    resp = F.to_json(F.struct(
+        F.when(F.col("e.rid"), F.col("event_id").cast("string")).alias("id"),
+        et.alias("model_name"), F.array(F.col("e.y0")).alias("predictions")),
+        {"ignoreNullFields": "false"})
+    is_req = F.col("e.kind") == "R"
+    headers = F.when(is_req, _headers(ce_id, F.lit(REQUEST_TYPE))) \
+               .otherwise(_headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(F.col("e.ets"))))
+    return x.select(*envelope(F.when(is_req, req).otherwise(resp), ce_id, headers,
+                              F.col("e.ets"), F.col("e.off"), "kserve"))

@@ -400,3 +400,60 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermark are dropped (pairs lost), as a stream processor would."""
     out, _ = _stream_run(spark, sf_dir, late_files=(2, 3, 4))
     return spark.read.parquet(out)
+
+
+# --- repeats: the exact fold, checked by a recursive CTE -------------------------------------
+
+_REPEAT_EVENTS = f"""
+WITH RECURSIVE base AS (
+  SELECT event_id, event_type, ts, user_id, value, {_K} AS k,
+         (event_id * 7919) % 12000 AS delay FROM events),
+ev0 AS (
+  SELECT event_id, 'R' AS kind, ts AS ets, 0 AS off, user_id, k AS x1, value AS y0, TRUE AS rid FROM base
+  UNION ALL SELECT event_id, 'S', ts + to_milliseconds(delay), 1, user_id, k, value, TRUE FROM base
+  UNION ALL SELECT event_id, 'R', ts + to_milliseconds(1), 2, user_id, k + 1000, value, TRUE
+            FROM base WHERE event_type = 'click'
+  UNION ALL SELECT event_id, 'S', ts + to_milliseconds(delay + 2), 3, user_id, k, value + 1, TRUE
+            FROM base WHERE event_type = 'view'
+  UNION ALL SELECT event_id, 'S', ts - to_milliseconds(1), 4, user_id, k, value + 2, FALSE
+            FROM base WHERE event_type = 'signup'
+  UNION ALL SELECT event_id, 'S', ts + to_milliseconds(delay // 2), 5, user_id, k, value, FALSE
+            FROM base WHERE event_type = 'purchase'
+  UNION ALL SELECT event_id, 'S', ts + to_milliseconds(delay + 3), 6, user_id, k, value, FALSE
+            FROM base WHERE event_type = 'error'),
+ev AS (
+  SELECT *, floor(epoch_us(ets) / 10000000) AS bucket,
+         row_number() OVER (PARTITION BY event_id, floor(epoch_us(ets) / 10000000)
+                            ORDER BY ets, off) AS rn
+  FROM ev0),
+fold AS (
+  SELECT event_id, bucket, 0 AS rn,
+         NULL::STRUCT(x0 BIGINT, x1 BIGINT) AS r,
+         NULL::STRUCT(y0 DOUBLE, t TIMESTAMP, rid BOOLEAN) AS s,
+         NULL::STRUCT(x0 BIGINT, x1 BIGINT) AS out_r,
+         NULL::STRUCT(y0 DOUBLE, t TIMESTAMP, rid BOOLEAN) AS out_s
+  FROM (SELECT DISTINCT event_id, bucket FROM ev)
+  UNION ALL
+  SELECT event_id, bucket, rn,
+         CASE WHEN emit THEN NULL ELSE nr END, CASE WHEN emit THEN NULL ELSE ns END,
+         CASE WHEN emit THEN nr END, CASE WHEN emit THEN ns END
+  FROM (
+    SELECT f.event_id, f.bucket, e.rn,
+           CASE WHEN e.kind = 'R' THEN {{'x0': e.user_id, 'x1': e.x1}} ELSE f.r END AS nr,
+           CASE WHEN e.kind = 'S' THEN {{'y0': e.y0, 't': e.ets, 'rid': e.rid}} ELSE f.s END AS ns,
+           (CASE WHEN e.kind = 'R' THEN TRUE ELSE f.r IS NOT NULL END)
+             AND (CASE WHEN e.kind = 'S' THEN e.rid ELSE coalesce(f.s.rid, FALSE) END) AS emit
+    FROM fold f JOIN ev e ON e.event_id = f.event_id AND e.bucket = f.bucket AND e.rn = f.rn + 1))
+"""
+
+
+@query("correlate_repeats", f"""{_REPEAT_EVENTS}
+SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('out_s.t')} AS occurred_at,
+       out_r.x0 AS X0, out_r.x1 AS X1, out_s.y0 AS Y0
+FROM fold WHERE out_r IS NOT NULL
+""")
+def correlate_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 J1 ST1 B14 B15: repeats overwrite (last write wins), null ids never
+    complete, a completed pair clears the state."""
+    apply_defaults(spark)
+    return datapoints(kserve_inferences(feeds.repeated_pairs(spark, sf_dir))).good
