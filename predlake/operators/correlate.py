@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from predlake.functions.barrier import barrier, where
 from predlake.functions.frames import request_frame_sql, response_frame_sql
 from predlake.functions.times import parse_iso
 from predlake.model import DEFAULT_WINDOW
@@ -101,26 +102,27 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
           for c in ("topic", "partition", "offset", "timestamp")],
         F.col("event_id"),
         F.when(bad_req, F.col("req.value")).otherwise(F.col("resp.value")).alias("value"))
-    return df.select(
+    return barrier(df.select(
         F.col("resp.resp_id").alias("id"),
         F.expr("try_variant_get(_sv, '$.model_name', 'string')").alias("model_name"),
         F.expr("try_variant_get(_sv, '$.model_version', 'string')").alias("model_version"),
         occurred.alias("occurred_at"),
         "inputs", "outputs",
-        reason.alias("_reason"), src.alias("_src"))
+        reason.alias("_reason"), src.alias("_src")))
 
 
 def envelope_rejects(classified: DataFrame) -> DataFrame:
     """Envelopes refused before pairing, shaped like inferences (Q1)."""
     nf = "named_struct('cols', cast(null as array<string>), 'rows', cast(null as array<array<variant>>), 'err', cast(null as string))"
-    return (classified.where(F.col("_reason").isNotNull())
+    return (where(classified, F.col("_reason").isNotNull())
             .select(F.lit(None).cast("string").alias("id"),
                     F.lit(None).cast("string").alias("model_name"),
                     F.lit(None).cast("string").alias("model_version"),
                     F.col("timestamp").alias("occurred_at"),
                     F.expr(nf).alias("inputs"), F.expr(nf).alias("outputs"),
                     F.col("_reason"),
-                    F.struct("topic", "partition", "offset", "timestamp", "event_id", "value").alias("_src")))
+                    F.struct("topic", "partition", "offset", "timestamp", "event_id", "value").alias("_src"),
+                    F.col("_nd")))
 
 
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
@@ -131,6 +133,6 @@ def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
     ``with_rejects`` is False.
     """
     classified = classify(envelopes)
-    pairs = pair_events(classified.where(F.col("_reason").isNull()), window)
+    pairs = pair_events(where(classified, F.col("_reason").isNull()), window)
     inf = pairs_to_inferences(pairs)
     return inf.unionByName(envelope_rejects(classified)) if with_rejects else inf

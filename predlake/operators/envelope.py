@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from predlake.functions.barrier import barrier
 from predlake.functions.headers import header
 from predlake.model import HEADER_ID, HEADER_TIME, HEADER_TYPE, REQUEST_TYPE, RESPONSE_TYPE
 
@@ -52,6 +53,6 @@ def classify(envelopes: DataFrame) -> DataFrame:
         .when((F.col("kind") == "S") & ~F.arrays_overlap("_keys", F.array(F.lit("predictions"), F.lit("outputs"))),
               F.lit("no_predictions_or_outputs"))                                            # P7
     )
-    return (df.withColumn("_reason", reason)
-            .withColumn("resp_id", F.when(F.col("kind") == "S", F.get_json_object("value", "$.id")))
-            .drop("_keys"))
+    return barrier(df.withColumn("_reason", reason)
+                   .withColumn("resp_id", F.when(F.col("kind") == "S", F.get_json_object("value", "$.id")))
+                   .drop("_keys"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from predlake.functions.barrier import where
+
 
 def filter_models(inferences: DataFrame, model_name: str | None = None,
                   model_version: str | None = None) -> DataFrame:
@@ -16,9 +18,9 @@ def filter_models(inferences: DataFrame, model_name: str | None = None,
     df = inferences
     keep_rejects = F.col("_reason").isNotNull() if "_reason" in df.columns else F.lit(False)
     if model_name is not None:
-        df = df.where(keep_rejects | (F.col("model_name") == F.lit(model_name)))
+        df = where(df, keep_rejects | (F.col("model_name") == F.lit(model_name)))
     if model_version is not None:
-        df = df.where(keep_rejects | (F.col("model_version") == F.lit(model_version)))
+        df = where(df, keep_rejects | (F.col("model_version") == F.lit(model_version)))
     return df
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from predlake.functions.barrier import barrier
 from predlake.functions.frames import records_frame_sql
 from predlake.functions.times import parse_iso
 
@@ -35,6 +36,6 @@ def parse_json_events(events: DataFrame, value: str = "value",
     src = F.struct(*[F.col(c) if c in events.columns else F.lit(None).alias(c)
                      for c in ("topic", "partition", "offset", "timestamp", "event_id")],
                    F.col(value).cast("string").alias("value"))
-    return (df.withColumn("_reason", reason).withColumn("_src", src)
-            .select("id", "model_name", "model_version", "occurred_at", "inputs", "outputs",
-                    "_reason", "_src"))
+    return barrier(df.withColumn("_reason", reason).withColumn("_src", src)
+                   .select("id", "model_name", "model_version", "occurred_at", "inputs", "outputs",
+                           "_reason", "_src"))

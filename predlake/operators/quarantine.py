@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from predlake.functions.barrier import BARRIER, where
 from predlake.model import QUARANTINE, QUARANTINE_COLUMNS
 
 REASON = "_reason"
@@ -16,7 +17,7 @@ SOURCE = "_src"
 
 def to_quarantine(df: DataFrame) -> DataFrame:
     """Rows with a reason, projected to the quarantine schema."""
-    q = df.where(F.col(REASON).isNotNull())
+    q = where(df, F.col(REASON).isNotNull())
     src_fields = set()
     if SOURCE in q.columns:
         src_fields = set(q.schema[SOURCE].dataType.fieldNames())
@@ -36,8 +37,8 @@ def to_quarantine(df: DataFrame) -> DataFrame:
 
 def good(df: DataFrame) -> DataFrame:
     """Rows without a reason, internal columns dropped."""
-    out = df.where(F.col(REASON).isNull()).drop(REASON)
-    return out.drop(SOURCE) if SOURCE in out.columns else out
+    out = where(df, F.col(REASON).isNull()).drop(REASON)
+    return out.drop(*[c for c in (SOURCE, BARRIER) if c in out.columns])
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

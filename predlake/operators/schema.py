@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from predlake.functions.barrier import barrier
 from predlake.functions.times import format_iso
 
 
@@ -220,10 +221,10 @@ def enforce(rows: DataFrame, schema: PinnedSchema) -> DataFrame:
     for b in bad:
         mismatch = mismatch | b
     reason = F.coalesce(F.col("_reason"), F.when(mismatch, F.lit("type_mismatch")))
-    return rows.select(
+    return barrier(rows.select(
         F.concat(F.col("id"), F.lit("_"), F.col("pos").cast("string")).alias("id"),
         format_iso("occurred_at").alias("occurred_at"),
         *typed,
         reason.alias("_reason"),
         F.col("_src"),
-    )
+    ))

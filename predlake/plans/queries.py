@@ -269,7 +269,8 @@ def entry_model_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     apply_defaults(spark)
     inf = kserve_inferences(feeds.kserve_pairs(spark, sf_dir), with_rejects=False)
-    return (inf.where(F.col("_reason").isNull())
+    from predlake.functions.barrier import where
+    return (where(inf, F.col("_reason").isNull())
             .groupBy("model_name", F.date_trunc("hour", "occurred_at").alias("hour"))
             .agg(F.count(F.lit(1)).alias("inferences"),
                  F.sum(F.least(F.size("inputs.rows"), F.size("outputs.rows"))).alias("datapoints")))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from predlake.model import DEFAULT_EXPIRY, DEFAULT_WINDOW
+from predlake.functions.barrier import where
 from predlake.operators.envelope import classify
 
 EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topic string, "
@@ -92,7 +93,7 @@ def window_start(ts: str, window: str) -> F.Column:
 def stream_pairs(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
                  expiry: str = DEFAULT_EXPIRY) -> DataFrame:
     """Valid envelopes of a stream (or batch) -> emitted pairs (``PAIR_DDL``)."""
-    ev = (classify(envelopes).where(F.col("_reason").isNull())
+    ev = (where(classify(envelopes), F.col("_reason").isNull())
           .select("event_id", *_FIELDS)
           .withColumn("window_start", window_start("timestamp", window)))
     if ev.isStreaming:
