@@ -19,8 +19,12 @@ SESSION_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "predlake") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
+                  app: str = "predlake", checkpoint: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, UTC, AQE on).
+
+    ``checkpoint`` names the checkpoint folder (``spark.checkpoint.dir``);
+    a cluster session gets it from its deployment instead.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -34,6 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -59,14 +65,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem).
-    Only when it is unset (tests, local runs) do we pick a fresh local folder.
+    On a cluster this must be set by the deployment (a shared filesystem) and
+    is only read here. Only when it is unset (tests, local runs) is a fresh
+    local folder used.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="predlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    d = tempfile.mkdtemp(prefix="predlake-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir().rstrip("/")

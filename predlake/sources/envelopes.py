@@ -52,19 +52,30 @@ def stream_topic(spark: SparkSession, bootstrap: str, topic: str, **options: str
 
 def land_envelopes(envelopes: DataFrame, path: str, files: int = 8,
                    order_files_by_time: bool = True) -> list[str]:
-    """Write envelopes as ``files`` parquet files, range-partitioned on time.
+    """Write envelopes as ``files`` parquet files of consecutive time slices.
 
-    Returns the file paths in time order. On a local filesystem the files'
-    modification times are set in that order, so a file stream reads them
-    oldest first.
+    Slice bounds come from the data's time range (one small aggregate), so
+    the files are the same on every run. Returns the file paths in time
+    order; on a local filesystem their modification times are set in that
+    order, so a file stream reads them oldest first.
     """
+    import glob
     import os
     import time
-    (envelopes.repartitionByRange(files, "timestamp", "partition", "offset")
-     .write.mode("overwrite").parquet(path))
+    from pyspark.sql import functions as F
+    lo, hi = envelopes.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    span = max((hi or 0) - (lo or 0), 1)
+    sliced = envelopes.withColumn(
+        "_slice", F.least(F.floor((F.unix_micros("timestamp") - F.lit(lo)) * files / F.lit(span + 1)),
+                          F.lit(files - 1)).cast("int"))
     local = path[len("file:"):] if path.startswith("file:") else path
-    names = sorted(f for f in os.listdir(local) if f.endswith(".parquet"))
-    paths = [os.path.join(local, f) for f in names]
+    paths = []
+    for i in range(files):
+        part = f"{path}/slice={i:05d}"
+        (sliced.where(F.col("_slice") == i).drop("_slice").coalesce(1)
+         .sortWithinPartitions("timestamp", "partition", "offset")
+         .write.mode("overwrite").parquet(part))
+        paths += sorted(glob.glob(f"{local}/slice={i:05d}/*.parquet"))
     if order_files_by_time:
         base = time.time() - len(paths) - 10
         for i, p in enumerate(paths):
