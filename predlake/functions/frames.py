@@ -198,3 +198,57 @@ def records_frame_sql(v: str, text: str, key: str) -> str:
 
 def frame_col(sql: str) -> Column:
     return F.expr(sql)
+
+
+# --- fast paths ------------------------------------------------------------------
+#
+# One typed ``from_json`` reads the common payload shapes directly. A fast
+# path is taken only where its result is certainly the generic one; anything
+# else (absent or null keys, dict or mixed rows, precedence doubts) falls
+# through to the generic VARIANT path, whose parse is then done lazily.
+
+def _parsed(text: str, fields: str) -> str:
+    return f"from_json({text}, 'struct<{fields}>')"
+
+
+def _lists_ok(arr: str) -> str:
+    x = _v()
+    return f"({arr} IS NOT NULL AND forall({arr}, {x} -> {x} IS NOT NULL))"
+
+
+def request_frame_fast_sql(text: str) -> str:
+    """P2 / P4 / P5 / P7 with fast paths for list-of-lists and named tensors."""
+    def body(p):
+        inst, inp = f"{p}.{V1_REQUEST_KEY}", f"{p}.{V2_REQUEST_KEY}"
+        objects_v2 = (f"element_at(from_json({text}, "
+                      f"'struct<{V2_REQUEST_KEY}: array<struct<data: array<map<string,variant>>>>>')"
+                      f".{V2_REQUEST_KEY}, 1).data")
+        no_v1_key = f"NOT contains({text}, '\"{V1_REQUEST_KEY}\"')"
+        return (f"CASE WHEN {_lists_ok(inst)} THEN {list_rows(inst)} "
+                f"WHEN {inp} IS NOT NULL AND {no_v1_key} THEN {tensors_frame(inp, objects_v2)} "
+                f"ELSE {request_frame_sql(f'try_parse_json({text})', text)} END")
+    return let(_parsed(text, f"{V1_REQUEST_KEY}: array<array<variant>>, {V2_REQUEST_KEY}: {TENSOR_DDL}"), body)
+
+
+def response_frame_fast_sql(text: str) -> str:
+    """P3 / P4 / P5 / P7 with fast paths for a predictions list and named tensors."""
+    def body(p):
+        pred, outp = f"{p}.{V1_RESPONSE_KEY}", f"{p}.{V2_RESPONSE_KEY}"
+        objects_v1 = f"from_json({text}, 'struct<{V1_RESPONSE_KEY}: array<map<string,variant>>>').{V1_RESPONSE_KEY}"
+        objects_v2 = (f"element_at(from_json({text}, "
+                      f"'struct<{V2_RESPONSE_KEY}: array<struct<data: array<map<string,variant>>>>>')"
+                      f".{V2_RESPONSE_KEY}, 1).data")
+        no_v1_key = f"NOT contains({text}, '\"{V1_RESPONSE_KEY}\"')"
+        return (f"CASE WHEN {pred} IS NOT NULL THEN {rows_frame(pred, objects_v1)} "
+                f"WHEN {outp} IS NOT NULL AND {no_v1_key} THEN {tensors_frame(outp, objects_v2)} "
+                f"ELSE {response_frame_sql(f'try_parse_json({text})', text)} END")
+    return let(_parsed(text, f"{V1_RESPONSE_KEY}: array<variant>, {V2_RESPONSE_KEY}: {TENSOR_DDL}"), body)
+
+
+def records_frame_fast_sql(text: str, key: str) -> str:
+    """P1 / P6 with a fast path for a list of dicts (the usual JSON event)."""
+    def body(p):
+        recs = f"{p}.{key}"
+        return (f"CASE WHEN {_lists_ok(recs)} THEN {object_rows(recs)} "
+                f"ELSE {records_frame_sql(f'try_parse_json({text})', text, key)} END")
+    return let(_parsed(text, f"{key}: array<map<string,variant>>"), body)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from predlake.functions.barrier import barrier, where
-from predlake.functions.frames import request_frame_sql, response_frame_sql
+from predlake.functions.frames import request_frame_fast_sql, response_frame_fast_sql
 from predlake.functions.times import parse_iso
 from predlake.model import DEFAULT_WINDOW
 from predlake.operators.envelope import classify
@@ -87,10 +87,9 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
     """P2-P8 after pairing: parse both bodies into frames; only the response
     sets ``id``, ``model_name``, ``model_version`` and ``occurred_at``."""
     df = (pairs
-          .withColumn("_rv", F.expr("try_parse_json(req.value)"))
-          .withColumn("_sv", F.expr("try_parse_json(resp.value)"))
-          .withColumn("inputs", F.expr(request_frame_sql("_rv", "req.value")))
-          .withColumn("outputs", F.expr(response_frame_sql("_sv", "resp.value"))))
+          .withColumn("_sh", F.expr("from_json(resp.value, 'struct<model_name: string, model_version: string>')"))
+          .withColumn("inputs", F.expr(request_frame_fast_sql("req.value")))
+          .withColumn("outputs", F.expr(response_frame_fast_sql("resp.value"))))
     occurred = F.coalesce(parse_iso(F.col("resp.event_time")), F.col("resp.timestamp"))
     reason = (F.when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
               .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
@@ -104,8 +103,8 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
         F.when(bad_req, F.col("req.value")).otherwise(F.col("resp.value")).alias("value"))
     return barrier(df.select(
         F.col("resp.resp_id").alias("id"),
-        F.expr("try_variant_get(_sv, '$.model_name', 'string')").alias("model_name"),
-        F.expr("try_variant_get(_sv, '$.model_version', 'string')").alias("model_version"),
+        F.col("_sh.model_name").alias("model_name"),
+        F.col("_sh.model_version").alias("model_version"),
         occurred.alias("occurred_at"),
         "inputs", "outputs",
         reason.alias("_reason"), src.alias("_src")))

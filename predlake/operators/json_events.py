@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from predlake.functions.barrier import barrier
-from predlake.functions.frames import records_frame_sql
+from predlake.functions.frames import records_frame_fast_sql
 from predlake.functions.times import parse_iso
 
 
@@ -18,17 +18,18 @@ def parse_json_events(events: DataFrame, value: str = "value",
     ``occurred_at`` falls back to the envelope timestamp (deterministic, UTC)
     rather than the wall clock. Missing parts are reasons, not exceptions.
     """
-    df = events.withColumn("_v", F.expr(f"try_parse_json(cast({value} as string))"))
-    t_txt = F.expr("try_variant_get(_v, '$.occurred_at', 'string')")
+    text = f"cast({value} as string)"
+    head = ("struct<id: string, model_name: string, model_version: string, occurred_at: string>")
+    df = events.withColumn("_h", F.expr(f"from_json({text}, '{head}')"))
     df = (df
-          .withColumn("id", F.expr("try_variant_get(_v, '$.id', 'string')"))
-          .withColumn("model_name", F.expr("try_variant_get(_v, '$.model_name', 'string')"))
-          .withColumn("model_version", F.expr("try_variant_get(_v, '$.model_version', 'string')"))
-          .withColumn("_t_txt", t_txt)
+          .withColumn("id", F.col("_h.id"))
+          .withColumn("model_name", F.col("_h.model_name"))
+          .withColumn("model_version", F.col("_h.model_version"))
+          .withColumn("_t_txt", F.col("_h.occurred_at"))
           .withColumn("occurred_at", F.coalesce(parse_iso("_t_txt"), F.col(fallback_time)))
-          .withColumn("inputs", F.expr(records_frame_sql("_v", f"cast({value} as string)", "inputs")))
-          .withColumn("outputs", F.expr(records_frame_sql("_v", f"cast({value} as string)", "outputs"))))
-    reason = (F.when(F.col("_v").isNull(), F.lit("malformed_body"))
+          .withColumn("inputs", F.expr(records_frame_fast_sql(text, "inputs")))
+          .withColumn("outputs", F.expr(records_frame_fast_sql(text, "outputs"))))
+    reason = (F.when(F.col("_h").isNull(), F.lit("malformed_body"))
               .when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
               .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
               .when(F.col("_t_txt").isNotNull() & parse_iso("_t_txt").isNull(), F.lit("bad_occurred_at"))
