@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from predlake.operators import quarantine as Q
@@ -77,10 +78,21 @@ def _inferred_schema(named: DataFrame, config: dict, subject: str | None,
 
 @dataclass
 class Logged:
-    """A logger's result: typed datapoints (with ``_reason`` / ``_src``) and schema."""
+    """A logger's result: typed datapoints (with ``_reason`` / ``_src``) and schema.
+
+    ``cached`` is the persisted inference frame the rows are read from when the
+    schema had to be inferred first; :meth:`release` drops it once the rows
+    have been written.
+    """
 
     rows: DataFrame
     schema: PinnedSchema
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
+            self.cached = None
 
     @property
     def good(self) -> DataFrame:
@@ -98,11 +110,28 @@ def datapoints(inferences: DataFrame,
                strict: bool = False,
                catalog: str | None = None,
                subject: str | None = None) -> Logged:
-    """P9-P12 + C1-C4: inferences -> one typed row per datapoint."""
+    """P9-P12 + C1-C4: inferences -> one typed row per datapoint.
+
+    Without a pinned schema, the schema is inferred first (one aggregate) and
+    the rows are then read from the same named inferences. Batch inputs are
+    persisted (memory, spilling to disk; lost blocks are recomputed from the
+    lineage) so the parse and the pairing shuffle run once, not twice.
+    """
     named = name_columns(inferences, input_names, output_names)
-    pinned = schema or resolve(named, catalog, subject)
+    cached = None
+    if schema is None:
+        pinned = None
+        if catalog and subject:
+            from predlake.operators.schema import lookup
+            pinned = lookup(named.sparkSession, catalog, subject)
+        if pinned is None:
+            if not named.isStreaming:
+                cached = named = named.persist(StorageLevel.MEMORY_AND_DISK)
+            pinned = resolve(named, catalog, subject)
+    else:
+        pinned = schema
     rows = zip_rows(align(named, pinned), strict=strict)
-    return Logged(enforce(rows, pinned), pinned)
+    return Logged(enforce(rows, pinned), pinned, cached)
 
 
 def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = None,
