@@ -55,9 +55,10 @@ def land_envelopes(envelopes: DataFrame, path: str, files: int = 8,
     """Write envelopes as ``files`` parquet files of consecutive time slices.
 
     Slice bounds come from the data's time range (one small aggregate), so
-    the files are the same on every run. Returns the file paths in time
-    order; on a local filesystem their modification times are set in that
-    order, so a file stream reads them oldest first.
+    the files are the same on every run; one write job lays down one file per
+    slice folder. Returns the file paths in time order; on a local filesystem
+    their modification times are set in that order, so a file stream reads
+    them oldest first.
     """
     import glob
     import os
@@ -66,16 +67,14 @@ def land_envelopes(envelopes: DataFrame, path: str, files: int = 8,
     lo, hi = envelopes.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
     span = max((hi or 0) - (lo or 0), 1)
     sliced = envelopes.withColumn(
-        "_slice", F.least(F.floor((F.unix_micros("timestamp") - F.lit(lo)) * files / F.lit(span + 1)),
-                          F.lit(files - 1)).cast("int"))
+        "slice", F.least(F.floor((F.unix_micros("timestamp") - F.lit(lo)) * files / F.lit(span + 1)),
+                         F.lit(files - 1)).cast("int"))
+    (sliced.repartition(files, "slice").sortWithinPartitions("slice", "timestamp", "partition", "offset")
+     .write.mode("overwrite").partitionBy("slice").parquet(path))
     local = path[len("file:"):] if path.startswith("file:") else path
     paths = []
     for i in range(files):
-        part = f"{path}/slice={i:05d}"
-        (sliced.where(F.col("_slice") == i).drop("_slice").coalesce(1)
-         .sortWithinPartitions("timestamp", "partition", "offset")
-         .write.mode("overwrite").parquet(part))
-        paths += sorted(glob.glob(f"{local}/slice={i:05d}/*.parquet"))
+        paths += sorted(glob.glob(f"{local}/slice={i}/*.parquet"))
     if order_files_by_time:
         base = time.time() - len(paths) - 10
         for i, p in enumerate(paths):

@@ -13,8 +13,10 @@ Rows behind the watermark never reach the processor and are counted in
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,8 +27,13 @@ from predlake.operators.envelope import classify
 EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topic string, "
              "partition int, offset bigint, timestamp timestamp")
 PAIR_DDL = f"event_id string, window_start timestamp, req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
+PENDING_DDL = f"req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
 _FIELDS = [f.split(" ")[0] for f in EVENT_DDL.split(", ")]
 
+# The processor runs in Python workers that need not have this package on
+# their path: ship this module's code with the pickled processor.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _interval_ms(text: str) -> int:
     n, unit = text.split()
@@ -42,17 +49,19 @@ class PairProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.req = handle.getValueState("req", EVENT_DDL)
-        self.resp = handle.getValueState("resp", EVENT_DDL)
+        # One state value per key (pending request, pending response): every
+        # state call is a round trip to the state server, so keep them few.
+        self.pending = handle.getValueState("pending", PENDING_DDL)
 
     @staticmethod
     def _event(row) -> tuple:
         return tuple(row[f] for f in _FIELDS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        r = self.req.get() if self.req.exists() else None
-        s = self.resp.get() if self.resp.exists() else None
-        had_state = r is not None or s is not None
+        st = self.pending.get()
+        r = tuple(st[0]) if st is not None and st[0] is not None else None
+        s = tuple(st[1]) if st is not None and st[1] is not None else None
+        had_state = st is not None
         events = sorted((self._event(x) for x in rows), key=lambda e: (e[7], e[5], e[6]))
         out = []
         for e in events:
@@ -64,19 +73,18 @@ class PairProcessor(StatefulProcessor):
                 out.append(Row(event_id=key[0], window_start=key[1],
                                req=Row(**dict(zip(_FIELDS, r))), resp=Row(**dict(zip(_FIELDS, s)))))
                 r = s = None
-        for state, v in ((self.req, r), (self.resp, s)):
-            if v is None:
-                state.clear()
-            else:
-                state.update(tuple(v))
+        if r is None and s is None:
+            if had_state:
+                self.pending.clear()
+        else:
+            self.pending.update((r, s))
         if (r is not None or s is not None) and not had_state:
             end_ms = int(key[1].timestamp() * 1000) + self.window_ms
             self.handle.registerTimer(end_ms)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.req.clear()
-        self.resp.clear()
+        self.pending.clear()
         return iter([])
 
     def close(self) -> None:
