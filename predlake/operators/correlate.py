@@ -40,24 +40,60 @@ _EVENT = ["event_id", "kind", "resp_id", "event_time", "value", "topic", "partit
           "offset", "timestamp"]
 
 
+def _window_start(window: str):
+    """Tumbling window start, floor of the micros (NULL-safe, no row filter)."""
+    from predlake.streaming.correlate import _interval_ms
+    us = _interval_ms(window) * 1000
+    return F.timestamp_micros(F.floor(F.unix_micros(F.col("timestamp")) / us) * us)
+
+
+def _keyed_events(events: DataFrame, window: str) -> DataFrame:
+    """Events with the grouping key and kind ``t`` (R, S, N = response with a null id).
+
+    Refused envelopes (a ``_reason``) become kind ``X`` with a key of their
+    own (their message position), so they ride the same shuffle as singleton
+    groups and the input is read once for both pairs and quarantine.
+    """
+    ok = F.col("_reason").isNull() if "_reason" in events.columns else F.lit(True)
+    own_key = F.concat(F.lit("\u0000"), F.col("topic"), F.lit("/"), F.col("partition").cast("string"),
+                       F.lit("/"), F.col("offset").cast("string"))
+    cols = _EVENT + (["_reason"] if "_reason" in events.columns else [])
+    return (events.select(*cols)
+            .withColumn("_key", F.when(ok, F.col("event_id")).otherwise(own_key))
+            .withColumn("window_start", _window_start(window))
+            .withColumn("t", F.when(~ok, F.lit("X"))
+                        .when((F.col("kind") == "S") & F.col("resp_id").isNull(), F.lit("N"))
+                        .otherwise(F.col("kind"))))
+
+
 def pair_events(events: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
-    """J1 on classified, valid events (``kind`` R/S, ``resp_id``) -> pairs.
+    """J1 on classified events (``kind`` R/S, ``resp_id``) -> pairs.
 
     Returns one row per emitted pair: ``event_id, window_start, req, resp``
     where ``req`` / ``resp`` are structs of the envelope fields.
     """
-    ev = (events.select(*_EVENT)
-          .withColumn("window_start", F.window("timestamp", window).start)
-          .withColumn("t", F.when((F.col("kind") == "S") & F.col("resp_id").isNull(), F.lit("N"))
-                      .otherwise(F.col("kind"))))
-    part = Window.partitionBy("event_id", "window_start").orderBy("timestamp", "partition", "offset")
-    running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _pair(_segmented(_keyed_events(events, window)))
 
-    # Segments: a null-id response right after a response restarts the group.
+
+def _part():
+    return Window.partitionBy("_key", "window_start").orderBy("timestamp", "partition", "offset")
+
+
+def _segmented(ev: DataFrame) -> DataFrame:
+    """Segments: a null-id response right after a response restarts the group."""
+    part = _part()
+    running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ev = ev.withColumn("_prev_t", F.lag("t").over(part))
-    ev = ev.withColumn("seg", F.sum(((F.col("t") == "N") & (F.col("_prev_t") == "S")).cast("int"))
-                       .over(running))
-    rs = ev.where(F.col("t") != "N")
+    return ev.withColumn("seg", F.sum(((F.col("t") == "N") & (F.col("_prev_t") == "S")).cast("int"))
+                         .over(running))
+
+
+def _pair(ev: DataFrame) -> DataFrame:
+    part = _part()
+    running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Refused envelopes (X) are singleton groups: they pass every step below
+    # untouched and leave as ``_rej`` rows of the same output.
+    rs = ev.where(F.col("t").isin("R", "S", "X"))
 
     payload = F.struct(*[F.col(c) for c in _EVENT if c not in ("event_id",)])
     rs = (rs.withColumn("_ev", payload)
@@ -77,30 +113,44 @@ def pair_events(events: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     runs = runs.withColumn("emit_b", F.col("run_len").isNotNull()
                            & (((F.col("run_idx") - F.col("head_idx")) % 2) == 0))
     # The closer is the first event of the next run; its partner the event before it.
-    closers = runs.withColumn("_emit", F.lag("emit_b").over(part)).where(F.col("_emit") & ~F.col("seg_first"))
-    req = F.when(F.col("t") == "R", F.col("_ev")).otherwise(F.col("_prev.ev"))
-    resp = F.when(F.col("t") == "S", F.col("_ev")).otherwise(F.col("_prev.ev"))
-    return closers.select("event_id", "window_start", req.alias("req"), resp.alias("resp"))
+    closers = runs.withColumn("_emit", F.lag("emit_b").over(part)).where(
+        (F.col("_emit") & ~F.col("seg_first")) | (F.col("t") == "X"))
+    req = F.when(F.col("t") == "R", F.col("_ev")).when(F.col("t") != "X", F.col("_prev.ev"))
+    resp = F.when(F.col("t") == "S", F.col("_ev")).when(F.col("t") != "X", F.col("_prev.ev"))
+    reason = F.col("_reason") if "_reason" in ev.columns else F.lit(None).cast("string")
+    rej = F.when(F.col("t") == "X", F.struct(
+        reason.alias("reason"), "topic", "partition", "offset", "timestamp", "event_id", "value"))
+    return closers.select("event_id", "window_start", req.alias("req"), resp.alias("resp"),
+                          rej.alias("_rej"))
 
 
 def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
     """P2-P8 after pairing: parse both bodies into frames; only the response
     sets ``id``, ``model_name``, ``model_version`` and ``occurred_at``."""
+    if "_rej" not in pairs.columns:
+        pairs = pairs.withColumn("_rej", F.lit(None).cast(
+            "struct<reason: string, topic: string, partition: int, offset: bigint, "
+            "timestamp: timestamp, event_id: string, value: string>"))
     df = (pairs
           .withColumn("_sh", F.expr("from_json(resp.value, 'struct<model_name: string, model_version: string>')"))
           .withColumn("inputs", F.expr(request_frame_fast_sql("req.value")))
           .withColumn("outputs", F.expr(response_frame_fast_sql("resp.value"))))
-    occurred = F.coalesce(parse_iso(F.col("resp.event_time")), F.col("resp.timestamp"))
-    reason = (F.when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
+    occurred = F.coalesce(parse_iso(F.col("resp.event_time")), F.col("resp.timestamp"),
+                          F.col("_rej.timestamp"))
+    reason = (F.when(F.col("_rej").isNotNull(), F.col("_rej.reason"))
+              .when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
               .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
               .when(F.col("resp.event_time").isNotNull() & parse_iso(F.col("resp.event_time")).isNull(),
                     F.lit("bad_event_time")))
     bad_req = F.col("inputs.err").isNotNull()
+    rejected = F.col("_rej").isNotNull()
     src = F.struct(
-        *[F.when(bad_req, F.col(f"req.{c}")).otherwise(F.col(f"resp.{c}")).alias(c)
+        *[F.when(rejected, F.col(f"_rej.{c}")).when(bad_req, F.col(f"req.{c}"))
+          .otherwise(F.col(f"resp.{c}")).alias(c)
           for c in ("topic", "partition", "offset", "timestamp")],
-        F.col("event_id"),
-        F.when(bad_req, F.col("req.value")).otherwise(F.col("resp.value")).alias("value"))
+        F.when(rejected, F.col("_rej.event_id")).otherwise(F.col("event_id")).alias("event_id"),
+        F.when(rejected, F.col("_rej.value")).when(bad_req, F.col("req.value"))
+        .otherwise(F.col("resp.value")).alias("value"))
     return barrier(df.select(
         F.col("resp.resp_id").alias("id"),
         F.col("_sh.model_name").alias("model_name"),
@@ -110,10 +160,10 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
         reason.alias("_reason"), src.alias("_src")))
 
 
-def envelope_rejects(classified: DataFrame) -> DataFrame:
+def envelope_rejects(rejected: DataFrame) -> DataFrame:
     """Envelopes refused before pairing, shaped like inferences (Q1)."""
     nf = "named_struct('cols', cast(null as array<string>), 'rows', cast(null as array<array<variant>>), 'err', cast(null as string))"
-    return (where(classified, F.col("_reason").isNotNull())
+    return (rejected
             .select(F.lit(None).cast("string").alias("id"),
                     F.lit(None).cast("string").alias("model_name"),
                     F.lit(None).cast("string").alias("model_version"),
@@ -121,7 +171,7 @@ def envelope_rejects(classified: DataFrame) -> DataFrame:
                     F.expr(nf).alias("inputs"), F.expr(nf).alias("outputs"),
                     F.col("_reason"),
                     F.struct("topic", "partition", "offset", "timestamp", "event_id", "value").alias("_src"),
-                    F.col("_nd")))
+                    F.spark_partition_id().alias("_nd")))
 
 
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
@@ -132,6 +182,8 @@ def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
     ``with_rejects`` is False.
     """
     classified = classify(envelopes)
-    pairs = pair_events(where(classified, F.col("_reason").isNull()), window)
-    inf = pairs_to_inferences(pairs)
-    return inf.unionByName(envelope_rejects(classified)) if with_rejects else inf
+    if not with_rejects:
+        return pairs_to_inferences(pair_events(where(classified, F.col("_reason").isNull()), window))
+    # One scan, one exchange: refused envelopes travel as singleton groups
+    # through the pairing and come out as rows with their reason.
+    return pairs_to_inferences(pair_events(classified, window))
