@@ -10,7 +10,7 @@ which keeps key order). ``rows`` are row-major VARIANT cells, NULL where a
 value is missing. ``err`` is NULL when the payload parsed, else the
 quarantine reason.
 
-All builders return SQL text; :func:`frame_col` wraps it in a Column. Every
+All builders return SQL text (wrap with ``F.expr``). Every
 branch sits inside ``CASE`` so only the branch a payload needs is evaluated.
 """
 
@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, functions as F
-
 from predlake.model import (
     V1_REQUEST_KEY, V1_RESPONSE_KEY, V2_REQUEST_KEY, V2_RESPONSE_KEY,
 )
@@ -196,10 +194,6 @@ def records_frame_sql(v: str, text: str, key: str) -> str:
             f"ELSE {rows_frame(arr, objects, allow_scalars=False)} END")
 
 
-def frame_col(sql: str) -> Column:
-    return F.expr(sql)
-
-
 # --- fast paths ------------------------------------------------------------------
 #
 # One typed ``from_json`` reads the common payload shapes directly. A fast

@@ -160,20 +160,6 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
         reason.alias("_reason"), src.alias("_src")))
 
 
-def envelope_rejects(rejected: DataFrame) -> DataFrame:
-    """Envelopes refused before pairing, shaped like inferences (Q1)."""
-    nf = "named_struct('cols', cast(null as array<string>), 'rows', cast(null as array<array<variant>>), 'err', cast(null as string))"
-    return (rejected
-            .select(F.lit(None).cast("string").alias("id"),
-                    F.lit(None).cast("string").alias("model_name"),
-                    F.lit(None).cast("string").alias("model_version"),
-                    F.col("timestamp").alias("occurred_at"),
-                    F.expr(nf).alias("inputs"), F.expr(nf).alias("outputs"),
-                    F.col("_reason"),
-                    F.struct("topic", "partition", "offset", "timestamp", "event_id", "value").alias("_src"),
-                    F.spark_partition_id().alias("_nd")))
-
-
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
                       with_rejects: bool = True) -> DataFrame:
     """Envelopes -> completed inferences.

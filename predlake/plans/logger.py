@@ -67,6 +67,26 @@ def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     return kserve_inferences(envelopes, window=config.get("window", "10 seconds"))
 
 
+@destination("parquet")
+@destination("confluent-s3")
+def _parquet_destination(rows: DataFrame, config: dict, logger_name: str):
+    """K2: batch write under ``<url>/<logger>`` (streams use sinks.parquet.write_stream)."""
+    from predlake.sinks import parquet
+    return parquet.write_batch(rows, config, logger_name)
+
+
+@destination("kafka")
+def _kafka_destination(rows: DataFrame, config: dict, logger_name: str):
+    """K1: one JSON message per row to the logger's target topic (batch)."""
+    from predlake.sinks.kafka import to_messages
+    from predlake.sources.envelopes import kafka_available
+    if not kafka_available(rows.sparkSession):
+        raise RuntimeError("the Kafka connector package is not on the classpath")
+    (to_messages(rows).write.format("kafka")
+     .option("kafka.bootstrap.servers", config["bootstrapServers"])
+     .option("topic", config.get("topic", logger_name)).save())
+
+
 @schema_provider("avro")
 @schema_provider("inferred")
 def _inferred_schema(named: DataFrame, config: dict, subject: str | None,
@@ -182,3 +202,20 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
                                                if c not in ("id", "occurred_at")])).alias("data"))
         out = packed if out is None else out.unionByName(packed)
     return out
+
+
+def write_logger(spec: LoggerSpec, logged: Logged, quarantine_url: str | None = None):
+    """U3 + Q1: write the good rows through the spec's destination and, when
+    ``quarantine_url`` is given, the refused rows next to them; then release
+    the persisted inferences."""
+    fn = DESTINATIONS.get(spec.destination.type)
+    if fn is None:
+        raise SpecError(f"unknown destination type {spec.destination.type!r}")
+    try:
+        out = fn(logged.good, spec.destination.config, spec.name)
+        if quarantine_url:
+            from predlake.sinks import parquet
+            parquet.write_batch(logged.quarantine, {"url": quarantine_url}, spec.name)
+        return out
+    finally:
+        logged.release()

@@ -63,3 +63,18 @@ def test_destination_format_checked():
         parquet_sink._check({"url": "/tmp/x", "format": "hdf5"})
     url, opts = parquet_sink._check({"url": "/tmp/x/", "options": {"compression": "zstd"}})
     assert url == "/tmp/x" and opts["compression"] == "zstd"
+
+
+def test_batch_logger_writes_rows_and_quarantine(spark, tmp_path):
+    from predlake.plans import feeds
+    from predlake.plans.logger import run_logger, write_logger
+    spec = LoggerSpec.from_dict({
+        "name": "events-json", "topic": "t", "events": {"type": "json"},
+        "filters": {"modelName": "click"},
+        "destination": {"type": "parquet", "config": {"url": str(tmp_path / "lake")}}})
+    env = feeds.json_events(spark, "/root/testdata/sf0.001")
+    logged = run_logger(spec, env)
+    path = write_logger(spec, logged, quarantine_url=str(tmp_path / "quarantine"))
+    rows = spark.read.parquet(path)
+    want = feeds.table(spark, "/root/testdata/sf0.001", "events").where("event_type = 'click'").count()
+    assert rows.count() == want and rows.columns == ["id", "occurred_at", "user_id", "k", "value"]
