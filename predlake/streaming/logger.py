@@ -52,9 +52,42 @@ def stream_logged(spec: LoggerSpec, envelopes: DataFrame, schema: PinnedSchema)
     return datapoints(apply_filters(inf, spec.filters), names["inputs"], names["outputs"], schema=schema)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_conf(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str | None]:
+    """Settings a stateful logger stream needs at start (returns the old values).
+
+    ``transformWithState`` requires the RocksDB state store; the number of
+    state partitions is fixed by the first run of a checkpoint, so it is set
+    here rather than inherited from a batch-sized default.
+    """
+    want = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        want["spark.sql.shuffle.partitions"] = str(state_partitions)
+    old = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def restore_conf(spark: SparkSession, old: dict[str, str | None]) -> None:
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
 def run_to_parquet(spec: LoggerSpec, envelopes: DataFrame, schema: PinnedSchema,
-                   checkpoint: str, available_now: bool = True):
+                   checkpoint: str, available_now: bool = True,
+                   state_partitions: int | None = None):
     """Start the logger's stream into its Parquet destination (K2)."""
-    rows = stream_logged(spec, envelopes, schema).good
-    return parquet_sink.write_stream(rows, spec.destination.config, spec.name, checkpoint,
-                                     available_now=available_now)
+    spark = envelopes.sparkSession
+    old = stream_conf(spark, state_partitions or spark.sparkContext.defaultParallelism)
+    try:
+        rows = stream_logged(spec, envelopes, schema).good
+        return parquet_sink.write_stream(rows, spec.destination.config, spec.name, checkpoint,
+                                         available_now=available_now)
+    finally:
+        restore_conf(spark, old)
