@@ -17,12 +17,16 @@ N_TOPIC_PARTITIONS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table; wall-clock (NTZ) timestamps read as UTC instants."""
+    """A base table; wall-clock (NTZ) timestamps read as UTC instants.
+
+    Small single-file tables are spread over the cores (see ``balance``).
+    """
+    from predlake.sources.envelopes import balance
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     ntz = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     for c in ntz:
         df = df.withColumn(c, F.col(c).cast("timestamp"))
-    return df
+    return balance(df)
 
 
 def _headers(event_id: Column, event_type: Column | None = None,

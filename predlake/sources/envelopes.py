@@ -80,3 +80,17 @@ def land_envelopes(envelopes: DataFrame, path: str, files: int = 8,
         for i, p in enumerate(paths):
             os.utime(p, (base + i, base + i))
     return paths
+
+
+def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small input (one file, one row group) is read by a single task, and
+    every narrow operator after it (the payload parse) would run on one core.
+    Large inputs already have many splits and are left alone, so at scale this
+    adds no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
