@@ -363,7 +363,8 @@ STREAM_SPEC = {
 }
 
 
-def _stream_run(spark: SparkSession, sf_dir: str, late_files: tuple[int, ...] = ()) -> tuple[str, object]:
+def _stream_run(spark: SparkSession, sf_dir: str, late_files: tuple[int, ...] = (),
+                feed=None, events_type: str = "kserve") -> tuple[str, object]:
     """Land the correlate feed as 8 time-ordered files, stream them one file
     per micro-batch through the stateful pairing into Parquet (availableNow),
     and return the output folder. ``late_files`` are delivered last."""
@@ -374,12 +375,13 @@ def _stream_run(spark: SparkSession, sf_dir: str, late_files: tuple[int, ...] =
     apply_defaults(spark)
     base = scratch(spark, "stream")
     landed = f"{base}/landing"
-    paths = land_envelopes(feeds.kserve_pairs(spark, sf_dir), landed, files=8)
+    paths = land_envelopes((feed or feeds.kserve_pairs)(spark, sf_dir), landed, files=8)
     if late_files:
         t = max(os.path.getmtime(p) for p in paths)
         for j, i in enumerate(late_files):
             os.utime(paths[i], (t + 1 + j, t + 1 + j))
-    spec = LoggerSpec.from_dict({**STREAM_SPEC, "destination": {
+    spec = LoggerSpec.from_dict({**STREAM_SPEC, "events": {"type": events_type, "config": {}},
+                                 "destination": {
         "type": "parquet", "config": {"url": f"{base}/lake", "maxRecordsPerFile": 100000}}})
     schema = pin_schema(spark, spec, landed, catalog=f"{base}/catalog")
     q = run_to_parquet(spec, stream_envelopes(spark, landed, max_files_per_trigger=1), schema,
@@ -458,3 +460,10 @@ def correlate_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     complete, a completed pair clears the state."""
     apply_defaults(spark)
     return datapoints(kserve_inferences(feeds.repeated_pairs(spark, sf_dir))).good
+
+
+@query("stream_parquet", ORACLES["json_flatten"])
+def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events as a stateless stream into the Parquet lake, read back."""
+    out, _ = _stream_run(spark, sf_dir, feed=feeds.json_events, events_type="json")
+    return spark.read.parquet(out)

@@ -29,6 +29,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(QUERIES) - set(ORACLES) == {"stream_late"}
+    assert {"stream_correlate", "stream_parquet"} <= set(ORACLES)
 
 
 def test_entry_smoke(spark):
