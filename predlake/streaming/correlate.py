@@ -1,12 +1,13 @@
 """J1 as a stream: ST1 / ST2 / W1 / W2 / W3 / X1 with ``transformWithState``.
 
-The stream is keyed by ``(ce_id, window_start)`` (X1: the shuffle of the
-grouping is the repartition by key). Per key the processor keeps the pending
-request and the pending response in two ``ValueState`` variables (ST1) in the
-RocksDB state store under the query checkpoint (ST2), folds each micro-batch
-in ``(timestamp, partition, offset)`` order, emits a pair the moment both are
-pending and the response has an ``id``, and clears the state on emit. An
-event-time timer at the window end drops state that never completed (W2).
+The stream is grouped by a state bucket derived from ``(ce_id, window_start)``
+(X1: the shuffle of the grouping is the repartition by key). Per bucket the
+processor keeps the pending requests and responses in one ``ValueState``
+(ST1) in the RocksDB state store under the query checkpoint (ST2), folds each
+micro-batch in ``(timestamp, partition, offset)`` order per (ce_id, window),
+emits a pair the moment both are pending and the response has an ``id``, and
+drops it from the state on emit. Pending entries of windows the watermark has
+passed are dropped, and an event-time timer clears a bucket at its end (W2).
 Rows behind the watermark never reach the processor and are counted in
 ``numRowsDroppedByWatermark`` (W3).
 """
@@ -27,7 +28,10 @@ from predlake.operators.envelope import classify
 EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topic string, "
              "partition int, offset bigint, timestamp timestamp")
 PAIR_DDL = f"event_id string, window_start timestamp, req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
-PENDING_DDL = f"req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
+STATE_DDL = (f"entries array<struct<event_id: string, window_start: timestamp, "
+             f"req: struct<{EVENT_DDL}>, resp: struct<{EVENT_DDL}>>>")
+ID_BUCKETS = 256          # hash buckets of ce_id per time bucket
+TIME_BUCKET = "1 day"     # coarse time bucket of a state key (a multiple of the window)
 _FIELDS = [f.split(" ")[0] for f in EVENT_DDL.split(", ")]
 
 # The processor runs in Python workers that need not have this package on
@@ -42,16 +46,23 @@ def _interval_ms(text: str) -> int:
 
 
 class PairProcessor(StatefulProcessor):
-    """Emit-and-clear fold of requests and responses for one (ce_id, window)."""
+    """Emit-and-clear fold of requests and responses per (ce_id, window).
 
-    def __init__(self, window_ms: int):
+    The operator is keyed by a state bucket (a hash bucket of ``ce_id`` and a
+    coarse time bucket), so one call folds many ids and the per-key overhead
+    of the stateful operator is paid per bucket, not per id. The bucket's
+    pending pairs are one state value; entries whose window the watermark has
+    passed can get no more events and are dropped (W2), and an event-time
+    timer at the end of the time bucket clears what is left.
+    """
+
+    def __init__(self, window_ms: int, bucket_ms: int):
         self.window_ms = window_ms
+        self.bucket_ms = bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # One state value per key (pending request, pending response): every
-        # state call is a round trip to the state server, so keep them few.
-        self.pending = handle.getValueState("pending", PENDING_DDL)
+        self.pending = handle.getValueState("pending", STATE_DDL)
 
     @staticmethod
     def _event(row) -> tuple:
@@ -59,28 +70,31 @@ class PairProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         st = self.pending.get()
-        r = tuple(st[0]) if st is not None and st[0] is not None else None
-        s = tuple(st[1]) if st is not None and st[1] is not None else None
-        had_state = st is not None
-        events = sorted((self._event(x) for x in rows), key=lambda e: (e[7], e[5], e[6]))
+        open_ = {}
+        if st is not None and st[0]:
+            for e in st[0]:
+                open_[(e[0], e[1])] = [None if e[2] is None else tuple(e[2]),
+                                       None if e[3] is None else tuple(e[3])]
+        events = sorted(((x["event_id"], x["window_start"], self._event(x)) for x in rows),
+                        key=lambda t: (t[2][7], t[2][5], t[2][6]))
         out = []
-        for e in events:
-            if e[0] == "R":
-                r = e
-            else:
-                s = e
-            if r is not None and s is not None and s[1] is not None:
-                out.append(Row(event_id=key[0], window_start=key[1],
-                               req=Row(**dict(zip(_FIELDS, r))), resp=Row(**dict(zip(_FIELDS, s)))))
-                r = s = None
-        if r is None and s is None:
-            if had_state:
-                self.pending.clear()
-        else:
-            self.pending.update((r, s))
-        if (r is not None or s is not None) and not had_state:
-            end_ms = int(key[1].timestamp() * 1000) + self.window_ms
-            self.handle.registerTimer(end_ms)
+        for eid, ws, e in events:
+            slot = open_.setdefault((eid, ws), [None, None])
+            slot[0 if e[0] == "R" else 1] = e
+            if slot[0] is not None and slot[1] is not None and slot[1][1] is not None:
+                out.append(Row(event_id=eid, window_start=ws,
+                               req=Row(**dict(zip(_FIELDS, slot[0]))),
+                               resp=Row(**dict(zip(_FIELDS, slot[1])))))
+                del open_[(eid, ws)]
+        wm = timerValues.getCurrentWatermarkInMs()
+        keep = [(k, v) for k, v in open_.items()
+                if int(k[1].timestamp() * 1000) + self.window_ms > wm]
+        if keep:
+            self.pending.update(([(k[0], k[1], v[0], v[1]) for k, v in keep],))
+            if st is None:
+                self.handle.registerTimer(int(key[1]) * self.bucket_ms + self.bucket_ms + self.window_ms)
+        elif st is not None:
+            self.pending.clear()
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -109,8 +123,12 @@ def stream_pairs(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
         time_mode = "EventTime"
     else:
         time_mode = "None"
-    return (ev.groupBy("event_id", "window_start")
-            .transformWithState(PairProcessor(_interval_ms(window)), PAIR_DDL, "Append", time_mode))
+    bucket_ms = _interval_ms(TIME_BUCKET)
+    ev = (ev.withColumn("_idb", F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)))
+            .withColumn("_tb", F.floor(F.unix_millis("window_start") / bucket_ms)))
+    return (ev.groupBy("_idb", "_tb")
+            .transformWithState(PairProcessor(_interval_ms(window), bucket_ms), PAIR_DDL,
+                                "Append", time_mode))
 
 
 def stream_rejects(envelopes: DataFrame) -> DataFrame:
