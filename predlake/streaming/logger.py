@@ -16,7 +16,7 @@ from predlake.operators.correlate import kserve_inferences, pairs_to_inferences
 from predlake.operators.json_events import parse_json_events
 from predlake.operators.rows import name_columns
 from predlake.operators.schema import PinnedSchema, resolve
-from predlake.plans.filters_hook import apply_filters
+from predlake.operators.filters import filter_spec as apply_filters
 from predlake.plans.logger import Logged, datapoints
 from predlake.plans.spec import LoggerSpec
 from predlake.session import checkpoint_dir
