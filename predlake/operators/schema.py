@@ -190,8 +190,11 @@ def align(named: DataFrame, schema: PinnedSchema) -> DataFrame:
     """
     def side(frame: str, names: list[str]) -> str:
         arr = "array(" + ", ".join(_sql_str(n) for n in names) + ")" if names else "cast(array() as array<string>)"
-        return (f"transform({frame}.rows, r -> transform(transform({arr}, n -> array_position({frame}.cols, n)), "
-                f"k -> get(r, cast(k as int) - 1)))")
+        # Usually the frame already has the pinned order: keep its rows as they are.
+        # Otherwise look the positions up once per inference, not once per row.
+        moved = (f"element_at(transform(array(transform({arr}, n -> array_position({frame}.cols, n))), "
+                 f"idx -> transform({frame}.rows, r -> transform(idx, k -> get(r, cast(k as int) - 1)))), 1)")
+        return f"IF({frame}.cols = {arr}, {frame}.rows, {moved})"
     in_names = [n for n, _ in schema.inputs]
     out_names = [n for n, _ in schema.outputs]
     unknown = (f"size(array_except(inputs.cols, array({', '.join(_sql_str(n) for n in in_names) or 'NULL'}))) > 0 OR "
