@@ -145,7 +145,7 @@ def datapoints(inferences: DataFrame,
             from predlake.operators.schema import lookup
             pinned = lookup(named.sparkSession, catalog, subject)
         if pinned is None:
-            if not named.isStreaming:
+            if not named.isStreaming and not inferences.is_cached:
                 cached = named = named.persist(StorageLevel.MEMORY_AND_DISK)
             pinned = resolve(named, catalog, subject)
     else:
@@ -194,7 +194,8 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
             proc = EVENT_PROCESSORS.get(spec.events.type)
             if proc is None:
                 raise SpecError(f"unknown events type {spec.events.type!r}")
-            shared[key] = proc(envelopes, spec.events.config)
+            # parsed and paired once for all loggers on this feed
+            shared[key] = proc(envelopes, spec.events.config).persist(StorageLevel.MEMORY_AND_DISK)
         logged = run_logger(spec, envelopes, catalog, inferences=shared[key])
         g = logged.good
         packed = g.select(F.lit(spec.name).alias("logger"), "id", "occurred_at",
