@@ -28,10 +28,11 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]     # AQE prints the final plan first
-        hashed = len(re.findall(r"Exchange hashpartitioning", plan))
-        single = len(re.findall(r"Exchange SinglePartition", plan))
-        ranged = len(re.findall(r"Exchange rangepartitioning", plan))
-        reused = len(re.findall(r"ReusedExchange", plan))
+        ops = [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in plan.split("\n")]
+        hashed = sum(o.startswith("Exchange hashpartitioning") for o in ops)
+        single = sum(o.startswith("Exchange SinglePartition") for o in ops)
+        ranged = sum(o.startswith("Exchange rangepartitioning") for o in ops)
+        reused = sum(o.startswith("ReusedExchange") for o in ops)
         scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*?/([a-z]+)\.parquet\]", plan)
         cols = "; ".join(sorted({f"{t}: " + ",".join(re.sub(r"#\d+L?", "", c) for c in cs.split(","))
                                  for cs, t in scans}))
