@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import nearest
 from .common import table
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
+from .topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_inverted_multi_index": lambda spark, d: nearest(table(spark, d, "embeddings")),
     "op6_simhash_dedup": lambda spark, d: simhash_groups(table(spark, d, "documents")),
+    "op7_topk_histogram": lambda spark, d: top_k(table(spark, d, "embeddings")),
     "op9_byte_sharding": lambda spark, d: shard_by_bytes(table(spark, d, "documents")),
 }
 
