@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import tempfile
 import uuid
 
@@ -43,3 +44,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def split_of(doc_id, modulus: int):
     """crc32 of the id's decimal text modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def per_process(key: str, make):
+    """``make()`` once in a Python worker: what it gives outlives the task, as Spark reuses workers.
+
+    Functions travel by value, so globals of their module are new in each task; the
+    store therefore hangs on ``sys``. A new key replaces the last one of its kind (the
+    part before the colon), so a worker holds one of each.
+    """
+    store = sys.__dict__.setdefault("_llm_per_process", {})
+    kind = key.partition(":")[0]
+    if kind not in store or store[kind][0] != key:
+        store[kind] = (key, make())
+    return store[kind][1]

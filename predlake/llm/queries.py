@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .ann import nearest
 from .common import table
+from .sentencepiece_bpe import digest_texts
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .topk import top_k
@@ -16,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_inverted_multi_index": lambda spark, d: nearest(table(spark, d, "embeddings")),
     "op6_simhash_dedup": lambda spark, d: simhash_groups(table(spark, d, "documents")),
     "op7_topk_histogram": lambda spark, d: top_k(table(spark, d, "embeddings")),
+    "op8_sentencepiece": lambda spark, d: digest_texts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")),
     "op9_byte_sharding": lambda spark, d: shard_by_bytes(table(spark, d, "documents")),
 }
 
