@@ -58,3 +58,17 @@ def per_process(key: str, make):
     if kind not in store or store[kind][0] != key:
         store[kind] = (key, make())
     return store[kind][1]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn, rows: int) -> DataFrame:
+    """(doc_id, text, y) of ``rows`` labelled documents at most: those of least id hash among the ids that ``learn`` allows.
+
+    Labels other than 0 and 1 and null ids are left out; of several labels of one id the
+    least counts. The chosen ids are broadcast: ``rows`` bounds them. Null texts count as
+    empty; a label without a document gives no row.
+    """
+    chosen = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
+              .where(learn(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y")))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+            .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"))
