@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bounded_sample, materialise
 from .vectors import SLOT_QUERIES, by_length, longs, meet, pack, query_slots, usable
 
 CENTROIDS = 64          # of a half
@@ -117,12 +117,7 @@ class Index:
 
 def fit(vectors: DataFrame, neighbours: int) -> Index | None:
     """An index fitted on the rows of least id hash, FIT_ROWS at most, of the commonest vector length."""
-    rows = vectors.count()
-    if not rows:
-        return None
-    part = min(1.0, 2 * FIT_ROWS / rows)
-    order = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
-    sample = vectors.where(order <= int(part * (1 << 40))).orderBy(order, "vec_id").limit(FIT_ROWS).toPandas()
+    sample = bounded_sample(vectors, ["vec_id"], FIT_ROWS).toPandas()
     if sample.empty:
         return None
     found = [m for _, _, m in by_length(sample.vec_id.to_numpy(np.int64), list(sample.vec))]

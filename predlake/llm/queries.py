@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .ann import nearest
 from .common import table
 from .quality import quality_scores
+from .secrets import find_secrets
 from .sentencepiece_bpe import digest_texts
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
@@ -17,9 +18,11 @@ from .topk import top_k
 from .toxicity import toxicity_scores
 
 SCORES = ["doc_id", "held_out", "score", "predicted"]
+SECRETS = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "scores"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_quality": lambda spark, d: quality_scores(table(spark, d, "documents"), table(spark, d, "labels")).select(*SCORES),
+    "op3_cnn_secrets": lambda spark, d: find_secrets(table(spark, d, "documents")).select(*SECRETS),
     "op4_levenshtein_toxicity": lambda spark, d: toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels")).select(*SCORES),
     "op5_inverted_multi_index": lambda spark, d: nearest(table(spark, d, "embeddings")),
     "op6_simhash_dedup": lambda spark, d: simhash_groups(table(spark, d, "documents")),
