@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import nearest
 from .common import table
+from .packing import pack_documents
 from .quality import quality_scores
 from .secrets import find_secrets
 from .sentencepiece_bpe import digest_texts
@@ -16,12 +17,14 @@ from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .topk import top_k
 from .toxicity import toxicity_scores
+from .wrappers import extract_text
 
 SCORES = ["doc_id", "held_out", "score", "predicted"]
 SECRETS = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "scores"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_quality": lambda spark, d: quality_scores(table(spark, d, "documents"), table(spark, d, "labels")).select(*SCORES),
+    "op2_wrapper_extraction": lambda spark, d: extract_text(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars"),
     "op3_cnn_secrets": lambda spark, d: find_secrets(table(spark, d, "documents")).select(*SECRETS),
     "op4_levenshtein_toxicity": lambda spark, d: toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels")).select(*SCORES),
     "op5_inverted_multi_index": lambda spark, d: nearest(table(spark, d, "embeddings")),
@@ -29,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_topk_histogram": lambda spark, d: top_k(table(spark, d, "embeddings")),
     "op8_sentencepiece": lambda spark, d: digest_texts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")),
     "op9_byte_sharding": lambda spark, d: shard_by_bytes(table(spark, d, "documents")),
+    "op10_best_fit_packing": lambda spark, d: pack_documents(table(spark, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {}

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 from .components import connected_components
 
+RADIUS = 2
 SHARD_ROWS = 256
 HASH_SEED = 42
 CHUNK = 1 << 15  # hashes whose bits are counted at once
@@ -52,15 +53,13 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """One row per document: its id and ``fp``, the fingerprint as a signed long. Null texts count as empty."""
-    def run(batches):
-        for pdf in batches:
-            fps = np.array([fingerprint(t, words_per_shingle) for t in pdf.text], np.uint64)
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "fp": fps.view(np.int64)})
+def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
+    """The ``keep`` columns of every row with ``fp``, the fingerprint as a signed long. Null texts count as empty."""
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words_per_shingle) for t in texts], np.uint64).view(np.int64))
 
-    ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {ids}, fp bigint")
+    return docs.select(*keep, fp(F.col(text_col)).alias("fp"))
 
 
 class BKTree:
@@ -166,21 +165,42 @@ def links(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
     return tasks.repartition(*key).sortWithinPartitions(*key).mapInPandas(_search(radius), "a bigint, b bigint")
 
 
+def components_of(fps: DataFrame, id_col: str, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """A table of ids and ``fp`` -> (fp, component_id), one row a fingerprint: the least id among all that are reachable."""
+    least = fps.groupBy("fp").agg(F.min(id_col).alias("least_id"))
+    groups = connected_components(links(fps.select("fp").distinct(), radius, shard_rows))
+    rooted = least.join(groups, least.fp == groups.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    of_root = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return rooted.join(of_root, "root").select("fp", "component_id")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
-                   radius: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:
+                   radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
     component_id is the smallest id among all documents reachable over links;
     documents of equal fingerprint are linked, texts without words (null and
     empty ones) among them. Null ids are kept, take a group's smallest id, and
     null where the group has no id. Repeated rows stay repeated; other columns
-    are not read.
+    are not read. An empty table gives no rows.
     """
-    fps = materialise(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    groups = connected_components(links(fps.select("fp").distinct(), radius, shard_rows))
-    rooted = least.join(groups, least.fp == groups.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    of_root = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = rooted.join(of_root, "root").select("fp", "component_id")
-    return (fps.join(by_fp, "fp")
+    fps = materialise(fingerprints(docs.select(F.col(id_col).alias("doc_id"), text_col), ["doc_id"], text_col, words_per_shingle), "fingerprints")
+    return (fps.join(components_of(fps, "doc_id", radius, shard_rows), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group: the one of least id.
+
+    A document without an id stands behind all others, known by its text's hash. Rows
+    that repeat an id are one document, of which one row stays.
+    """
+    nameless = F.lit(1 << 62) + F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), nameless))
+    fps = materialise(fingerprints(keyed, ["_key"]), "fingerprints")
+    kept = fps.join(components_of(fps, "_key"), "fp").where("_key = component_id").select("_key").distinct()
+    again = materialise(fps.groupBy("_key").count().where("count > 1").select("_key"), "repeated")
+    chosen = keyed.join(kept, "_key", "left_semi")
+    once = chosen.join(again, "_key", "left_anti")
+    more = chosen.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(more).drop("_key")
