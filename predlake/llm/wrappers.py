@@ -15,6 +15,7 @@ pages share, are left out.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -44,7 +45,7 @@ TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 TEXT = "#"
 CORE = 0.7        # a group with this part of the remaining text holds the article, if no element says so
-SHARED_PAGES = 3  # a text that so many pages or more all share is no article text
+SHARED_PAGES = 8  # a text that so many pages or more all share is no article text
 SHARED_CHARS = 200
 SALTS = 32
 KEPT_HOSTS = 2000  # wrappers that a task holds at once
@@ -96,7 +97,9 @@ def _plain(text: str) -> str:
 
 
 def group() -> dict:
-    """A wrapper's group: pages with it, characters of its own texts, the one text they share ("" for several), its parts in order, flags."""
+    """A wrapper's group: pages with it, characters of its own texts, the one text they share ("" for several), its parts in order, flags.
+
+    The root also has "page", the digest of the one page it was made of ("" for several)."""
     return {"pages": 0, "chars": 0, "text": None, "parts": {}, "optional": False, "repeated": False}
 
 
@@ -120,6 +123,8 @@ def wrap(node: list) -> dict:
         last = key
     if own:
         g["chars"], g["text"] = sum(map(len, own)), " ".join(own)[:SHARED_CHARS + 1]
+    if node[0] == "":
+        g["page"] = hashlib.sha256(json.dumps(node[1]).encode()).hexdigest()
     return g
 
 
@@ -138,6 +143,8 @@ def align(a: dict, b: dict) -> dict:
     g["pages"], g["chars"] = a["pages"] + b["pages"], a["chars"] + b["chars"]
     g["optional"], g["repeated"] = a["optional"] or b["optional"], a["repeated"] or b["repeated"]
     g["text"] = b["text"] if a["text"] is None else a["text"] if b["text"] in (None, a["text"]) else ""
+    if "page" in a:
+        g["page"] = a["page"] if a["page"] == b["page"] else ""
     parts, last = dict(a["parts"]), None
     for key, inner in parts.items():
         if key not in b["parts"]:
@@ -183,9 +190,6 @@ def article_path(wrapper: dict) -> list[str]:
                 best = max(best, (total(p), [*path, k]))
             todo.append((p, [*path, k]))
     if best[0] >= 0:
-        inner = wrapper
-        for k in best[1]:
-            inner = inner["parts"][k]
         return best[1]
     g, path = wrapper, []
     while True:
@@ -201,8 +205,8 @@ def shared_texts(g: dict) -> bool:
     return g["pages"] >= SHARED_PAGES and bool(g["text"]) and len(g["text"]) <= SHARED_CHARS
 
 
-def blocks(nodes: list[list], wrapper: dict) -> list[str]:
-    """The blocks of text of groups that the wrapper describes, in page order."""
+def blocks(nodes: list[list], wrapper: dict, varies: bool) -> list[str]:
+    """The blocks of text of groups that the wrapper describes, in page order. If the host's pages vary, texts that all share go, but headings."""
     out: list[str] = []
     run: list[str] = []
 
@@ -212,8 +216,8 @@ def blocks(nodes: list[list], wrapper: dict) -> list[str]:
         if text:
             out.append(text)
 
-    def walk(node: list, g: dict | None, varies: bool) -> None:
-        skip = varies and g is not None and shared_texts(g)
+    def walk(node: list, g: dict | None) -> None:
+        skip = varies and g is not None and shared_texts(g) and not re.match("h[1-6]$", _name(node))
         for part in node[1]:
             if isinstance(part, str):
                 if not skip:
@@ -229,20 +233,16 @@ def blocks(nodes: list[list], wrapper: dict) -> list[str]:
                 continue
             if name not in INLINE:
                 close()
-            walk(part, g["parts"].get(part[0]) if g else None, varies)
+            walk(part, g["parts"].get(part[0]) if g else None)
             if name not in INLINE:
                 close()
 
     for node in nodes:
-        walk(node, wrapper, _slots(wrapper) > 0)
+        walk(node, wrapper)
         close()
     return out
 
 
-def _slots(g: dict) -> int:
-    return (g["text"] == "") + sum(_slots(p) for k, p in g["parts"].items() if not dropped(k))
-
-
 def found(root: list, path: list[str]) -> list[list]:
     """The page's groups at the end of a path, in page order."""
     nodes = [root]
@@ -263,7 +263,7 @@ def main_text(source: str, wrapper: dict | None) -> str:
     inner = wrapper
     for k in path:
         inner = inner["parts"][k]
-    return "\n\n".join(blocks(nodes, inner))
+    return "\n\n".join(blocks(nodes, inner, wrapper["page"] == ""))
 
 
 def host_of(url):
