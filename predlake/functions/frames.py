@@ -12,6 +12,8 @@ quarantine reason.
 
 All builders return SQL text (wrap with ``F.expr``). Every
 branch sits inside ``CASE`` so only the branch a payload needs is evaluated.
+A body is parsed once (:func:`parse_body`); only dict rows and dicts of columns
+are read a second time, for their key order.
 """
 
 from __future__ import annotations
@@ -140,7 +142,8 @@ def tensors_frame(tensors: str, matrix_objects: str) -> str:
             a, b, i, c = _v(), _v(), _v(), _v()
             n = f"size(element_at({u}, 1).data)"
             rows = f"transform({positions(n)}, {i} -> transform({u}, {c} -> get({c}.data, {i})))"
-            return (f"CASE WHEN exists({u}, {a} -> {a}.data IS NULL) THEN {error('bad_tensor_data')} "
+            return (f"CASE WHEN exists({u}, {a} -> {a}.name IS NULL) THEN {error('bad_tensors')} "
+                    f"WHEN exists({u}, {a} -> {a}.data IS NULL) THEN {error('bad_tensor_data')} "
                     f"WHEN NOT forall({u}, {b} -> size({b}.data) = {n}) "
                     f"THEN {error('unequal_tensor_lengths')} "
                     f"ELSE {frame(f'transform({u}, {u0} -> {u0}.name)', rows)} END")
@@ -153,96 +156,97 @@ def tensors_frame(tensors: str, matrix_objects: str) -> str:
     return f"CASE WHEN {tensors} IS NULL THEN {error('bad_tensors')} ELSE {inner} END"
 
 
-def _has(v: str, key: str) -> str:
-    """Key present, even with a JSON null value (``"k" in dict``)."""
-    return f"try_variant_get({v}, '$.{key}', 'variant') IS NOT NULL"
+# --- one strict parse per body ----------------------------------------------------
+#
+# The text is read as the first field of an object whose last field is a mark: a
+# text that is not exactly one JSON object (truncated, followed by more text, a
+# list, NaN) never lets the parser reach the mark.
+
+PAYLOAD_KEYS = (V1_REQUEST_KEY, V2_REQUEST_KEY, V1_RESPONSE_KEY, V2_RESPONSE_KEY)
+_MARK = "end of body"
+_STRICT = "map('allowNonNumericNumbers', 'false', 'allowSingleQuotes', 'false')"
 
 
-def _is_json_null(v: str, key: str) -> str:
-    return f"is_variant_null(try_variant_get({v}, '$.{key}', 'variant'))"
+def parse_body(text: str, payload: str = "") -> str:
+    """The fields of one JSON object as a struct, NULL unless ``text`` is exactly that.
 
+    A payload key is NULL where absent and a VARIANT null where null.
+    """
+    payload = payload or ", ".join(f"{k}: variant" for k in PAYLOAD_KEYS)
+    fields = f"id: variant, model_name: string, model_version: string, occurred_at: string, {payload}"
+    whole = f"from_json(concat('{{\"body\":', {text}, ',\"{_MARK}\":1}}'), 'struct<body: struct<{fields}>, `{_MARK}`: int>', {_STRICT})"
+    return let(whole, lambda w: f"IF({w}.`{_MARK}` = 1, {w}.body, NULL)")
 
-def _kserve_frame(v: str, text: str, v1_key: str, v2_key: str, missing: str,
-                  v1_scalars: bool = True) -> str:
-    objects_v1 = f"from_json({text}, 'struct<{v1_key}: array<map<string,variant>>>').{v1_key}"
-    objects_v2 = (f"element_at(from_json({text}, "
-                  f"'struct<{v2_key}: array<struct<data: array<map<string,variant>>>>>').{v2_key}, 1).data")
-    v1 = rows_frame(f"try_variant_get({v}, '$.{v1_key}', 'array<variant>')", objects_v1,
-                    allow_scalars=v1_scalars)
-    v2 = tensors_frame(f"try_variant_get({v}, '$.{v2_key}', '{TENSOR_DDL}')", objects_v2)
-    return (f"CASE WHEN {v} IS NULL THEN {error('malformed_body')} "
-            f"WHEN {_has(v, v1_key)} THEN IF({_is_json_null(v, v1_key)}, {EMPTY}, {v1}) "
-            f"WHEN {_has(v, v2_key)} THEN {v2} "
-            f"ELSE {error(missing)} END")
 
+def unread(text: str, key: str, missing: str) -> str:
+    """Why a payload is NULL: its key is absent, or present with a value that is no strict JSON."""
+    return f"IF(array_contains(json_object_keys({text}), '{key}'), 'malformed_body', '{missing}')"
 
-def request_frame_sql(v: str, text: str) -> str:
-    """``instances`` beats ``inputs``; neither -> error."""
-    return _kserve_frame(v, text, V1_REQUEST_KEY, V2_REQUEST_KEY, "no_instances_or_inputs")
 
+def columns_frame(columns: str) -> str:
+    """P6, a dict of columns (``map<string, array<variant>>``): one row per position, unequal lengths refused."""
+    def body(m):
+        a, b, c, i = _v(), _v(), _v(), _v()
+        vals = f"map_values({m})"
+        n = f"coalesce(size(element_at({vals}, 1)), 0)"
+        rows = f"transform({positions(n)}, {i} -> transform({vals}, {c} -> get({c}, {i})))"
+        return (f"CASE WHEN {m} IS NULL OR exists({vals}, {a} -> {a} IS NULL) THEN {error('rows_not_a_list')} "
+                f"WHEN size({m}) = 0 THEN {EMPTY} "
+                f"WHEN NOT forall({vals}, {b} -> size({b}) = {n}) THEN {error('unequal_column_lengths')} "
+                f"ELSE {frame(f'map_keys({m})', rows)} END")
+    return let(columns, body)
 
-def response_frame_sql(v: str, text: str) -> str:
-    """``predictions`` beats ``outputs``; neither -> error."""
-    return _kserve_frame(v, text, V1_RESPONSE_KEY, V2_RESPONSE_KEY, "no_predictions_or_outputs")
 
+def _records(v: str, text: str, key: str, allow_scalars: bool) -> str:
+    """P6 on a payload: a list of rows, or a dict of columns. Dict keys are re-read from the text, which keeps their order."""
+    columns = columns_frame(f"from_json({text}, 'struct<{key}: map<string,array<variant>>>').{key}")
 
-def records_frame_sql(v: str, text: str, key: str) -> str:
-    """P1 / P6 for JSON events: ``from_records`` of a list of dicts or lists."""
-    objects = f"from_json({text}, 'struct<{key}: array<map<string,variant>>>').{key}"
-    arr = f"try_variant_get({v}, '$.{key}', 'array<variant>')"
-    return (f"CASE WHEN NOT {_has(v, key)} OR {_is_json_null(v, key)} THEN {error('missing_' + key)} "
-            f"ELSE {rows_frame(arr, objects, allow_scalars=False)} END")
+    def body(arr):
+        rows = rows_frame(arr, f"from_json({text}, 'struct<{key}: array<map<string,variant>>>').{key}", allow_scalars=allow_scalars)
+        return f"IF({arr} IS NULL AND try_variant_get({v}, '$', 'map<string,variant>') IS NOT NULL, {columns}, {rows})"
+    return let(f"try_variant_get({v}, '$', 'array<variant>')", body)
 
 
-# --- fast paths ------------------------------------------------------------------
-#
-# One typed ``from_json`` reads the common payload shapes directly. A fast
-# path is taken only where its result is certainly the generic one; anything
-# else (absent or null keys, dict or mixed rows, precedence doubts) falls
-# through to the generic VARIANT path, whose parse is then done lazily.
+def _tensors(v: str, text: str, key: str) -> str:
+    objects = f"element_at(from_json({text}, 'struct<{key}: array<struct<data: array<map<string,variant>>>>>').{key}, 1).data"
+    return tensors_frame(f"try_variant_get({v}, '$', '{TENSOR_DDL}')", objects)
+
+
+def _kserve_frame(body: str, text: str, v1_key: str, v2_key: str, missing: str) -> str:
+    v1, v2 = f"{body}.{v1_key}", f"{body}.{v2_key}"
+    return (f"CASE WHEN {body} IS NULL THEN {error('malformed_body')} "
+            f"WHEN {v1} IS NOT NULL THEN IF(is_variant_null({v1}), {EMPTY}, {_records(v1, text, v1_key, True)}) "
+            f"WHEN {v2} IS NOT NULL THEN {_tensors(v2, text, v2_key)} "
+            f"ELSE {frame(_NULL_COLS, _NULL_ROWS, f'IF(array_contains(json_object_keys({text}), {_q(v1_key)}), {_q(_BAD)}, {unread(text, v2_key, missing)})')} END")
+
+
+_BAD = "malformed_body"
+
+
+def _q(s: str) -> str:
+    return f"'{s}'"
+
+
+def request_frame_sql(body: str, text: str) -> str:
+    """P2 / P4 / P5 / P7 on a parsed body: ``instances`` beats ``inputs``; neither -> error."""
+    return _kserve_frame(body, text, V1_REQUEST_KEY, V2_REQUEST_KEY, "no_instances_or_inputs")
+
+
+def response_frame_sql(body: str, text: str) -> str:
+    """P3 / P4 / P5 / P7 on a parsed body: ``predictions`` beats ``outputs``; neither -> error."""
+    return _kserve_frame(body, text, V1_RESPONSE_KEY, V2_RESPONSE_KEY, "no_predictions_or_outputs")
+
 
-def _parsed(text: str, fields: str) -> str:
-    return f"from_json({text}, 'struct<{fields}>')"
+RECORDS_DDL = "array<map<string,variant>>"
 
 
-def _lists_ok(arr: str) -> str:
+def records_frame_sql(records: str, text: str, key: str) -> str:
+    """P1 / P6 for JSON events. ``records`` holds the payload where it is a list of dicts, the usual event, in key
+    order; all else (lists, a dict of columns, null, absent) is read from the text."""
     x = _v()
-    return f"({arr} IS NOT NULL AND forall({arr}, {x} -> {x} IS NOT NULL))"
-
-
-def request_frame_fast_sql(text: str) -> str:
-    """P2 / P4 / P5 / P7 with fast paths for list-of-lists and named tensors."""
-    def body(p):
-        inst, inp = f"{p}.{V1_REQUEST_KEY}", f"{p}.{V2_REQUEST_KEY}"
-        objects_v2 = (f"element_at(from_json({text}, "
-                      f"'struct<{V2_REQUEST_KEY}: array<struct<data: array<map<string,variant>>>>>')"
-                      f".{V2_REQUEST_KEY}, 1).data")
-        no_v1_key = f"NOT contains({text}, '\"{V1_REQUEST_KEY}\"')"
-        return (f"CASE WHEN {_lists_ok(inst)} THEN {list_rows(inst)} "
-                f"WHEN {inp} IS NOT NULL AND {no_v1_key} THEN {tensors_frame(inp, objects_v2)} "
-                f"ELSE {request_frame_sql(f'try_parse_json({text})', text)} END")
-    return let(_parsed(text, f"{V1_REQUEST_KEY}: array<array<variant>>, {V2_REQUEST_KEY}: {TENSOR_DDL}"), body)
-
-
-def response_frame_fast_sql(text: str) -> str:
-    """P3 / P4 / P5 / P7 with fast paths for a predictions list and named tensors."""
-    def body(p):
-        pred, outp = f"{p}.{V1_RESPONSE_KEY}", f"{p}.{V2_RESPONSE_KEY}"
-        objects_v1 = f"from_json({text}, 'struct<{V1_RESPONSE_KEY}: array<map<string,variant>>>').{V1_RESPONSE_KEY}"
-        objects_v2 = (f"element_at(from_json({text}, "
-                      f"'struct<{V2_RESPONSE_KEY}: array<struct<data: array<map<string,variant>>>>>')"
-                      f".{V2_RESPONSE_KEY}, 1).data")
-        no_v1_key = f"NOT contains({text}, '\"{V1_RESPONSE_KEY}\"')"
-        return (f"CASE WHEN {pred} IS NOT NULL THEN {rows_frame(pred, objects_v1)} "
-                f"WHEN {outp} IS NOT NULL AND {no_v1_key} THEN {tensors_frame(outp, objects_v2)} "
-                f"ELSE {response_frame_sql(f'try_parse_json({text})', text)} END")
-    return let(_parsed(text, f"{V1_RESPONSE_KEY}: array<variant>, {V2_RESPONSE_KEY}: {TENSOR_DDL}"), body)
-
-
-def records_frame_fast_sql(text: str, key: str) -> str:
-    """P1 / P6 with a fast path for a list of dicts (the usual JSON event)."""
-    def body(p):
-        recs = f"{p}.{key}"
-        return (f"CASE WHEN {_lists_ok(recs)} THEN {object_rows(recs)} "
-                f"ELSE {records_frame_sql(f'try_parse_json({text})', text, key)} END")
-    return let(_parsed(text, f"{key}: array<map<string,variant>>"), body)
+    other = let(parse_body(text, f"{key}: variant"), lambda b: (
+        f"CASE WHEN {b}.{key} IS NULL THEN {frame(_NULL_COLS, _NULL_ROWS, unread(text, key, 'missing_' + key))} "
+        f"WHEN is_variant_null({b}.{key}) THEN {error('missing_' + key)} "
+        f"ELSE {_records(b + '.' + key, text, key, False)} END"))
+    return (f"CASE WHEN {records} IS NOT NULL AND forall({records}, {x} -> {x} IS NOT NULL) THEN {object_rows(records)} "
+            f"ELSE {other} END")

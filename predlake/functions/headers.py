@@ -9,7 +9,7 @@ def header(name: str, headers: str = "headers") -> Column:
     """UTF-8 value of header ``name``; the last one wins when repeated.
 
     A plain filter keeps repeated keys legal (``map_from_entries`` would raise
-    on them) and stays inside whole-stage codegen.
+    on them). Higher-order functions run interpreted, but in the JVM.
     """
     expr = (f"try_element_at(transform(filter({headers}, h -> h.key = '{name}'), "
             f"h -> cast(h.value as string)), -1)")

@@ -6,14 +6,14 @@ from pyspark.sql import Column, functions as F
 
 
 def parse_iso(col: Column | str) -> Column:
-    """ISO-8601 text -> TIMESTAMP (NULL when unparseable).
+    """ISO-8601 text -> TIMESTAMP (NULL when unparseable, or without a date).
 
     Extended forms (``2024-01-01T00:00:07.5Z``, offsets, date only) go through
     the standard cast; the basic form ``20220301T101112Z`` gets its own pattern.
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(
-        c.try_cast("timestamp"),
+        F.when(c.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"), c.try_cast("timestamp")),
         F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmssX")),
         F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmss.SSSSSSX")),
     )

@@ -1,5 +1,8 @@
 """Pair each KServe request with its response (batch).
 
+Only usable events are paired: a refused message (bad body, bad or missing
+time) leaves the pending state as it was and goes to the quarantine.
+
 Semantics (per CloudEvent id and tumbling window of the message timestamp,
 events ordered by ``(timestamp, partition, offset)``): a request sets the
 pending request, a response sets the pending response (a repeat overwrites,
@@ -31,13 +34,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from predlake.functions.barrier import barrier, where
-from predlake.functions.frames import request_frame_fast_sql, response_frame_fast_sql
-from predlake.functions.times import parse_iso
 from predlake.model import DEFAULT_WINDOW
 from predlake.operators.envelope import classify
 
-_EVENT = ["event_id", "kind", "resp_id", "event_time", "value", "topic", "partition",
-          "offset", "timestamp"]
+_EVENT = ["event_id", "kind", "resp_id", "model_name", "model_version", "occurred_at", "frame",
+          "topic", "partition", "offset", "timestamp"]
 
 
 def _window_start(window: str):
@@ -51,14 +52,13 @@ def _keyed_events(events: DataFrame, window: str) -> DataFrame:
     """Events with the grouping key and kind ``t`` (R, S, N = response with a null id).
 
     Refused envelopes (a ``_reason``) become kind ``X`` with a key of their
-    own (their message position), so they ride the same shuffle as singleton
-    groups and the input is read once for both pairs and quarantine.
+    own (their row number), so they ride the same shuffle as singleton groups,
+    whatever their position says, and the input is read once for both pairs
+    and quarantine. Only they carry their text; usable events carry frames.
     """
-    ok = F.col("_reason").isNull() if "_reason" in events.columns else F.lit(True)
-    own_key = F.concat(F.lit("\u0000"), F.col("topic"), F.lit("/"), F.col("partition").cast("string"),
-                       F.lit("/"), F.col("offset").cast("string"))
-    cols = _EVENT + (["_reason"] if "_reason" in events.columns else [])
-    return (events.select(*cols)
+    ok = F.col("_reason").isNull()
+    own_key = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
+    return (events.select(*_EVENT, "_reason", F.when(~ok, F.col("value")).alias("value"))
             .withColumn("_key", F.when(ok, F.col("event_id")).otherwise(own_key))
             .withColumn("window_start", _window_start(window))
             .withColumn("t", F.when(~ok, F.lit("X"))
@@ -102,7 +102,7 @@ def _pair(ev: DataFrame) -> DataFrame:
             .withColumn("rn", F.row_number().over(part)))
     seg_first = F.col("_prev").isNull() | (F.col("_prev.seg") != F.col("seg"))
     run_start = seg_first | (F.col("_prev.t") != F.col("t"))
-    runs = rs.withColumn("seg_first", seg_first).where(run_start)
+    runs = rs.withColumn("seg_first", seg_first).where(run_start | (F.col("t") == "X"))
 
     # Run lengths, heads and the parity rule, on run starts only.
     nxt_rn, nxt_seg = F.lead("rn").over(part), F.lead("seg").over(part)
@@ -117,47 +117,29 @@ def _pair(ev: DataFrame) -> DataFrame:
         (F.col("_emit") & ~F.col("seg_first")) | (F.col("t") == "X"))
     req = F.when(F.col("t") == "R", F.col("_ev")).when(F.col("t") != "X", F.col("_prev.ev"))
     resp = F.when(F.col("t") == "S", F.col("_ev")).when(F.col("t") != "X", F.col("_prev.ev"))
-    reason = F.col("_reason") if "_reason" in ev.columns else F.lit(None).cast("string")
     rej = F.when(F.col("t") == "X", F.struct(
-        reason.alias("reason"), "topic", "partition", "offset", "timestamp", "event_id", "value"))
+        F.col("_reason").alias("reason"), "topic", "partition", "offset", "timestamp", "event_id", "value"))
     return closers.select("event_id", "window_start", req.alias("req"), resp.alias("resp"),
                           rej.alias("_rej"))
 
 
 def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
-    """P2-P8 after pairing: parse both bodies into frames; only the response
-    sets ``id``, ``model_name``, ``model_version`` and ``occurred_at``."""
-    if "_rej" not in pairs.columns:
-        pairs = pairs.withColumn("_rej", F.lit(None).cast(
-            "struct<reason: string, topic: string, partition: int, offset: bigint, "
-            "timestamp: timestamp, event_id: string, value: string>"))
-    df = (pairs
-          .withColumn("_sh", F.expr("from_json(resp.value, 'struct<model_name: string, model_version: string>')"))
-          .withColumn("inputs", F.expr(request_frame_fast_sql("req.value")))
-          .withColumn("outputs", F.expr(response_frame_fast_sql("resp.value"))))
-    occurred = F.coalesce(parse_iso(F.col("resp.event_time")), F.col("resp.timestamp"),
-                          F.col("_rej.timestamp"))
-    reason = (F.when(F.col("_rej").isNotNull(), F.col("_rej.reason"))
-              .when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
-              .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
-              .when(F.col("resp.event_time").isNotNull() & parse_iso(F.col("resp.event_time")).isNull(),
-                    F.lit("bad_event_time")))
-    bad_req = F.col("inputs.err").isNotNull()
+    """P8 after pairing: only the response sets ``id``, ``model_name``,
+    ``model_version`` and ``occurred_at``. Bodies were parsed before the
+    pairing; later refusals are located by the response's position."""
     rejected = F.col("_rej").isNotNull()
     src = F.struct(
-        *[F.when(rejected, F.col(f"_rej.{c}")).when(bad_req, F.col(f"req.{c}"))
-          .otherwise(F.col(f"resp.{c}")).alias(c)
+        *[F.when(rejected, F.col(f"_rej.{c}")).otherwise(F.col(f"resp.{c}")).alias(c)
           for c in ("topic", "partition", "offset", "timestamp")],
         F.when(rejected, F.col("_rej.event_id")).otherwise(F.col("event_id")).alias("event_id"),
-        F.when(rejected, F.col("_rej.value")).when(bad_req, F.col("req.value"))
-        .otherwise(F.col("resp.value")).alias("value"))
-    return barrier(df.select(
+        F.col("_rej.value").alias("value"))
+    return barrier(pairs.select(
         F.col("resp.resp_id").alias("id"),
-        F.col("_sh.model_name").alias("model_name"),
-        F.col("_sh.model_version").alias("model_version"),
-        occurred.alias("occurred_at"),
-        "inputs", "outputs",
-        reason.alias("_reason"), src.alias("_src")))
+        F.col("resp.model_name").alias("model_name"),
+        F.col("resp.model_version").alias("model_version"),
+        F.coalesce("resp.occurred_at", "_rej.timestamp").alias("occurred_at"),
+        F.col("req.frame").alias("inputs"), F.col("resp.frame").alias("outputs"),
+        F.col("_rej.reason").alias("_reason"), src.alias("_src")))
 
 
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from predlake.functions.barrier import barrier
+from predlake.functions.frames import parse_body, request_frame_sql, response_frame_sql
 from predlake.functions.headers import header
+from predlake.functions.times import parse_iso
 from predlake.model import HEADER_ID, HEADER_TIME, HEADER_TYPE, REQUEST_TYPE, RESPONSE_TYPE
 
 
@@ -31,28 +33,32 @@ def _kind() -> Column:
 
 
 def classify(envelopes: DataFrame) -> DataFrame:
-    """F1-F4 (+ malformed JSON) as one ``_reason`` column; adds ``kind`` R/S.
+    """F1-F4, P2-P8 per message: a message either leaves as a usable event or with a ``_reason``.
 
-    Only top-level keys of the body are read here (``json_object_keys`` skips
-    nested values), so payloads are parsed in full only after pairing.
-    Responses also get ``resp_id`` (F4 and F7 need it before the pairing).
+    Every refusal is decided here, before the pairing, so a bad message never
+    takes the place of a good one. The body is parsed once into ``body``; adds
+    ``kind`` R/S, ``resp_id``, ``model_name``, ``model_version``, ``occurred_at``
+    (responses) and ``frame``.
     """
     df = decode(envelopes).withColumn("kind", _kind())
-    keys = F.expr("json_object_keys(value)")
-    df = df.withColumn("_keys", F.when(F.col("kind").isNotNull() & F.col("value").isNotNull(), keys))
+    readable = F.col("kind").isNotNull() & F.col("value").isNotNull()
+    df = df.withColumn("body", F.when(readable, F.expr(parse_body("value"))))
+    is_resp = F.col("kind") == "S"
+    df = (df.withColumn("frame", F.when(F.col("kind") == "R", F.expr(request_frame_sql("body", "value")))
+                        .when(is_resp, F.expr(response_frame_sql("body", "value"))))
+          .withColumn("occurred_at", F.when(is_resp, parse_iso("event_time"))))
     reason = (
         F.when(F.coalesce(F.col("event_id"), F.lit("")) == "", F.lit("missing_event_id"))   # F1
         .when(F.col("value").isNull(), F.lit("null_body"))                                   # F2
         .when(F.col("event_type").isNull(), F.lit("missing_event_type"))                     # B2
         .when(F.col("kind").isNull(), F.lit("unknown_event_type"))                           # F3
-        .when(F.col("_keys").isNull(), F.lit("malformed_body"))
-        .when((F.col("kind") == "S") & ~F.array_contains("_keys", "id"),
-              F.lit("response_without_id"))                                                  # F4
-        .when((F.col("kind") == "R") & ~F.arrays_overlap("_keys", F.array(F.lit("instances"), F.lit("inputs"))),
-              F.lit("no_instances_or_inputs"))                                               # P7
-        .when((F.col("kind") == "S") & ~F.arrays_overlap("_keys", F.array(F.lit("predictions"), F.lit("outputs"))),
-              F.lit("no_predictions_or_outputs"))                                            # P7
-    )
+        .when(F.col("body").isNull(), F.lit("malformed_body"))
+        .when(is_resp & F.col("body.id").isNull(), F.lit("response_without_id"))             # F4
+        .when(F.col("frame.err").isNotNull(), F.col("frame.err"))                            # P2-P7
+        .when(is_resp & F.col("event_time").isNull(), F.lit("missing_event_time"))           # P8, B2
+        .when(is_resp & F.col("occurred_at").isNull(), F.lit("bad_event_time")))             # P8
     return barrier(df.withColumn("_reason", reason)
-                   .withColumn("resp_id", F.when(F.col("kind") == "S", F.get_json_object("value", "$.id")))
-                   .drop("_keys"))
+                   .withColumn("resp_id", F.when(is_resp, F.expr("try_variant_get(body.id, '$', 'string')")))
+                   .withColumn("model_name", F.col("body.model_name"))
+                   .withColumn("model_version", F.col("body.model_version"))
+                   .drop("body"))

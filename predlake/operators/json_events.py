@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from predlake.functions.barrier import barrier
-from predlake.functions.frames import records_frame_fast_sql
+from predlake.functions.frames import RECORDS_DDL, parse_body, records_frame_sql
 from predlake.functions.times import parse_iso
 
 
@@ -14,22 +14,25 @@ def parse_json_events(events: DataFrame, value: str = "value",
     """One JSON object per message -> inference columns.
 
     ``{id, model_name, model_version, inputs, outputs, occurred_at}``, all
-    optional. ``inputs`` / ``outputs`` are lists of dicts or of lists.
+    optional. ``inputs`` / ``outputs`` are lists of dicts or of lists, or a
+    dict of columns. A body must be exactly one JSON object: truncated text,
+    lists, NaN and text after the object are ``malformed_body``.
     ``occurred_at`` falls back to the envelope timestamp (deterministic, UTC)
     rather than the wall clock. Missing parts are reasons, not exceptions.
     """
     text = f"cast({value} as string)"
-    head = ("struct<id: string, model_name: string, model_version: string, occurred_at: string>")
-    df = events.withColumn("_h", F.expr(f"from_json({text}, '{head}')"))
+    payload = f"inputs: {RECORDS_DDL}, outputs: {RECORDS_DDL}"
+    df = events.withColumn("_h", F.expr(parse_body(text, payload)))
     df = (df
-          .withColumn("id", F.col("_h.id"))
+          .withColumn("id", F.expr("try_variant_get(_h.id, '$', 'string')"))
           .withColumn("model_name", F.col("_h.model_name"))
           .withColumn("model_version", F.col("_h.model_version"))
           .withColumn("_t_txt", F.col("_h.occurred_at"))
           .withColumn("occurred_at", F.coalesce(parse_iso("_t_txt"), F.col(fallback_time)))
-          .withColumn("inputs", F.expr(records_frame_fast_sql(text, "inputs")))
-          .withColumn("outputs", F.expr(records_frame_fast_sql(text, "outputs"))))
-    reason = (F.when(F.col("_h").isNull(), F.lit("malformed_body"))
+          .withColumn("inputs", F.expr(records_frame_sql("_h.inputs", text, "inputs")))
+          .withColumn("outputs", F.expr(records_frame_sql("_h.outputs", text, "outputs"))))
+    reason = (F.when(F.col(value).isNull(), F.lit("null_body"))
+              .when(F.col("_h").isNull(), F.lit("malformed_body"))
               .when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
               .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
               .when(F.col("_t_txt").isNotNull() & parse_iso("_t_txt").isNull(), F.lit("bad_occurred_at"))

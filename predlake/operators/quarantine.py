@@ -39,12 +39,3 @@ def good(df: DataFrame) -> DataFrame:
     """Rows without a reason, internal columns dropped."""
     out = where(df, F.col(REASON).isNull()).drop(REASON)
     return out.drop(*[c for c in (SOURCE, BARRIER) if c in out.columns])
-
-
-def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine). Persist ``df`` first when both sides are consumed."""
-    return good(df), to_quarantine(df)
-
-
-def count_by_reason(quarantine: DataFrame) -> DataFrame:
-    return quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -44,8 +44,12 @@ def name_columns(inferences: DataFrame,
     reserved = "array(" + ", ".join(_sql_str(r) for r in RESERVED_COLUMNS) + ")"
     bad = (F.when(F.col("inputs.err").isNotNull(), F.col("inputs.err"))
            .when(F.col("outputs.err").isNotNull(), F.col("outputs.err"))
-           .when(F.expr(f"arrays_overlap(concat(inputs.cols, outputs.cols), {reserved})"),
-                 F.lit("reserved_column_name")))
+           .when(F.expr(f"arrays_overlap(transform(concat(inputs.cols, outputs.cols), c -> lower(c)), {reserved})"),
+                 F.lit("reserved_column_name"))
+           # A table's columns can't differ by case only
+           .when(F.expr("size(array_distinct(concat(inputs.cols, outputs.cols))) <> "
+                        "size(array_distinct(transform(concat(inputs.cols, outputs.cols), c -> lower(c))))"),
+                 F.lit("names_differ_by_case")))
     if "_reason" in df.columns:
         return df.withColumn("_reason", F.coalesce(F.col("_reason"), bad))
     return df.withColumn("_reason", bad)

@@ -17,16 +17,17 @@ N_TOPIC_PARTITIONS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table; wall-clock (NTZ) timestamps read as UTC instants.
-
-    Small single-file tables are spread over the cores (see ``balance``).
-    """
-    from predlake.sources.envelopes import balance
+    """A base table; wall-clock (NTZ) timestamps read as UTC instants."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     ntz = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     for c in ntz:
         df = df.withColumn(c, F.col(c).cast("timestamp"))
-    return balance(df)
+    return df
+
+
+def two_envelopes(df: DataFrame, request: list[Column], response: list[Column]) -> DataFrame:
+    """A request and a response envelope per row of ``df``, from one scan."""
+    return (df.select(F.explode(F.array(F.struct(*request), F.struct(*response))).alias("m")).select("m.*"))
 
 
 def _headers(event_id: Column, event_type: Column | None = None,
@@ -86,7 +87,8 @@ def kserve_pairs(spark: SparkSession, sf_dir: str, topic: str = "kserve") -> Dat
     """``events`` -> a V1 request at ``ts`` and its response at ``ts + delay``.
 
     Request ``{"instances": [[user_id, k]]}``; response ``{"id", "model_name",
-    "model_version", "predictions": [value]}`` with ``ce_time`` = response time.
+    "model_version", "predictions": [value]}`` with ``ce_time`` = response time;
+    the version is v2 where ``k`` is divisible by 3, else v1.
     """
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value",
@@ -97,14 +99,12 @@ def kserve_pairs(spark: SparkSession, sf_dir: str, topic: str = "kserve") -> Dat
     resp_body = F.to_json(F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.col("event_type").alias("model_name"),
-        F.lit("v1").alias("model_version"),
+        F.when(F.col("k") % 3 == 0, "v2").otherwise("v1").alias("model_version"),
         F.array(F.col("value")).alias("predictions")))
-    req = ev.select(*envelope(req_body, ce_id, _headers(ce_id, F.lit(REQUEST_TYPE)),
-                              F.col("ts"), F.col("event_id") * 2, topic))
-    resp = ev.select(*envelope(resp_body, ce_id,
-                               _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)),
-                               resp_ts, F.col("event_id") * 2 + 1, topic))
-    return req.unionByName(resp)
+    return two_envelopes(
+        ev, envelope(req_body, ce_id, _headers(ce_id, F.lit(REQUEST_TYPE)), F.col("ts"), F.col("event_id") * 2, topic),
+        envelope(resp_body, ce_id, _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)), resp_ts,
+                 F.col("event_id") * 2 + 1, topic))
 
 
 def kserve_envelopes(df: DataFrame, ce_id: Column, ts: Column, req_body: Column,
@@ -112,12 +112,9 @@ def kserve_envelopes(df: DataFrame, ce_id: Column, ts: Column, req_body: Column,
                      resp_ts: Column | None = None) -> DataFrame:
     """A request and a response envelope per row of ``df`` (same ``ce_id``)."""
     resp_ts = ts if resp_ts is None else resp_ts
-    req = df.select(*envelope(req_body, ce_id, _headers(ce_id, F.lit(REQUEST_TYPE)),
-                              ts, offset * 2, topic))
-    resp = df.select(*envelope(resp_body, ce_id,
-                               _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)),
-                               resp_ts, offset * 2 + 1, topic))
-    return req.unionByName(resp)
+    return two_envelopes(
+        df, envelope(req_body, ce_id, _headers(ce_id, F.lit(REQUEST_TYPE)), ts, offset * 2, topic),
+        envelope(resp_body, ce_id, _headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(resp_ts)), resp_ts, offset * 2 + 1, topic))
 
 
 # --- lineitem: multi-row payloads ---------------------------------------------
@@ -170,7 +167,7 @@ def v1_orders(spark: SparkSession, sf_dir: str, truncate_flag: str | None = None
                        F.slice(preds, 1, F.size("lines") - 1)).otherwise(preds)
     resp = _resp(F.col("ce_id"), F.lit("lineitem-v1"), predictions=preds)
     return kserve_envelopes(m, F.col("ce_id"), F.col("ts"), req, resp,
-                            F.col("l_orderkey") * 64 + F.col("chunk"))
+                            F.xxhash64("l_orderkey", "chunk").bitwiseAND(F.lit((1 << 61) - 1)))
 
 
 def _tensor(name: str, datatype: str, data: Column, shape: Column | None = None) -> Column:
@@ -195,7 +192,7 @@ def v2_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     req = F.concat(F.lit('{"inputs":'), ins, F.lit("}"))
     resp = _resp(F.col("ce_id"), F.lit("lineitem-v2"), outputs=outs)
     return kserve_envelopes(m, F.col("ce_id"), F.col("ts"), req, resp,
-                            F.col("l_orderkey") * 64 + F.col("chunk"))
+                            F.xxhash64("l_orderkey", "chunk").bitwiseAND(F.lit((1 << 61) - 1)))
 
 
 # --- embeddings: matrix tensors -----------------------------------------------
@@ -310,10 +307,9 @@ def broken_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           F.lit(REQUEST_TYPE).cast("binary").alias("value")))) \
                    .otherwise(_headers(ce_id, F.lit(REQUEST_TYPE)))
     resp_type = F.when((et == "purchase") & (k < 10), F.lit(BAD_UNKNOWN_TYPE)).otherwise(F.lit(RESPONSE_TYPE))
-    req = ev.select(*envelope(req_body, ce_id, req_headers, F.col("ts"), F.col("event_id") * 2, "kserve"))
-    resp = ev.select(*envelope(resp_body, ce_id, _headers(ce_id, resp_type, format_iso(resp_ts)),
-                               resp_ts, F.col("event_id") * 2 + 1, "kserve"))
-    return req.unionByName(resp)
+    return two_envelopes(
+        ev, envelope(req_body, ce_id, req_headers, F.col("ts"), F.col("event_id") * 2, "kserve"),
+        envelope(resp_body, ce_id, _headers(ce_id, resp_type, format_iso(resp_ts)), resp_ts, F.col("event_id") * 2 + 1, "kserve"))
 
 
 # --- timestamps in several ISO-8601 forms ------------------------------------------
@@ -404,3 +400,58 @@ def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(_headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(F.col("e.ets"))))
     return x.select(*envelope(F.when(is_req, req).otherwise(resp), ce_id, headers,
                               F.col("e.ets"), F.col("e.off"), "kserve"))
+
+
+# --- refused messages between good ones ------------------------------------------------
+
+def refused_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of ``kserve_pairs`` without delay, with refused messages among them, chosen by model (event_type).
+
+    Request R at ``ts``, response S at ts+5ms. click: after R a request of unequal
+    tensors and one with text after the object; view: before S a response with an
+    unreadable ``ce_time``, one without and one with a time but no date; signup: S has
+    no ``ce_time``; purchase: R is truncated; error: S comes in two copies with a null
+    position, between them a body that is a list.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    et = F.col("event_type")
+    req = F.to_json(F.struct(F.array(F.array("user_id")).alias("instances")))
+    resp = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.array("value").alias("predictions")))
+    unequal = F.lit('{"inputs":[{"name":"p","shape":[1],"data":[1]},{"name":"q","shape":[2],"data":[1,2]}]}')
+
+    def item(kind, ms, body, time="good", placed=True, when=None):
+        s = F.struct(F.lit(kind).alias("kind"), F.lit(ms).alias("ms"), body.alias("body"), F.lit(time).alias("time"), F.lit(placed).alias("placed"))
+        return s if when is None else F.when(when, s)
+
+    items = F.array_compact(F.array(
+        item("R", 0, F.when(et == "purchase", F.lit('{"instances": [[')).otherwise(req)),
+        item("R", 1, unequal, when=et == "click"),
+        item("R", 2, F.concat(req, F.lit(" and more")), when=et == "click"),
+        item("S", 2, resp, "yesterday", when=et == "view"),
+        item("S", 3, resp, None, when=et == "view"),
+        item("S", 4, resp, "12:30:00", when=et == "view"),
+        item("S", 4, F.concat(F.lit("["), resp, F.lit("]")), placed=False, when=et == "error"),
+        item("S", 4, F.concat(F.lit("["), resp, F.lit("]")), placed=False, when=et == "error"),
+        item("S", 5, resp, placed=False, when=et == "error"),
+        F.when(et != "error", F.struct(
+            F.lit("S").alias("kind"), F.lit(5).alias("ms"), resp.alias("body"),
+            F.when(et == "signup", F.lit(None).cast("string")).otherwise("good").alias("time"), F.lit(True).alias("placed")))))
+    x = ev.select("event_id", "ts", F.posexplode(items).alias("pos", "e"))
+    ce_id, at = F.concat(F.lit("evt-"), F.col("event_id").cast("string")), F.col("ts") + F.make_dt_interval(secs=F.col("e.ms") / 1000.0)
+    time = F.when(F.col("e.time") == "good", format_iso(at)).otherwise(F.col("e.time"))
+    headers = (F.when(F.col("e.kind") == "R", _headers(ce_id, F.lit(REQUEST_TYPE)))
+               .when(time.isNull(), _headers(ce_id, F.lit(RESPONSE_TYPE))).otherwise(_headers(ce_id, F.lit(RESPONSE_TYPE), time)))
+    out = x.select(*envelope(F.col("e.body"), ce_id, headers, at, F.col("event_id") * 16 + F.col("pos"), "kserve"), F.col("e.placed").alias("placed"))
+    return (out.withColumn("offset", F.when(F.col("placed"), F.col("offset"))).withColumn("partition", F.when(F.col("placed"), F.col("partition"))).drop("placed"))
+
+
+def column_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` -> JSON events whose inputs and outputs are dicts of columns; Spanish ones have unequal columns."""
+    d = table(spark, sf_dir, "documents")
+    body = F.concat(
+        F.lit('{"id":"'), F.col("doc_id").cast("string"), F.lit('","inputs":{"source":["'), F.col("source"), F.lit('","'), F.col("lang"),
+        F.lit('"],"chars":['), F.col("n_chars").cast("string"),
+        F.when(F.col("lang") == "es", F.lit("")).otherwise(F.concat(F.lit(","), (F.col("n_chars") + 1).cast("string"))),
+        F.lit(']},"outputs":{"half":['), (F.col("n_chars") / 2).cast("string"), F.lit(","), (F.col("n_chars") / 4).cast("string"), F.lit("]}}"))
+    ts = F.lit(EMBED_TS).cast("timestamp") + F.make_dt_interval(secs=F.col("doc_id"))
+    return d.select(*envelope(body, F.col("doc_id"), _headers(F.col("doc_id").cast("string")), ts, F.col("doc_id"), topic="documents"))

@@ -27,6 +27,7 @@ EventProcessor = Callable[[DataFrame, dict], DataFrame]
 DestinationFn = Callable[[DataFrame, dict, str], Any]
 
 EVENT_PROCESSORS: dict[str, EventProcessor] = {}
+STREAM_PROCESSORS: dict[str, EventProcessor] = {}
 SCHEMA_PROVIDERS: dict[str, Callable[..., PinnedSchema]] = {}
 DESTINATIONS: dict[str, DestinationFn] = {}
 
@@ -55,6 +56,22 @@ def destination(name: str):
     return deco
 
 
+def stream_processor(name: str):
+    """U1 for streams: register ``fn(streaming envelopes, config) -> inferences``, refused messages among them."""
+    def deco(fn):
+        STREAM_PROCESSORS[name] = fn
+        return fn
+    return deco
+
+
+def resolve_type(registry: dict, kind: str, name: str):
+    """A registered plug-in by its name in the spec; unknown names are refused."""
+    if name not in registry:
+        raise SpecError(f"unknown {kind} type {name!r}")
+    return registry[name]
+
+
+@stream_processor("json")
 @event_processor("json")
 def _json_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     from predlake.operators.json_events import parse_json_events
@@ -67,6 +84,14 @@ def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     return kserve_inferences(envelopes, window=config.get("window", "10 seconds"))
 
 
+@stream_processor("kserve")
+def _kserve_stream(envelopes: DataFrame, config: dict) -> DataFrame:
+    from predlake.streaming.correlate import TIME_BUCKET, stream_inferences, stream_pairs, stream_rejects
+    window = config.get("window", "10 seconds")
+    pairs = stream_pairs(envelopes, window, config.get("expires", window), config.get("stateBuckets"), config.get("stateTime", TIME_BUCKET))
+    return stream_inferences(pairs).unionByName(stream_rejects(envelopes))
+
+
 @destination("parquet")
 @destination("confluent-s3")
 def _parquet_destination(rows: DataFrame, config: dict, logger_name: str):
@@ -162,16 +187,11 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
     ``inferences`` lets several loggers share one parsed + correlated frame.
     """
     if inferences is None:
-        proc = EVENT_PROCESSORS.get(spec.events.type)
-        if proc is None:
-            raise SpecError(f"unknown events type {spec.events.type!r}")
-        inferences = proc(envelopes, spec.events.config)
+        inferences = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)(envelopes, spec.events.config)
     inferences = filter_spec(inferences, spec.filters)
     names = spec.column_names()
     if schema is None:
-        provider = SCHEMA_PROVIDERS.get(spec.schema.type if spec.schema else "avro")
-        if provider is None:
-            raise SpecError(f"unknown schema type {spec.schema.type!r}")
+        provider = resolve_type(SCHEMA_PROVIDERS, "schema", spec.schema.type if spec.schema else "avro")
         named = name_columns(inferences, names["inputs"], names["outputs"])
         schema = provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
     return datapoints(inferences, names["inputs"], names["outputs"], schema=schema)
@@ -191,9 +211,7 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
     for spec in specs:
         key = (spec.events.type, tuple(sorted(spec.events.config.items())))
         if key not in shared:
-            proc = EVENT_PROCESSORS.get(spec.events.type)
-            if proc is None:
-                raise SpecError(f"unknown events type {spec.events.type!r}")
+            proc = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)
             # parsed and paired once for all loggers on this feed
             shared[key] = proc(envelopes, spec.events.config).persist(StorageLevel.MEMORY_AND_DISK)
         logged = run_logger(spec, envelopes, catalog, inferences=shared[key])
@@ -209,9 +227,7 @@ def write_logger(spec: LoggerSpec, logged: Logged, quarantine_url: str | None =
     """U3 + Q1: write the good rows through the spec's destination and, when
     ``quarantine_url`` is given, the refused rows next to them; then release
     the persisted inferences."""
-    fn = DESTINATIONS.get(spec.destination.type)
-    if fn is None:
-        raise SpecError(f"unknown destination type {spec.destination.type!r}")
+    fn = resolve_type(DESTINATIONS, "destination", spec.destination.type)
     try:
         out = fn(logged.good, spec.destination.config, spec.name)
         if quarantine_url:

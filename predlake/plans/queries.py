@@ -211,6 +211,8 @@ def correlate_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datapoints(kserve_inferences(feeds.conversation_turns(spark, sf_dir))).good
 
 
+_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
 # --- filters and fan-out --------------------------------------------------------------------
 
 _CORRELATED = f"""
@@ -222,7 +224,7 @@ WHERE floor(epoch_us(ts) / 10000000) = floor(epoch_us({_resp_ts()}) / 10000000)
 @query("model_filters", f"""
 SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at,
        user_id AS X0, CAST(json_extract_string(props, '$.k') AS BIGINT) AS X1, value AS Y0
-FROM ({_CORRELATED}) WHERE event_type = 'click'
+FROM ({_CORRELATED}) WHERE event_type = 'click' AND coalesce({_K} % 3 <> 0, TRUE)
 """)
 def model_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep one model name and version (applied after the pairing)."""
@@ -236,17 +238,17 @@ FAN_OUT_SPECS = [
     {"name": "view-logger", "topic": "kserve", "events": {"type": "kserve", "config": {}},
      "schema": {"type": "avro", "config": {"columnNames": {"inputs": ["user", "k"], "outputs": ["score"]}}},
      "filters": {"modelName": "view"},
-     "destination": {"type": "parquet", "config": {"url": "file:///tmp/unused"}}},
+     "destination": {"type": "parquet", "config": {"url": ""}}},
     {"name": "purchase-logger", "topic": "kserve", "events": {"type": "kserve", "config": {}},
      "filters": {"modelName": "purchase", "modelVersion": "v1"},
-     "destination": {"type": "parquet", "config": {"url": "file:///tmp/unused"}}},
+     "destination": {"type": "parquet", "config": {"url": ""}}},
 ]
 
 
 @query("fan_out", f"""
 SELECT CASE event_type WHEN 'view' THEN 'view-logger' ELSE 'purchase-logger' END AS logger,
        CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at
-FROM ({_CORRELATED}) WHERE event_type IN ('view', 'purchase')
+FROM ({_CORRELATED}) WHERE event_type = 'view' OR (event_type = 'purchase' AND coalesce({_K} % 3 <> 0, TRUE))
 """)
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 M2: two loggers on one topic, each with its own filter and names."""
@@ -278,8 +280,6 @@ def entry_model_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- quarantine, timestamps, schema ------------------------------------------------------------
 
-_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
-
 
 @query("event_validity", f"""
 SELECT reason, count(*) AS n FROM (
@@ -357,52 +357,75 @@ def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ----------------------------------------------------------------------------------
 
-STREAM_SPEC = {
-    "name": "kserve-stream", "topic": "kserve", "events": {"type": "kserve", "config": {}},
-    "destination": {"type": "parquet", "config": {"url": "", "maxRecordsPerFile": 100000}},
-}
+SLICES = 8            # the replay delivers the feed in so many parts
+STATE_PARTITIONS = 8  # of the stateful pairing
+
 
+def _stream_spec(name: str, url: str, events: str = "kserve", **more) -> dict:
+    return {"name": name, "topic": "kserve", "events": {"type": events, "config": {"stateTime": "1 day"} if events == "kserve" else {}},
+            "destination": {"type": "parquet", "config": {"url": url, "maxRecordsPerFile": 100000}}, **more}
 
-def _stream_run(spark: SparkSession, sf_dir: str, late_files: tuple[int, ...] = (),
-                feed=None, events_type: str = "kserve") -> tuple[str, object]:
-    """Land the correlate feed as 8 time-ordered files, stream them one file
-    per micro-batch through the stateful pairing into Parquet (availableNow),
-    and return the output folder. ``late_files`` are delivered last."""
-    import os
+
+def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs=None, order=range(SLICES), quarantine: bool = False) -> str:
+    """Stage a feed in time slices, deliver them in ``order``, each to a run of the stream on one checkpoint; the folder of all."""
     from predlake.plans.spec import LoggerSpec
-    from predlake.sources.envelopes import land_envelopes, stream_envelopes
-    from predlake.streaming.logger import pin_schema, run_to_parquet, scratch
+    from predlake.sources.envelopes import deliver_slice, stage_slices, stream_envelopes
+    from predlake.streaming.logger import pin_schema, run_loggers, scratch
     apply_defaults(spark)
     base = scratch(spark, "stream")
-    landed = f"{base}/landing"
-    paths = land_envelopes((feed or feeds.kserve_pairs)(spark, sf_dir), landed, files=8)
-    if late_files:
-        t = max(os.path.getmtime(p) for p in paths)
-        for j, i in enumerate(late_files):
-            os.utime(paths[i], (t + 1 + j, t + 1 + j))
-    spec = LoggerSpec.from_dict({**STREAM_SPEC, "events": {"type": events_type, "config": {}},
-                                 "destination": {
-        "type": "parquet", "config": {"url": f"{base}/lake", "maxRecordsPerFile": 100000}}})
-    schema = pin_schema(spark, spec, landed, catalog=f"{base}/catalog")
-    q = run_to_parquet(spec, stream_envelopes(spark, landed, max_files_per_trigger=1), schema,
-                       checkpoint=f"{base}/checkpoint")
-    q.awaitTermination()
-    return f"{base}/lake/{spec.name}", q
+    loggers = [LoggerSpec.from_dict(d) for d in (specs or [_stream_spec("kserve-stream", "")])]
+    for s in loggers:
+        s.destination.config["url"] = f"{base}/lake"
+    stage_slices(feed(spark, sf_dir), f"{base}/staged", SLICES)
+    schemas = {s.name: pin_schema(spark, s, f"{base}/staged", catalog=f"{base}/catalog") for s in loggers}
+    for i in order:
+        deliver_slice(spark, f"{base}/staged", i, f"{base}/landing")
+        run_loggers(loggers, stream_envelopes(spark, f"{base}/landing"), schemas, f"{base}/checkpoint", STATE_PARTITIONS,
+                    quarantine_url=f"{base}/quarantine" if quarantine else None).awaitTermination()
+    return base
+
+
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    from predlake.sinks.parquet import BATCH
+    return spark.read.parquet(folder).drop(BATCH)
 
 
 @query("stream_correlate", ORACLES["correlate"])
 def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 X1 W1 W2 ST1 ST2 K2: the correlate feed as a stream, landed and read back."""
-    out, _ = _stream_run(spark, sf_dir)
-    return spark.read.parquet(out)
+    return _landed(spark, f"{_stream_run(spark, sf_dir)}/lake/kserve-stream")
+
 
+_SLICE = f"CAST(least(floor((epoch_us(%s) - lo) * {SLICES} / (hi - lo + 1)), {SLICES - 1}) AS INTEGER)"
 
-@query("stream_late")
+
+@query("stream_late", f"""
+WITH span AS (SELECT least(min(epoch_us(ts)), min(epoch_us({_resp_ts()}))) AS lo,
+                     greatest(max(epoch_us(ts)), max(epoch_us({_resp_ts()}))) AS hi FROM events)
+SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at, user_id AS X0, {_K} AS X1, value AS Y0
+FROM ({_CORRELATED}), span
+WHERE {_SLICE % 'ts'} NOT IN (2, 3, 4) AND {_SLICE % 'rts'} NOT IN (2, 3, 4)
+""")
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three files delivered after later ones; their rows behind the
-    watermark are dropped (pairs lost), as a stream processor would."""
-    out, _ = _stream_run(spark, sf_dir, late_files=(2, 3, 4))
-    return spark.read.parquet(out)
+    """Three slices delivered after later ones; their rows are behind the
+    watermark and dropped (pairs lost), as a stream processor would."""
+    return _landed(spark, f"{_stream_run(spark, sf_dir, order=(0, 1, 5, 6, 7, 2, 3, 4))}/lake/kserve-stream")
+
+
+@query("stream_fan_out", f"""
+SELECT CASE event_type WHEN 'view' THEN 'views' ELSE 'purchases' END AS logger,
+       CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at, value AS score
+FROM ({_CORRELATED}) WHERE event_type = 'view' OR (event_type = 'purchase' AND coalesce({_K} % 3 <> 0, TRUE))
+""")
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 as a stream: two loggers with filters and names of their own on one stateful pass."""
+    from pyspark.sql import functions as F
+    names = {"type": "avro", "config": {"columnNames": {"inputs": ["user", "k"], "outputs": ["score"]}}}
+    specs = [_stream_spec("views", "", filters={"modelName": "view"}, schema=names),
+             _stream_spec("purchases", "", filters={"modelName": "purchase", "modelVersion": "v1"}, schema=names)]
+    base = _stream_run(spark, sf_dir, specs=specs)
+    parts = [_landed(spark, f"{base}/lake/{s['name']}").select(F.lit(s["name"]).alias("logger"), "id", "occurred_at", "score") for s in specs]
+    return parts[0].unionByName(parts[1])
 
 
 # --- repeats: the exact fold, checked by a recursive CTE -------------------------------------
@@ -465,5 +488,78 @@ def correlate_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_parquet", ORACLES["json_flatten"])
 def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON events as a stateless stream into the Parquet lake, read back."""
-    out, _ = _stream_run(spark, sf_dir, feed=feeds.json_events, events_type="json")
-    return spark.read.parquet(out)
+    base = _stream_run(spark, sf_dir, feeds.json_events, [_stream_spec("json-stream", "", "json")])
+    return _landed(spark, f"{base}/lake/json-stream")
+
+
+# --- refused messages never take a good one's place -------------------------------------------
+
+_REFUSED = """
+WITH RECURSIVE base AS (SELECT event_id, event_type, ts, value, user_id FROM events),
+ev0 AS (
+  SELECT event_id, 0 AS ms, 'R' AS kind, CASE WHEN event_type = 'purchase' THEN 'malformed_body' END AS bad, ts FROM base
+  UNION ALL SELECT event_id, 1, 'R', 'unequal_tensor_lengths', ts FROM base WHERE event_type = 'click'
+  UNION ALL SELECT event_id, 2, 'R', 'malformed_body', ts FROM base WHERE event_type = 'click'
+  UNION ALL SELECT event_id, 2, 'S', 'bad_event_time', ts FROM base WHERE event_type = 'view'
+  UNION ALL SELECT event_id, 3, 'S', 'missing_event_time', ts FROM base WHERE event_type = 'view'
+  UNION ALL SELECT event_id, 4, 'S', 'bad_event_time', ts FROM base WHERE event_type = 'view'
+  UNION ALL SELECT event_id, 4, 'S', 'malformed_body', ts FROM base, (VALUES (1), (2)) AS twice(n) WHERE event_type = 'error'
+  UNION ALL SELECT event_id, 5, 'S', CASE WHEN event_type = 'signup' THEN 'missing_event_time' END, ts FROM base),
+good AS (
+  SELECT event_id, kind, floor((epoch_us(ts) + ms * 1000) / 10000000) AS bucket,
+         row_number() OVER (PARTITION BY event_id, floor((epoch_us(ts) + ms * 1000) / 10000000) ORDER BY ms) AS rn
+  FROM ev0 WHERE bad IS NULL),
+fold AS (
+  SELECT event_id, bucket, 0 AS rn, FALSE AS r, FALSE AS s, FALSE AS emit FROM (SELECT DISTINCT event_id, bucket FROM good)
+  UNION ALL
+  SELECT event_id, bucket, rn, nr AND NOT (nr AND ns), ns AND NOT (nr AND ns), nr AND ns
+  FROM (SELECT f.event_id, f.bucket, g.rn, f.r OR g.kind = 'R' AS nr, f.s OR g.kind = 'S' AS ns
+        FROM fold f JOIN good g ON g.event_id = f.event_id AND g.bucket = f.bucket AND g.rn = f.rn + 1))
+"""
+
+
+@query("correlate_refused", f"""{_REFUSED}
+SELECT 'paired' AS outcome, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+FROM fold JOIN base USING (event_id) WHERE emit GROUP BY event_type
+UNION ALL
+SELECT bad, event_type, count(*), CAST(sum(event_id) AS BIGINT) FROM ev0 JOIN base USING (event_id) WHERE bad IS NOT NULL GROUP BY bad, event_type
+""")
+def correlate_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused bodies and times between good messages: the good ones pair, no refused row is lost."""
+    from pyspark.sql import functions as F
+    apply_defaults(spark)
+    inf = kserve_inferences(feeds.refused_pairs(spark, sf_dir))
+    event_id = F.substring_index(F.col("_src.event_id"), "-", -1).cast("long")
+    kinds = feeds.table(spark, sf_dir, "events").select(F.col("event_id").alias("e"), "event_type")
+    return (inf.select(F.coalesce("_reason", F.lit("paired")).alias("outcome"), event_id.alias("e")).join(kinds, "e")
+            .groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ids")))
+
+
+@query("row_shapes_columns", f"""
+SELECT CAST(doc_id AS VARCHAR) || '_' || p.i AS id, {_iso(f"(TIMESTAMP '{feeds.EMBED_TS}' + to_seconds(doc_id))")} AS occurred_at,
+       CASE p.i WHEN 0 THEN source ELSE lang END AS source, n_chars + p.i AS chars,
+       CASE p.i WHEN 0 THEN n_chars / 2 ELSE n_chars / 4 END AS half, CAST(NULL AS VARCHAR) AS reason
+FROM documents, (VALUES (0), (1)) AS p(i) WHERE lang <> 'es'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 'unequal_column_lengths' FROM documents WHERE lang = 'es'
+""")
+def row_shapes_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dicts of columns are frames; unequal columns are refused."""
+    from pyspark.sql import functions as F
+    apply_defaults(spark)
+    rows = datapoints(parse_json_events(feeds.column_events(spark, sf_dir))).rows
+    ok = F.col("_reason").isNull()
+    return rows.select(*[F.when(ok, F.col(c)).alias(c) for c in ("id", "occurred_at", "source", "chars", "half")], F.col("_reason").alias("reason"))
+
+
+@query("stream_quarantine", f"""{_REFUSED}
+SELECT bad AS reason, count(*) AS n FROM ev0 WHERE bad IS NOT NULL GROUP BY bad
+UNION ALL SELECT 'logged' AS reason, count(*) AS n FROM fold WHERE emit
+""")
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 as a stream: refused messages next to the lake, good ones paired as in batch."""
+    from pyspark.sql import functions as F
+    base = _stream_run(spark, sf_dir, feeds.refused_pairs, quarantine=True)
+    refused = _landed(spark, f"{base}/quarantine/messages").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    logged = _landed(spark, f"{base}/lake/kserve-stream").agg(F.count(F.lit(1)).alias("n")).select(F.lit("logged").alias("reason"), "n")
+    return refused.unionByName(logged)

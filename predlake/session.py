@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # JSON objects with a repeated key keep the last value, like a Python dict.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -57,7 +59,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
             continue
         cur = spark.conf.get(k, None)
-        if cur is None or (k == "spark.sql.mapKeyDedupPolicy" and cur == "EXCEPTION"):
+        if cur is None or (k, cur) in (("spark.sql.mapKeyDedupPolicy", "EXCEPTION"), ("spark.sql.variant.allowDuplicateKeys", "false")):
             spark.conf.set(k, v)
     return spark
 
@@ -65,19 +67,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem) and
-    is only read here. Only when it is unset (tests, local runs) is a fresh
-    local folder used.
+    The deployment sets it (a shared filesystem) and it is only read here. Only
+    a single-machine session without it gets a folder of its own; elsewhere a
+    missing setting is an error, as executors share no local folder.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if d:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-        return d.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    d = tempfile.mkdtemp(prefix="predlake-ckpt-")
-    sc.setCheckpointDir(d)
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="predlake-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")

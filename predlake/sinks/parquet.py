@@ -1,4 +1,4 @@
-"""K2: the Parquet lake sink (batch and stream) behind the ``parquet`` destination.
+"""K2: the Parquet lake sink behind the ``parquet`` destination.
 
 Defaults: snappy, one ``path``; user options are merged last and win. Only
 ``parquet`` is a known format; anything else is refused before a query starts.
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 KNOWN_FORMATS = {"parquet"}
 DEFAULT_OPTIONS = {"compression": "snappy"}
 DEFAULT_TRIGGER = "20 seconds"   # rotation interval of the file landing
+BATCH = "logger_batch"           # folder of a micro-batch
 
 
 def _check(config: dict[str, Any]) -> tuple[str, dict[str, str]]:
@@ -31,26 +32,17 @@ def _check(config: dict[str, Any]) -> tuple[str, dict[str, str]]:
 
 def write_batch(rows: DataFrame, config: dict[str, Any], logger_name: str,
                 mode: str = "append") -> str:
-    """Batch write of a logger's rows under ``<url>/<logger_name>``."""
+    """Write a logger's rows under ``<url>/<logger_name>``.
+
+    A micro-batch (``batch`` in the config) gets a folder of its own, which a
+    repeat of the batch overwrites: exactly once per checkpoint.
+    """
     url, opts = _check(config)
     path = f"{url}/{logger_name}"
+    if config.get("batch") is not None:
+        path, mode = f"{path}/{BATCH}={config['batch']}", "overwrite"
     w = rows.write.mode(mode).options(**opts)
     if config.get("partitionBy"):
         w = w.partitionBy(*config["partitionBy"])
     w.parquet(path)
     return path
-
-
-def write_stream(rows: DataFrame, config: dict[str, Any], logger_name: str,
-                 checkpoint: str, available_now: bool = False):
-    """Streaming file sink: exactly-once per checkpoint; returns the StreamingQuery."""
-    url, opts = _check(config)
-    w = (rows.writeStream.format("parquet").options(**opts)
-         .option("path", f"{url}/{logger_name}")
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append"))
-    if config.get("partitionBy"):
-        w = w.partitionBy(*config["partitionBy"])
-    w = w.trigger(availableNow=True) if available_now else \
-        w.trigger(processingTime=config.get("trigger", DEFAULT_TRIGGER))
-    return w.start()

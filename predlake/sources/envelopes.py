@@ -6,7 +6,7 @@ schema with headers), so every operator downstream is source-agnostic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from predlake.model import ENVELOPE
 
@@ -18,7 +18,7 @@ def read_envelopes(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 
 def stream_envelopes(spark: SparkSession, path: str, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of a folder of envelope files (processed in arrival order)."""
+    """Streaming read of a folder of envelope files."""
     r = spark.readStream.schema(ENVELOPE).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -50,47 +50,22 @@ def stream_topic(spark: SparkSession, bootstrap: str, topic: str, **options: str
     return r.load()
 
 
-def land_envelopes(envelopes: DataFrame, path: str, files: int = 8,
-                   order_files_by_time: bool = True) -> list[str]:
-    """Write envelopes as ``files`` parquet files of consecutive time slices.
-
-    Slice bounds come from the data's time range (one small aggregate), so
-    the files are the same on every run; one write job lays down one file per
-    slice folder. Returns the file paths in time order; on a local filesystem
-    their modification times are set in that order, so a file stream reads
-    them oldest first.
-    """
-    import glob
-    import os
-    import time
-    from pyspark.sql import functions as F
+def time_slices(envelopes: DataFrame, slices: int) -> DataFrame:
+    """Adds ``slice``: equal parts of the time between the first and the last message, numbered from 0."""
     lo, hi = envelopes.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
-    span = max((hi or 0) - (lo or 0), 1)
-    sliced = envelopes.withColumn(
-        "slice", F.least(F.floor((F.unix_micros("timestamp") - F.lit(lo)) * files / F.lit(span + 1)),
-                         F.lit(files - 1)).cast("int"))
-    (sliced.repartition(files, "slice").sortWithinPartitions("slice", "timestamp", "partition", "offset")
-     .write.mode("overwrite").partitionBy("slice").parquet(path))
-    local = path[len("file:"):] if path.startswith("file:") else path
-    paths = []
-    for i in range(files):
-        paths += sorted(glob.glob(f"{local}/slice={i}/*.parquet"))
-    if order_files_by_time:
-        base = time.time() - len(paths) - 10
-        for i, p in enumerate(paths):
-            os.utime(p, (base + i, base + i))
-    return paths
-
-
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A small input (one file, one row group) is read by a single task, and
-    every narrow operator after it (the payload parse) would run on one core.
-    Large inputs already have many splits and are left alone, so at scale this
-    adds no shuffle.
+    span = max((hi or 0) - (lo or 0), 0) + 1
+    return envelopes.withColumn("slice", F.least(
+        F.floor((F.unix_micros("timestamp") - F.lit(lo)) * slices / F.lit(span)), F.lit(slices - 1)).cast("int"))
+
+
+def stage_slices(envelopes: DataFrame, path: str, slices: int) -> None:
+    """Write envelopes under ``path``, one folder per time slice, with as many files as there are tasks."""
+    time_slices(envelopes, slices).write.partitionBy("slice").parquet(path)
+
+
+def deliver_slice(spark: SparkSession, staged: str, slice_no: int, landing: str) -> None:
+    """Append one staged slice to the folder that a stream reads.
+
+    What has been delivered before a run decides the replay order, so it holds on any file system.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    (spark.read.schema(ENVELOPE).parquet(f"{staged}/slice={slice_no}").write.mode("append").parquet(landing))

@@ -21,8 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from predlake.model import DEFAULT_EXPIRY, DEFAULT_WINDOW
-from predlake.functions.barrier import where
+from predlake.model import DEFAULT_EXPIRY, DEFAULT_WINDOW, FRAME_DDL
+from predlake.functions.barrier import barrier, where
 from predlake.operators.envelope import classify
 
 EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topic string, "
@@ -30,8 +30,8 @@ EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topi
 PAIR_DDL = f"event_id string, window_start timestamp, req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
 STATE_DDL = (f"entries array<struct<event_id: string, window_start: timestamp, "
              f"req: struct<{EVENT_DDL}>, resp: struct<{EVENT_DDL}>>>")
-ID_BUCKETS = 256          # hash buckets of ce_id per time bucket
-TIME_BUCKET = "1 day"     # coarse time bucket of a state key (a multiple of the window)
+BUCKETS_PER_PARTITION = 16  # default hash buckets of ce_id per state partition and time bucket
+TIME_BUCKET = "1 hour"      # default time bucket of a state key (a multiple of the window)
 _FIELDS = [f.split(" ")[0] for f in EVENT_DDL.split(", ")]
 
 # The processor runs in Python workers that need not have this package on
@@ -113,8 +113,16 @@ def window_start(ts: str, window: str) -> F.Column:
 
 
 def stream_pairs(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
-                 expiry: str = DEFAULT_EXPIRY) -> DataFrame:
-    """Valid envelopes of a stream (or batch) -> emitted pairs (``PAIR_DDL``)."""
+                 expiry: str = DEFAULT_EXPIRY, id_buckets: int | None = None,
+                 time_bucket: str = TIME_BUCKET) -> DataFrame:
+    """Valid envelopes of a stream (or batch) -> emitted pairs (``PAIR_DDL``).
+
+    A state key is a hash bucket of ``ce_id`` and a time bucket; one call folds
+    the events of a key in one micro-batch. ``id_buckets`` and ``time_bucket``
+    are settings of the logger (``stateBuckets``, ``stateTime``), fixed for the
+    life of a checkpoint; by default the buckets grow with the state partitions.
+    """
+    id_buckets = id_buckets or BUCKETS_PER_PARTITION * int(envelopes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = (where(classify(envelopes), F.col("_reason").isNull())
           .select("event_id", *_FIELDS)
           .withColumn("window_start", window_start("timestamp", window)))
@@ -123,15 +131,35 @@ def stream_pairs(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
         time_mode = "EventTime"
     else:
         time_mode = "None"
-    bucket_ms = _interval_ms(TIME_BUCKET)
-    ev = (ev.withColumn("_idb", F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)))
+    bucket_ms = _interval_ms(time_bucket)
+    ev = (ev.withColumn("_idb", F.pmod(F.xxhash64("event_id"), F.lit(id_buckets)))
             .withColumn("_tb", F.floor(F.unix_millis("window_start") / bucket_ms)))
     return (ev.groupBy("_idb", "_tb")
             .transformWithState(PairProcessor(_interval_ms(window), bucket_ms), PAIR_DDL,
                                 "Append", time_mode))
 
 
+def stream_inferences(pairs: DataFrame) -> DataFrame:
+    """Pairs of a stream -> inferences. State values are plain text, so the two bodies of a pair are parsed once more."""
+    from predlake.functions.frames import parse_body, request_frame_sql, response_frame_sql
+    from predlake.functions.times import parse_iso
+    df = (pairs.withColumn("_rq", F.expr(parse_body("req.value"))).withColumn("_rs", F.expr(parse_body("resp.value")))
+          .withColumn("inputs", F.expr(request_frame_sql("_rq", "req.value")))
+          .withColumn("outputs", F.expr(response_frame_sql("_rs", "resp.value"))))
+    src = F.struct("resp.topic", "resp.partition", "resp.offset", "resp.timestamp", "event_id",
+                   F.lit(None).cast("string").alias("value"))
+    return barrier(df.select(
+        F.col("resp.resp_id").alias("id"), F.col("_rs.model_name").alias("model_name"),
+        F.col("_rs.model_version").alias("model_version"), parse_iso("resp.event_time").alias("occurred_at"),
+        "inputs", "outputs", F.lit(None).cast("string").alias("_reason"), src.alias("_src")))
+
+
 def stream_rejects(envelopes: DataFrame) -> DataFrame:
-    """The quarantine side of a stream (stateless; Q1)."""
-    from predlake.operators.quarantine import to_quarantine
-    return to_quarantine(classify(envelopes))
+    """Refused envelopes of a stream as rows with a ``_reason`` (stateless; Q1), in the columns of ``stream_inferences``."""
+    bad = where(classify(envelopes), F.col("_reason").isNotNull())
+    src = F.struct("topic", "partition", "offset", "timestamp", "event_id", "value")
+    nothing = F.lit(None)
+    return barrier(bad.select(
+        nothing.cast("string").alias("id"), nothing.cast("string").alias("model_name"), nothing.cast("string").alias("model_version"),
+        F.col("timestamp").alias("occurred_at"), nothing.cast(FRAME_DDL).alias("inputs"), nothing.cast(FRAME_DDL).alias("outputs"),
+        "_reason", src.alias("_src")))

@@ -10,19 +10,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from predlake.operators.correlate import kserve_inferences, pairs_to_inferences
-from predlake.operators.json_events import parse_json_events
-from predlake.operators.rows import name_columns
-from predlake.operators.schema import PinnedSchema, resolve
+from predlake.functions.barrier import where
+from predlake.operators import quarantine as Q
 from predlake.operators.filters import filter_spec as apply_filters
-from predlake.plans.logger import Logged, datapoints
-from predlake.plans.spec import LoggerSpec
+from predlake.operators.rows import name_columns
+from predlake.operators.schema import PinnedSchema
+from predlake.plans.logger import (
+    DESTINATIONS, EVENT_PROCESSORS, SCHEMA_PROVIDERS, STREAM_PROCESSORS, Logged, datapoints, resolve_type,
+)
+from predlake.plans.spec import LoggerSpec, SpecError
 from predlake.session import checkpoint_dir
-from predlake.sinks import parquet as parquet_sink
+from predlake.sinks.parquet import DEFAULT_TRIGGER
 from predlake.sources.envelopes import read_envelopes
-from predlake.streaming.correlate import stream_pairs
 
 
 def scratch(spark: SparkSession, what: str) -> str:
@@ -30,26 +32,29 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def check_types(spec: LoggerSpec) -> None:
+    """Every type that a spec names must be registered; a stream needs a stream processor."""
+    resolve_type(STREAM_PROCESSORS, "events", spec.events.type)
+    resolve_type(SCHEMA_PROVIDERS, "schema", spec.schema.type if spec.schema else "avro")
+    resolve_type(DESTINATIONS, "destination", spec.destination.type)
+
+
 def pin_schema(spark: SparkSession, spec: LoggerSpec, landed: str,
                catalog: str | None = None) -> PinnedSchema:
-    """C3, else C1 over the landed envelopes (batch) + C2."""
-    env = read_envelopes(spark, landed)
-    inf = kserve_inferences(env) if spec.events.type == "kserve" else parse_json_events(env)
+    """C3, else C1 over the landed envelopes (batch) + C2, by the spec's schema provider."""
+    check_types(spec)
+    inf = EVENT_PROCESSORS[spec.events.type](read_envelopes(spark, landed), spec.events.config)
     names = spec.column_names()
     named = name_columns(apply_filters(inf, spec.filters), names["inputs"], names["outputs"])
-    return resolve(named, catalog, spec.subject)
+    provider = SCHEMA_PROVIDERS[spec.schema.type if spec.schema else "avro"]
+    return provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
 
 
-def stream_logged(spec: LoggerSpec, envelopes: DataFrame, schema: PinnedSchema) -> Logged:
-    """The logger's typed rows as a streaming DataFrame."""
-    window = spec.events.config.get("window", "10 seconds")
-    expiry = spec.events.config.get("expires", window)
-    if spec.events.type == "kserve":
-        inf = pairs_to_inferences(stream_pairs(envelopes, window, expiry))
-    else:
-        inf = parse_json_events(envelopes)
+def logged_rows(spec: LoggerSpec, inferences: DataFrame, schema: PinnedSchema) -> Logged:
+    """The logger's typed rows; refused messages pass the filter, as they have no model."""
     names = spec.column_names()
-    return datapoints(apply_filters(inf, spec.filters), names["inputs"], names["outputs"], schema=schema)
+    kept = apply_filters(inferences, spec.filters)
+    return datapoints(kept, names["inputs"], names["outputs"], schema=schema)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -79,15 +84,49 @@ def restore_conf(spark: SparkSession, old: dict[str, str | None]) -> None:
             spark.conf.set(k, v)
 
 
-def run_to_parquet(spec: LoggerSpec, envelopes: DataFrame, schema: PinnedSchema,
-                   checkpoint: str, available_now: bool = True,
-                   state_partitions: int | None = None):
-    """Start the logger's stream into its Parquet destination (K2)."""
+def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str, PinnedSchema], checkpoint: str,
+                state_partitions: int, quarantine_url: str | None = None, available_now: bool = True):
+    """M1 as a stream: all loggers of one topic on one stateful pass.
+
+    Each micro-batch of inferences is kept while every logger filters, types and
+    writes its rows through its destination (U3), under a folder named by the
+    batch id that a repeated batch overwrites, so a restart neither loses nor
+    repeats rows. Refused rows go next to them under ``quarantine_url`` (Q1),
+    those of the parse once and those of a logger's typing under its name.
+    ``state_partitions`` is fixed by the first run of a checkpoint.
+    """
+    kinds = {(s.events.type, tuple(sorted(s.events.config.items()))) for s in specs}
+    if len(kinds) != 1:
+        raise SpecError("loggers of one stream share their events type and its settings")
+    for spec in specs:
+        check_types(spec)
     spark = envelopes.sparkSession
-    old = stream_conf(spark, state_partitions or spark.sparkContext.defaultParallelism)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if quarantine_url:
+                _write_batch(Q.to_quarantine(batch), f"{quarantine_url}/messages", batch_id)
+            parsed = where(batch, F.col("_reason").isNull())
+            for spec in specs:
+                logged = logged_rows(spec, parsed, schemas[spec.name])
+                config = {**spec.destination.config, "batch": batch_id}
+                DESTINATIONS[spec.destination.type](logged.good, config, spec.name)
+                if quarantine_url:
+                    _write_batch(logged.quarantine, f"{quarantine_url}/{spec.name}", batch_id)
+        finally:
+            batch.unpersist()
+
+    old = stream_conf(spark, state_partitions)
     try:
-        rows = stream_logged(spec, envelopes, schema).good
-        return parquet_sink.write_stream(rows, spec.destination.config, spec.name, checkpoint,
-                                         available_now=available_now)
+        inferences = STREAM_PROCESSORS[specs[0].events.type](envelopes, specs[0].events.config)
+        writer = (inferences.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                  .outputMode("append").queryName(f"loggers-{specs[0].topic}-{uuid.uuid4().hex[:8]}"))
+        wait = specs[0].destination.config.get("trigger", DEFAULT_TRIGGER)
+        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=wait)).start()
     finally:
         restore_conf(spark, old)
+
+
+def _write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
