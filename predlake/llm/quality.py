@@ -60,7 +60,12 @@ def terms(text: str) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+    """(1 + log tf) * idf; ``counts`` is overwritten."""
+    found = counts > 0
+    np.log(counts, out=counts, where=found)
+    counts += found
+    counts *= idf
+    return counts
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -68,20 +73,22 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(counts: np.ndarray, y: np.ndarray, dimensions: int = DIMENSIONS) -> dict:
-    """The projection and the labelled vectors. Equal rows count once, so copies don't outvote others."""
-    first = np.unique(np.column_stack([counts, y]), axis=0, return_index=True)[1] if len(y) else np.zeros(0, int)
-    counts, y = counts[np.sort(first)], y[np.sort(first)]
-    idf = (1 + np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0)))).astype(np.float32)
+    """The projection and the labelled vectors, from counts that are overwritten on the way."""
+    used = np.flatnonzero(counts.any(axis=0))
+    idf = np.full(TERMS, 1 + np.log(1 + len(y)), np.float32)
+    x = np.ascontiguousarray(counts[:, used])
+    del counts
+    idf[used] = 1 + np.log((1 + len(y)) / (1 + np.count_nonzero(x, axis=0)))
     idf[BIGRAMS:] *= REPEATS
-    x = weighted(counts, idf)
+    x = weighted(x, idf[used])
     d = min(dimensions, *x.shape)
-    basis = np.zeros((TERMS, 1), np.float32)
+    basis = np.zeros((TERMS, max(1, d)), np.float32)
     if d:  # randomised subspace iteration for the leading right singular vectors
-        q = np.random.default_rng(7).standard_normal((TERMS, min(d + 16, *x.shape))).astype(np.float32)
+        q = np.random.default_rng(7).standard_normal((len(used), min(d + 16, *x.shape))).astype(np.float32)
         for _ in range(6):
             q = np.linalg.qr(x.T @ (x @ q))[0]
-        basis = (q @ np.linalg.svd(x @ q, full_matrices=False)[2].T)[:, :d]
-    return {"idf": idf, "basis": basis.astype(np.float32), "vectors": unit(x @ basis).astype(np.float32), "y": y.astype(np.float32),
+        basis[used] = (q @ np.linalg.svd(x @ q, full_matrices=False)[2].T)[:, :d]
+    return {"idf": idf, "basis": basis, "vectors": unit(x @ basis[used]).astype(np.float32), "y": y.astype(np.float32),
             "prior": float(y.mean()) if len(y) else 1.0}
 
 
@@ -108,11 +115,11 @@ def _count(batches: Iterable[pd.DataFrame]):
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     sample = labelled_sample(docs, labels, "quality", lambda i: split_of(i, HELD_OUT[0]) != HELD_OUT[1], fit_rows)
     rows = sample.select("text", "y").mapInPandas(_count, "y int, at binary, n binary").collect()  # a few KB each, fit_rows at most
-    rows.sort(key=lambda r: (r["at"], r["n"], r["y"]))
+    rows = sorted({(bytes(r["at"]), bytes(r["n"]), r["y"]) for r in rows})  # equal ones count once, so copies don't outvote others
     counts = np.zeros((len(rows), TERMS), np.float32)
     for i, r in enumerate(rows):
-        counts[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], np.float32)
-    return fit(counts, np.array([r["y"] for r in rows], np.float32))
+        counts[i, np.frombuffer(r[0], "<u2")] = np.frombuffer(r[1], np.float32)
+    return fit(counts, np.array([r[2] for r in rows], np.float32))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, accepted: float = ACCEPTED) -> DataFrame:
