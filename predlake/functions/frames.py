@@ -89,7 +89,12 @@ def object_rows(maps: str) -> str:
             mm, c = _v(), _v()
             return frame(cs, f"transform({om}, {mm} -> transform({cs}, {c} -> element_at({mm}, {c})))")
         return let(cols, with_cols)
-    return let(maps, body)
+    k, u = _v(), _v()
+
+    def last_wins(om):
+        return (f"IF(exists({om}, {k} -> size({k}) <> size(array_distinct(map_keys({k})))), "
+                f"transform({om}, {u} -> map_from_entries(map_entries({u}))), {om})")
+    return let(let(maps, last_wins), body)
 
 
 def rows_frame(arr: str, objects: str, allow_scalars: bool = True,
@@ -180,7 +185,7 @@ def parse_body(text: str, payload: str = "") -> str:
 
 def unread(text: str, key: str, missing: str) -> str:
     """Why a payload is NULL: its key is absent, or present with a value that is no strict JSON."""
-    return f"IF(array_contains(json_object_keys({text}), '{key}'), 'malformed_body', '{missing}')"
+    return f"IF(coalesce(array_contains(json_object_keys({text}), '{key}'), TRUE), 'malformed_body', '{missing}')"
 
 
 def columns_frame(columns: str) -> str:
@@ -217,7 +222,7 @@ def _kserve_frame(body: str, text: str, v1_key: str, v2_key: str, missing: str)
     return (f"CASE WHEN {body} IS NULL THEN {error('malformed_body')} "
             f"WHEN {v1} IS NOT NULL THEN IF(is_variant_null({v1}), {EMPTY}, {_records(v1, text, v1_key, True)}) "
             f"WHEN {v2} IS NOT NULL THEN {_tensors(v2, text, v2_key)} "
-            f"ELSE {frame(_NULL_COLS, _NULL_ROWS, f'IF(array_contains(json_object_keys({text}), {_q(v1_key)}), {_q(_BAD)}, {unread(text, v2_key, missing)})')} END")
+            f"ELSE {frame(_NULL_COLS, _NULL_ROWS, f'IF(coalesce(array_contains(json_object_keys({text}), {_q(v1_key)}), TRUE), {_q(_BAD)}, {unread(text, v2_key, missing)})')} END")
 
 
 _BAD = "malformed_body"

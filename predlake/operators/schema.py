@@ -9,6 +9,7 @@ The schema is dynamic (it comes from the payloads) but pinned once known:
   shuffle. Column order is the first inference's order (by occurred_at, id),
   then columns seen only later, by name. JSON numbers come back from VARIANT
   as DECIMAL, so every DECIMAL / FLOAT becomes DOUBLE and every integer BIGINT.
+  A column whose cells differ in kind takes the kind of the first inference.
 * C2 / C3 ``register`` / ``lookup``: a small catalog table (subject, version,
   schema JSON) in a folder; a registered schema is reused before inferring.
 * C4 ``enforce``: every datapoint is projected to the pinned schema with
@@ -21,6 +22,7 @@ import json
 import re
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from predlake.functions.barrier import barrier
@@ -70,22 +72,61 @@ class PinnedSchema:
 
 
 # VARIANT type names -> the logged type (fixed mapping, see module doc).
-_TYPE_RULES = [
-    (re.compile(r"DECIMAL\(\d+,\s*\d+\)"), "DOUBLE"),
-    (re.compile(r"\bFLOAT\b"), "DOUBLE"),
-    (re.compile(r"\b(TINYINT|SMALLINT|INT|INTEGER)\b"), "BIGINT"),
-    (re.compile(r"\bVOID\b"), "STRING"),
-    (re.compile(r"\bVARIANT\b"), "STRING"),
-    (re.compile(r"\bOBJECT<"), "STRUCT<"),
-]
+LOGGED = {"DECIMAL": "double", "FLOAT": "double", "DOUBLE": "double", "TINYINT": "bigint", "SMALLINT": "bigint", "INT": "bigint",
+          "BIGINT": "bigint", "VOID": "string", "VARIANT": "string", "TIMESTAMP_NTZ": "timestamp"}
+_TOKEN = re.compile(r"\s*(?:`((?:[^`]|``)*)`|([^\s<>,:()`]+)|([<>,:()]))")
+
+
+def _tokens(text: str) -> list[tuple[str, str]]:
+    """("name" | "word" | "sign", text) of a type string; quoted names lose their quotes."""
+    return [("name", m[1].replace("``", "`")) if m[1] is not None else ("word", m[2]) if m[2] else ("sign", m[3])
+            for m in _TOKEN.finditer(text)]
+
+
+def _parse(tokens: list[tuple[str, str]], at: int) -> tuple[str, list[tuple[str, str]], int]:
+    """(logged type, fields of an OBJECT, next token) of the type that begins at ``at``. Names never mix with types."""
+    kind, at, fields = tokens[at][1], at + 1, []
+    following = tokens[at] if at < len(tokens) else ("", "")
+    if kind == "ARRAY" and following == ("sign", "<"):
+        inner, _, at = _parse(tokens, at + 1)
+        return f"array<{inner}>", [], at + 1
+    if kind == "OBJECT" and following == ("sign", "<"):
+        at += 1
+        while tokens[at] != ("sign", ">"):
+            name = tokens[at][1]
+            inner, _, at = _parse(tokens, at + 2)
+            fields.append((name, inner))
+            at += tokens[at] == ("sign", ",")
+        body = ", ".join(f"{_quoted(n)}: {t}" for n, t in fields)
+        return (f"struct<{body}>" if fields else "string"), fields, at + 1
+    if following == ("sign", "("):  # DECIMAL(p, s)
+        while tokens[at] != ("sign", ")"):
+            at += 1
+        at += 1
+    return LOGGED.get(kind, kind.lower()), [], at
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def logged_type(variant_type: str) -> str:
     """Map a ``schema_of_variant`` type string to the column's Spark type."""
-    t = variant_type
-    for rx, rep in _TYPE_RULES:
-        t = rx.sub(rep, t)
-    return t
+    return _parse(_tokens(variant_type), 0)[0]
+
+
+def object_fields(variant_type: str | None) -> dict[str, str]:
+    """Field -> logged element type of an object whose fields are arrays of cells; ``mixed`` where cells differ in kind."""
+    if not variant_type or not variant_type.startswith("OBJECT<"):
+        return {}
+    tokens, at, out = _tokens(variant_type), 2, {}
+    while tokens[at] != ("sign", ">"):
+        name, start = tokens[at][1], at + 2
+        logged, _, at = _parse(tokens, start)
+        mixed = [t for _, t in tokens[start:at]] == ["ARRAY", "<", "VARIANT", ">"]
+        out[name] = "mixed" if mixed else logged[len("array<"):-1] if logged.startswith("array<") else logged
+        at += tokens[at] == ("sign", ",")
+    return out
 
 
 def _side_object(side: str) -> str:
@@ -109,20 +150,35 @@ def infer_schema(named: DataFrame) -> PinnedSchema:
         F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('inputs')}, NULL))").alias("in_types"),
         F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('outputs')}, NULL))").alias("out_types"),
     ).collect()[0]
-    return PinnedSchema(_side(agg.in_first, agg.in_types), _side(agg.out_first, agg.out_types))
-
-
-def _side(first: list[str] | None, obj_type: str | None) -> list[tuple[str, str]]:
-    if not obj_type or not obj_type.startswith("OBJECT<"):
-        return [(n, "STRING") for n in (first or [])]
-    st = T.DataType.fromDDL(logged_type(obj_type))
-    types = {}
-    for f in st.fields:
-        elem = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
-        types[f.name] = elem.simpleString()
+    sides = {"inputs": (agg.in_first, object_fields(agg.in_types)), "outputs": (agg.out_first, object_fields(agg.out_types))}
+    mixed = [(side, n) for side, (_, types) in sides.items() for n, t in types.items() if t == "mixed"]
+    firsts = _first_types(named, mixed) if mixed else {}
+    return PinnedSchema(*(_side(side, first, types, firsts) for side, (first, types) in sides.items()))
+
+
+def _first_types(named: DataFrame, mixed: list[tuple[str, str]]) -> dict[tuple[str, str], str]:
+    """Types of columns whose cells differ in kind: that of the first inference with a typed cell, by time and position;
+    an integer column is double if a fraction is seen anywhere. Cells of other kinds are refused by C4."""
+    aggs = []
+    for i, (side, name) in enumerate(mixed):
+        cells = f"transform({side}.rows, r -> get(r, cast(array_position({side}.cols, {_sql_str(name)}) as int) - 1))"
+        kinds = f"filter(transform({cells}, c -> schema_of_variant(c)), t -> t IS NOT NULL AND t <> 'VOID')"
+        seen = F.expr(f"IF(_reason IS NULL AND array_contains({side}.cols, {_sql_str(name)}), {kinds}, NULL)")
+        order = F.when(F.size(seen) > 0, F.struct("occurred_at", "_src.partition", "_src.offset", "id"))
+        aggs += [F.min_by(F.get(seen, F.lit(0)), order).alias(f"t{i}"),
+                 F.max(F.exists(seen, lambda t: t.rlike("^(DECIMAL|DOUBLE|FLOAT)"))).alias(f"f{i}")]
+    row = named.agg(*aggs).collect()[0]
+    out = {}
+    for i, key in enumerate(mixed):
+        t = logged_type(row[f"t{i}"]) if row[f"t{i}"] else "string"
+        out[key] = "double" if t == "bigint" and row[f"f{i}"] else t
+    return out
+
+
+def _side(side: str, first: list[str] | None, types: dict[str, str], firsts: dict[tuple[str, str], str]) -> list[tuple[str, str]]:
     order = list(first or [])
     order += sorted(n for n in types if n not in set(order))
-    return [(n, types.get(n, "string")) for n in order]
+    return [(n, firsts.get((side, n)) or types.get(n, "string")) for n in order]
 
 
 # --- C2 / C3: catalog table --------------------------------------------------
@@ -130,11 +186,20 @@ def _side(first: list[str] | None, obj_type: str | None) -> list[tuple[str, str]
 CATALOG_SCHEMA = "subject string, version int, schema string, registered_at timestamp"
 
 
+def _catalog(spark: SparkSession, catalog: str) -> DataFrame | None:
+    """The catalog table; None only where nothing has been written. Other read errors are raised."""
+    try:
+        return spark.read.schema(CATALOG_SCHEMA).parquet(catalog)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def lookup(spark: SparkSession, catalog: str, subject: str) -> PinnedSchema | None:
     """Latest registered schema of ``subject`` or None."""
-    try:
-        cat = spark.read.schema(CATALOG_SCHEMA).parquet(catalog)
-    except Exception:  # no catalog written yet
+    cat = _catalog(spark, catalog)
+    if cat is None:
         return None
     row = (cat.where(F.col("subject") == subject)
            .orderBy(F.col("version").desc()).select("schema").limit(1).collect())
@@ -155,9 +220,8 @@ def register(spark: SparkSession, catalog: str, subject: str, schema: PinnedSche
 
 
 def _latest_version(spark: SparkSession, catalog: str, subject: str) -> int | None:
-    try:
-        cat = spark.read.schema(CATALOG_SCHEMA).parquet(catalog)
-    except Exception:
+    cat = _catalog(spark, catalog)
+    if cat is None:
         return None
     r = cat.where(F.col("subject") == subject).agg(F.max("version").alias("v")).collect()
     return r[0].v if r else None
@@ -216,7 +280,7 @@ def enforce(rows: DataFrame, schema: PinnedSchema) -> DataFrame:
     typed, bad = [], []
     for name, side, idx, typ in schema.layout():
         cell = F.expr(f"get({'in_row' if side == 'in' else 'out_row'}, {idx})")
-        val = F.expr(f"try_variant_get(get({'in_row' if side == 'in' else 'out_row'}, {idx}), '$', '{typ}')")
+        val = F.expr(f"try_variant_get(get({'in_row' if side == 'in' else 'out_row'}, {idx}), '$', {_sql_str(typ)})")
         typed.append(val.alias(name))
         bad.append(cell.isNotNull() & ~F.expr(f"is_variant_null(get({'in_row' if side == 'in' else 'out_row'}, {idx}))")
                    & val.isNull())

@@ -334,11 +334,12 @@ def schema_enforce(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-@query("schema_infer", """
-SELECT * FROM (VALUES ('inputs', 0, 'quantity', 'double'), ('inputs', 1, 'returnflag', 'string'),
-                      ('inputs', 2, 'linenumber', 'bigint'), ('outputs', 0, 'tax', 'double'))
-       AS t(side, pos, name, type)
-""")
+_LOGGED_TYPE = "CASE typeof(any_value({0})) WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'bigint' END"
+
+
+@query("schema_infer", " UNION ALL ".join(
+    f"SELECT '{side}' AS side, {pos} AS pos, '{col[2:]}' AS name, {_LOGGED_TYPE.format(col)} AS type FROM lineitem"
+    for side, pos, col in (("inputs", 0, "l_quantity"), ("inputs", 1, "l_returnflag"), ("inputs", 2, "l_linenumber"), ("outputs", 0, "l_tax"))))
 def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Infer from the V2 feed, register in a catalog table, read it back."""
     import uuid
@@ -355,6 +356,22 @@ def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "side string, pos int, name string, type string")
 
 
+@query("schema_first_seen", f"""
+WITH first AS (SELECT arg_min(event_type = 'error', (ts, CAST(event_id AS VARCHAR))) AS text_first FROM events WHERE {_K} IS NOT NULL)
+SELECT CASE WHEN event_type = 'error' AND NOT text_first AND {_K} IS NOT NULL THEN 'type_mismatch' ELSE 'ok' END AS reason,
+       CASE WHEN text_first THEN 'string' ELSE 'bigint' END AS code_type, count(*) AS n
+FROM events, first GROUP BY 1, 2
+""")
+def schema_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that mixes numbers and text is pinned by its first cell; cells of the other kind are refused."""
+    from pyspark.sql import functions as F
+    apply_defaults(spark)
+    logged = datapoints(parse_json_events(feeds.mixed_type_events(spark, sf_dir)))
+    code = dict(logged.schema.inputs)["code"]
+    return (logged.rows.groupBy(F.coalesce(F.col("_reason"), F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("code_type", F.lit(code)))
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 SLICES = 8            # the replay delivers the feed in so many parts

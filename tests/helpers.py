@@ -16,21 +16,12 @@ T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 def frame_of(spark, payload, side="request"):
     """(cols, rows as Python values, err) of one request/response body."""
     text = payload if isinstance(payload, str) else json.dumps(payload)
-    df = spark.createDataFrame([(text,)], "value string").withColumn("_v", F.expr("try_parse_json(value)"))
-    if side == "request":
-        generic, fast = FR.request_frame_sql("_v", "value"), FR.request_frame_fast_sql("value")
-    else:
-        generic, fast = FR.response_frame_sql("_v", "value"), FR.response_frame_fast_sql("value")
-    res = []
-    for sql in (generic, fast):
-        out = df.select(F.expr(sql).alias("f")).select(
-            "f.cols", F.expr("transform(f.rows, r -> transform(r, c -> to_json(c)))").alias("rows"),
-            "f.err").first()
-        rows = None if out.rows is None else [[None if c is None else json.loads(c) for c in r]
-                                              for r in out.rows]
-        res.append((out.cols, rows, out.err))
-    assert res[0] == res[1], f"fast path differs: {res}"
-    return res[0]
+    sql = FR.request_frame_sql if side == "request" else FR.response_frame_sql
+    out = (spark.createDataFrame([(text,)], "value string").withColumn("b", F.expr(FR.parse_body("value")))
+           .select(F.expr(sql("b", "value")).alias("f")).select(
+               "f.cols", F.expr("transform(f.rows, r -> transform(r, c -> to_json(c)))").alias("rows"), "f.err").first())
+    rows = None if out.rows is None else [[None if c is None else json.loads(c) for c in r] for r in out.rows]
+    return out.cols, rows, out.err
 
 
 def envelope(ce_id, kind, body, ts, offset, partition=0, ce_time=None, topic="t"):

@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 
 def model(events):
-    """events: (key, kind 'R'|'S'|'N', ms, offset). Returns {(key, window, req_off, resp_off)}."""
+    """events: (key, kind, ms, offset) with kind R, S, N (null id), B (refused body) or T (refused time).
+
+    Refused ones change nothing. Returns {(key, window, req_off, resp_off)}."""
     groups = {}
     for key, kind, ms, off in events:
+        if kind in "BT":
+            continue
         groups.setdefault((key, ms // 10_000), []).append((ms, off, kind))
     out = set()
     for (key, w), evs in groups.items():
@@ -35,18 +39,24 @@ def model(events):
     return out
 
 
-event = st.tuples(st.integers(0, 5), st.sampled_from("RSN"), st.integers(0, 35_000))
+event = st.tuples(st.integers(0, 5), st.sampled_from("RRSSNBT"), st.integers(0, 35_000))
+UNEQUAL = {"inputs": [{"name": "p", "shape": [1], "data": [1]}, {"name": "q", "shape": [2], "data": [1, 2]}]}
+
+
+def message(key, kind, off, ts):
+    if kind in "RB":
+        return envelope(key, "R", UNEQUAL if kind == "B" else {"instances": [[off]]}, ts, off)
+    body = {"id": None if kind == "N" else key, "predictions": [off]}
+    return envelope(key, "S", body, ts, off, ce_time="yesterday" if kind == "T" else "2024-01-01T00:00:00Z")
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(event, min_size=1, max_size=120))
 def test_fold_matches_state_machine(spark, log):
     rows, events = [], []
     for off, (key, kind, ms) in enumerate(log):
         ts = T0 + dt.timedelta(milliseconds=ms)
-        body = {"instances": [[off]]} if kind == "R" else {"id": None if kind == "N" else f"k{key}",
-                                                           "predictions": [off]}
-        rows.append(envelope(f"k{key}", "R" if kind == "R" else "S", body, ts, off))
+        rows.append(message(f"k{key}", kind, off, ts))
         events.append((f"k{key}", kind, ms, off))
     env = envelopes_df(spark, rows)
     pairs = pair_events(where(classify(env), F.col("_reason").isNull()))
@@ -58,8 +68,7 @@ def test_fold_matches_state_machine(spark, log):
 def test_fold_examples(spark):
     # R R S S R S R R R: pairs (R2,S3), (R5,S4), (R7,S6)
     seq = "RRSSRSRRR"
-    rows = [envelope("a", k, {"instances": [[i]]} if k == "R" else {"id": "a", "predictions": [i]},
-                     T0 + dt.timedelta(milliseconds=i), i) for i, k in enumerate(seq)]
+    rows = [message("a", k, i, T0 + dt.timedelta(milliseconds=i)) for i, k in enumerate(seq)]
     pairs = {(p.req.offset, p.resp.offset) for p in pair_events(
         where(classify(envelopes_df(spark, rows)), F.col("_reason").isNull())).collect()}
     assert pairs == {(1, 2), (4, 3), (6, 5)}
@@ -67,5 +76,5 @@ def test_fold_examples(spark):
 
 def test_window_boundary_never_pairs(spark):
     rows = [envelope("a", "R", {"instances": [[1]]}, T0 + dt.timedelta(seconds=9.999), 0),
-            envelope("a", "S", {"id": "a", "predictions": [1]}, T0 + dt.timedelta(seconds=10.001), 1)]
+            envelope("a", "S", {"id": "a", "predictions": [1]}, T0 + dt.timedelta(seconds=10.001), 1, ce_time="2024-01-01T00:00:10Z")]
     assert kserve_inferences(envelopes_df(spark, rows), with_rejects=False).count() == 0

@@ -1,4 +1,4 @@
-"""The reference's payload cases (V2 tensors, V1 rows, dispatch), as frames and typed rows."""
+"""Payload layouts by behaviour: tensors, matrices, row lists, dicts, dispatch."""
 
 import pytest
 
@@ -7,86 +7,59 @@ from predlake.operators.correlate import kserve_inferences
 from predlake.plans.logger import datapoints
 
 
-def tensor(name, shape, data, datatype="FP32"):
+def tensor(name, shape, data, datatype="FP64"):
     return {"name": name, "shape": shape, "datatype": datatype, "data": data}
 
 
-def test_single_col_single_datapoint(spark):
-    cols, rows, err = frame_of(spark, {"inputs": [tensor("col1", [1], [7.4])]})
-    assert err is None and cols == ["col1"] and rows == [[7.4]]
+@pytest.mark.parametrize("n", [1, 2, 7])
+def test_a_tensor_is_a_column(spark, n):
+    data = [-1.5e9 * i for i in range(n)]
+    assert frame_of(spark, {"inputs": [tensor("depth", [n], data)]}) == (["depth"], [[x] for x in data], None)
 
 
-def test_single_col_multiple_datapoints(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [tensor("col1", [3], [7.4, 3.5, 7.8])]})
-    assert cols == ["col1"] and rows == [[7.4], [3.5], [7.8]]
+def test_tensors_are_columns_side_by_side(spark):
+    names = ["größe", "b c", "z", "a", "_"]
+    cols, rows, _ = frame_of(spark, {"outputs": [tensor(n, [2], [10 * i, -i]) for i, n in enumerate(names)]}, side="response")
+    assert cols == names and rows == [[10 * i for i in range(5)], [-i for i in range(5)]]
 
 
-def test_multiple_cols_single_datapoint(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [tensor("col1", [1], [3]), tensor("col2", [1], [4])]})
-    assert cols == ["col1", "col2"] and rows == [[3, 4]]
+@pytest.mark.parametrize("height,width", [(1, 5), (3, 2)])
+def test_a_lone_matrix_gives_positional_columns(spark, height, width):
+    grid = [[r * 100 + c - 0.25 for c in range(width)] for r in range(height)]
+    assert frame_of(spark, {"inputs": [tensor("grid", [height, width], grid)]}) == ([str(c) for c in range(width)], grid, None)
 
 
-def test_multiple_cols_multiple_datapoints(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [
-        tensor("col1", [4], [1, 2, 3, 4]), tensor("col2", [4], [5, 6, 7, 8]),
-        tensor("col3", [4], [0, -1, -2, -3])]})
-    assert cols == ["col1", "col2", "col3"]
-    assert rows == [[1, 5, 0], [2, 6, -1], [3, 7, -2], [4, 8, -3]]
+def test_a_matrix_among_tensors_gives_list_cells(spark):
+    cols, rows, _ = frame_of(spark, {"inputs": [tensor("xy", [3, 2], [[9, 8], [7, 6], [5, 4]]), tensor("tag", [3], ["é", "", "日本"], "BYTES")]})
+    assert cols == ["xy", "tag"] and rows == [[[9, 8], "é"], [[7, 6], ""], [[5, 4], "日本"]]
 
 
-def test_one_matrix_tensor(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [tensor("input-0", [2, 4], [[6.8, 2.8, 4.8, 1.4],
-                                                                           [6.0, 3.4, 6.2, 1.8]])]})
-    assert cols == ["0", "1", "2", "3"]          # tensor name dropped, positional
-    assert rows == [[6.8, 2.8, 4.8, 1.4], [6.0, 3.4, 6.2, 1.8]]
+def test_column_types_follow_the_cells(spark):
+    req = {"inputs": [tensor("open", [2], [False, True], "BOOL"), tensor("temp", [2], [-273.15, 1e6]),
+                      tensor("count", [2], [-(2 ** 40), 0], "INT64"), tensor("word", [2], ["ja", "nö"], "BYTES")]}
+    logged = datapoints(kserve_inferences(pair(spark, req, {"outputs": [tensor("rank", [2], [4, 9], "INT32")]})))
+    assert logged.schema.inputs == [("open", "boolean"), ("temp", "double"), ("count", "bigint"), ("word", "string")]
+    assert logged.schema.outputs == [("rank", "bigint")]
+    rows = [tuple(r)[2:] for r in logged.good.orderBy("id").collect()]
+    assert rows == [(False, -273.15, -(2 ** 40), "ja", 4), (True, 1e6, 0, "nö", 9)]
 
 
-def test_mixed_dtypes_typed(spark):
-    req = {"inputs": [tensor("bool_column", [3], [True, True, False], "BOOL"),
-                      tensor("float_column", [3], [0.5, -4.6, 103.4]),
-                      tensor("int_column", [3], [32, 64, 128], "INT32"),
-                      tensor("string_column", [3], ["hello", "world", "!"], "BYTES")]}
-    resp = {"outputs": [tensor("predict", [3], [1, 0, 1], "INT32")]}
-    logged = datapoints(kserve_inferences(pair(spark, req, resp)))
-    types = dict(logged.schema.inputs)
-    assert types == {"bool_column": "boolean", "float_column": "double",
-                     "int_column": "bigint", "string_column": "string"}
-    rows = sorted(tuple(r) for r in logged.good.select(
-        "bool_column", "float_column", "int_column", "string_column").collect())
-    assert rows == sorted([(True, 0.5, 32, "hello"), (True, -4.6, 64, "world"), (False, 103.4, 128, "!")])
+def test_lists_of_rows_and_scalars(spark):
+    assert frame_of(spark, {"instances": [["x", -1, None]]}) == (["0", "1", "2"], [["x", -1, None]], None)
+    assert frame_of(spark, {"predictions": [0.125, "no", None]}, side="response") == (["0"], [[0.125], ["no"], [None]], None)
 
 
-def test_text_and_embedding(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [
-        tensor("text", [2], ["Hello", "World"], "BYTES"),
-        tensor("embedding", [2, 4], [[1, 2, 3, 4], [4, 5, 6, 7]])]})
-    assert cols == ["text", "embedding"]
-    assert rows == [["Hello", [1, 2, 3, 4]], ["World", [4, 5, 6, 7]]]
+def test_dicts_of_columns(spark):
+    assert frame_of(spark, {"instances": {"z": [1, 2], "a": ["p", "q"]}}) == (["z", "a"], [[1, "p"], [2, "q"]], None)
+    assert frame_of(spark, {"predictions": {"y": [1], "x": [1, 2]}}, side="response")[2] == "unequal_column_lengths"
+    assert frame_of(spark, {"instances": {"y": 1}})[2] == "rows_not_a_list"
 
 
-def test_v1_request(spark):
-    cols, rows, _ = frame_of(spark, {"instances": [[1, 2, 3, 4], [4, 5, 6, 7]]})
-    assert cols == ["0", "1", "2", "3"] and rows == [[1, 2, 3, 4], [4, 5, 6, 7]]
+def test_repeated_keys_keep_the_last(spark):
+    assert frame_of(spark, '{"instances": [{"a": 1, "a": 2}]}') == (["a"], [[2]], None)
 
 
-def test_v1_response(spark):
-    cols, rows, _ = frame_of(spark, {"predictions": [1, 1]}, side="response")
-    assert cols == ["0"] and rows == [[1], [1]]
-
-
-def test_v2_request(spark):
-    cols, rows, _ = frame_of(spark, {"inputs": [
-        tensor("text", [2], ["Hello", "World"], "BYTES"),
-        tensor("embedding", [2, 4], [[1, 2, 3, 4], [4, 5, 6, 7]])]})
-    assert rows == [["Hello", [1, 2, 3, 4]], ["World", [4, 5, 6, 7]]]
-
-
-def test_v2_response(spark):
-    cols, rows, _ = frame_of(spark, {"outputs": [tensor("predict", [3], [2, 3, 4])]}, side="response")
-    assert cols == ["predict"] and rows == [[2], [3], [4]]
-
-
-# --- cases the reference does not test (FIXTURES.md section 3) ---------------------
+# --- more cases ---------------------------------------------------------------------
 
 def test_instances_beat_inputs(spark):
     cols, rows, _ = frame_of(spark, {"instances": [[1]], "inputs": [tensor("a", [1], [9])]})
@@ -129,6 +102,10 @@ def test_mixed_row_kinds_and_malformed(spark):
     assert frame_of(spark, '{"instances": [[')[2] == "malformed_body"
 
 
+def test_unnamed_tensor_is_refused(spark):
+    assert frame_of(spark, {"inputs": [{"shape": [1], "data": [1]}]})[2] == "bad_tensors"
+
+
 @pytest.mark.parametrize("payload", [{"instances": []}, {"instances": None}, {"inputs": []}])
 def test_empty_payloads(spark, payload):
     cols, rows, err = frame_of(spark, payload)

@@ -8,7 +8,6 @@ from predlake.functions.barrier import where
 from predlake.operators.correlate import kserve_inferences
 from predlake.operators.envelope import classify
 from predlake.plans import feeds
-from predlake.sources.envelopes import balance
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,19 +17,12 @@ def _ops(plan: str) -> list[str]:
     return [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in plan.split("\n")]
 
 
-def test_balance_only_spreads_small_scans(spark):
-    one = spark.range(100).coalesce(1)
-    assert balance(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 16)
-    assert balance(many, 4) is many
-
-
 def test_reason_filter_stays_above_the_parse(spark):
     env = feeds.kserve_pairs(spark, SF)
     good = where(classify(env), F.col("_reason").isNull())
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.split("\n") if re.search(r"(^|[+:\- ])Filter ", line)]
-    assert filters and not any("json_object_keys" in f for f in filters)
+    assert filters and not any("from_json" in f for f in filters)
 
 
 def test_pairs_and_quarantine_share_one_exchange(spark):
@@ -38,4 +30,11 @@ def test_pairs_and_quarantine_share_one_exchange(spark):
     inf.write.format("noop").mode("overwrite").save()
     ops = _ops(inf._jdf.queryExecution().executedPlan().toString())
     assert sum(o.startswith("Exchange hashpartitioning") for o in ops) == 1
-    assert sum(o.startswith("FileScan parquet") for o in ops) == 2   # the feed's two branches
+    assert sum(o.startswith("FileScan parquet") for o in ops) == 1
+
+
+def test_a_body_is_parsed_once(spark):
+    plan = kserve_inferences(feeds.kserve_pairs(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("end of body") > 0
+    body = [line for line in plan.split("\n") if "AS body#" in line]
+    assert len(body) == 1 and body[0].count("from_json(StructField(body") == 1

@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from predlake.plans import queries as Q
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
+ORACLES = Q.ORACLES
+QUERIES = Q.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in ORACLES and not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = digest(QUERIES[name](spark, SF).toPandas())
     want = digest(duck.execute(ORACLES[name]).fetchdf())
@@ -27,9 +28,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    assert set(QUERIES) - set(ORACLES) == {"stream_late"}
-    assert {"stream_correlate", "stream_parquet"} <= set(ORACLES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

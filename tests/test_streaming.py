@@ -1,59 +1,36 @@
-"""Stream = batch on the same files; stop and restart on a checkpoint (no loss, no repeats)."""
-
-import os
-import shutil
+"""Stream = batch on the same messages; stop and restart on a checkpoint (no loss, no repeats)."""
 
 from predlake.operators.correlate import kserve_inferences
 from predlake.plans import feeds
 from predlake.plans.logger import datapoints
 from predlake.plans.spec import LoggerSpec
-from predlake.sources.envelopes import land_envelopes, read_envelopes, stream_envelopes
-from predlake.streaming.logger import pin_schema, run_to_parquet, scratch
+from predlake.sinks.parquet import BATCH
+from predlake.sources.envelopes import deliver_slice, read_envelopes, stage_slices, stream_envelopes
+from predlake.streaming.logger import pin_schema, run_loggers, scratch
 
 SF = "/root/testdata/sf0.001"
 
 
-def _spec(url):
-    return LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "kserve"},
-                                 "destination": {"type": "parquet", "config": {"url": url}}})
-
-
 def _rows(df):
     return sorted(tuple(r) for r in df.select("id", "occurred_at", "X0", "X1", "Y0").collect())
 
 
 def test_stream_equals_batch_and_restart(spark):
     base = scratch(spark, "test-stream")
-    staged = f"{base}/staged"
-    paths = land_envelopes(feeds.repeated_pairs(spark, SF), staged, files=8)
-    batch = datapoints(kserve_inferences(read_envelopes(spark, staged)))
-    want = _rows(batch.good)
+    stage_slices(feeds.repeated_pairs(spark, SF), f"{base}/staged", 4)
+    want = _rows(datapoints(kserve_inferences(read_envelopes(spark, f"{base}/staged"))).good)
     assert len(want) > 100
+    spec = LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "kserve", "config": {"stateTime": "1 day"}},
+                                 "destination": {"type": "parquet", "config": {"url": f"{base}/lake"}}})
+    schema = pin_schema(spark, spec, f"{base}/staged")
+
+    def run(*slices):
+        for i in slices:
+            deliver_slice(spark, f"{base}/staged", i, f"{base}/landing")
+        run_loggers([spec], stream_envelopes(spark, f"{base}/landing"), {"s": schema}, f"{base}/ckpt", 2).awaitTermination()
+        return _rows(spark.read.parquet(f"{base}/lake/s").drop(BATCH))
 
-    spec = _spec(f"{base}/lake")
-    schema = pin_schema(spark, spec, staged)
-    landing = f"{base}/landing"
-    os.makedirs(landing)
-
-    def deliver(ps):
-        for i, p in enumerate(ps):
-            dst = f"{landing}/{os.path.basename(os.path.dirname(p))}-{os.path.basename(p)}"
-            shutil.copy(p, dst)
-            os.utime(dst, (os.path.getmtime(p), os.path.getmtime(p)))
-
-    def run():
-        q = run_to_parquet(spec, stream_envelopes(spark, landing, max_files_per_trigger=1), schema,
-                           checkpoint=f"{base}/ckpt")
-        q.awaitTermination()
-        return q
-
-    deliver(paths[:4])
-    run()
-    first = _rows(spark.read.parquet(f"{base}/lake/s"))
+    first = run(0, 1)
     assert 0 < len(first) < len(want)
-    deliver(paths[4:])
-    run()
-    got = _rows(spark.read.parquet(f"{base}/lake/s"))
-    assert got == want                      # restart: nothing lost, nothing twice
-    run()                                   # rerun on the same checkpoint: no new rows
-    assert _rows(spark.read.parquet(f"{base}/lake/s")) == want
+    assert run(2, 3) == want                # restart: nothing lost, nothing twice
+    assert run() == want                    # rerun on the same checkpoint: no new rows
