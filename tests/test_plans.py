@@ -27,7 +27,6 @@ def test_reason_filter_stays_above_the_parse(spark):
 
 def test_pairs_and_quarantine_share_one_exchange(spark):
     inf = kserve_inferences(feeds.broken_pairs(spark, SF))
-    inf.write.format("noop").mode("overwrite").save()
     ops = _ops(inf._jdf.queryExecution().executedPlan().toString())
     assert sum(o.startswith("Exchange hashpartitioning") for o in ops) == 1
     assert sum(o.startswith("FileScan parquet") for o in ops) == 1

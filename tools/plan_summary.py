@@ -1,4 +1,4 @@
-"""Per query: shuffles, scans and the columns each scan reads (executed, AQE-final plan).
+"""Per query: exchanges, scans and the columns each scan reads, from the initial plan of the query's frame.
 
 Usage: python tools/plan_summary.py [sf_dir] [query ...]
 """
@@ -9,34 +9,31 @@ import re
 import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
-import __spark_entry__ as E  # noqa: E402
+from predlake.plans.queries import QUERIES  # noqa: E402
 from predlake.session import local_session  # noqa: E402
 
-SKIP = {"stream_correlate", "stream_late", "stream_parquet", "schema_infer"}
+SKIP = {"schema_infer"}   # and the stream queries, whose frames read what a stream has written
 
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = local_session(8)
-    print("| query | shuffles (hash / single / range) | reused | scans | columns read |")
+    print("| query | exchanges (hash / other) | reused | scans | columns read |")
     print("| --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
-        if name in SKIP or (only and name not in only):
+    for name, fn in QUERIES.items():
+        if name in SKIP or name.startswith("stream_") or (only and name not in only):
             continue
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("== Initial Plan ==")[0]     # AQE prints the final plan first
         ops = [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in plan.split("\n")]
         hashed = sum(o.startswith("Exchange hashpartitioning") for o in ops)
-        single = sum(o.startswith("Exchange SinglePartition") for o in ops)
-        ranged = sum(o.startswith("Exchange rangepartitioning") for o in ops)
+        other = sum(o.startswith("Exchange ") for o in ops) - hashed
         reused = sum(o.startswith("ReusedExchange") for o in ops)
         scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*?/([a-z]+)\.parquet\]", plan)
         cols = "; ".join(sorted({f"{t}: " + ",".join(re.sub(r"#\d+L?", "", c) for c in cs.split(","))
                                  for cs, t in scans}))
-        print(f"| {name} | {hashed} / {single} / {ranged} | {reused} | {len(scans)} | {cols} |", flush=True)
+        print(f"| {name} | {hashed} / {other} | {reused} | {len(scans)} | {cols} |", flush=True)
 
 
 if __name__ == "__main__":
