@@ -35,4 +35,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": lambda spark, d: pack_documents(table(spark, d, "documents")),
 }
 
-ORACLES: dict[str, str] = {}
+# The other methods are not SQL: they learn, hash with XXH64 or CRC-32, tokenise, parse HTML or pack bins.
+ORACLES: dict[str, str] = {
+    "op7_topk_histogram": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""",
+}

@@ -1,5 +1,6 @@
 """op5 and op7 against brute force, and their edge cases."""
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -36,6 +37,13 @@ def test_topk_query_equals_brute_force(spark, table):
     assert answers(queries.QUERIES["op7_topk_histogram"](spark, SF)) == brute(ids, lambda i: i % 20 == 0, lambda i, j: int(s[i, j]), 20)
 
 
+def test_topk_query_equals_its_oracle(spark):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    want = duck.execute(queries.ORACLES["op7_topk_histogram"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["op7_topk_histogram"](spark, SF).collect())) == sorted(want)
+
+
 def test_topk_ties_nulls_repeats_and_extra_columns(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 9, "x"), (20, [-1.0, 0.0], 9, None), (7, [0.5, 0.5], 9, "x"), (8, [0.5, 0.1], 9, "x"), (8, [0.5, 0.1], 9, "x"),
