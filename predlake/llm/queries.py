@@ -39,8 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op7_topk_histogram": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
