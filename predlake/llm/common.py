@@ -11,7 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Whole texts go to Python in batches of so many rows and bytes at most, which bounds what a task holds on both sides.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+                "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b")}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the batch limits of a session that has left them at Spark's defaults."""
+    for key, (default, limit) in BATCH_LIMITS.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, limit)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,6 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a single-machine session without the setting gets a folder of its own;
     on a cluster a missing setting is an error, as no local folder is shared.
     """
+    bound_batches(spark)
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         if not re.match(r"local(\[|$)", sc.master):
