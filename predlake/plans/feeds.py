@@ -336,11 +336,11 @@ def iso_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                ts, F.col("event_id"), topic="json-events"))
 
 
-def mixed_type_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON events whose ``code`` is a number, except text ``"E<k>"`` for errors."""
+def mixed_type_events(spark: SparkSession, sf_dir: str, text: str = "error") -> DataFrame:
+    """JSON events whose ``code`` is a number, except text ``"E<k>"`` for events of type ``text``."""
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
-    code = F.when(F.col("event_type") == "error", F.concat(F.lit('"E'), k, F.lit('"'))).otherwise(k)
+    code = F.when(F.col("event_type") == text, F.concat(F.lit('"E'), k, F.lit('"'))).otherwise(k)
     body = F.concat(
         F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('","model_name":"'), F.col("event_type"),
         F.lit('","inputs":[{"user_id":'), F.coalesce(F.col("user_id").cast("string"), F.lit("null")),
