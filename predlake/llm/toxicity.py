@@ -1,7 +1,8 @@
 """Toxicity from a learned lexicon, matched by Levenshtein automata over a trie.
 
 Learning finds the words and word beginnings that explain the labelled toxic
-documents (a greedy cover) and are hardly ever found in the others; they form a
+documents (a greedy cover) and are hardly ever found in the others; with the
+words that begin like that, whose misspellings no beginning finds, they form a
 trie. Every distinct word of a text is turned into a Levenshtein automaton and
 intersected with the trie, which gives the entries that it spells or misspells.
 An entry's evidence is its log-odds among the labelled documents; a misspelling
@@ -169,11 +170,23 @@ def context(tokens: list[str], at: int) -> float:
 
 
 class Matcher:
-    def __init__(self, entries: list[str]) -> None:
+    """``odds``: {entry: [log-odds by edits]}; with these only the strongest match of a word counts, else all of its fewest edits."""
+
+    def __init__(self, entries: list[str], odds: dict[str, list[float]] | None = None) -> None:
         self.lexicon = Automaton(entries)
+        self.odds = odds
         self.known: dict[str, tuple] = {}
         self.hits: set[str] = set()
 
+    def strongest(self, word: str) -> list[tuple[str, int]]:
+        found = self.lexicon.spelt(word)
+        if len(found) > 1:
+            least = min(d for _, d in found)
+            found = [m for m in found if m[1] == least]
+            if self.odds is not None:
+                found = [max(found, key=lambda m: self.odds[m[0]][m[1]])]
+        return found
+
     def matches(self, text: str) -> Iterator[tuple[str, int, float]]:
         """(entry, edits, context factor) of every matching word of a whole text."""
         tokens = text.split()
@@ -182,7 +195,7 @@ class Matcher:
             self.known.clear()
             self.hits.clear()
         for t in [t for t in distinct if t not in self.known]:
-            found = tuple(m for w in words_of(t) for m in self.lexicon.spelt(w))
+            found = tuple(m for w in words_of(t) for m in self.strongest(w))
             self.known[t] = found
             if found:
                 self.hits.add(t)
@@ -209,7 +222,7 @@ def log_odds(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
 
 
 def cover(terms: dict[str, tuple[set[int], int]], share: float) -> list[str]:
-    """The entries: {term: (groups of toxic documents, clean documents)}, the toxic share -> terms.
+    """The entries besides the forms of beginnings: {term: (groups of toxic documents, clean documents)}, the toxic share -> terms.
 
     Pure terms in so many groups that chance is ruled out, longest-reaching first, so that a
     word's beginning replaces the words it begins; then, again and again, the term that is in
@@ -238,6 +251,11 @@ def cover(terms: dict[str, tuple[set[int], int]], share: float) -> list[str]:
     return sorted(chosen)
 
 
+def beginning(word: str, stems: set[str]) -> str | None:
+    """The longest of the beginnings that the word begins with, as an entry."""
+    return next((word[:n] + "*" for n in reversed(STEMS) if len(word) > n and word[:n] in stems), None)
+
+
 def _sketch(batches):
     """The least hashes of the three-word shingles of a text, one for each of some hash functions."""
     for pdf in batches:
@@ -275,7 +293,7 @@ def _terms(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """The lexicon with its log-odds: {prior, entries: {entry: [log-odds by edits]}}. Equal texts of the sample count once."""
+    """The lexicon with its log-odds: {prior, entries: {entry: [log-odds by edits]}, kin: {form: its beginning}}. Equal texts of the sample count once."""
     sample = labelled_sample(docs, labels, "toxic", lambda i: split_of(i, HELD_OUT[0]) != HELD_OUT[1], fit_rows)
     sample = materialise(sample.withColumn("text_id", F.xxhash64("text")).groupBy("text_id")
                          .agg(F.max("y").alias("y"), F.first("text").alias("text")), "labelled")
@@ -283,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     n_toxic, n_clean = counted.get(1, 0), counted.get(0, 0)
     prior = math.log((n_toxic + 0.5) / (n_clean + 0.5)) if n_toxic else -10.0
     if not n_toxic:
-        return {"prior": prior, "entries": {}}
+        return {"prior": prior, "entries": {}, "kin": {}}
     toxic = sample.where("y = 1").select("text_id", "y", "text").mapInPandas(_terms, "term string, text_id long, y int")
     toxic = materialise(toxic, "toxic-terms")
     often = toxic.groupBy("term").agg(F.count("*").alias("toxic")).where(F.col("toxic") >= LEAST_SUPPORT)
@@ -297,7 +315,13 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     for r in toxic.join(F.broadcast(pure), "term").groupBy("term").agg(
             F.collect_set("text_id").alias("docs"), F.first("clean").alias("clean")).toLocalIterator():
         terms[r["term"]] = ({group[d] for d in r["docs"]}, r["clean"])
-    entries = cover(terms, n_toxic / (n_toxic + n_clean))
+    chosen = cover(terms, n_toxic / (n_toxic + n_clean))
+    stems = {t[:-1] for t in chosen if t.endswith("*")}
+    # the forms of a beginning, however rare: their misspellings are found by words alone
+    forms = {r["term"] for r in toxic.where(~F.col("term").endswith("*")).where(
+        F.col("term").substr(1, STEMS[0]).isin(sorted({t[:STEMS[0]] for t in stems}))).select("term").distinct().collect()} if stems else set()
+    kin = {w: b for w in forms - set(chosen) if (b := beginning(w, stems))}
+    entries = sorted({*chosen, *kin})
 
     def found(batches):
         matcher = Matcher(entries)
@@ -309,15 +333,22 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
         found, "entry string, edits int, y int").groupBy("entry", "edits", "y").count().collect()})
     odds = {}
     for e in entries:
-        exact = seen[e, 0, 1]
+        exact = max(seen[e, 0, 1], LEAST_SUPPORT) if e in kin else seen[e, 0, 1]  # its beginning explains so many at least
         # a misspelling is expected half as often in toxic texts with each edit, and in clean ones as often as seen there
         odds[e] = [log_odds(exact / 2 ** d + (seen[e, d, 1] if d else 0), seen[e, d, 0], n_toxic, n_clean) for d in range(allowed(e) + 1)]
-    return {"prior": prior, "entries": odds}
+    return {"prior": prior, "entries": odds, "kin": kin}
 
 
 def evidence(found: dict[str, tuple[int, float]], model: dict) -> float:
-    """The score. Words like one entry are often like its neighbours, so only the strongest misspelling counts."""
-    parts = [(d, max(0.0, model["entries"][e][d]) * factor) for e, (d, factor) in found.items()]
+    """The score. Words like one entry are often like its neighbours, so only the strongest misspelling counts.
+
+    A beginning and its forms count once, by the strongest match of fewest edits."""
+    best: dict[str, tuple[int, float]] = {}
+    for e, (d, factor) in found.items():
+        x, of = max(0.0, model["entries"][e][d]) * factor, model["kin"].get(e, e)
+        if of not in best or (d, -x) < (best[of][0], -best[of][1]):
+            best[of] = (d, x)
+    parts = best.values()
     total = sum(x for d, x in parts if not d) + MISSPELT * max((x for d, x in parts if d), default=0.0)
     return 1 / (1 + math.exp(-min(50.0, max(-50.0, model["prior"] + total))))
 
@@ -331,11 +362,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     named like the three new ones are replaced.
     """
     model = train(docs, labels, fit_rows)
-    key = f"toxicity:{sorted(model['entries'].items())}{model['prior']}"
+    key = f"toxicity:{sorted(model['entries'].items())}{sorted(model['kin'].items())}{model['prior']}"
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        matcher = per_process(key, lambda: Matcher(sorted(model["entries"])))
+        matcher = per_process(key, lambda: Matcher(sorted(model["entries"]), model["entries"]))
         return pd.Series(np.array([evidence(matcher.best(t or ""), model) for t in texts], np.float64))
 
     return (docs.withColumn("held_out", split_of(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1])

@@ -113,6 +113,36 @@ def test_toxicity_learns_words_stems_and_misspellings(spark):
     assert [got[i].predicted for i in range(5000, 5006)] == [1, 1, 0, 0, 0, 1]
 
 
+def inflected():
+    """An insult with inflected forms, so that its beginning is chosen before its words."""
+    rng, data = random.Random(4), []
+    for i, t in enumerate(corpus(600, 2)):
+        words, toxic = t.split(), i % 3 == 0
+        if toxic:
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "idiots", "idiotic", "stupid", "stupids", "worthless"]))
+        data.append((i, " ".join(words), int(toxic)))
+    return data
+
+
+def scored(spark, data, texts):
+    docs = spark.createDataFrame([(i, t, "", "", "") for i, t, _ in data] + [(5000 + i, t, "", "", "") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, spark.createDataFrame([(i, 1, y, "") for i, _, y in data], LABELS)).collect()}
+    held = [got[i].predicted == y for i, _, y in data if got[i].held_out]
+    assert len(held) > 100 and np.mean(held) >= 0.98
+    return [got[5000 + i] for i in range(len(texts))]
+
+
+def test_toxicity_finds_misspellings_inside_a_beginning(spark):
+    got = scored(spark, inflected(), ["such an idiut here", "all ideots there", "a stuqid thing", "xidiotic rain", "a quiet day of rain", "one idiot here", "one idiot idiots idiotic idiut here"])
+    assert [r.predicted for r in got] == [1, 1, 1, 1, 0, 1, 1]
+    assert abs(got[5].score - got[6].score) < 0.05  # a beginning and its forms count once
+
+
+def test_strongest_match_of_a_word_counts():
+    odds = {"idio*": [3.0], "idiot": [2.0, 1.0], "idiots": [2.5, 1.5]}
+    assert [(e, d) for e, d, _ in toxicity.Matcher(sorted(odds), odds).matches("idiots idiot ideots")] == [("idio*", 0), ("idio*", 0), ("idiots", 1)]
+
+
 def test_toxicity_without_toxic_labels(spark):
     docs = spark.createDataFrame([(1, "a moron", "", "", ""), (2, None, "", "", "")], DOCS)
     got = toxicity.toxicity_scores(docs, spark.createDataFrame([], LABELS)).collect()
