@@ -46,12 +46,18 @@ OPENING, CLOSING = "\"'“„«‘‚›", "\"'”“»’‘‹"
 REPORTING = {"said", "says", "called", "quote", "quoted", "wrote", "word", "term", "sagte", "wort", "dit", "mot", "dijo", "palabra"}
 ADDRESS = {"you", "your", "you're", "u", "du", "dich", "dir", "ihr", "tu", "toi", "te", "vous", "tú", "usted", "vosotros"}
 LETTERS = re.compile(r"[^\W\d_]+")
+EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def words_of(token: str) -> list[str]:
     return LETTERS.findall(token.lower())
 
 
+def whole_of(token: str) -> str:
+    """The token without the signs around it; a digit or sign inside stays and costs an edit."""
+    return EDGES.sub("", token.lower())
+
+
 def allowed(entry: str) -> int:
     """Edits that an entry may be misspelt by; beginnings of words must be exact."""
     return 0 if entry.endswith("*") or len(entry) < 5 else 1 if len(entry) < 9 else 2
@@ -187,15 +193,25 @@ class Matcher:
                 found = [max(found, key=lambda m: self.odds[m[0]][m[1]])]
         return found
 
+    def of_token(self, token: str) -> list[tuple[str, int]]:
+        """The matches of the token's words, or those of the whole token if it is spelt with fewer edits than any of these."""
+        words, whole = words_of(token), whole_of(token)
+        found = [m for w in words for m in self.strongest(w)]
+        if [whole] != words and whole and (not found or min(d for _, d in found)):
+            spelt = self.strongest(whole)
+            if spelt and (not found or spelt[0][1] < min(d for _, d in found)):
+                return spelt
+        return found
+
     def matches(self, text: str) -> Iterator[tuple[str, int, float]]:
-        """(entry, edits, context factor) of every matching word of a whole text."""
+        """(entry, edits, context factor) of every matching word or token of a whole text."""
         tokens = text.split()
         distinct = set(tokens)
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
             self.hits.clear()
         for t in [t for t in distinct if t not in self.known]:
-            found = tuple(m for w in words_of(t) for m in self.strongest(w))
+            found = tuple(self.of_token(t))
             self.known[t] = found
             if found:
                 self.hits.add(t)

@@ -143,6 +143,18 @@ def test_strongest_match_of_a_word_counts():
     assert [(e, d) for e, d, _ in toxicity.Matcher(sorted(odds), odds).matches("idiots idiot ideots")] == [("idio*", 0), ("idio*", 0), ("idiots", 1)]
 
 
+def test_digits_and_signs_inside_a_word_cost_an_edit():
+    matcher = toxicity.Matcher(["stupid", "idiot", "worthless", "disgusting", "clown"])
+    for token, want in [("stup1d", [("stupid", 1)]), ('"id*ot!",', [("idiot", 1)]), ("w0rthl3ss", [("worthless", 2)]), ("$tupid", [("stupid", 1)]), ("_idiot_", [("idiot", 0)]),
+                        ("idiot-clown", [("idiot", 0), ("clown", 0)]), ("1d1ot", []), ("stupid7", [("stupid", 0)]), ("17:30", []), ("***", [])]:
+        assert matcher.of_token(token) == want, token
+
+
+def test_toxicity_finds_words_spelt_with_digits_and_signs(spark):
+    got = scored(spark, inflected(), ["such an idi0t here", "a (stup1d) thing", "so st*pid!", "w0rthless rain", "1d10t st0p1d at 17:30"])
+    assert [r.predicted for r in got] == [1, 1, 1, 1, 0]
+
+
 def test_toxicity_without_toxic_labels(spark):
     docs = spark.createDataFrame([(1, "a moron", "", "", ""), (2, None, "", "", "")], DOCS)
     got = toxicity.toxicity_scores(docs, spark.createDataFrame([], LABELS)).collect()
