@@ -6,16 +6,16 @@ comes again becomes a repeated group, and differing texts become a text slot. Th
 result, the host's wrapper, is a regular expression without unions; it is kept as
 nested groups, one for each pair of tags. Wrappers of parts of a host are aligned
 with each other in the same way, so a host's pages are never gathered in one task.
+Equal pages of a host count once.
 
 A wrapper shows where a host's pages hold their article: in the article or main
 element, or else in the group with nearly all of the text that is no boilerplate.
-Slots in menus, headers, footers, forms and the like, and short texts that all
-pages share, are left out.
+Slots in menus, headers, footers, forms and the like, and short texts that the
+different pages share, are left out.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import json
 import re
@@ -45,8 +45,9 @@ TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 TEXT = "#"
 CORE = 0.7        # a group with this part of the remaining text holds the article, if no element says so
-SHARED_PAGES = 8  # a text that so many pages or more all share is no article text
+SHARED = 0.75     # a text that this part of a host's different pages share (two at least), and none has otherwise, is no article text
 SHARED_CHARS = 200
+ALIKE = 0.5       # pages that share this part of their article's text are near copies, not one template
 SALTS = 32
 KEPT_HOSTS = 2000  # wrappers that a task holds at once
 
@@ -97,10 +98,8 @@ def _plain(text: str) -> str:
 
 
 def group() -> dict:
-    """A wrapper's group: pages with it, characters of its own texts, the one text they share ("" for several), its parts in order, flags.
-
-    The root also has "page", the digest of the one page it was made of ("" for several)."""
-    return {"pages": 0, "chars": 0, "text": None, "parts": {}, "optional": False, "repeated": False}
+    """A wrapper's group: pages with it, pages with own texts in it, characters of these, the one text they share ("" for several), its parts in order, flags."""
+    return {"pages": 0, "said": 0, "chars": 0, "text": None, "parts": {}, "optional": False, "repeated": False}
 
 
 def wrap(node: list) -> dict:
@@ -116,15 +115,14 @@ def wrap(node: list) -> dict:
         key, inner = part[0], wrap(part)
         if key in g["parts"]:
             inner["pages"] = 0  # pages count once however often a group repeats
+            inner["said"] = int(inner["said"] > g["parts"][key]["said"])
             g["parts"][key] = align(g["parts"][key], inner)
             g["parts"][key]["repeated"] = True
         else:
             g["parts"] = _inserted(g["parts"], last, key, inner)
         last = key
     if own:
-        g["chars"], g["text"] = sum(map(len, own)), " ".join(own)[:SHARED_CHARS + 1]
-    if node[0] == "":
-        g["page"] = hashlib.sha256(json.dumps(node[1]).encode()).hexdigest()
+        g["said"], g["chars"], g["text"] = 1, sum(map(len, own)), " ".join(own)[:SHARED_CHARS + 1]
     return g
 
 
@@ -140,11 +138,10 @@ def _inserted(parts: dict, after: str | None, key: str, inner: dict) -> dict:
 def align(a: dict, b: dict) -> dict:
     """The wrapper of both: shared groups are aligned in turn, a group that one lacks becomes optional, differing texts a slot."""
     g = group()
-    g["pages"], g["chars"] = a["pages"] + b["pages"], a["chars"] + b["chars"]
+    for n in ("pages", "said", "chars"):
+        g[n] = a[n] + b[n]
     g["optional"], g["repeated"] = a["optional"] or b["optional"], a["repeated"] or b["repeated"]
     g["text"] = b["text"] if a["text"] is None else a["text"] if b["text"] in (None, a["text"]) else ""
-    if "page" in a:
-        g["page"] = a["page"] if a["page"] == b["page"] else ""
     parts, last = dict(a["parts"]), None
     for key, inner in parts.items():
         if key not in b["parts"]:
@@ -200,15 +197,22 @@ def article_path(wrapper: dict) -> list[str]:
         g, path = inner, [*path, most[1]]
 
 
-def shared_texts(g: dict) -> bool:
-    """Is the text of this slot the same on all of several pages, and short?"""
-    return g["pages"] >= SHARED_PAGES and bool(g["text"]) and len(g["text"]) <= SHARED_CHARS
+def shared_texts(g: dict, pages: int) -> bool:
+    """Is the text of this slot short, and the same on nearly all of the host's different pages?"""
+    return g["said"] >= max(2, SHARED * pages) and bool(g["text"]) and len(g["text"]) <= SHARED_CHARS
+
+
+def shared_chars(g: dict, pages: int) -> int:
+    return (g["chars"] if shared_texts(g, pages) else 0) + sum(shared_chars(p, pages) for k, p in g["parts"].items() if not dropped(k))
+
 
+def blocks(nodes: list[list], wrapper: dict, pages: int) -> list[str]:
+    """The blocks of text of groups that the wrapper describes, in page order. Texts that the host's pages share go, but headings.
 
-def blocks(nodes: list[list], wrapper: dict, varies: bool) -> list[str]:
-    """The blocks of text of groups that the wrapper describes, in page order. If the host's pages vary, texts that all share go, but headings."""
+    Inline groups go with the text around them only. If the pages share most of the article's text, all stays."""
     out: list[str] = []
     run: list[str] = []
+    varies = shared_chars(wrapper, pages) < ALIKE * total(wrapper)
 
     def close() -> None:
         text = _plain("".join(run))
@@ -216,8 +220,10 @@ def blocks(nodes: list[list], wrapper: dict, varies: bool) -> list[str]:
         if text:
             out.append(text)
 
-    def walk(node: list, g: dict | None) -> None:
-        skip = varies and g is not None and shared_texts(g) and not re.match("h[1-6]$", _name(node))
+    def walk(node: list, g: dict | None, around: bool) -> None:
+        skip = varies and g is not None and shared_texts(g, pages) and not re.match("h[1-6]$", _name(node))
+        if _name(node) in INLINE:
+            skip = skip and around
         for part in node[1]:
             if isinstance(part, str):
                 if not skip:
@@ -233,12 +239,12 @@ def blocks(nodes: list[list], wrapper: dict, varies: bool) -> list[str]:
                 continue
             if name not in INLINE:
                 close()
-            walk(part, g["parts"].get(part[0]) if g else None)
+            walk(part, g["parts"].get(part[0]) if g else None, skip or (g is not None and g["text"] is None))
             if name not in INLINE:
                 close()
 
     for node in nodes:
-        walk(node, wrapper)
+        walk(node, wrapper, True)
         close()
     return out
 
@@ -263,13 +269,18 @@ def main_text(source: str, wrapper: dict | None) -> str:
     inner = wrapper
     for k in path:
         inner = inner["parts"][k]
-    return "\n\n".join(blocks(nodes, inner, wrapper["page"] == ""))
+    return "\n\n".join(blocks(nodes, inner, wrapper["pages"]))
 
 
 def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
 
 
+def _bodies(batches):
+    for pdf in batches:
+        yield pd.DataFrame({"host": pdf.host, "body": [json.dumps(parse(source)[1]) for source in pdf.html]}, dtype=object)
+
+
 def _partial(batches):
     """One wrapper for each host of a task, or more where a task has very many hosts."""
     from pyspark import TaskContext
@@ -280,8 +291,8 @@ def _partial(batches):
         return pd.DataFrame([(h, salt, json.dumps(w)) for h, w in kept.items()], columns=["host", "salt", "wrapper"], dtype=object)
 
     for pdf in batches:
-        for host, source in zip(pdf.host, pdf.html):
-            one = wrap(parse(source))
+        for host, body in zip(pdf.host, pdf.body):
+            one = wrap(["", json.loads(body)])
             kept[host] = align(kept[host], one) if host in kept else one
             if len(kept) >= KEPT_HOSTS:
                 yield rows()
@@ -300,7 +311,8 @@ def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, html) -> (host, wrapper): one wrapper a host, merged first by salt and then as a whole."""
     schema = "host string, salt int, wrapper string"
-    parts = pages.mapInPandas(_partial, schema).groupBy("host", "salt").applyInPandas(_merged, schema)
+    different = pages.mapInPandas(_bodies, "host string, body string").distinct()
+    parts = different.mapInPandas(_partial, schema).groupBy("host", "salt").applyInPandas(_merged, schema)
     return parts.groupBy("host").applyInPandas(_merged, schema).select("host", "wrapper")
 
 

@@ -40,6 +40,19 @@ def test_pages_of_one_template_alike_in_all_copies(spark):
     assert {r.text for r in wrappers.extract_text(rows).collect()} == {wrappers.main_text(PAGE.format(1), None)}
 
 
+def test_shared_texts_are_counted_on_different_pages(spark):
+    page = "<html><body><article><h1>Head {0}</h1><div class=x>Read on, friend</div><p>words of {0} that differ <b>Note</b> from page to page</p>{1}</article></body></html>"
+    copied = page.format("copied", "<blockquote>only this article says so</blockquote><pre>and this</pre>")
+    rows = [(i, "http://copies.example/", copied, "", "") for i in range(10)] + [(10 + i, "http://copies.example/", page.format(i, ""), "", "") for i in range(3)]
+    rows += [(20 + i, "http://few.example/", page.format(i, ""), "", "") for i in range(2)]
+    rows += [(30 + i, "http://near.example/", f"<article><p>The same article on both pages</p><i>{i}</i></article>", "", "") for i in range(2)]
+    got = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    plain = "Head {0}\n\nwords of {0} that differ Note from page to page"
+    assert {got[i] for i in range(10)} == {plain.format("copied") + "\n\nonly this article says so\n\nand this"}
+    assert [got[i] for i in (10, 11, 12, 20, 21)] == [plain.format(i) for i in (0, 1, 2, 0, 1)]
+    assert got[30] == "The same article on both pages\n\n0"
+
+
 def test_odd_pages(spark):
     odd = [None, "", "plain text &lt;b&gt; only", "<p>cut off at &am", "<article><p>open <b>still", "<<>><p", "<script>never closed <p>x</p>", "</div></p>stray",
            "<p>" + "word " * 60_000 + "</p>", "<div>" * 300 + "deep" + "</div>" * 300]
