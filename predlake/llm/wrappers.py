@@ -9,7 +9,7 @@ with each other in the same way, so a host's pages are never gathered in one tas
 Equal pages of a host count once.
 
 A wrapper shows where a host's pages hold their article: in the article or main
-element, or else in the group with nearly all of the text that is no boilerplate.
+element, or else in the innermost group with all of the text that is no boilerplate.
 Slots in menus, headers, footers, forms and the like, and short texts that the
 different pages share, are left out.
 """
@@ -44,7 +44,6 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[/!?
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 TEXT = "#"
-CORE = 0.7        # a group with this part of the remaining text holds the article, if no element says so
 SHARED = 0.75     # a text that this part of a host's different pages share (two at least), and none has otherwise, is no article text
 SHARED_CHARS = 200
 ALIKE = 0.5       # pages that share this part of their article's text are near copies, not one template
@@ -175,7 +174,9 @@ def total(g: dict) -> int:
 
 
 def article_path(wrapper: dict) -> list[str]:
-    """Keys from the page's root to the group that holds the article."""
+    """Keys from the page's root to the group that holds the article.
+
+    If no element says so, nothing is left out beside the group but boilerplate: dropped groups and texts that the host's pages share."""
     best: tuple[int, list[str]] = (-1, [])
     todo: list[tuple[dict, list[str]]] = [(wrapper, [])]
     while todo:
@@ -188,13 +189,17 @@ def article_path(wrapper: dict) -> list[str]:
             todo.append((p, [*path, k]))
     if best[0] >= 0:
         return best[1]
-    g, path = wrapper, []
+    g, path, pages = wrapper, [], wrapper["pages"]
+    if shared_chars(wrapper, pages) >= ALIKE * total(wrapper):
+        return path
     while True:
-        most = max(((total(p), k) for k, p in g["parts"].items() if not dropped(k) and k.partition(" ")[0] not in INLINE), default=(0, ""))
-        inner = g["parts"].get(most[1])
-        if not most[0] or most[0] < CORE * total(g) or inner["repeated"] or most[1].partition(" ")[0] in ("p", "li", "td", "tr"):
+        own = [k for k, p in g["parts"].items() if not dropped(k) and shared_chars(p, pages) < total(p)]
+        if g["text"] is not None and not shared_texts(g, pages) or len(own) != 1:
+            return path  # no group inside, or several, hold text that differs from page to page
+        inner, name = g["parts"][own[0]], own[0].partition(" ")[0]
+        if inner["repeated"] or name in INLINE or name in ("p", "li", "td", "tr"):
             return path
-        g, path = inner, [*path, most[1]]
+        g, path = inner, [*path, own[0]]
 
 
 def shared_texts(g: dict, pages: int) -> bool:

@@ -53,6 +53,17 @@ def test_shared_texts_are_counted_on_different_pages(spark):
     assert got[30] == "The same article on both pages\n\n0"
 
 
+def test_no_text_beside_the_largest_group_is_lost(spark):
+    page = ("<html><body><div class=top>Our paper</div><div class=page><div class=lede>intro {0}</div><div class=body><p>{1}</p></div><div class=more>{2}</div></div></body></html>")
+    rows = [(i, "http://h.example/", page.format(i, f"long text of {i} " * 20, f"second part of {i}"), "", "") for i in range(10)]
+    rows += [(10, "http://h.example/", page.format(10, "short", "most of the text of this page " * 9), "", "")] * 5
+    rows += [(11, "http://h.example/", "<html><body><div class=top>Our paper</div><div class=page><div class=other>a rarer page</div></div></body></html>", "", "")]
+    got = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(10):
+        assert got[i] == "\n\n".join([f"intro {i}", (f"long text of {i} " * 20).strip(), f"second part of {i}"])
+    assert got[10] == "intro 10\n\nshort\n\n" + ("most of the text of this page " * 9).strip() and got[11] == "a rarer page"
+
+
 def test_odd_pages(spark):
     odd = [None, "", "plain text &lt;b&gt; only", "<p>cut off at &am", "<article><p>open <b>still", "<<>><p", "<script>never closed <p>x</p>", "</div></p>stray",
            "<p>" + "word " * 60_000 + "</p>", "<div>" * 300 + "deep" + "</div>" * 300]
