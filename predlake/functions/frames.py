@@ -164,8 +164,10 @@ def tensors_frame(tensors: str, matrix_objects: str) -> str:
 # --- one strict parse per body ----------------------------------------------------
 #
 # The text is read as the first field of an object whose last field is a mark: a
-# text that is not exactly one JSON object (truncated, followed by more text, a
-# list, NaN) never lets the parser reach the mark.
+# truncated text, a list or NaN never lets the parser reach the mark. What follows a
+# first object and a comma could still pass as further fields, or end the object
+# early. So the text must also be the first of exactly two values of a list: there
+# only another value may follow a comma, here only a name and a colon.
 
 PAYLOAD_KEYS = (V1_REQUEST_KEY, V2_REQUEST_KEY, V1_RESPONSE_KEY, V2_RESPONSE_KEY)
 _MARK = "end of body"
@@ -180,7 +182,12 @@ def parse_body(text: str, payload: str = "") -> str:
     payload = payload or ", ".join(f"{k}: variant" for k in PAYLOAD_KEYS)
     fields = f"id: variant, model_name: string, model_version: string, occurred_at: string, {payload}"
     whole = f"from_json(concat('{{\"body\":', {text}, ',\"{_MARK}\":1}}'), 'struct<body: struct<{fields}>, `{_MARK}`: int>', {_STRICT})"
-    return let(whole, lambda w: f"IF({w}.`{_MARK}` = 1, {w}.body, NULL)")
+    return let(whole, lambda w: f"IF({w}.`{_MARK}` = 1 AND {one_value(text)}, {w}.body, NULL)")
+
+
+def one_value(text: str) -> str:
+    """Whether nothing but white space stands beside one JSON value (tokens are counted, nothing is built)."""
+    return f"coalesce(json_array_length(concat('[', {text}, ',1]')) = 2, FALSE)"
 
 
 def unread(text: str, key: str, missing: str) -> str:

@@ -26,7 +26,9 @@ on ``(ce_id, window)``, so a group is streamed in order by ``WindowExec``
   latest run at or before it that is first in its segment or not of length
   1, boundary i emits exactly when ``run_index(i) - run_index(head)`` is even.
 
-All passes share one partitioning and ordering: one shuffle, one sort.
+All passes share one partitioning and ordering: one shuffle, one sort. Keys
+with very many messages are cut into slices that are folded side by side
+(:mod:`predlake.operators.hot_keys`).
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from predlake.functions.barrier import barrier, where
 from predlake.model import DEFAULT_WINDOW
 from predlake.operators.envelope import classify
+from predlake.operators.hot_keys import HOT_ROWS, sliced
 
 _EVENT = ["event_id", "kind", "resp_id", "model_name", "model_version", "occurred_at", "frame",
           "topic", "partition", "offset", "timestamp"]
@@ -58,7 +61,10 @@ def _keyed_events(events: DataFrame, window: str) -> DataFrame:
     """
     ok = F.col("_reason").isNull()
     own_key = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
-    return (events.select(*_EVENT, "_reason", F.when(~ok, F.col("value")).alias("value"))
+    for name, value in (("_slice", F.lit(0)), ("_tie", F.lit(0)), ("_carried", F.lit(False))):
+        if name not in events.columns:
+            events = events.withColumn(name, value)
+    return (events.select(*_EVENT, "_reason", F.when(~ok, F.col("value")).alias("value"), "_slice", "_tie", "_carried")
             .withColumn("_key", F.when(ok, F.col("event_id")).otherwise(own_key))
             .withColumn("window_start", _window_start(window))
             .withColumn("t", F.when(~ok, F.lit("X"))
@@ -76,7 +82,7 @@ def pair_events(events: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
 
 
 def _part():
-    return Window.partitionBy("_key", "window_start").orderBy("timestamp", "partition", "offset")
+    return Window.partitionBy("_key", "window_start", "_slice").orderBy(F.desc("_carried"), "timestamp", "partition", "offset", "_tie")
 
 
 def _segmented(ev: DataFrame) -> DataFrame:
@@ -143,12 +149,16 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
 
 
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
-                      with_rejects: bool = True) -> DataFrame:
+                      with_rejects: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Envelopes -> completed inferences.
 
     Refused envelopes come along as rows with a ``_reason`` (Q1) unless
-    ``with_rejects`` is False.
+    ``with_rejects`` is False. A key with more than ``hot_rows`` messages in a
+    window is folded in slices; to find such keys, headers and times are counted
+    first (None: not looked for).
     """
+    if hot_rows is not None:
+        envelopes = sliced(envelopes, _window_start(window), hot_rows)
     classified = classify(envelopes)
     if not with_rejects:
         return pairs_to_inferences(pair_events(where(classified, F.col("_reason").isNull()), window))

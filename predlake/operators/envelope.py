@@ -52,6 +52,7 @@ def classify(envelopes: DataFrame) -> DataFrame:
         .when(F.col("value").isNull(), F.lit("null_body"))                                   # F2
         .when(F.col("event_type").isNull(), F.lit("missing_event_type"))                     # B2
         .when(F.col("kind").isNull(), F.lit("unknown_event_type"))                           # F3
+        .when(F.col("timestamp").isNull(), F.lit("missing_timestamp"))                       # W1: in no window
         .when(F.col("body").isNull(), F.lit("malformed_body"))
         .when(is_resp & F.col("body.id").isNull(), F.lit("response_without_id"))             # F4
         .when(F.col("frame.err").isNotNull(), F.col("frame.err"))                            # P2-P7

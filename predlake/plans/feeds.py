@@ -402,8 +402,33 @@ def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("e.ets"), F.col("e.off"), "kserve"))
 
 
+# --- hot keys: all traffic on three ids ------------------------------------------------
+
+def hot_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as messages of three ids, told apart by ``event_id % 3``: nearly all of one kind of state change each.
+
+    Every event is a request at ``ts``, or a response where ``user_id`` is odd (with a null id where
+    ``k`` is divisible by 7); click events are sent again 3 ms later as the other kind. The
+    message time is the event's, so ids are hot where the window is long.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    odd = F.coalesce(F.col("user_id") % 2, F.lit(0)) == 1
+    x = ev.select("*", F.explode(F.when(F.col("event_type") == "click", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+    is_req = F.when(F.col("again") == 0, ~odd).otherwise(odd)
+    ts = F.col("ts") + F.make_dt_interval(secs=F.col("again") * F.lit(0.003))
+    ce_id = F.concat(F.lit("hot-"), (F.col("event_id") % 3).cast("string"))
+    req = F.to_json(F.struct(F.array(F.array("event_id")).alias("instances")))
+    resp = F.to_json(F.struct(F.when(~F.coalesce(F.col("k") % 7 == 0, F.lit(False)), F.col("event_id").cast("string")).alias("id"),
+                              F.array("event_id").alias("predictions")), {"ignoreNullFields": "false"})
+    headers = F.when(is_req, _headers(ce_id, F.lit(REQUEST_TYPE))).otherwise(_headers(ce_id, F.lit(RESPONSE_TYPE), format_iso(ts)))
+    return x.select(*envelope(F.when(is_req, req).otherwise(resp), ce_id, headers, ts, F.col("event_id") * 2 + F.col("again"), "kserve"))
+
+
 # --- refused messages between good ones ------------------------------------------------
 
+APPENDED = (', "x": 2', ', "body": {"instances": [[9]]}', ', "end of body": 1} garbage', ', {"instances": [[9]]}', ', 1], [2')
+
+
 def refused_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs of ``kserve_pairs`` without delay, with refused messages among them, chosen by model (event_type).
 
@@ -411,7 +436,8 @@ def refused_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tensors and one with text after the object; view: before S a response with an
     unreadable ``ce_time``, one without and one with a time but no date; signup: S has
     no ``ce_time``; purchase: R is truncated; error: S comes in two copies with a null
-    position, between them a body that is a list.
+    position, between them a body that is a list. Requests at ts+6ms and later, one of
+    each kind for each error event, are objects with text after a comma or a brace.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     et = F.col("event_type")
@@ -433,6 +459,7 @@ def refused_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         item("S", 4, F.concat(F.lit("["), resp, F.lit("]")), placed=False, when=et == "error"),
         item("S", 4, F.concat(F.lit("["), resp, F.lit("]")), placed=False, when=et == "error"),
         item("S", 5, resp, placed=False, when=et == "error"),
+        *[item("R", 6 + i, F.concat(req, F.lit(text)), when=et == "error") for i, text in enumerate(APPENDED)],
         F.when(et != "error", F.struct(
             F.lit("S").alias("kind"), F.lit(5).alias("ms"), resp.alias("body"),
             F.when(et == "signup", F.lit(None).cast("string")).otherwise("good").alias("time"), F.lit(True).alias("placed")))))

@@ -81,7 +81,8 @@ def _json_processor(envelopes: DataFrame, config: dict) -> DataFrame:
 @event_processor("kserve")
 def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     from predlake.operators.correlate import kserve_inferences
-    return kserve_inferences(envelopes, window=config.get("window", "10 seconds"))
+    from predlake.operators.hot_keys import HOT_ROWS
+    return kserve_inferences(envelopes, window=config.get("window", "10 seconds"), hot_rows=config.get("hotRows", HOT_ROWS))
 
 
 @stream_processor("kserve")

@@ -504,6 +504,44 @@ def correlate_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datapoints(kserve_inferences(feeds.repeated_pairs(spark, sf_dir))).good
 
 
+# --- hot keys: a whole feed on three ids and one window ---------------------------------------
+
+HOT_WINDOW, HOT_QUERY_ROWS = "3650 days", 2000
+
+_HOT_EVENTS = f"""
+WITH RECURSIVE base AS (
+  SELECT event_id, event_type, ts, coalesce(user_id % 2, 0) = 1 AS odd, coalesce({_K} % 7 = 0, FALSE) AS null_id FROM events),
+ev0 AS (
+  SELECT event_id, 0 AS again, ts AS ets, CASE WHEN odd THEN 'S' ELSE 'R' END AS kind, null_id FROM base
+  UNION ALL SELECT event_id, 1, ts + to_milliseconds(3), CASE WHEN odd THEN 'R' ELSE 'S' END, null_id FROM base WHERE event_type = 'click'),
+ev AS MATERIALIZED (
+  SELECT event_id % 3 AS key, floor(epoch_us(ets) / {3650 * 86_400_000_000}) AS bucket, event_id, ets, CASE WHEN kind = 'S' AND null_id THEN 'N' ELSE kind END AS kind,
+         row_number() OVER (PARTITION BY event_id % 3, floor(epoch_us(ets) / {3650 * 86_400_000_000})
+                            ORDER BY ets, hash_partition, event_id * 2 + again) AS rn
+  FROM (SELECT *, 0 AS hash_partition FROM ev0)),
+fold AS (
+  SELECT key, bucket, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS r, CAST(NULL AS BIGINT) AS s, FALSE AS ok, CAST(NULL AS TIMESTAMP) AS at, FALSE AS emit,
+         CAST(NULL AS BIGINT) AS out_r, CAST(NULL AS BIGINT) AS out_s
+  FROM (SELECT DISTINCT key, bucket FROM ev)
+  UNION ALL
+  SELECT key, bucket, rn, CASE WHEN emit THEN NULL ELSE nr END, CASE WHEN emit THEN NULL ELSE ns END, nok AND NOT emit, ets, emit, nr, ns
+  FROM (SELECT *, nr IS NOT NULL AND ns IS NOT NULL AND nok AS emit
+        FROM (SELECT f.key, f.bucket, e.rn, e.ets, CASE WHEN e.kind = 'R' THEN e.event_id ELSE f.r END AS nr,
+                     CASE WHEN e.kind = 'R' THEN f.s ELSE e.event_id END AS ns, CASE WHEN e.kind = 'R' THEN f.ok ELSE e.kind = 'S' END AS nok
+              FROM fold f JOIN ev e ON e.key = f.key AND e.bucket = f.bucket AND e.rn = f.rn + 1)))
+"""
+
+
+@query("correlate_hot_key", f"""{_HOT_EVENTS}
+SELECT CAST(out_s AS VARCHAR) || '_0' AS id, out_r AS X0, out_s AS Y0 FROM fold WHERE emit
+""")
+def correlate_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events on three ids in one window; slices of a key are folded side by side."""
+    apply_defaults(spark)
+    inf = kserve_inferences(feeds.hot_pairs(spark, sf_dir), HOT_WINDOW, hot_rows=HOT_QUERY_ROWS)
+    return datapoints(inf).good.select("id", "X0", "Y0")
+
+
 @query("stream_parquet", ORACLES["json_flatten"])
 def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON events as a stateless stream into the Parquet lake, read back."""
@@ -523,6 +561,7 @@ ev0 AS (
   UNION ALL SELECT event_id, 3, 'S', 'missing_event_time', ts FROM base WHERE event_type = 'view'
   UNION ALL SELECT event_id, 4, 'S', 'bad_event_time', ts FROM base WHERE event_type = 'view'
   UNION ALL SELECT event_id, 4, 'S', 'malformed_body', ts FROM base, (VALUES (1), (2)) AS twice(n) WHERE event_type = 'error'
+  UNION ALL SELECT event_id, 6, 'R', 'malformed_body', ts FROM base, range(5) WHERE event_type = 'error'
   UNION ALL SELECT event_id, 5, 'S', CASE WHEN event_type = 'signup' THEN 'missing_event_time' END, ts FROM base),
 good AS (
   SELECT event_id, kind, floor((epoch_us(ts) + ms * 1000) / 10000000) AS bucket,
