@@ -10,8 +10,14 @@ The schema is dynamic (it comes from the payloads) but pinned once known:
   then columns seen only later, by name. JSON numbers come back from VARIANT
   as DECIMAL, so every DECIMAL / FLOAT becomes DOUBLE and every integer BIGINT.
   A column whose cells differ in kind takes the kind of the first inference.
-* C2 / C3 ``register`` / ``lookup``: a small catalog table (subject, version,
-  schema JSON) in a folder; a registered schema is reused before inferring.
+* C2 / C3 ``register`` / ``lookup``: a small catalog (subject, version, schema
+  JSON), one file for each version. A version is created by a rename that fails where the
+  version is there already, so of two writers one wins and the other takes the
+  winner's schema. A registered schema is reused before inferring.
+* ``evolve``: a batch's schema is joined with the registered one in a lattice of types
+  (nothing < BIGINT < DOUBLE; lists and structs by their parts). A column that is new or
+  wider makes the next version; one that has no common type keeps its own, and its
+  cells of the other type are refused by C4.
 * C4 ``enforce``: every datapoint is projected to the pinned schema with
   ``try_variant_get``; a non-null cell that does not cast gets a reason.
 """
@@ -20,8 +26,12 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,17 +45,18 @@ class PinnedSchema:
 
     inputs: list[tuple[str, str]] = field(default_factory=list)
     outputs: list[tuple[str, str]] = field(default_factory=list)
+    version: int = field(default=0, compare=False)   # in the catalog; 0: not registered
 
     def to_json(self) -> str:
         return json.dumps({"inputs": self.inputs, "outputs": self.outputs})
 
     @staticmethod
-    def from_json(text: str) -> "PinnedSchema":
+    def from_json(text: str, version: int = 0) -> "PinnedSchema":
         d = json.loads(text)
-        return PinnedSchema([tuple(x) for x in d["inputs"]], [tuple(x) for x in d["outputs"]])
+        return PinnedSchema([tuple(x) for x in d["inputs"]], [tuple(x) for x in d["outputs"]], version)
 
     def layout(self) -> list[tuple[str, str, int, str]]:
-        """Output columns as ``(name, side, index, type)``.
+        """Output columns as ``(name, side, index, type)``; a column that has only been null so far is text.
 
         Like ``{**inputs, **outputs}``: a name on both sides keeps the input's
         position and takes the output's value (B11).
@@ -62,7 +73,7 @@ class PinnedSchema:
         for j, (n, t) in enumerate(self.outputs):
             if n not in seen:
                 cols.append((n, "out", j, t))
-        return cols
+        return [(n, side, i, _VOID.sub("string", t)) for n, side, i, t in cols]
 
     def struct_type(self) -> T.StructType:
         fields = [T.StructField("id", T.StringType()), T.StructField("occurred_at", T.StringType())]
@@ -74,6 +85,8 @@ class PinnedSchema:
 # VARIANT type names -> the logged type (fixed mapping, see module doc).
 LOGGED = {"DECIMAL": "double", "FLOAT": "double", "DOUBLE": "double", "TINYINT": "bigint", "SMALLINT": "bigint", "INT": "bigint",
           "BIGINT": "bigint", "VOID": "string", "VARIANT": "string", "TIMESTAMP_NTZ": "timestamp"}
+EVOLVING = LOGGED | {"VOID": "void"}   # where a later batch may still tell the type
+_VOID = re.compile(r"\bvoid\b")
 _TOKEN = re.compile(r"\s*(?:`((?:[^`]|``)*)`|([^\s<>,:()`]+)|([<>,:()]))")
 
 
@@ -83,18 +96,18 @@ def _tokens(text: str) -> list[tuple[str, str]]:
             for m in _TOKEN.finditer(text)]
 
 
-def _parse(tokens: list[tuple[str, str]], at: int) -> tuple[str, list[tuple[str, str]], int]:
+def _parse(tokens: list[tuple[str, str]], at: int, logged: dict[str, str] = LOGGED) -> tuple[str, list[tuple[str, str]], int]:
     """(logged type, fields of an OBJECT, next token) of the type that begins at ``at``. Names never mix with types."""
     kind, at, fields = tokens[at][1], at + 1, []
     following = tokens[at] if at < len(tokens) else ("", "")
     if kind == "ARRAY" and following == ("sign", "<"):
-        inner, _, at = _parse(tokens, at + 1)
+        inner, _, at = _parse(tokens, at + 1, logged)
         return f"array<{inner}>", [], at + 1
     if kind == "OBJECT" and following == ("sign", "<"):
         at += 1
         while tokens[at] != ("sign", ">"):
             name = tokens[at][1]
-            inner, _, at = _parse(tokens, at + 2)
+            inner, _, at = _parse(tokens, at + 2, logged)
             fields.append((name, inner))
             at += tokens[at] == ("sign", ",")
         body = ", ".join(f"{_quoted(n)}: {t}" for n, t in fields)
@@ -103,7 +116,7 @@ def _parse(tokens: list[tuple[str, str]], at: int) -> tuple[str, list[tuple[str,
         while tokens[at] != ("sign", ")"):
             at += 1
         at += 1
-    return LOGGED.get(kind, kind.lower()), [], at
+    return logged.get(kind, kind.lower()), [], at
 
 
 def _quoted(name: str) -> str:
@@ -115,14 +128,14 @@ def logged_type(variant_type: str) -> str:
     return _parse(_tokens(variant_type), 0)[0]
 
 
-def object_fields(variant_type: str | None) -> dict[str, str]:
+def object_fields(variant_type: str | None, kinds: dict[str, str] = LOGGED) -> dict[str, str]:
     """Field -> logged element type of an object whose fields are arrays of cells; ``mixed`` where cells differ in kind."""
     if not variant_type or not variant_type.startswith("OBJECT<"):
         return {}
     tokens, at, out = _tokens(variant_type), 2, {}
     while tokens[at] != ("sign", ">"):
         name, start = tokens[at][1], at + 2
-        logged, _, at = _parse(tokens, start)
+        logged, _, at = _parse(tokens, start, kinds)
         mixed = [t for _, t in tokens[start:at]] == ["ARRAY", "<", "VARIANT", ">"]
         out[name] = "mixed" if mixed else logged[len("array<"):-1] if logged.startswith("array<") else logged
         at += tokens[at] == ("sign", ",")
@@ -135,7 +148,7 @@ def _side_object(side: str) -> str:
             f"transform({side}.cols, (c, j) -> transform({side}.rows, r -> get(r, j)))))")
 
 
-def infer_schema(named: DataFrame) -> PinnedSchema:
+def infer_schema(named: DataFrame, kinds: dict[str, str] = LOGGED) -> PinnedSchema:
     """C1 over named inferences (rows with a reason are ignored).
 
     The ``_reason`` test sits inside the aggregates rather than in a ``where``:
@@ -150,7 +163,7 @@ def infer_schema(named: DataFrame) -> PinnedSchema:
         F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('inputs')}, NULL))").alias("in_types"),
         F.expr(f"schema_of_variant_agg(IF(_reason IS NULL, {_side_object('outputs')}, NULL))").alias("out_types"),
     ).collect()[0]
-    sides = {"inputs": (agg.in_first, object_fields(agg.in_types)), "outputs": (agg.out_first, object_fields(agg.out_types))}
+    sides = {"inputs": (agg.in_first, object_fields(agg.in_types, kinds)), "outputs": (agg.out_first, object_fields(agg.out_types, kinds))}
     mixed = [(side, n) for side, (_, types) in sides.items() for n, t in types.items() if t == "mixed"]
     firsts = _first_types(named, mixed) if mixed else {}
     return PinnedSchema(*(_side(side, first, types, firsts) for side, (first, types) in sides.items()))
@@ -181,63 +194,147 @@ def _side(side: str, first: list[str] | None, types: dict[str, str], firsts: dic
     return [(n, firsts.get((side, n)) or types.get(n, "string")) for n in order]
 
 
-# --- C2 / C3: catalog table --------------------------------------------------
+# --- C2 / C3: catalog --------------------------------------------------------
 
-CATALOG_SCHEMA = "subject string, version int, schema string, registered_at timestamp"
+CATALOG_SCHEMA = "subject string, version int, schema string, registered_at string"
 
 
-def _catalog(spark: SparkSession, catalog: str) -> DataFrame | None:
-    """The catalog table; None only where nothing has been written. Other read errors are raised."""
+def _subject_folder(catalog: str, subject: str) -> str:
+    return f"{catalog}/{quote(subject, safe='')}"
+
+
+def lookup(spark: SparkSession, catalog: str, subject: str, version: int | None = None) -> PinnedSchema | None:
+    """The latest registered schema of ``subject``, or the one of ``version``; None where nothing is registered.
+
+    Read errors other than a missing folder are raised.
+    """
     try:
-        return spark.read.schema(CATALOG_SCHEMA).parquet(catalog)
+        rows = spark.read.schema(CATALOG_SCHEMA).json(_subject_folder(catalog, subject))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if version is not None:
+        rows = rows.where(F.col("version") == version)
+    row = rows.orderBy(F.col("version").desc()).select("schema", "version").limit(1).collect()
+    return PinnedSchema.from_json(row[0].schema, row[0].version) if row else None
+
+
+def create_version(spark: SparkSession, catalog: str, subject: str, version: int, schema: PinnedSchema) -> bool:
+    """Create a version unless it exists: False where another writer has it. A reader never sees half a file."""
+    row = json.dumps({"subject": subject, "version": version, "schema": schema.to_json(), "registered_at": datetime.now(timezone.utc).isoformat()})
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    folder = hadoop.Path(_subject_folder(catalog, subject))
+    files = folder.getFileSystem(conf)
+    hidden = hadoop.Path(folder, f"_new-{uuid.uuid4().hex}")
+    out = files.create(hidden, False)
+    out.write(bytearray((row + "\n").encode()))
+    out.close()
+    named = hadoop.Path(folder, f"{version:06d}.json")
+    none = spark._sc._gateway.new_array(hadoop.Options.Rename, 0)   # without OVERWRITE a rename never replaces a file
+    try:
+        hadoop.FileContext.getFileContext(files.getUri(), conf).rename(hidden, named, none)
+        return True
+    except Py4JJavaError as e:
+        files.delete(hidden, False)
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
 
 
-def lookup(spark: SparkSession, catalog: str, subject: str) -> PinnedSchema | None:
-    """Latest registered schema of ``subject`` or None."""
-    cat = _catalog(spark, catalog)
-    if cat is None:
-        return None
-    row = (cat.where(F.col("subject") == subject)
-           .orderBy(F.col("version").desc()).select("schema").limit(1).collect())
-    return PinnedSchema.from_json(row[0].schema) if row else None
+def register(spark: SparkSession, catalog: str, subject: str, schema: PinnedSchema) -> int:
+    """Append a new version, or reuse the latest one when identical."""
+    while True:
+        latest = lookup(spark, catalog, subject)
+        if latest is not None and latest == schema:
+            return latest.version
+        version = (latest.version if latest else 0) + 1
+        if create_version(spark, catalog, subject, version, schema):
+            return version
 
 
-def register(spark: SparkSession, catalog: str, subject: str, schema: PinnedSchema) -> int:
-    """Append a new version (or reuse the latest one when identical)."""
-    latest = lookup(spark, catalog, subject)
-    if latest is not None and latest.to_json() == schema.to_json():
-        return _latest_version(spark, catalog, subject)
-    version = (_latest_version(spark, catalog, subject) or 0) + 1
-    row = spark.createDataFrame([(subject, version, schema.to_json())],
-                                "subject string, version int, schema string")
-    row.withColumn("registered_at", F.current_timestamp()) \
-       .coalesce(1).write.mode("append").parquet(catalog)
-    return version
-
-
-def _latest_version(spark: SparkSession, catalog: str, subject: str) -> int | None:
-    cat = _catalog(spark, catalog)
-    if cat is None:
-        return None
-    r = cat.where(F.col("subject") == subject).agg(F.max("version").alias("v")).collect()
-    return r[0].v if r else None
+def pin_first(spark: SparkSession, catalog: str, subject: str, schema: PinnedSchema) -> PinnedSchema:
+    """Register ``schema`` as the first version; where another starter was first, its schema holds."""
+    if create_version(spark, catalog, subject, 1, schema):
+        return replace(schema, version=1)
+    return lookup(spark, catalog, subject)
 
 
 def resolve(named: DataFrame, catalog: str | None = None, subject: str | None = None) -> PinnedSchema:
     """C3 then C1 + C2: reuse the registered schema or infer and register it."""
     spark = named.sparkSession
-    if catalog and subject:
-        found = lookup(spark, catalog, subject)
-        if found is not None:
-            return found
-    schema = infer_schema(named)
-    if catalog and subject:
-        register(spark, catalog, subject, schema)
-    return schema
+    if not (catalog and subject):
+        return infer_schema(named)
+    return lookup(spark, catalog, subject) or pin_first(spark, catalog, subject, infer_schema(named))
+
+
+# --- versions: a lattice of types ----------------------------------------------
+
+def join_types(a: str, b: str) -> str | None:
+    """The least type that holds both, None where there is none."""
+    joined = _join(T.DataType.fromDDL(a), T.DataType.fromDDL(b))
+    return None if joined is None else _ddl(joined)
+
+
+def _join(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    if a == b:
+        return a
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    if {type(a), type(b)} == {T.LongType, T.DoubleType}:
+        return T.DoubleType()
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        inner = _join(a.elementType, b.elementType)
+        return None if inner is None else T.ArrayType(inner)
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name: f.dataType for f in a}
+        for f in b:
+            fields[f.name] = _join(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        return None if None in fields.values() else T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    return None
+
+
+def _ddl(t: T.DataType) -> str:
+    """Like ``simpleString``, with every field name quoted."""
+    if isinstance(t, T.ArrayType):
+        return f"array<{_ddl(t.elementType)}>"
+    if isinstance(t, T.StructType):
+        return f"struct<{', '.join(f'{_quoted(f.name)}: {_ddl(f.dataType)}' for f in t)}>"
+    return t.simpleString()
+
+
+def join_schemas(old: PinnedSchema, new: PinnedSchema) -> tuple[PinnedSchema, list[str]]:
+    """The schema that holds both, in the old order with new columns after it, and the names of columns
+    without a common type: these keep the old one."""
+    refused: list[str] = []
+
+    def side(before: list[tuple[str, str]], after: list[tuple[str, str]]) -> list[tuple[str, str]]:
+        types = dict(before)
+        for n, t in after:
+            joined = join_types(types[n], t) if n in types else t
+            if joined is None:
+                refused.append(n)
+            else:
+                types[n] = joined
+        return list(types.items())
+    return PinnedSchema(side(old.inputs, new.inputs), side(old.outputs, new.outputs)), refused
+
+
+def evolve(named: DataFrame, catalog: str, subject: str) -> PinnedSchema:
+    """C1-C3 for a batch of a feed whose schema may grow: the version that holds the batch, registered where it is new.
+
+    A writer that finds the version taken joins with the winner's and tries again, so no version loses a column.
+    """
+    spark = named.sparkSession
+    seen = infer_schema(named, EVOLVING)
+    while True:
+        latest = lookup(spark, catalog, subject)
+        wanted = seen if latest is None else join_schemas(latest, seen)[0]
+        if latest is not None and wanted == latest:
+            return latest
+        version = (latest.version if latest else 0) + 1
+        if create_version(spark, catalog, subject, version, wanted):
+            return replace(wanted, version=version)
 
 
 # --- C4: enforcement ---------------------------------------------------------

@@ -351,6 +351,22 @@ def mixed_type_events(spark: SparkSession, sf_dir: str, text: str = "error") ->
                                F.col("ts"), F.col("event_id"), topic="json-events"))
 
 
+def growing_events(spark: SparkSession, sf_dir: str, parts: int = 3) -> DataFrame:
+    """JSON events whose payload grows over three parts of their time: ``code`` is ``k``; then ``k + 0.5`` with a
+    new text column ``region``; then ``k`` again, but text for click events."""
+    from predlake.sources.envelopes import time_slices
+    ev = time_slices(table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts")), parts)
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    part = F.col("slice")
+    code = (F.when(part == 1, (k + F.lit(0.5)).cast("string"))
+            .when((part == 2) & (F.col("event_type") == "click"), F.concat(F.lit('"E'), k.cast("string"), F.lit('"'))).otherwise(k.cast("string")))
+    region = F.when(part > 0, F.concat(F.lit(',"region":"'), F.col("event_type"), F.lit('"'))).otherwise(F.lit(""))
+    body = F.concat(F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('","model_name":"'), F.col("event_type"), F.lit('","inputs":[{"user_id":'),
+                    F.coalesce(F.col("user_id").cast("string"), F.lit("null")), F.lit(',"code":'), F.coalesce(code, F.lit("null")), region,
+                    F.lit('}],"outputs":[{"value":'), F.coalesce(F.col("value").cast("string"), F.lit("null")), F.lit("}]}"))
+    return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")), F.col("ts"), F.col("event_id"), topic="json-events"))
+
+
 # --- repeats: re-sent requests and responses, null ids --------------------------------
 
 def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

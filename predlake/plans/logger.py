@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from predlake.operators import quarantine as Q
 from predlake.operators.filters import filter_spec
 from predlake.operators.rows import name_columns, zip_rows
-from predlake.operators.schema import PinnedSchema, align, enforce, resolve
+from predlake.operators.schema import PinnedSchema, align, enforce, evolve, resolve
 from predlake.plans.spec import LoggerSpec, SpecError
 
 # --- U1-U3: registries --------------------------------------------------------
@@ -87,10 +87,10 @@ def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
 
 @stream_processor("kserve")
 def _kserve_stream(envelopes: DataFrame, config: dict) -> DataFrame:
-    from predlake.streaming.correlate import TIME_BUCKET, stream_inferences, stream_pairs, stream_rejects
+    from predlake.streaming.correlate import TIME_BUCKET, stream_inferences, stream_pairs
     window = config.get("window", "10 seconds")
-    pairs = stream_pairs(envelopes, window, config.get("expires", window), config.get("stateBuckets"), config.get("stateTime", TIME_BUCKET))
-    return stream_inferences(pairs).unionByName(stream_rejects(envelopes))
+    return stream_inferences(stream_pairs(envelopes, window, config.get("expires", window), config.get("stateBuckets"),
+                                          config.get("stateTime", TIME_BUCKET)))
 
 
 @destination("parquet")
@@ -120,6 +120,17 @@ def _inferred_schema(named: DataFrame, config: dict, subject: str | None,
     return resolve(named, catalog, subject)
 
 
+EACH_BATCH = {"evolving"}   # schema providers that a stream asks again in every micro-batch
+
+
+@schema_provider("evolving")
+def _evolving_schema(named: DataFrame, config: dict, subject: str | None, catalog: str | None) -> PinnedSchema:
+    """C2 / C4 with versions: columns may come and integers may widen; every row says which version it has."""
+    if not (catalog and subject):
+        raise SpecError("an evolving schema needs a catalog")
+    return evolve(named, catalog, subject)
+
+
 # --- datapoints ---------------------------------------------------------------
 
 @dataclass

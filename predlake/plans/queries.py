@@ -374,18 +374,20 @@ def schema_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ----------------------------------------------------------------------------------
 
-SLICES = 8            # a replay cuts the feed's time into so many parts
-RUNS = ((0, 1, 2), (3, 4, 5), (6, 7))   # and delivers these before each run of the stream
-STATE_PARTITIONS = 8  # of the stateful pairing
+DELIVERIES = 3   # a replay delivers the feed in so many parts of its time, each before a run of the stream
 
 
-def _stream_spec(name: str, url: str, events: str = "kserve", **more) -> dict:
-    return {"name": name, "topic": "kserve", "events": {"type": events, "config": {"stateTime": "1 day"} if events == "kserve" else {}},
+def _stream_spec(name: str, url: str, events: str = "kserve", config: dict | None = None, **more) -> dict:
+    return {"name": name, "topic": "kserve", "events": {"type": events, "config": config or {}},
             "destination": {"type": "parquet", "config": {"url": url, "maxRecordsPerFile": 100000}}, **more}
 
 
-def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs=None, runs=RUNS, quarantine: bool = False) -> str:
-    """Stage a feed in time slices, deliver those of each run to a run of the stream on one checkpoint; the folder of all."""
+def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs=None, order=range(DELIVERIES),
+                quarantine: bool = False, pinned: bool = True) -> str:
+    """Stage a feed in parts of its time, deliver them in ``order``, each to a run of the stream on one checkpoint; the folder of all.
+
+    ``pinned``: the schemas are inferred before the first run; otherwise by the stream itself.
+    """
     from predlake.plans.spec import LoggerSpec
     from predlake.sources.envelopes import deliver_slice, stage_slices, stream_envelopes
     from predlake.streaming.logger import pin_schema, run_loggers, scratch
@@ -394,13 +396,12 @@ def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs
     loggers = [LoggerSpec.from_dict(d) for d in (specs or [_stream_spec("kserve-stream", "")])]
     for s in loggers:
         s.destination.config["url"] = f"{base}/lake"
-    stage_slices(feed(spark, sf_dir), f"{base}/staged", SLICES)
-    schemas = {s.name: pin_schema(spark, s, f"{base}/staged", catalog=f"{base}/catalog") for s in loggers}
-    for run in runs:
-        for i in run:
-            deliver_slice(spark, f"{base}/staged", i, f"{base}/landing")
-        run_loggers(loggers, stream_envelopes(spark, f"{base}/landing"), schemas, f"{base}/checkpoint", STATE_PARTITIONS,
-                    quarantine_url=f"{base}/quarantine" if quarantine else None).awaitTermination()
+    stage_slices(feed(spark, sf_dir), f"{base}/staged", DELIVERIES)
+    schemas = {s.name: pin_schema(spark, s, f"{base}/staged", catalog=f"{base}/catalog") for s in loggers} if pinned else None
+    for i in order:
+        deliver_slice(spark, f"{base}/staged", i, f"{base}/landing")
+        run_loggers(loggers, stream_envelopes(spark, f"{base}/landing"), schemas, f"{base}/checkpoint",
+                    quarantine_url=f"{base}/quarantine" if quarantine else None, catalog=f"{base}/catalog").awaitTermination()
     return base
 
 
@@ -415,20 +416,117 @@ def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, f"{_stream_run(spark, sf_dir)}/lake/kserve-stream")
 
 
-_SLICE = f"CAST(least(floor((epoch_us(%s) - lo) * {SLICES} / (hi - lo + 1)), {SLICES - 1}) AS INTEGER)"
+_SPAN = f"""
+span AS (SELECT least(min(epoch_us(ts)), min(epoch_us({_resp_ts()}))) AS lo, greatest(max(epoch_us(ts)), max(epoch_us({_resp_ts()}))) AS hi FROM events)"""
+_PART = f"CAST(least(floor((epoch_us(%s) - lo) * {DELIVERIES} / (hi - lo + 1)), {DELIVERIES - 1}) AS INTEGER)"
 
 
 @query("stream_late", f"""
-WITH span AS (SELECT least(min(epoch_us(ts)), min(epoch_us({_resp_ts()}))) AS lo,
-                     greatest(max(epoch_us(ts)), max(epoch_us({_resp_ts()}))) AS hi FROM events)
+WITH {_SPAN}
 SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at, user_id AS X0, {_K} AS X1, value AS Y0
 FROM ({_CORRELATED}), span
-WHERE {_SLICE % 'ts'} NOT IN (2, 3, 4) AND {_SLICE % 'rts'} NOT IN (2, 3, 4)
+WHERE {_PART % 'ts'} <> 1 AND {_PART % 'rts'} <> 1
 """)
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three slices delivered after later ones; their rows are behind the
-    watermark and dropped (pairs lost), as a stream processor would."""
-    return _landed(spark, f"{_stream_run(spark, sf_dir, runs=((0, 1), (5, 6, 7), (2, 3, 4)))}/lake/kserve-stream")
+    """The middle part is delivered last; its windows have expired by then, so
+    its pairs are not logged, as in a stream processor."""
+    return _landed(spark, f"{_stream_run(spark, sf_dir, order=(0, 2, 1))}/lake/kserve-stream")
+
+
+# What becomes of every message, from the order of delivery: the clock of a run is the newest message of the runs before.
+_DELIVERED = f"""
+WITH {_SPAN},
+msg AS (
+  SELECT event_id, 'R' AS kind, event_id * 2 AS off, epoch_us(ts) AS t, {_PART % 'ts'} AS part FROM events, span
+  UNION ALL SELECT event_id, 'S', event_id * 2 + 1, epoch_us({_resp_ts()}), {_PART % _resp_ts()} FROM events, span),
+run AS (SELECT part, CASE part WHEN 0 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS run, max(t) AS newest FROM msg GROUP BY part),
+clock AS (SELECT part, max(newest) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS now FROM run),
+seen AS (
+  SELECT msg.*, floor(t / 10000000) AS win, coalesce((floor(t / 10000000) + 2) * 10000000 <= now, FALSE) AS late FROM msg JOIN clock USING (part)),
+fate AS (
+  SELECT s.*, CASE WHEN late THEN 'window_expired'
+                   WHEN count(*) FILTER (WHERE NOT late) OVER (PARTITION BY event_id, win) = 2 THEN 'paired'
+                   WHEN (win + 2) * 10000000 <= hi THEN 'window_expired' ELSE 'pending' END AS outcome
+  FROM seen s, span)"""
+
+
+@query("stream_late_rows", f"""{_DELIVERED}
+SELECT event_id, kind, outcome FROM fate
+""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts delivered out of order; every message is in a pair, pending, or came out as window_expired."""
+    from pyspark.sql import functions as F
+    from predlake.streaming.correlate import pending_messages
+    base = _stream_run(spark, sf_dir, order=(0, 2, 1), quarantine=True)
+    event_id = F.substring_index("event_id", "-", -1).cast("long").alias("event_id")
+    paired = _landed(spark, f"{base}/lake/kserve-stream").select(
+        F.substring_index("id", "_", 1).cast("long").alias("event_id"), F.explode(F.array(F.lit("R"), F.lit("S"))).alias("kind"), F.lit("paired").alias("outcome"))
+    expired = (_landed(spark, f"{base}/quarantine/expired")
+               .select(event_id, F.when(F.col("offset") % 2 == 0, "R").otherwise("S").alias("kind"), F.col("reason").alias("outcome")))
+    waiting = pending_messages(spark, f"{base}/checkpoint").select(event_id, "kind", F.lit("pending").alias("outcome"))
+    return paired.unionByName(expired).unionByName(waiting)
+
+
+@query("stream_pending", f"""
+SELECT event_id, 'R' AS kind, make_timestamp(epoch_us(ts)) AS at FROM events
+WHERE floor(epoch_us(ts) / 10000000) <> floor(epoch_us({_resp_ts()}) / 10000000)
+UNION ALL
+SELECT event_id, 'S', make_timestamp(epoch_us({_resp_ts()})) FROM events
+WHERE floor(epoch_us(ts) / 10000000) <> floor(epoch_us({_resp_ts()}) / 10000000)
+""")
+def stream_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 ST2: what waits for its other side after the run, read from the state; windows are kept for a year here."""
+    from pyspark.sql import functions as F
+    from predlake.streaming.correlate import pending_messages
+    base = _stream_run(spark, sf_dir, specs=[_stream_spec("kserve-stream", "", config={"expires": "365 days"})])
+    return pending_messages(spark, f"{base}/checkpoint").select(
+        F.substring_index("event_id", "-", -1).cast("long").alias("event_id"), "kind", F.col("timestamp").cast("timestamp_ntz").alias("at"))
+
+
+# --- schemas of live streams ------------------------------------------------------------------
+
+@query("stream_first_schema", ORACLES["schema_first_seen"])
+def stream_first_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 C2 C3 in a live stream: pinned by the first micro-batch, found in the catalog by the later runs."""
+    from pyspark.sql import functions as F
+    from predlake.operators.schema import lookup
+
+    def feed(spark, sf_dir):
+        return feeds.mixed_type_events(spark, sf_dir, text="click")
+    base = _stream_run(spark, sf_dir, feed, [_stream_spec("typed", "", "json")], quarantine=True, pinned=False)
+    code = dict(lookup(spark, f"{base}/catalog", "typed-value").inputs)["code"]
+    outcomes = (_landed(spark, f"{base}/lake/typed").select(F.lit("ok").alias("reason"))
+                .unionByName(_landed(spark, f"{base}/quarantine/typed").select("reason")))
+    return outcomes.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).withColumn("code_type", F.lit(code))
+
+
+_EVOLVED = f"""
+WITH {_SPAN.replace(_resp_ts(), 'ts')},
+e AS (SELECT *, {_PART % 'ts'} AS part, {_K} AS k FROM events, span)
+SELECT CASE WHEN part = 2 AND event_type = 'click' AND k IS NOT NULL THEN 'type_mismatch' ELSE 'ok' END AS reason,
+       CASE WHEN part = 2 AND event_type = 'click' AND k IS NOT NULL THEN 0 WHEN part = 0 THEN 1 ELSE 2 END AS version, count(*) AS n,
+       sum(CASE WHEN part = 2 AND event_type = 'click' THEN NULL WHEN part = 1 THEN k + 0.5 ELSE CAST(k AS DOUBLE) END) AS codes,
+       count(CASE WHEN part > 0 AND NOT (part = 2 AND event_type = 'click' AND k IS NOT NULL) THEN event_type END) AS regions
+FROM e GROUP BY 1, 2
+"""
+
+
+@query("schema_evolve", _EVOLVED)
+def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column added and an integer widened mid-feed are logged under version 2; text in its place is refused."""
+    from pyspark.sql import functions as F
+    from predlake.operators.schema import lookup
+    from predlake.sinks.parquet import VERSION, read_versions
+    spec = _stream_spec("grown", "", "json", schema={"type": "evolving"})
+    base = _stream_run(spark, sf_dir, feeds.growing_events, [spec], quarantine=True, pinned=False)
+    last = lookup(spark, f"{base}/catalog", "grown-value").version
+    schemas = [lookup(spark, f"{base}/catalog", "grown-value", v) for v in range(1, last + 1)]
+    rows = read_versions(spark, f"{base}/lake/grown", schemas)
+    logged = rows.select(F.lit("ok").alias("reason"), F.col(VERSION).alias("version"), "code", "region")
+    refused = _landed(spark, f"{base}/quarantine/grown").select("reason", F.lit(0).alias("version"), F.lit(None).cast("double").alias("code"),
+                                                               F.lit(None).cast("string").alias("region"))
+    return (logged.unionByName(refused).groupBy("reason", "version")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("code").alias("codes"), F.count("region").alias("regions")))
 
 
 @query("stream_fan_out", f"""

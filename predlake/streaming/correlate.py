@@ -1,15 +1,21 @@
 """J1 as a stream: ST1 / ST2 / W1 / W2 / W3 / X1 with ``transformWithState``.
 
-The stream is grouped by a state bucket derived from ``(ce_id, window_start)``
-(X1: the shuffle of the grouping is the repartition by key). Per bucket the
-processor keeps the pending requests and responses in one ``ValueState``
-(ST1) in the RocksDB state store under the query checkpoint (ST2), folds each
-micro-batch in ``(timestamp, partition, offset)`` order per (ce_id, window),
-emits a pair the moment both are pending and the response has an ``id``, and
-drops it from the state on emit. Pending entries of windows the watermark has
-passed are dropped, and an event-time timer clears a bucket at its end (W2).
-Rows behind the watermark never reach the processor and are counted in
-``numRowsDroppedByWatermark`` (W3).
+Messages are classified once. The grouping is by a hash bucket of ``ce_id`` and a
+time bucket (X1: its shuffle is the repartition by key); what is pending is one entry of
+a ``MapState`` for each (ce_id, window) (ST1), in the RocksDB state store under the
+query checkpoint (ST2). A micro-batch folds its messages in (timestamp, partition,
+offset) order, nulls first, reads and writes the entries of its own keys only, emits a
+pair the moment both sides are pending and the response has an ``id``, and removes the
+entry.
+
+A window lives until its end plus ``expires`` of event time (W2), wherever its messages
+stand beside the newest one. The clock is the newest message time; it is a
+column of its own that is dropped before the grouping, so Spark keeps the watermark
+but drops no rows by it. The processor decides: a message of an expired window, and one
+that is still unpaired when its window expires, leaves as a row with the reason
+``window_expired`` (W3, Q1). Refused messages pass through with their reason and
+never touch the state. So every delivered message is in a pair, pending, refused,
+expired, or was replaced by a repeat (A1).
 """
 
 from __future__ import annotations
@@ -18,21 +24,25 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from predlake.model import DEFAULT_EXPIRY, DEFAULT_WINDOW, FRAME_DDL
-from predlake.functions.barrier import barrier, where
+from predlake.functions.barrier import barrier
 from predlake.operators.envelope import classify
 
 EVENT_DDL = ("kind string, resp_id string, event_time string, value string, topic string, "
              "partition int, offset bigint, timestamp timestamp")
-PAIR_DDL = f"event_id string, window_start timestamp, req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
-STATE_DDL = (f"entries array<struct<event_id: string, window_start: timestamp, "
-             f"req: struct<{EVENT_DDL}>, resp: struct<{EVENT_DDL}>>>")
-BUCKETS_PER_PARTITION = 16  # default hash buckets of ce_id per state partition and time bucket
-TIME_BUCKET = "1 hour"      # default time bucket of a state key (a multiple of the window)
+PAIR_DDL = (f"event_id string, window_start timestamp, req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>, "
+            f"reason string, refused struct<{EVENT_DDL}>")
+ENTRY_KEY_DDL = "event_id string, window_start timestamp"
+ENTRY_DDL = f"req struct<{EVENT_DDL}>, resp struct<{EVENT_DDL}>"
+STATE = "pending"
+EXPIRED = "window_expired"
+BUCKETS_PER_PARTITION = 4   # default hash buckets of ce_id per state partition and time bucket
+TIME_BUCKET = "1 hour"      # default time bucket of a grouping key (a multiple of the window)
 _FIELDS = [f.split(" ")[0] for f in EVENT_DDL.split(", ")]
+_PLACE = [_FIELDS.index(f) for f in ("timestamp", "partition", "offset")]
 
 # The processor runs in Python workers that need not have this package on
 # their path: ship this module's code with the pickled processor.
@@ -45,61 +55,78 @@ def _interval_ms(text: str) -> int:
     return int(float(n) * scale[unit.rstrip("s")])
 
 
+def _place(event: tuple) -> list:
+    """Sort key of an event; a null position comes first."""
+    return [(event[i] is not None, event[i]) if event[i] is not None else (False,) for i in _PLACE]
+
+
+def _row(event_id, window_start, req=None, resp=None, reason=None, refused=None) -> Row:
+    def event(e):
+        return None if e is None else Row(**dict(zip(_FIELDS, e)))
+    return Row(event_id=event_id, window_start=window_start, req=event(req), resp=event(resp), reason=reason, refused=event(refused))
+
+
 class PairProcessor(StatefulProcessor):
-    """Emit-and-clear fold of requests and responses per (ce_id, window).
-
-    The operator is keyed by a state bucket (a hash bucket of ``ce_id`` and a
-    coarse time bucket), so one call folds many ids and the per-key overhead
-    of the stateful operator is paid per bucket, not per id. The bucket's
-    pending pairs are one state value; entries whose window the watermark has
-    passed can get no more events and are dropped (W2), and an event-time
-    timer at the end of the time bucket clears what is left.
-    """
+    """Emit-and-clear fold of requests and responses per (ce_id, window); expiry by window end."""
 
-    def __init__(self, window_ms: int, bucket_ms: int):
+    def __init__(self, window_ms: int, expiry_ms: int):
         self.window_ms = window_ms
-        self.bucket_ms = bucket_ms
+        self.expiry_ms = expiry_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getValueState("pending", STATE_DDL)
+        self.pending = handle.getMapState(STATE, ENTRY_KEY_DDL, ENTRY_DDL)
 
-    @staticmethod
-    def _event(row) -> tuple:
-        return tuple(row[f] for f in _FIELDS)
+    def _expires(self, window_start) -> int:
+        """Event time (ms) from which on a window takes no more messages."""
+        return round(window_start.timestamp() * 1000) + self.window_ms + self.expiry_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.pending.get()
-        open_ = {}
-        if st is not None and st[0]:
-            for e in st[0]:
-                open_[(e[0], e[1])] = [None if e[2] is None else tuple(e[2]),
-                                       None if e[3] is None else tuple(e[3])]
-        events = sorted(((x["event_id"], x["window_start"], self._event(x)) for x in rows),
-                        key=lambda t: (t[2][7], t[2][5], t[2][6]))
-        out = []
-        for eid, ws, e in events:
-            slot = open_.setdefault((eid, ws), [None, None])
+        now = timerValues.getCurrentWatermarkInMs()
+        events = []
+        for x in rows:
+            e = tuple(x[f] for f in _FIELDS)
+            if x["reason"] is not None:
+                yield _row(x["event_id"], x["window_start"], reason=x["reason"], refused=e)
+            elif self._expires(x["window_start"]) <= now:
+                yield _row(x["event_id"], x["window_start"], reason=EXPIRED, refused=e)
+            else:
+                events.append((x["event_id"], x["window_start"], e))
+        events.sort(key=lambda x: _place(x[2]))
+        earlier = bool(events) and self.pending.exists()
+        slots: dict[tuple, list] = {}
+        stored = set()
+        for event_id, start, e in events:
+            entry = (event_id, start)
+            if entry not in slots:
+                old = self.pending.getValue(entry) if earlier else None
+                slots[entry] = [None, None] if old is None else [None if v is None else tuple(v) for v in old]
+                if old is not None:
+                    stored.add(entry)
+            slot = slots[entry]
             slot[0 if e[0] == "R" else 1] = e
             if slot[0] is not None and slot[1] is not None and slot[1][1] is not None:
-                out.append(Row(event_id=eid, window_start=ws,
-                               req=Row(**dict(zip(_FIELDS, slot[0]))),
-                               resp=Row(**dict(zip(_FIELDS, slot[1])))))
-                del open_[(eid, ws)]
-        wm = timerValues.getCurrentWatermarkInMs()
-        keep = [(k, v) for k, v in open_.items()
-                if int(k[1].timestamp() * 1000) + self.window_ms > wm]
-        if keep:
-            self.pending.update(([(k[0], k[1], v[0], v[1]) for k, v in keep],))
-            if st is None:
-                self.handle.registerTimer(int(key[1]) * self.bucket_ms + self.bucket_ms + self.window_ms)
-        elif st is not None:
-            self.pending.clear()
-        return iter(out)
+                yield _row(event_id, start, *slot)
+                slots[entry] = [None, None]
+        ends = set()
+        for entry, slot in slots.items():
+            if slot[0] is not None or slot[1] is not None:
+                self.pending.updateValue(entry, tuple(slot))
+                ends.add(self._expires(entry[1]))
+            elif entry in stored:
+                self.pending.removeKey(entry)
+        for end in ends:
+            self.handle.registerTimer(end)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.pending.clear()
-        return iter([])
+        """What is still pending of the windows that have expired leaves, request before response."""
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        for entry, slot in list(self.pending.iterator()):
+            if self._expires(entry[1]) <= now:
+                for e in slot:
+                    if e is not None:
+                        yield _row(entry[0], entry[1], reason=EXPIRED, refused=tuple(e))
+                self.pending.removeKey(tuple(entry))
 
     def close(self) -> None:
         pass
@@ -115,51 +142,57 @@ def window_start(ts: str, window: str) -> F.Column:
 def stream_pairs(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
                  expiry: str = DEFAULT_EXPIRY, id_buckets: int | None = None,
                  time_bucket: str = TIME_BUCKET) -> DataFrame:
-    """Valid envelopes of a stream (or batch) -> emitted pairs (``PAIR_DDL``).
+    """Envelopes of a stream (or batch) -> emitted pairs, refused and expired messages (``PAIR_DDL``).
 
-    A state key is a hash bucket of ``ce_id`` and a time bucket; one call folds
-    the events of a key in one micro-batch. ``id_buckets`` and ``time_bucket``
-    are settings of the logger (``stateBuckets``, ``stateTime``), fixed for the
-    life of a checkpoint; by default the buckets grow with the state partitions.
+    A grouping key is a hash bucket of ``ce_id`` and a time bucket; one call folds
+    the messages of a key in one micro-batch, which the source's rate bounds.
+    ``id_buckets`` and ``time_bucket`` are settings of the logger (``stateBuckets``,
+    ``stateTime``), fixed for the life of a checkpoint; by default the buckets grow
+    with the state partitions. A message without a time is refused before.
     """
     id_buckets = id_buckets or BUCKETS_PER_PARTITION * int(envelopes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ev = (where(classify(envelopes), F.col("_reason").isNull())
-          .select("event_id", *_FIELDS)
-          .withColumn("window_start", window_start("timestamp", window)))
-    if ev.isStreaming:
-        ev = ev.withWatermark("timestamp", expiry)
-        time_mode = "EventTime"
-    else:
-        time_mode = "None"
+    if envelopes.isStreaming:
+        clock = F.coalesce(F.col("timestamp"), F.timestamp_millis(F.lit(0)))
+        envelopes = envelopes.withColumn("_clock", clock).withWatermark("_clock", "0 seconds").drop("_clock")
+    time_mode = "EventTime" if envelopes.isStreaming else "None"
+    ev = classify(envelopes).select("event_id", *_FIELDS, F.col("_reason").alias("reason"))
+    ev = ev.withColumn("window_start", window_start("timestamp", window))
     bucket_ms = _interval_ms(time_bucket)
-    ev = (ev.withColumn("_idb", F.pmod(F.xxhash64("event_id"), F.lit(id_buckets)))
-            .withColumn("_tb", F.floor(F.unix_millis("window_start") / bucket_ms)))
+    ev = (ev.withColumn("_idb", F.pmod(F.xxhash64("event_id", F.when(F.col("reason").isNotNull(), F.col("offset"))), F.lit(id_buckets)))
+            .withColumn("_tb", F.coalesce(F.floor(F.unix_millis("window_start") / bucket_ms), F.lit(0))))
     return (ev.groupBy("_idb", "_tb")
-            .transformWithState(PairProcessor(_interval_ms(window), bucket_ms), PAIR_DDL,
-                                "Append", time_mode))
+            .transformWithState(PairProcessor(_interval_ms(window), _interval_ms(expiry)), PAIR_DDL, "Append", time_mode))
 
 
 def stream_inferences(pairs: DataFrame) -> DataFrame:
-    """Pairs of a stream -> inferences. State values are plain text, so the two bodies of a pair are parsed once more."""
+    """Pairs of a stream -> inferences; refused and expired messages come along with their ``_reason`` (Q1).
+
+    State values are plain text, so the two bodies of a pair are parsed once more.
+    """
     from predlake.functions.frames import parse_body, request_frame_sql, response_frame_sql
     from predlake.functions.times import parse_iso
-    df = (pairs.withColumn("_rq", F.expr(parse_body("req.value"))).withColumn("_rs", F.expr(parse_body("resp.value")))
-          .withColumn("inputs", F.expr(request_frame_sql("_rq", "req.value")))
-          .withColumn("outputs", F.expr(response_frame_sql("_rs", "resp.value"))))
-    src = F.struct("resp.topic", "resp.partition", "resp.offset", "resp.timestamp", "event_id",
-                   F.lit(None).cast("string").alias("value"))
+    paired = F.col("reason").isNull()
+    df = (pairs.withColumn("_rq", F.when(paired, F.expr(parse_body("req.value")))).withColumn("_rs", F.when(paired, F.expr(parse_body("resp.value"))))
+          .withColumn("inputs", F.when(paired, F.expr(request_frame_sql("_rq", "req.value"))))
+          .withColumn("outputs", F.when(paired, F.expr(response_frame_sql("_rs", "resp.value")))))
+    src = F.struct(*[F.when(paired, F.col(f"resp.{c}")).otherwise(F.col(f"refused.{c}")).alias(c) for c in ("topic", "partition", "offset", "timestamp")],
+                   "event_id", F.col("refused.value").alias("value"))
     return barrier(df.select(
         F.col("resp.resp_id").alias("id"), F.col("_rs.model_name").alias("model_name"),
-        F.col("_rs.model_version").alias("model_version"), parse_iso("resp.event_time").alias("occurred_at"),
-        "inputs", "outputs", F.lit(None).cast("string").alias("_reason"), src.alias("_src")))
-
-
-def stream_rejects(envelopes: DataFrame) -> DataFrame:
-    """Refused envelopes of a stream as rows with a ``_reason`` (stateless; Q1), in the columns of ``stream_inferences``."""
-    bad = where(classify(envelopes), F.col("_reason").isNotNull())
-    src = F.struct("topic", "partition", "offset", "timestamp", "event_id", "value")
-    nothing = F.lit(None)
-    return barrier(bad.select(
-        nothing.cast("string").alias("id"), nothing.cast("string").alias("model_name"), nothing.cast("string").alias("model_version"),
-        F.col("timestamp").alias("occurred_at"), nothing.cast(FRAME_DDL).alias("inputs"), nothing.cast(FRAME_DDL).alias("outputs"),
-        "_reason", src.alias("_src")))
+        F.col("_rs.model_version").alias("model_version"),
+        F.when(paired, parse_iso("resp.event_time")).otherwise(F.col("refused.timestamp")).alias("occurred_at"),
+        F.col("inputs").cast(FRAME_DDL).alias("inputs"), F.col("outputs").cast(FRAME_DDL).alias("outputs"), F.col("reason").alias("_reason"), src.alias("_src")))
+
+
+def pending_messages(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """ST1 / ST2: the messages that wait for their other side, read from the state of a stream's checkpoint.
+
+    One row for each message: event_id, window_start, kind, resp_id, topic, partition, offset, timestamp.
+    ``batch_id`` reads the state after an earlier micro-batch.
+    """
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", STATE)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    entries = reader.load().select(F.col("user_map_key.event_id").alias("event_id"), F.col("user_map_key.window_start").alias("window_start"),
+                                   F.explode(F.filter(F.array("user_map_value.req", "user_map_value.resp"), lambda e: e.isNotNull())).alias("e"))
+    return entries.select("event_id", "window_start", *[F.col(f"e.{c}").alias(c) for c in ("kind", "resp_id", "topic", "partition", "offset", "timestamp")])

@@ -1,9 +1,11 @@
 """A logger as a Structured Streaming query (S1 -> J1 -> P* -> C4 -> K2).
 
 The stateless operators are the batch ones; only the pairing is a stateful
-operator (:mod:`predlake.streaming.correlate`). A file sink needs a fixed
-schema, so the schema is pinned before the query starts: looked up in the
-catalog (C3) or inferred once from what has landed (C1) and registered (C2).
+operator (:mod:`predlake.streaming.correlate`). A logger's schema is given, found
+in the catalog (C3), or pinned inside the stream: the first micro-batch with a usable
+inference is what it is inferred from (C1), and it is registered if no other starter
+was first (C2). A restart finds it there. An ``evolving`` schema is asked for again in
+every micro-batch.
 """
 
 from __future__ import annotations
@@ -17,14 +19,15 @@ from predlake.functions.barrier import where
 from predlake.operators import quarantine as Q
 from predlake.operators.filters import filter_spec as apply_filters
 from predlake.operators.rows import name_columns
-from predlake.operators.schema import PinnedSchema
+from predlake.operators.schema import PinnedSchema, lookup
 from predlake.plans.logger import (
-    DESTINATIONS, EVENT_PROCESSORS, SCHEMA_PROVIDERS, STREAM_PROCESSORS, Logged, datapoints, resolve_type,
+    DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, SCHEMA_PROVIDERS, STREAM_PROCESSORS, datapoints, resolve_type,
 )
 from predlake.plans.spec import LoggerSpec, SpecError
 from predlake.session import checkpoint_dir
 from predlake.sinks.parquet import DEFAULT_TRIGGER
 from predlake.sources.envelopes import read_envelopes
+from predlake.streaming.correlate import EXPIRED
 
 
 def scratch(spark: SparkSession, what: str) -> str:
@@ -41,20 +44,42 @@ def check_types(spec: LoggerSpec) -> None:
 
 def pin_schema(spark: SparkSession, spec: LoggerSpec, landed: str,
                catalog: str | None = None) -> PinnedSchema:
-    """C3, else C1 over the landed envelopes (batch) + C2, by the spec's schema provider."""
+    """C3, else C1 over landed envelopes (batch) + C2, by the spec's schema provider (U2), before a stream starts."""
     check_types(spec)
     inf = EVENT_PROCESSORS[spec.events.type](read_envelopes(spark, landed), spec.events.config)
+    return _provided(spec, apply_filters(inf, spec.filters), catalog)
+
+
+def _provided(spec: LoggerSpec, kept: DataFrame, catalog: str | None) -> PinnedSchema:
     names = spec.column_names()
-    named = name_columns(apply_filters(inf, spec.filters), names["inputs"], names["outputs"])
+    named = name_columns(kept, names["inputs"], names["outputs"])
     provider = SCHEMA_PROVIDERS[spec.schema.type if spec.schema else "avro"]
     return provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
 
 
-def logged_rows(spec: LoggerSpec, inferences: DataFrame, schema: PinnedSchema) -> Logged:
-    """The logger's typed rows; refused messages pass the filter, as they have no model."""
-    names = spec.column_names()
-    kept = apply_filters(inferences, spec.filters)
-    return datapoints(kept, names["inputs"], names["outputs"], schema=schema)
+class SchemaPins:
+    """The schemas of a stream's loggers: given ones, and those pinned as micro-batches come."""
+
+    def __init__(self, schemas: dict[str, PinnedSchema] | None, catalog: str | None) -> None:
+        self.pinned = dict(schemas or {})
+        self.catalog = catalog
+
+    def of(self, spec: LoggerSpec, kept: DataFrame) -> PinnedSchema | None:
+        """The schema for a micro-batch's inferences ``kept``; None while no usable one has been seen."""
+        each = bool(spec.schema) and spec.schema.type in EACH_BATCH
+        if spec.name in self.pinned and not each:
+            return self.pinned[spec.name]
+        spark = kept.sparkSession
+        if not each and self.catalog:
+            found = lookup(spark, self.catalog, spec.subject)
+            if found is not None:
+                self.pinned[spec.name] = found
+                return found
+        names = spec.column_names()
+        usable = where(name_columns(kept, names["inputs"], names["outputs"]), F.col("_reason").isNull())
+        if usable.limit(1).count():
+            self.pinned[spec.name] = _provided(spec, kept, self.catalog)
+        return self.pinned.get(spec.name)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -84,16 +109,19 @@ def restore_conf(spark: SparkSession, old: dict[str, str | None]) -> None:
             spark.conf.set(k, v)
 
 
-def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str, PinnedSchema], checkpoint: str,
-                state_partitions: int, quarantine_url: str | None = None, available_now: bool = True):
+def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str, PinnedSchema] | None, checkpoint: str,
+                state_partitions: int | None = None, quarantine_url: str | None = None, available_now: bool = True,
+                catalog: str | None = None):
     """M1 as a stream: all loggers of one topic on one stateful pass.
 
     Each micro-batch of inferences is kept while every logger filters, types and
     writes its rows through its destination (U3), under a folder named by the
     batch id that a repeated batch overwrites, so a restart neither loses nor
-    repeats rows. Refused rows go next to them under ``quarantine_url`` (Q1),
-    those of the parse once and those of a logger's typing under its name.
-    ``state_partitions`` is fixed by the first run of a checkpoint.
+    repeats rows. Refused rows go next to them under ``quarantine_url`` (Q1):
+    ``messages`` (refused by the parse), ``expired`` (late, or unpaired when their
+    window ended) and one folder for each logger's typing. A logger without a schema in
+    ``schemas`` gets one by ``SchemaPins`` with ``catalog``. ``state_partitions`` (the
+    session's shuffle partitions where not given) is fixed by the first run of a checkpoint.
     """
     kinds = {(s.events.type, tuple(sorted(s.events.config.items()))) for s in specs}
     if len(kinds) != 1:
@@ -101,17 +129,30 @@ def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str
     for spec in specs:
         check_types(spec)
     spark = envelopes.sparkSession
+    pins = SchemaPins(schemas, catalog)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if quarantine_url:
-                _write_batch(Q.to_quarantine(batch), f"{quarantine_url}/messages", batch_id)
+                expired = F.col("reason") == EXPIRED
+                refused = Q.to_quarantine(batch)
+                _write_batch(refused.where(~expired), f"{quarantine_url}/messages", batch_id)
+                _write_batch(refused.where(expired), f"{quarantine_url}/expired", batch_id)
             parsed = where(batch, F.col("_reason").isNull())
             for spec in specs:
-                logged = logged_rows(spec, parsed, schemas[spec.name])
-                config = {**spec.destination.config, "batch": batch_id}
-                DESTINATIONS[spec.destination.type](logged.good, config, spec.name)
+                kept = apply_filters(parsed, spec.filters)
+                schema = pins.of(spec, kept)
+                if schema is None and not quarantine_url:
+                    continue
+                names = spec.column_names()
+                # without a schema there is no usable row: all that is left has a reason
+                logged = datapoints(kept, names["inputs"], names["outputs"], schema=schema or PinnedSchema())
+                if schema is not None:
+                    config = {**spec.destination.config, "batch": batch_id}
+                    if spec.schema and spec.schema.type in EACH_BATCH:
+                        config["version"] = schema.version
+                    DESTINATIONS[spec.destination.type](logged.good, config, spec.name)
                 if quarantine_url:
                     _write_batch(logged.quarantine, f"{quarantine_url}/{spec.name}", batch_id)
         finally:

@@ -9,32 +9,49 @@ from predlake.streaming.correlate import PairProcessor, _FIELDS
 from test_fold import model
 
 T0 = dt.datetime(2024, 1, 1)
-WINDOW_MS, BUCKET_MS = 10_000, 86_400_000
+WINDOW_MS = 10_000
 
 
-class _State:
+class _Map:
     def __init__(self):
-        self.v = None
+        self.v, self.touched = {}, 0
 
-    def get(self):
-        return self.v
+    def exists(self):
+        return bool(self.v)
 
-    def update(self, v):
-        self.v = v
+    def getValue(self, k):
+        self.touched += 1
+        return self.v.get(k)
 
-    def clear(self):
-        self.v = None
+    def updateValue(self, k, v):
+        self.touched += 1
+        self.v[k] = v
+
+    def removeKey(self, k):
+        self.touched += 1
+        self.v.pop(k, None)
+
+    def iterator(self):
+        return iter(list(self.v.items()))
 
 
 class _Handle:
     def __init__(self):
-        self.states, self.timers = {}, []
+        self.maps, self.timers = {}, set()
 
-    def getValueState(self, name, schema):
-        return self.states.setdefault(name, _State())
+    def getMapState(self, name, key, value):
+        return self.maps.setdefault(name, _Map())
 
     def registerTimer(self, ms):
-        self.timers.append(ms)
+        self.timers.add(ms)
+
+
+class _Info:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getExpiryTimeInMs(self):
+        return self.ms
 
 
 class _Timers:
@@ -46,37 +63,86 @@ class _Timers:
 
 
 event = st.tuples(st.integers(0, 4), st.sampled_from("RSN"), st.integers(0, 60_000))
+EPOCH = int(T0.timestamp() * 1000)
+
+
+def _input(key, kind, ms, off, reason=None, partition=0):
+    return {"event_id": f"k{key}", "window_start": T0 + dt.timedelta(milliseconds=ms // WINDOW_MS * WINDOW_MS), "kind": "R" if kind == "R" else "S",
+            "resp_id": "x" if kind == "S" else None, "event_time": None, "value": None, "topic": "t", "partition": partition,
+            "offset": off, "timestamp": T0 + dt.timedelta(milliseconds=ms), "reason": reason, "_ms": ms}
+
+
+def _run(batches, expiry=WINDOW_MS):
+    """The processor over micro-batches like Spark: one for each grouping key, timers after the input; all rows out."""
+    procs, out, wm = {}, [], 0
+    for batch in [*batches, []]:
+        groups = {}
+        for r in batch:
+            groups.setdefault(hash(r["event_id"]) % 3, []).append({f: r[f] for f in ["event_id", "window_start", "reason"] + _FIELDS})
+        for k, rows in groups.items():
+            if k not in procs:
+                procs[k] = PairProcessor(WINDOW_MS, expiry)
+                procs[k].init(_Handle())
+            out += procs[k].handleInputRows(k, iter(rows), _Timers(wm))
+        for p in procs.values():
+            for ms in sorted(t for t in p.handle.timers if t <= wm):
+                p.handle.timers.discard(ms)
+                out += p.handleExpiredTimer(None, _Timers(wm), _Info(ms))
+        wm = max([wm, *(r["_ms"] + EPOCH for r in batch)])
+    return out, [e for p in procs.values() for e in p.pending.v.items()]
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(event, min_size=1, max_size=80), st.integers(1, 6))
 def test_processor_matches_model(log, n_batches):
-    rows = []
-    for off, (key, kind, ms) in enumerate(log):
-        ts = T0 + dt.timedelta(milliseconds=ms)
-        ws = T0 + dt.timedelta(milliseconds=ms // WINDOW_MS * WINDOW_MS)
-        rows.append({"event_id": f"k{key}", "window_start": ws, "kind": "R" if kind == "R" else "S",
-                     "resp_id": None if kind == "N" else ("x" if kind == "S" else None),
-                     "event_time": None, "value": None, "topic": "t", "partition": 0,
-                     "offset": off, "timestamp": ts, "_ms": ms})
-    rows.sort(key=lambda r: (r["timestamp"], r["offset"]))
+    rows = sorted((_input(key, kind, ms, off) for off, (key, kind, ms) in enumerate(log)), key=lambda r: (r["timestamp"], r["offset"]))
     size = -(-len(rows) // n_batches)
-    procs = {}                      # one processor + state per state key (bucket), like Spark
-    got, wm = set(), 0
-    for b in range(0, len(rows), size):
-        batch = rows[b:b + size]
-        groups = {}
-        for r in batch:
-            groups.setdefault((hash(r["event_id"]) % 3, 0), []).append({f: r[f] for f in ["event_id", "window_start"] + _FIELDS})
-        for k, rs in groups.items():
-            if k not in procs:
-                p = PairProcessor(WINDOW_MS, BUCKET_MS)
-                p.init(_Handle())
-                procs[k] = p
-            for out in procs[k].handleInputRows(k, iter(rs), _Timers(wm)):
-                got.add((out.event_id, out.req.offset, out.resp.offset))
-        # watermark after the batch: max event time seen minus the expiry (the window)
-        wm = max(wm, max(r["_ms"] for r in batch) + int(T0.timestamp() * 1000) - WINDOW_MS)
-    want = {(k, r, s) for k, _, r, s in model([(f"k{k}", kind, ms, off)
-                                                for off, (k, kind, ms) in enumerate(log)])}
-    assert got == want
+    out, _ = _run([rows[b:b + size] for b in range(0, len(rows), size)])
+    got = {(r.event_id, r.req.offset, r.resp.offset) for r in out if r.reason is None}
+    assert got == {(k, r, s) for k, _, r, s in model([(f"k{key}", kind, ms, off) for off, (key, kind, ms) in enumerate(log)])}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.permutations(range(24)), st.integers(1, 8))
+def test_every_message_is_accounted_for(order, n_batches):
+    """One request and response for each of 12 ids, in any order of delivery: paired, pending or expired, by window end."""
+    log = [_input(i, kind, 4_000 * i + (0 if kind == "R" else 7_000 * (i % 2)), 2 * i + (kind == "S")) for i in range(12) for kind in "RS"]
+    log = [log[i] for i in order]
+    size = -(-len(log) // n_batches)
+    batches = [log[b:b + size] for b in range(0, len(log), size)]
+    out, pending = _run(batches)
+    paired = [o for r in out if r.reason is None for o in (r.req.offset, r.resp.offset)]
+    expired = [r.refused.offset for r in out if r.reason == "window_expired"]
+    waiting = [e[list(e).index("t") + 2] for _, slot in pending for e in slot if e]
+    assert sorted(paired + expired + waiting) == list(range(24))
+    # a message is late only if the newest message of earlier batches lies its window's end and the expiry behind
+    wm, late = 0, set()
+    for b in batches:
+        late |= {r["offset"] for r in b if EPOCH + r["_ms"] // WINDOW_MS * WINDOW_MS + 2 * WINDOW_MS <= wm}
+        wm = max([wm, *(r["_ms"] + EPOCH for r in b)])
+    assert late <= set(expired)
+    by_id = {o: (o // 2, next(r["_ms"] for r in log if r["offset"] == o) // WINDOW_MS) for o in range(24)}
+    for i in range(12):
+        if not {2 * i, 2 * i + 1} & late and by_id[2 * i] == by_id[2 * i + 1]:
+            assert {2 * i, 2 * i + 1} <= set(paired)
+
+
+def test_a_row_behind_the_newest_pairs_while_its_window_is_open():
+    out, _ = _run([[_input(0, "R", 23_000, 0)], [_input(1, "R", 11_000, 1), _input(1, "S", 12_000, 2)]])
+    assert [(r.req.offset, r.resp.offset) for r in out if r.reason is None] == [(1, 2)]
+
+
+def test_refused_rows_pass_and_null_positions_sort_first():
+    rows = [_input(0, "R", 5, None, partition=None), _input(0, "R", 5, 7), _input(0, "S", 6, None, partition=None), _input(0, "R", 5, 3, reason="malformed_body")]
+    out, pending = _run([rows])
+    assert [(r.reason, r.refused.offset) for r in out if r.reason] == [("malformed_body", 3)]
+    assert [(r.req.offset, r.resp.offset) for r in out if r.reason is None] == [(7, None)] and not pending
+
+
+def test_a_batch_touches_its_own_entries_only():
+    p = PairProcessor(WINDOW_MS, WINDOW_MS)
+    p.init(_Handle())
+    list(p.handleInputRows(0, iter([_input(i, "R", i, i) for i in range(500)]), _Timers(0)))
+    p.pending.touched = 0
+    assert len(list(p.handleInputRows(0, iter([_input(3, "S", 600, 900)]), _Timers(0)))) == 1
+    assert p.pending.touched == 2 and len(p.pending.v) == 499

@@ -20,7 +20,7 @@ def test_stream_equals_batch_and_restart(spark):
     stage_slices(feeds.repeated_pairs(spark, SF), f"{base}/staged", 4)
     want = _rows(datapoints(kserve_inferences(read_envelopes(spark, f"{base}/staged"))).good)
     assert len(want) > 100
-    spec = LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "kserve", "config": {"stateTime": "1 day"}},
+    spec = LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "kserve", "config": {}},
                                  "destination": {"type": "parquet", "config": {"url": f"{base}/lake"}}})
     schema = pin_schema(spark, spec, f"{base}/staged")
 
