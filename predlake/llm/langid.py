@@ -27,7 +27,7 @@ their mean entropy. ``rejected`` marks texts beyond either.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,12 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, materialise, split_of
+from .common import bounded_sample, materialise, per_process, split_of
 
 ORDER = 5
 PAD = "\n"                       # before a text; texts hold letters and spaces only
-PIECE = 1 << 18                  # positions looked at together
-FLUSH = 200_000                  # distinct n-grams that a counting task holds before it sends them on
+PIECE = 1 << 20                  # positions looked at together
+FLUSH = 400_000                  # distinct n-grams that a counting task holds before it sends them on
+KNOWN = 1_000_000                # n-grams whose costs a worker remembers at most
 ENTRIES_PER_PASS = 4_000_000     # of 16 bytes, in one broadcast
 HELD = 20                        # one learning text of so many calibrates
 CALIBRATION_ROWS = 2_000         # sample bound: texts that calibrate at most, each also in cuts of CUTS characters
@@ -97,40 +98,66 @@ def blocks(texts):
 def _block(parts: list[str], owners: list[int]):
     sizes = np.array([len(p) for p in parts])
     points = points_of("".join(parts))
-    owner, starts = np.repeat(owners, sizes), np.repeat(np.cumsum(sizes) - sizes, sizes)
-    last = np.flatnonzero(np.arange(len(points)) - starts >= ORDER - 1)
-    return owner[last], last, points
+    inner = np.ones(len(points), bool)
+    inner[np.add.outer(np.arange(ORDER - 1), np.cumsum(sizes) - sizes).ravel()] = False
+    last = np.flatnonzero(inner)
+    return np.repeat(owners, sizes - ORDER + 1), last, points
 
 
 def distinct(last: np.ndarray, points: np.ndarray):
-    """The distinct n-grams that end at ``last`` as rows of code points, and which of them each place has."""
-    rolled = np.zeros(len(last), np.uint64)
+    """The distinct n-grams that end at ``last``: their hashes in order, code points in rows, and which of them each place has."""
+    wide = points.astype(np.uint64)
+    n = len(points) - ORDER + 1
+    rolled = np.zeros(n, np.uint64)
     for j in range(ORDER):
-        rolled = (rolled + points[last - ORDER + 1 + j].astype(np.uint64)) * SEED
+        rolled = (rolled + wide[j:j + n]) * SEED
         rolled ^= rolled >> np.uint64(29)
-    _, first, which = np.unique(rolled, return_index=True, return_inverse=True)
-    return points[last[first][:, None] - np.arange(ORDER - 1, -1, -1)], which
+    hashes, first, which = np.unique(rolled[last - ORDER + 1], return_index=True, return_inverse=True)
+    return hashes, points[last[first][:, None] - np.arange(ORDER - 1, -1, -1)], which
 
 
-def _count(batches):
-    counts: Counter = Counter()
+class Tally:
+    """Counts of n-grams by hash, merged now and then."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, hashes: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((hashes, grams, counts))
+        self.size += len(hashes)
+        if self.size > 2 * FLUSH:
+            self.merge()
+
+    def merge(self) -> None:
+        hashes, grams, counts = (np.concatenate(x) for x in zip(*self.parts))
+        hashes, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        self.parts = [(hashes, grams[first], np.bincount(which, counts, len(hashes)).astype(np.int64))]
+        self.size = len(hashes)
+
+    def rows(self, lang: str) -> pd.DataFrame:
+        self.merge()
+        _, grams, counts = self.parts.pop()
+        self.size = 0
+        text = grams.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        return pd.DataFrame({"lang": lang, "gram": [text[i:i + ORDER] for i in range(0, len(text), ORDER)], "n": counts})
 
-    def rows():
-        out = pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "gram", "n"])
-        counts.clear()
-        return out
 
+def _count(batches):
+    tallies: dict[str, Tally] = {}
     for pdf in batches:
         for lang, part in pdf.groupby("lang"):
+            tally = tallies.setdefault(lang, Tally())
             for _, last, points in blocks([letters(t) for t in part.text]):
-                grams, which = distinct(last, points)
-                text = grams.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                for i, n in enumerate(np.bincount(which).tolist()):
-                    counts[lang, text[i * ORDER:(i + 1) * ORDER]] += n
-                if len(counts) >= FLUSH:
-                    yield rows()
-    if counts:
-        yield rows()
+                hashes, grams, which = distinct(last, points)
+                tally.add(hashes, grams, np.bincount(which))
+            if sum(t.size for t in tallies.values()) > FLUSH:
+                for t in tallies.values():
+                    if t.parts:
+                        t.merge()
+                if sum(t.size for t in tallies.values()) > FLUSH:
+                    yield from (t.rows(x) for x, t in tallies.items() if t.parts)
+    yield from (t.rows(x) for x, t in tallies.items() if t.parts)
 
 
 def _share(pair: np.ndarray, shares: int) -> np.ndarray:
@@ -233,40 +260,65 @@ def bits(grams: np.ndarray, model, alphabet: int) -> np.ndarray:
     return -np.log2(p)
 
 
+class Costs:
+    """Costs of n-grams in all languages; those of the last KNOWN distinct ones are remembered."""
+
+    def __init__(self, model: list, alphabet: int) -> None:
+        self.model, self.alphabet = model, alphabet
+        self.keys, self.costs = np.zeros(0, np.uint64), np.zeros((0, len(model)))
+
+    def of(self, hashes: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """Rows of costs, for sorted distinct hashes."""
+        out = np.empty((len(hashes), len(self.model)))
+        at = np.searchsorted(self.keys, hashes)
+        old = np.zeros(len(hashes), bool)
+        inside = at < len(self.keys)
+        old[inside] = self.keys[at[inside]] == hashes[inside]
+        out[old] = self.costs[at[old]]
+        new = np.flatnonzero(~old)
+        if len(new):
+            for i, one in enumerate(self.model):
+                out[new, i] = bits(grams[new], one, self.alphabet)
+            if len(self.keys) + len(new) > KNOWN:
+                self.keys, self.costs = hashes, out
+            else:
+                self.keys, self.costs = np.insert(self.keys, at[new], hashes[new]), np.insert(self.costs, at[new], out[new], axis=0)
+        return out
+
+
 def _scorer(models: Models, number: int):
-    """Adds one pass to the entropies: (text, sums so far) -> sums of all languages."""
+    """Adds one pass to the entropies: (text, sums so far) -> sums of all languages, and the number of positions."""
     spark_model = models.entries.sparkSession.sparkContext.broadcast(arrays(models, number))
-    alphabet, passes = models.alphabet, models.passes
+    alphabet, passes, key = models.alphabet, models.passes, f"langid:{uuid.uuid4().hex}"
 
     @F.pandas_udf("array<double>")
     def run(texts: pd.Series, before: pd.Series) -> pd.Series:
-        model = spark_model.value
-        sums = np.array([np.zeros(len(model)) if b is None else b for b in before]).reshape(len(texts), len(model))
-        for owner, last, points in blocks([letters(t or "") for t in texts]):
-            grams, which = distinct(last, points)
-            mine = _share(grams[:, -3:-1], passes) == number
-            for i, one in enumerate(model):
-                cost = np.zeros(len(grams))
-                cost[mine] = bits(grams[mine], one, alphabet)
-                sums[:, i] += np.bincount(owner, cost[which], len(texts))
+        costs = per_process(key, lambda: Costs(spark_model.value, alphabet))
+        n = len(costs.model)
+        low = [letters(t or "") for t in texts]
+        sums = np.array([np.zeros(n + 1) if b is None else b for b in before]).reshape(len(texts), n + 1)
+        sums[:, n] = [len(t) + 1 if t else 0 for t in low]
+        for owner, last, points in blocks(low):
+            hashes, grams, which = distinct(last, points)
+            cost = costs.of(hashes, grams)
+            if passes > 1:
+                cost = np.where((_share(grams[:, -3:-1], passes) == number)[:, None], cost, 0.0)
+            for i in range(n):
+                sums[:, i] += np.bincount(owner, cost[:, i][which], len(texts))
         return pd.Series(list(sums))
 
     return run
 
 
-def _positions(texts: pd.Series) -> pd.Series:
-    sizes = (len(letters(t or "")) for t in texts)
-    return pd.Series([n + 1 if n else 0 for n in sizes], dtype="int64")
-
-
 def entropies(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
     """``df`` with _bits (of each language, by language) and _positions, the number of characters they are summed over."""
-    df = df.withColumn("_positions", F.pandas_udf(_positions, "long")(F.col(text_col))).withColumn("_bits", F.lit(None).cast("array<double>"))
+    df = df.withColumn("_bits", F.lit(None).cast("array<double>"))
     for number in range(models.passes):
         df = df.withColumn("_bits", _scorer(models, number)(F.col(text_col), F.col("_bits")))
         if number + 1 < models.passes:
             df = materialise(df, "entropies")  # one model at a time in a worker
-    return df
+    n = len(models.langs)
+    return df.withColumn("_positions", F.get("_bits", F.lit(n)).cast("long")).withColumn("_bits", F.slice("_bits", 1, n))
 
 
 def judged(df: DataFrame, models: Models) -> DataFrame:
