@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 GROUP, SHARED = 100, 6      # conversation c begins with crc32(c) % SHARED turns of c - c % GROUP
-SHARD_NODES = 100_000       # nodes of a shard on average
-UNIT_NODES = 50_000         # the cut goes down until no subtree below it is larger
+SHARD_NODES = 2_000         # nodes of a shard on average
+UNIT_NODES = 2_000          # the cut goes down until no subtree below it is larger
 CUTS = (1, 2, 4, 8, 16, 32)
 BLOCK = 64
 KEY = ["depth", "hi", "lo"]
