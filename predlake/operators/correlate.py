@@ -39,6 +39,7 @@ from predlake.functions.barrier import barrier, where
 from predlake.model import DEFAULT_WINDOW
 from predlake.operators.envelope import classify
 from predlake.operators.hot_keys import HOT_ROWS, sliced
+from predlake.operators.prefilter import keep_wanted, wanted_keys
 
 _EVENT = ["event_id", "kind", "resp_id", "model_name", "model_version", "occurred_at", "frame",
           "topic", "partition", "offset", "timestamp"]
@@ -149,17 +150,24 @@ def pairs_to_inferences(pairs: DataFrame) -> DataFrame:
 
 
 def kserve_inferences(envelopes: DataFrame, window: str = DEFAULT_WINDOW,
-                      with_rejects: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                      with_rejects: bool = True, hot_rows: int | None = HOT_ROWS,
+                      model_name: str | None = None, model_version: str | None = None) -> DataFrame:
     """Envelopes -> completed inferences.
 
     Refused envelopes come along as rows with a ``_reason`` (Q1) unless
     ``with_rejects`` is False. A key with more than ``hot_rows`` messages in a
     window is folded in slices; to find such keys, headers and times are counted
-    first (None: not looked for).
+    first (None: not looked for). Of ``model_name`` and ``model_version`` only the keys
+    that have such a response are paired; the filter on inferences (F5 / F6) is still to
+    be applied.
     """
+    start = _window_start(window)
+    keys = wanted_keys(envelopes, start, model_name, model_version) if model_name is not None or model_version is not None else None
     if hot_rows is not None:
-        envelopes = sliced(envelopes, _window_start(window), hot_rows)
+        envelopes = sliced(envelopes, start, hot_rows)
     classified = classify(envelopes)
+    if keys is not None:
+        classified = keep_wanted(classified, keys, start)
     if not with_rejects:
         return pairs_to_inferences(pair_events(where(classified, F.col("_reason").isNull()), window))
     # One scan, one exchange: refused envelopes travel as singleton groups

@@ -20,9 +20,11 @@ their own, next to all other keys and in the same exchange.
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from predlake.functions.barrier import where
@@ -36,6 +38,9 @@ BROADCAST_KEYS = 10_000  # hot keys sent to all tasks at most; more are joined b
 PLACE = ["timestamp", "partition", "offset", "_tie"]
 GROUP = ["event_id", "window_start", "_slice"]
 
+# Executors need not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _keys(envelopes: DataFrame, window_start: Column) -> DataFrame:
     return envelopes.withColumn("event_id", header(HEADER_ID)).withColumn("window_start", window_start)

@@ -26,16 +26,15 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from urllib.parse import quote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from predlake.functions.barrier import barrier
+from predlake.functions.shared_files import create_once
 from predlake.functions.times import format_iso
 
 
@@ -223,23 +222,7 @@ def lookup(spark: SparkSession, catalog: str, subject: str, version: int | None
 def create_version(spark: SparkSession, catalog: str, subject: str, version: int, schema: PinnedSchema) -> bool:
     """Create a version unless it exists: False where another writer has it. A reader never sees half a file."""
     row = json.dumps({"subject": subject, "version": version, "schema": schema.to_json(), "registered_at": datetime.now(timezone.utc).isoformat()})
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    folder = hadoop.Path(_subject_folder(catalog, subject))
-    files = folder.getFileSystem(conf)
-    hidden = hadoop.Path(folder, f"_new-{uuid.uuid4().hex}")
-    out = files.create(hidden, False)
-    out.write(bytearray((row + "\n").encode()))
-    out.close()
-    named = hadoop.Path(folder, f"{version:06d}.json")
-    none = spark._sc._gateway.new_array(hadoop.Options.Rename, 0)   # without OVERWRITE a rename never replaces a file
-    try:
-        hadoop.FileContext.getFileContext(files.getUri(), conf).rename(hidden, named, none)
-        return True
-    except Py4JJavaError as e:
-        files.delete(hidden, False)
-        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            return False
-        raise
+    return create_once(spark, _subject_folder(catalog, subject), f"{version:06d}.json", row + "\n")
 
 
 def register(spark: SparkSession, catalog: str, subject: str, schema: PinnedSchema) -> int:

@@ -76,6 +76,14 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.col("ts"), F.col("event_id"), topic="json-events"))
 
 
+def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``json_events`` with text after the object in click events, and error events cut short."""
+    ev = json_events(spark, sf_dir)
+    kind = F.get_json_object("value", "$.model_name")
+    return ev.withColumn("value", F.when(kind == "click", F.concat("value", F.lit(" <<end of line>>")))
+                         .when(kind == "error", F.expr("substring(value, 1, length(value) - 9)")).otherwise(F.col("value")))
+
+
 # --- KServe request / response pairs ------------------------------------------
 
 def response_delay_ms(event_id: Column) -> Column:
@@ -336,6 +344,16 @@ def iso_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                ts, F.col("event_id"), topic="json-events"))
 
 
+def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as lines of text, ``event_id|event_type|user_id|k|value`` with null as nothing; error events lack their end."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (F.col("event_id"), F.col("event_type"), F.col("user_id"), k, F.col("value"))]
+    line = F.concat_ws("|", *parts)
+    body = F.when(F.col("event_type") == "error", F.substring_index(line, "|", 3)).otherwise(line)
+    return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")), F.col("ts"), F.col("event_id"), topic="lines"))
+
+
 def mixed_type_events(spark: SparkSession, sf_dir: str, text: str = "error") -> DataFrame:
     """JSON events whose ``code`` is a number, except text ``"E<k>"`` for events of type ``text``."""
     ev = table(spark, sf_dir, "events")

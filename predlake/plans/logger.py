@@ -64,6 +64,20 @@ def stream_processor(name: str):
     return deco
 
 
+def arrow_processor(name: str, inputs: str, outputs: str):
+    """U1 for batches and streams: register ``fn(pyarrow.RecordBatch) -> pyarrow.RecordBatch`` with the declared
+    types of its ``inputs`` and ``outputs`` columns (see :mod:`predlake.operators.user_arrow`)."""
+    from predlake.operators.user_arrow import arrow_inferences
+
+    def deco(fn):
+        def processor(envelopes: DataFrame, config: dict) -> DataFrame:
+            return arrow_inferences(envelopes, fn, inputs, outputs)
+        event_processor(name)(processor)
+        stream_processor(name)(processor)
+        return fn
+    return deco
+
+
 def resolve_type(registry: dict, kind: str, name: str):
     """A registered plug-in by its name in the spec; unknown names are refused."""
     if name not in registry:
@@ -82,7 +96,8 @@ def _json_processor(envelopes: DataFrame, config: dict) -> DataFrame:
 def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     from predlake.operators.correlate import kserve_inferences
     from predlake.operators.hot_keys import HOT_ROWS
-    return kserve_inferences(envelopes, window=config.get("window", "10 seconds"), hot_rows=config.get("hotRows", HOT_ROWS))
+    return kserve_inferences(envelopes, window=config.get("window", "10 seconds"), hot_rows=config.get("hotRows", HOT_ROWS),
+                             model_name=config.get("modelName"), model_version=config.get("modelVersion"))
 
 
 @stream_processor("kserve")
@@ -101,6 +116,13 @@ def _parquet_destination(rows: DataFrame, config: dict, logger_name: str):
     return parquet.write_batch(rows, config, logger_name)
 
 
+@destination("files")
+def _files_destination(rows: DataFrame, config: dict, logger_name: str):
+    """JSON lines through our own data source: all files of a batch or none, exactly once by batch id."""
+    from predlake.sinks import files
+    return files.write_batch(rows, config, logger_name)
+
+
 @destination("kafka")
 def _kafka_destination(rows: DataFrame, config: dict, logger_name: str):
     """K1: one JSON message per row to the logger's target topic (batch)."""
@@ -199,7 +221,8 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
     ``inferences`` lets several loggers share one parsed + correlated frame.
     """
     if inferences is None:
-        inferences = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)(envelopes, spec.events.config)
+        # a processor may leave out early what the logger's own filter drops
+        inferences = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)(envelopes, {**spec.events.config, **(spec.filters or {})})
     inferences = filter_spec(inferences, spec.filters)
     names = spec.column_names()
     if schema is None:

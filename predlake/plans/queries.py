@@ -8,8 +8,10 @@ SQL, sharing no code with the Spark side.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from predlake.operators.correlate import kserve_inferences
@@ -18,6 +20,9 @@ from predlake.plans import feeds
 from predlake.plans.logger import datapoints
 from predlake.session import apply_defaults
 
+# The functions that a query hands to Spark go by value: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -227,10 +232,10 @@ SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at,
 FROM ({_CORRELATED}) WHERE event_type = 'click' AND coalesce({_K} % 3 <> 0, TRUE)
 """)
 def model_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep one model name and version (applied after the pairing)."""
+    """Keep one model name and version; keys without such a response are left out before the exchange."""
     from predlake.operators.filters import filter_models
     apply_defaults(spark)
-    inf = filter_models(kserve_inferences(feeds.kserve_pairs(spark, sf_dir)), "click", "v1")
+    inf = filter_models(kserve_inferences(feeds.kserve_pairs(spark, sf_dir), model_name="click", model_version="v1"), "click", "v1")
     return datapoints(inf).good
 
 
@@ -383,10 +388,11 @@ def _stream_spec(name: str, url: str, events: str = "kserve", config: dict | Non
 
 
 def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs=None, order=range(DELIVERIES),
-                quarantine: bool = False, pinned: bool = True) -> str:
+                quarantine: bool = False, pinned: bool = True, between=None) -> str:
     """Stage a feed in parts of its time, deliver them in ``order``, each to a run of the stream on one checkpoint; the folder of all.
 
     ``pinned``: the schemas are inferred before the first run; otherwise by the stream itself.
+    ``between`` is called after every run.
     """
     from predlake.plans.spec import LoggerSpec
     from predlake.sources.envelopes import deliver_slice, stage_slices, stream_envelopes
@@ -402,6 +408,8 @@ def _stream_run(spark: SparkSession, sf_dir: str, feed=feeds.kserve_pairs, specs
         deliver_slice(spark, f"{base}/staged", i, f"{base}/landing")
         run_loggers(loggers, stream_envelopes(spark, f"{base}/landing"), schemas, f"{base}/checkpoint",
                     quarantine_url=f"{base}/quarantine" if quarantine else None, catalog=f"{base}/catalog").awaitTermination()
+        if between:
+            between(base)
     return base
 
 
@@ -719,3 +727,131 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = _landed(spark, f"{base}/quarantine/messages").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     logged = _landed(spark, f"{base}/lake/kserve-stream").agg(F.count(F.lit(1)).alias("n")).select(F.lit("logged").alias("reason"), "n")
     return refused.unionByName(logged)
+
+
+# --- plug-ins of the user: a processor on Arrow batches, a destination of our own ----------------
+
+def _parse_lines(batch):
+    """A user's event processor: lines of text to inferences, with NumPy; a line with too few parts raises."""
+    import numpy as np
+    import pyarrow as pa
+    lines = [line.split("|") for line in batch.column("value").to_pylist()]
+    ids, models, users, ks, values = (list(part) for part in zip(*lines, strict=True)) if lines else ([], [], [], [], [])
+    value = np.array([float(v) if v else np.nan for v in values])
+    k = np.array([float(x) if x else np.nan for x in ks])
+    score = np.where(np.isnan(value) | np.isnan(k), None, 2 * value + np.nan_to_num(k))
+    inputs = [[{"user_id": int(u) if u else None, "k": int(x) if x else None}] for u, x in zip(users, ks)]
+    return pa.RecordBatch.from_pydict({
+        "id": ids, "model_name": models, "model_version": [None] * len(ids), "occurred_at": pa.nulls(len(ids), pa.timestamp("us", "UTC")),
+        "inputs": pa.array(inputs, pa.list_(pa.struct([("user_id", pa.int64()), ("k", pa.int64())]))),
+        "outputs": pa.array([[{"score": s}] for s in score], pa.list_(pa.struct([("score", pa.float64())])))})
+
+
+@query("user_processor", f"""
+SELECT CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) || '_0' END AS id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
+       CASE WHEN event_type <> 'error' THEN 2 * value + {_K} END AS score, CASE WHEN event_type = 'error' THEN 'processor_error' END AS reason
+FROM events
+""")
+def user_processor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered processor on Arrow batches; the lines that it can't read are refused, the others of their batch are not."""
+    from pyspark.sql import functions as F
+    from predlake.plans.logger import arrow_processor, run_logger
+    from predlake.plans.spec import LoggerSpec
+    apply_defaults(spark)
+    arrow_processor("lines", "array<struct<user_id: bigint, k: bigint>>", "array<struct<score: double>>")(_parse_lines)
+    rows = run_logger(LoggerSpec.from_dict(_stream_spec("lines", "", "lines")), feeds.text_events(spark, sf_dir)).rows
+    ok = F.col("_reason").isNull()
+    return rows.select(F.when(ok, F.col("id")).alias("id"), F.when(ok, F.col("user_id")).alias("user_id"), F.when(ok, F.col("score")).alias("score"),
+                       F.substring_index("_reason", ":", 1).alias("reason"))
+
+
+@query("destination_files", ORACLES["json_flatten"])
+def destination_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A destination by the Python Data Source API, in batch; read back by its manifests."""
+    from predlake.plans.logger import run_logger, write_logger
+    from predlake.plans.spec import LoggerSpec
+    from predlake.sinks.files import read_committed
+    from predlake.streaming.logger import scratch
+    apply_defaults(spark)
+    spec = _stream_spec("lined", scratch(spark, "files"), "json")
+    spec["destination"] = {"type": "files", "config": spec["destination"]["config"]}
+    logged = run_logger(LoggerSpec.from_dict(spec), feeds.json_events(spark, sf_dir))
+    return read_committed(spark, write_logger(LoggerSpec.from_dict(spec), logged), logged.schema.struct_type())
+
+
+@query("stream_files", ORACLES["json_flatten"])
+def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U3 in a stream: each micro-batch is one manifest."""
+    from predlake.operators.schema import lookup
+    from predlake.sinks.files import read_committed
+    spec = _stream_spec("lined", "", "json")
+    spec["destination"] = {"type": "files", "config": spec["destination"]["config"]}
+    base = _stream_run(spark, sf_dir, feeds.json_events, [spec], pinned=False)
+    return read_committed(spark, f"{base}/lake/lined", lookup(spark, f"{base}/catalog", "lined-value").struct_type())
+
+
+# --- many loggers by rules ---------------------------------------------------------------------
+
+_RULES = """
+rule AS (
+  SELECT 's' || s_suppkey AS logger, CASE s_suppkey % 6 WHEN 0 THEN 'click' WHEN 1 THEN 'view' WHEN 2 THEN 'purchase' WHEN 3 THEN 'signup' WHEN 4 THEN 'error' END AS model_name,
+         CASE s_suppkey % 4 WHEN 0 THEN 'v1' WHEN 1 THEN 'v2' END AS model_version, s_suppkey % 5 = 0 AS named FROM supplier)"""
+
+
+@query("fan_out_rules", f"""
+WITH {_RULES},
+c AS (SELECT *, {_K} AS k, CASE WHEN {_K} % 3 = 0 THEN 'v2' ELSE 'v1' END AS version FROM ({_CORRELATED}))
+SELECT logger, CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('rts')} AS occurred_at, user_id AS user, named
+FROM c JOIN rule ON (rule.model_name IS NULL OR rule.model_name = c.event_type) AND (rule.model_version IS NULL OR rule.model_version = c.version)
+""")
+def fan_out_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: as many loggers as there are suppliers, by a rule index: one scan, one join, one write by logger."""
+    from pyspark.sql import functions as F
+    from predlake.operators.routing import LOGGER, route, write_routed
+    from predlake.streaming.logger import scratch
+    apply_defaults(spark)
+    s = F.col("s_suppkey")
+    models, named = F.array(*[F.lit(m) for m in ("click", "view", "purchase", "signup", "error")]), s % 5 == 0
+    rules = feeds.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s"), s.cast("string")).alias("logger"), F.get(models, (s % 6).cast("int")).alias("model_name"),
+        F.when(s % 4 == 0, "v1").when(s % 4 == 1, "v2").alias("model_version"),
+        F.when(named, F.array(F.lit("user"), F.lit("k"))).alias("input_names"), F.lit(None).cast("array<string>").alias("output_names"))
+    path = write_routed(route(kserve_inferences(feeds.kserve_pairs(spark, sf_dir)), rules), scratch(spark, "routed"))
+    rows = spark.read.parquet(path)
+    return rows.select(LOGGER, "id", "occurred_at", F.coalesce(F.get_json_object("data", "$.user"), F.get_json_object("data", "$.X0")).cast("bigint").alias("user"),
+                       F.get_json_object("data", "$.user").isNotNull().alias("named"))
+
+
+# --- the lake: compaction and replay ----------------------------------------------------------
+
+@query("lake_compact", ORACLES["json_flatten"])
+def lake_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: micro-batches compacted between the runs of a stream; a snapshot has every row once."""
+    from predlake.operators.schema import lookup
+    from predlake.sinks.compact import compact, read_snapshot
+
+    def schema(base):
+        return lookup(spark, f"{base}/catalog", "json-stream-value").struct_type()
+
+    def between(base):
+        compact(spark, f"{base}/lake/json-stream", schema(base))
+    base = _stream_run(spark, sf_dir, feeds.json_events, [_stream_spec("json-stream", "", "json")], pinned=False, between=between)
+    return read_snapshot(spark, f"{base}/lake/json-stream", schema(base))
+
+
+@query("quarantine_replay", f"{ORACLES['json_flatten']} WHERE event_type <> 'error'")
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: refused messages corrected by a rule and logged, each once; a second replay adds nothing."""
+    from pyspark.sql import functions as F
+    from predlake.operators.replay import replay
+    from predlake.operators.schema import lookup
+    from predlake.plans.spec import LoggerSpec
+    spec = _stream_spec("mended", "", "json")
+    base = _stream_run(spark, sf_dir, feeds.damaged_events, [spec], quarantine=True, pinned=False)
+    logger = LoggerSpec.from_dict(spec)
+    logger.destination.config["url"] = f"{base}/lake"
+    rules = {"malformed_body": F.regexp_replace("value", r"\s*<<end of line>>$", "")}
+    schema = lookup(spark, f"{base}/catalog", logger.subject)
+    for _ in range(2):
+        replay(spark, logger, f"{base}/quarantine/messages", f"{base}/ledger", rules, schema)
+    return _landed(spark, f"{base}/lake/mended")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 KNOWN_FORMATS = {"parquet"}
 DEFAULT_OPTIONS = {"compression": "snappy"}
@@ -70,4 +70,4 @@ def read_versions(spark: SparkSession, path: str, schemas: list) -> DataFrame:
         rows = rows.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in latest],
                            F.lit(s.version).alias(VERSION))
         out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], latest.add(VERSION, "int"))
+    return out if out is not None else spark.createDataFrame([], T.StructType([*latest.fields, T.StructField(VERSION, T.IntegerType())]))
