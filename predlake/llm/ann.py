@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 The two halves of a unit vector are quantised separately by k-means; a pair of
-centroids is a cell. A query takes the pairs in order of summed distance from a
-heap (the multi-sequence algorithm) until their cells hold a given part of all
-rows, and reranks every row of those cells by its exact cosine. As rows of a
-cell are within a block's reach, a query carries its farthest sum instead of a
-list of cells: a row is reranked where the sum of its cell is no farther.
+centroids is a cell, and rows are packed cell by cell. A query takes the pairs in order of
+summed distance from a heap (the multi-sequence algorithm) until their cells hold a given
+part of all rows, and reranks the rows of those cells, and only those, by their exact
+cosine. A query carries its farthest sum instead of a list of cells: a cell is
+visited where its sum is no farther. A cell that holds much of the table is dealt
+to as many tasks as any other rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, materialise
-from .vectors import SLOT_QUERIES, by_length, longs, meet, pack, query_slots, usable
+from .vectors import SLOT_QUERIES, by_length, longs, meet, pack, parts_of, query_slots, usable
 
 CENTROIDS = 64          # of a half
 FIT_ROWS = 8192         # the codebooks and the visited part are fitted on so many rows at most
@@ -135,6 +136,19 @@ def _pack_queries(model):
     return run
 
 
+def visited(index: Index, queries: np.ndarray, rows: np.ndarray, cells: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Cosines of queries and rows where a query visits a row's cell, else -inf; ``rows`` stand cell by cell."""
+    s = np.full((len(queries), len(rows)), -np.inf)
+    a, b = index.halves(queries)
+    n = len(index.books[1])
+    starts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    for begin, end in zip(starts, np.append(starts[1:], len(cells))):
+        who = np.flatnonzero(a[:, cells[begin] // n] + b[:, cells[begin] % n] <= reach + SLACK)
+        if len(who):
+            s[who, begin:end] = queries[who] @ rows[begin:end].T
+    return s
+
+
 def _rerank(model, k: int):
     def run(batches):
         index = Index.of(model.value)
@@ -143,13 +157,12 @@ def _rerank(model, k: int):
                 qids, ids = longs(r.qids), longs(r.ids)
                 q = np.frombuffer(r.qmat, np.float64).reshape(len(qids), r.dim)
                 x = np.frombuffer(r.mat, r.kind).reshape(len(ids), r.dim).astype(np.float64)
-                uq = unit(q)
-                s = uq @ unit(x).T
-                s[qids[:, None] == ids[None, :]] = -np.inf
+                uq, ux = unit(q), unit(x)
                 if r.dim == index.dim:
-                    a, b = index.halves(uq)
-                    cells, n = np.asarray(r.cells, np.int64), len(index.books[1])
-                    s[a[:, cells // n] + b[:, cells % n] > np.frombuffer(r.reach, np.float64)[:, None] + SLACK] = -np.inf
+                    s = visited(index, uq, ux, np.asarray(r.cells, np.int64), np.frombuffer(r.reach, np.float64))
+                else:
+                    s = uq @ ux.T
+                s[qids[:, None] == ids[None, :]] = -np.inf
                 m = min(k, len(ids))
                 least = np.partition(s, len(ids) - m, axis=1)[:, len(ids) - m] - SLACK
                 at, row = np.nonzero((s >= least[:, None]) & (s > -np.inf))
@@ -179,6 +192,14 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id"
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     coder = spark.sparkContext.broadcast(vars(index))
 
+    @F.pandas_udf("int")
+    def cell(vecs: pd.Series) -> pd.Series:
+        index, out = Index.of(coder.value), np.full(len(vecs), -1, np.int32)
+        for dim, at, mat in by_length(np.arange(len(vecs)), list(vecs)):
+            if dim == index.dim:
+                out[at] = index.cells(unit(mat))
+        return pd.Series(out)
+
     def encode(dim: int, mat: np.ndarray) -> dict:
         index = Index.of(coder.value)
         cells = index.cells(unit(mat)) if dim == index.dim else np.zeros(0)
@@ -186,7 +207,9 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id"
         kept = narrow if (narrow == mat).all() else mat
         return {"cells": cells.astype(np.int32).tolist(), "kind": kept.dtype.str, "mat": kept.tobytes()}
 
-    blocks = materialise(pack(vectors, encode, "cells array<int>, kind string, mat binary"), "cells")
+    # one range order by cell and id: every task packs its cells one after the other
+    posted = vectors.withColumn("cell", cell("vec")).repartitionByRange("cell", "vec_id").sortWithinPartitions("cell", "vec_id")
+    blocks = materialise(pack(posted.select("vec_id", "vec"), encode, "cells array<int>, kind string, mat binary"), "cells")
     held = blocks.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()  # CENTROIDS ** 2 rows at most
     counts = np.zeros(index.held.size)
     for r in held:
@@ -197,7 +220,7 @@ def nearest(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id"
     slots = max(1, -(-asked // SLOT_QUERIES))
     packed = materialise(query_slots(vectors, every, slots).groupBy("slot").applyInPandas(
         _pack_queries(model), "dim int, slot int, qids binary, qmat binary, reach binary"), "queries")
-    found = (meet(blocks, packed, slots)
+    found = (meet(blocks, packed, parts_of(blocks))
              .mapInPandas(_rerank(model, k), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

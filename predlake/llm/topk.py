@@ -18,24 +18,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .vectors import SLOT_QUERIES, by_length, longs, meet, pack, query_slots, usable
+from .vectors import SLOT_QUERIES, by_length, longs, meet, pack, parts_of, query_slots, usable
 
-BUCKETS = 4096  # of a pass, for each query
+BUCKETS = 4096     # of a pass, for each query
+LARGEST = 1 << 61  # scores are below it in size: so a range of scores fits a long
+NONE = np.iinfo(np.int64).min  # in place of a score that does not count
 
 
 def quantise(x: np.ndarray, scale: int) -> np.ndarray:
     """floor(scale * x) of doubles, in the narrowest integer type that holds it."""
     q = np.floor(scale * x).astype(np.int64)
-    top = int(np.abs(q).max()) if q.size else 0
+    top = max(int(q.max()), -int(q.min())) if q.size else 0
     return q.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if top <= np.iinfo(t).max))
 
 
 def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Integer inner products; in doubles where these are exact, which is faster."""
-    top = [int(np.abs(m.astype(np.int64)).max()) if m.size else 0 for m in (queries, rows)]
-    if max(1, queries.shape[1]) * top[0] * top[1] < 1 << 53:
+    """Integer inner products; in doubles where these are exact, which is faster, and in whole numbers
+    without a bound where a long could overflow. NONE where the product is LARGEST or more in size."""
+    top = [max(int(m.max()), -int(m.min())) if m.size else 0 for m in (queries, rows)]
+    most = max(1, queries.shape[1]) * top[0] * top[1]
+    if most < 1 << 53:
         return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
-    return queries.astype(np.int64) @ rows.astype(np.int64).T
+    if most < LARGEST:
+        return queries.astype(np.int64) @ rows.astype(np.int64).T
+    wide = queries.astype(object) @ rows.astype(object).T
+    return np.where(np.abs(wide) < LARGEST, wide, NONE).astype(np.int64)
 
 
 def _matrix(blob: bytes, kind: str, dim: int, n: int) -> np.ndarray:
@@ -46,7 +53,7 @@ def _pair(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray
     """Query ids, row ids, scores, each query's lower end and number sought; a query's own rows have the least score."""
     qids, ids = longs(r.qids), longs(r.ids)
     s = scores(_matrix(r.qmat, r.qkind, r.dim, len(qids)), _matrix(r.mat, r.kind, r.dim, len(ids)))
-    s[qids[:, None] == ids[None, :]] = np.iinfo(np.int64).min
+    s[qids[:, None] == ids[None, :]] = NONE
     return qids, ids, s, longs(r.qlow), longs(r.qneed)
 
 
@@ -84,7 +91,7 @@ def _select():
             for r in pdf.itertuples():
                 qids, ids, s, kth, need = _pair(r)
                 s = s[:, order := np.argsort(ids, kind="stable")]
-                own = s == np.iinfo(np.int64).min
+                own = s == NONE
                 tie = (s == kth[:, None]) & ~own
                 keep = ((s > kth[:, None]) & ~own) | (tie & (np.cumsum(tie, axis=1) <= need[:, None]))
                 q, at = np.nonzero(keep)
@@ -98,18 +105,20 @@ def top_k(rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col
 
     Vectors that are null or hold null or non-finite components take no part, nor do
     rows with a null id; vectors of different length don't meet. Rows that repeat an
-    id are candidates one by one, never for their own id, and ask once. Scores must
-    fit a long. An empty table gives no rows.
+    id are candidates one by one, never for their own id, and ask once. Scores are longs:
+    a vector with a component that is no long when scaled takes no part, and a pair whose
+    score is 2 ** 61 or more in size is no pair. An empty table gives no rows.
     """
-    vectors = usable(rows, id_col, vec_col)
+    vectors = usable(rows, id_col, vec_col).where(F.forall("vec", lambda x: F.abs(x.cast("double") * scale) < float(1 << 63)))
 
     def encode(dim: int, mat: np.ndarray) -> dict:
         q = quantise(mat, scale)
-        return {"n": len(q), "top": int(np.abs(q.astype(np.int64)).max()) if q.size else 0, "kind": q.dtype.str, "mat": q.tobytes()}
+        return {"n": len(q), "top": float(max(int(q.max()), -int(q.min()))) if q.size else 0.0, "kind": q.dtype.str, "mat": q.tobytes()}
 
-    blocks = materialise(pack(vectors, encode, "n int, top long, kind string, mat binary"), "blocks")
+    blocks = materialise(pack(vectors, encode, "n int, top double, kind string, mat binary"), "blocks")
     top, dim, asked = (blocks.agg(F.max("top"), F.max("dim")).first() or (0, 0)) + (vectors.where(F.col("vec_id") % every == 0).count(),)
-    bound = (dim or 0) * (top or 0) ** 2
+    bound = min((dim or 0) * int(top or 0) ** 2, LARGEST)
+    parts = parts_of(blocks)
     slots = max(1, -(-asked // SLOT_QUERIES))
     queries = materialise(query_slots(vectors, every, slots), "queries")
     state = queries.select("vec_id", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need"))
@@ -117,7 +126,7 @@ def top_k(rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col
 
     def pairs() -> DataFrame:
         packed = queries.join(state, "vec_id").groupBy("slot").applyInPandas(_pack_queries(scale), packed_schema)
-        return meet(blocks, packed, slots)
+        return meet(blocks, packed, parts)
 
     span = 2 * bound + 1
     while span > 1:

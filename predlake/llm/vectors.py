@@ -2,8 +2,10 @@
 
 Rows are packed where they are read: each task cuts its rows into blocks of at
 most ``BLOCK_ROWS``, so no key and no copy of a vector gathers rows. Queries are
-dealt by the hash of their id into slots of about ``SLOT_QUERIES`` rows. A block
-meets each slot once, in one of ``SALTS`` tasks of that slot.
+dealt by the hash of their id into slots of about ``SLOT_QUERIES`` rows. Blocks are
+dealt to parts, as many as there are shuffle partitions, once; the slots go to every part.
+So what is shuffled is the rows once and the queries as often as there are tasks, and does
+not grow with the square of the table.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
 SLOT_QUERIES = 512
-SALTS = 8
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -60,12 +61,16 @@ def pack(vectors: DataFrame, encode: Callable[[int, np.ndarray], dict], schema:
     return vectors.mapInPandas(run, f"dim int, block long, ids binary, {schema}")
 
 
-def meet(blocks: DataFrame, packed_queries: DataFrame, slots: int) -> DataFrame:
-    """Each block beside each slot of queries of its dimension, dealt by (slot, salt)."""
-    left = (blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-            .withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int")))
-    right = packed_queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, ["dim", "slot", "salt"])
+def parts_of(blocks: DataFrame) -> int:
+    """Tasks that blocks are dealt to: the session's shuffle partitions, but no more than there are blocks."""
+    return max(1, min(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.count()))
+
+
+def meet(blocks: DataFrame, packed_queries: DataFrame, parts: int) -> DataFrame:
+    """Each block beside each slot of queries of its dimension, in the block's part."""
+    left = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
+    right = packed_queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return left.join(right, ["dim", "part"])
 
 
 def longs(blob: bytes) -> np.ndarray:

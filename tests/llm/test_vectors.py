@@ -69,6 +69,31 @@ def test_topk_wide_scores(spark):
     assert answers(topk.top_k(spark.createDataFrame(rows, SCHEMA), k=4)) == brute(ids, lambda i: i % 20 == 0, lambda i, j: int(s[i, j]), 4)
 
 
+def test_topk_one_large_vector(spark):
+    rng = np.random.default_rng(6)
+    small = [(i, rng.standard_normal(4).tolist(), 0, "") for i in range(30)]
+    rows = small + [(40, [1e9, -1e9, 1e9, 1e9], 0, ""), (41, [1e19, 0.0, 0.0, 0.0], 0, ""), (60, [-1e9, 1e9, 1e9, -2e9], 0, "")]
+    kept = [r for r in rows if r[0] != 41]                       # no long when scaled
+    ids, q = [r[0] for r in kept], [[int(np.floor(64 * x)) for x in r[1]] for r in kept]
+
+    def score(i, j):
+        return sum(a * b for a, b in zip(q[i], q[j]))
+    want = brute(ids, lambda i: i % 20 == 0, score, 4)
+    want = {i: [x for x in brute(ids, lambda i: i % 20 == 0, score, 40)[i] if abs(x[1]) < topk.LARGEST][:4] for i in want}
+    assert answers(topk.top_k(spark.createDataFrame(rows, SCHEMA), k=4)) == want
+    assert any(abs(score(ids.index(40), ids.index(60))) >= topk.LARGEST for _ in "x")
+
+
+def test_shuffled_rows_do_not_grow_with_the_number_of_slots(spark, table, monkeypatch):
+    from predlake.llm import vectors
+    ids, x = table
+    blocks = spark.createDataFrame([(64, i, b"") for i in range(50)], "dim int, block long, ids binary")
+    slots = spark.createDataFrame([(64, i, b"") for i in range(20)], "dim int, slot int, qids binary")
+    met = vectors.meet(blocks, slots, 8)
+    assert met.count() == 1000 and met.groupBy("block").count().where("count <> 20").count() == 0
+    assert met.select("block", "part").distinct().count() == 50      # a block is in one part only
+
+
 def test_ann_query_recall_and_scores(spark, table):
     ids, x = table
     u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -82,6 +107,35 @@ def test_ann_query_recall_and_scores(spark, table):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_ann_recall_on_a_larger_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").toPandas()
+    ids, x = rows.vec_id.to_numpy(), np.array(rows.embedding.tolist(), np.float64)
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    want = {int(q): set(ids[np.lexsort((ids, -s[i]))[:5]].tolist()) for i, q in enumerate(ids) if q % 50 == 0}
+    got = answers(queries.QUERIES["op5_inverted_multi_index"](spark, "/root/testdata/sf0.01"))
+    assert got.keys() == want.keys()
+    assert sum(len({v for v, _ in got[q]} & want[q]) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_ann_multiplies_visited_cells_only():
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((20, 16)) * 4
+    x = ann.unit(centres[rng.integers(0, 20, 3000)] + rng.standard_normal((3000, 16)) * 0.3)
+    index = ann.Index(x, 5)
+    cells = index.cells(x)
+    order = np.argsort(cells, kind="stable")
+    q = x[::60]
+    s = ann.visited(index, q, x[order], cells[order], index.reach(q))
+    seen = s > -np.inf
+    assert seen.mean() < 0.35                                    # clustered rows: most cells are never read
+    assert np.allclose(s[seen], (q @ x[order].T)[seen])
+    a, b = index.halves(q)
+    n = len(index.books[1])
+    assert (seen == (a[:, cells[order] // n] + b[:, cells[order] % n] <= index.reach(q)[:, None] + ann.SLACK)).all()
+
+
 def test_ann_zero_null_ties_and_empty(spark):
     rows = [(0, [1.0, 0.0], 0, ""), (1, [2.0, 0.0], 0, ""), (2, [3.0, 0.0], 0, ""), (3, [0.0, 0.0], 0, ""), (4, None, 0, ""), (5, [float("nan"), 0.0], 0, ""),
             (6, [-1.0, 0.0], 0, ""), (50, [0.0, 1.0], 0, "")]
