@@ -7,8 +7,10 @@ bitmaps of the duplicate clusters and the sources that they hold: no bin holds
 two pieces of a cluster, and at most SOURCE_REPEATS of a source, a bitmap for
 each repeat. Pieces are packed from large to small.
 
-Pieces are dealt evenly, whatever their source or cluster, to packing groups
-that are bounded in pieces and characters; a group is packed in one task.
+Pieces are numbered from large to small (then by document, piece, source and cluster) and
+dealt by their number to packing groups that are bounded in pieces and characters,
+whatever their source or cluster; a group is packed in one task. Pieces that are equal in
+all of these are alike, so the result does not depend on how Spark deals the rows.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -26,8 +28,8 @@ from .simhash import components_of, fingerprints
 CAPACITY = 16_384         # characters of a bin
 MARK = 1                  # what a piece takes besides its characters
 SOURCE_REPEATS = 4        # pieces of one source in a bin at most
-GROUP_PIECES = 16_384     # of a packing group
-GROUP_BINS = 4_096
+GROUP_PIECES = 4_096      # of a packing group
+GROUP_BINS = 1_024
 
 
 class Bins:
@@ -84,6 +86,17 @@ def pack(sizes: list[int], clusters: list, sources: list, capacity: int = CAPACI
     return out
 
 
+def numbered(pieces: DataFrame) -> DataFrame:
+    """Adds n, the place of a piece in the order of packing, from per-partition totals of a range order."""
+    order = [(F.col("start") - F.col("end")), "doc_id", "piece", "source", "cluster"]
+    ranged = pieces.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()  # the partition, and the place in it
+    ranged = materialise(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", at.bitwiseAND(F.lit((1 << 33) - 1))), "pieces")
+    totals = ranged.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = totals.select("_part", F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(before), "_part").withColumn("n", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
+
+
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, source_repeats: int = SOURCE_REPEATS) -> DataFrame:
     """One row per piece: doc_id, piece (from 0), start and end in code points, source, cluster, bin, offset, position.
 
@@ -100,8 +113,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, source_repeats: in
     pieces = (rows.join(components_of(known, "_id"), "fp")
               .withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("chars") - 1) / step).cast("int")))))
               .withColumn("start", F.col("piece") * step).withColumn("end", F.least("chars", F.col("start") + step))
-              .select("doc_id", "piece", "start", "end", "source", F.col("component_id").alias("cluster"), F.monotonically_increasing_id().alias("n")))
-    pieces = materialise(pieces, "pieces")  # from here on n is fixed, and with it the group
+              .select("doc_id", "piece", "start", "end", "source", F.col("component_id").alias("cluster")))
+    pieces = numbered(pieces)
     found = pieces.agg(F.count("*").alias("pieces"), F.sum(F.col("end") - F.col("start") + MARK).alias("chars")).first()
     groups = max(1, -(-found["pieces"] // GROUP_PIECES), -(-(found["chars"] or 0) // (GROUP_BINS * capacity)))
     kind = dict(pieces.dtypes)["doc_id"]
@@ -112,5 +125,5 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, source_repeats: in
         placed = np.array(pack(sizes, pdf.cluster.tolist(), pdf.source.tolist(), capacity, source_repeats), np.int64).reshape(-1, 3)
         return pdf.drop(columns=["n", "group"]).assign(bin=placed[:, 0] + (int(pdf.group.iloc[0]) << 32), offset=placed[:, 1], position=placed[:, 2])
 
-    return (pieces.withColumn("group", F.pmod(F.xxhash64("n"), F.lit(groups)).cast("int")).groupBy("group").applyInPandas(
+    return (pieces.withColumn("group", F.pmod("n", F.lit(groups)).cast("int")).groupBy("group").applyInPandas(
         run, f"doc_id {kind}, piece int, start int, end int, source string, cluster long, bin long, offset long, position int"))

@@ -76,3 +76,20 @@ def test_nulls_empties_long_texts_and_extra_columns(spark):
     again = packing.pack_documents(spark.createDataFrame([(None, "k l m", "s", 1, "x")] * 3, SCHEMA)).collect()
     assert len({r.bin for r in again}) == 3
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_result_does_not_depend_on_how_rows_are_dealt(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id % 7 = 0"))       # repeated rows among them
+    seen = []
+    for partitions, shuffle in ((3, 4), (11, 7)):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        try:
+            bins = defaultdict(list)
+            for r in packing.pack_documents(docs.repartition(partitions)).collect():
+                bins[r.bin].append((r.position, r.offset, r.doc_id, r.piece, r.start, r.end, r.source, r.cluster))
+            seen.append({b: sorted(rows) for b, rows in bins.items()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
