@@ -21,7 +21,6 @@ their own, next to all other keys and in the same exchange.
 from __future__ import annotations
 
 import sys
-import uuid
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -31,7 +30,7 @@ from predlake.functions.barrier import where
 from predlake.functions.headers import header
 from predlake.model import HEADER_ID
 from predlake.operators.envelope import classify
-from predlake.session import checkpoint_dir
+from predlake.session import scratch_folder
 
 HOT_ROWS = 1_000_000   # messages of one key and window that a task folds; more are sliced
 BROADCAST_KEYS = 10_000  # hot keys sent to all tasks at most; more are joined by a shuffle
@@ -65,7 +64,7 @@ def find_hot_keys(envelopes: DataFrame, window_start: Column, rows: int) -> tupl
 
 def _staged(df: DataFrame) -> DataFrame:
     """Written once under the shared checkpoint folder: slices must not move between the two passes."""
-    path = f"{checkpoint_dir(df.sparkSession)}/hot-keys-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, "hot-keys")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -76,6 +76,17 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.col("ts"), F.col("event_id"), topic="json-events"))
 
 
+def clashing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events with ``k`` as input column ``score`` and ``value`` as output column ``score``; view events have no such output."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    outputs = F.when(F.col("event_type") == "view", F.to_json(F.array(F.struct(F.lit(1).alias("rank"))))) \
+               .otherwise(F.to_json(F.array(F.struct(F.lit(1).alias("rank"), F.col("value").alias("score")))))
+    body = F.concat(F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('","inputs":'),
+                    F.to_json(F.array(F.struct(k.alias("score"), F.col("user_id").alias("user_id")))), F.lit(',"outputs":'), outputs, F.lit("}"))
+    return ev.select(*envelope(body, F.col("event_id"), _headers(F.col("event_id").cast("string")), F.col("ts"), F.col("event_id"), topic="json-events"))
+
+
 def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``json_events`` with text after the object in click events, and error events cut short."""
     ev = json_events(spark, sf_dir)

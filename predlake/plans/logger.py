@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from predlake.operators import quarantine as Q
@@ -20,6 +19,7 @@ from predlake.operators.filters import filter_spec
 from predlake.operators.rows import name_columns, zip_rows
 from predlake.operators.schema import PinnedSchema, align, enforce, evolve, resolve
 from predlake.plans.spec import LoggerSpec, SpecError
+from predlake.session import kept
 
 # --- U1-U3: registries --------------------------------------------------------
 
@@ -205,7 +205,7 @@ def datapoints(inferences: DataFrame,
             pinned = lookup(named.sparkSession, catalog, subject)
         if pinned is None:
             if not named.isStreaming and not inferences.is_cached:
-                cached = named = named.persist(StorageLevel.MEMORY_AND_DISK)
+                cached = named = kept(named)
             pinned = resolve(named, catalog, subject)
     else:
         pinned = schema
@@ -232,8 +232,20 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
     return datapoints(inferences, names["inputs"], names["outputs"], schema=schema)
 
 
+@dataclass
+class FannedOut:
+    """The rows of all loggers; :meth:`release` drops what they share once they have been written."""
+
+    rows: DataFrame
+    shared: list[DataFrame]
+
+    def release(self) -> None:
+        while self.shared:
+            self.shared.pop().unpersist()
+
+
 def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
-            catalog: str | None = None) -> DataFrame:
+            catalog: str | None = None) -> FannedOut:
     """M1: several loggers on one feed -> one frame with a ``logger`` column.
 
     Envelopes are parsed and correlated once per events type; every logger
@@ -248,14 +260,14 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
         if key not in shared:
             proc = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)
             # parsed and paired once for all loggers on this feed
-            shared[key] = proc(envelopes, spec.events.config).persist(StorageLevel.MEMORY_AND_DISK)
+            shared[key] = kept(proc(envelopes, spec.events.config))
         logged = run_logger(spec, envelopes, catalog, inferences=shared[key])
         g = logged.good
         packed = g.select(F.lit(spec.name).alias("logger"), "id", "occurred_at",
                           F.to_json(F.struct(*[F.col(f"`{c}`") for c in g.columns
                                                if c not in ("id", "occurred_at")])).alias("data"))
         out = packed if out is None else out.unionByName(packed)
-    return out
+    return FannedOut(out, list(shared.values()))
 
 
 def write_logger(spec: LoggerSpec, logged: Logged, quarantine_url: str | None = None):

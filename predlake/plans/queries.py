@@ -8,6 +8,7 @@ SQL, sharing no code with the Spark side.
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from predlake.operators.correlate import kserve_inferences
 from predlake.operators.json_events import parse_json_events
 from predlake.plans import feeds
 from predlake.plans.logger import datapoints
-from predlake.session import apply_defaults
+from predlake.session import apply_defaults, release_kept
 
 # The functions that a query hands to Spark go by value: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,8 +30,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
+    """Register a query. What the query before it has persisted is released when it starts."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            release_kept()
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -60,6 +66,19 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datapoints(inf).good
 
 
+# --- wide_merge: P12 ---------------------------------------------------------------------
+
+@query("wide_merge", f"""
+SELECT CAST(event_id AS VARCHAR) || '_0' AS id, {_iso('ts')} AS occurred_at,
+       CASE WHEN event_type <> 'view' THEN value END AS score, user_id, CAST(1 AS BIGINT) AS rank
+FROM events
+""")
+def wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of both sides keeps the input's place and has the output's value, null where an output lacks it."""
+    apply_defaults(spark)
+    return datapoints(parse_json_events(feeds.clashing_events(spark, sf_dir))).good
+
+
 # --- correlate: S2 F7 J1 W1 P8 P2 P3 P6 P9 -------------------------------------
 
 def _resp_ts(alias: str = "") -> str:
@@ -261,7 +280,7 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     from predlake.plans.spec import LoggerSpec
     apply_defaults(spark)
     specs = [LoggerSpec.from_dict(d) for d in FAN_OUT_SPECS]
-    return run_fan_out(specs, feeds.kserve_pairs(spark, sf_dir)).select("logger", "id", "occurred_at")
+    return run_fan_out(specs, feeds.kserve_pairs(spark, sf_dir)).rows.select("logger", "id", "occurred_at")
 
 
 # --- flagship --------------------------------------------------------------------------------
@@ -347,12 +366,11 @@ _LOGGED_TYPE = "CASE typeof(any_value({0})) WHEN 'DOUBLE' THEN 'double' WHEN 'VA
     for side, pos, col in (("inputs", 0, "l_quantity"), ("inputs", 1, "l_returnflag"), ("inputs", 2, "l_linenumber"), ("outputs", 0, "l_tax"))))
 def schema_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Infer from the V2 feed, register in a catalog table, read it back."""
-    import uuid
     from predlake.operators.rows import name_columns
     from predlake.operators.schema import lookup, resolve
-    from predlake.session import checkpoint_dir
+    from predlake.session import scratch_folder
     apply_defaults(spark)
-    catalog = f"{checkpoint_dir(spark)}/schema-catalog-{uuid.uuid4().hex}"
+    catalog = scratch_folder(spark, "schema-catalog")
     named = name_columns(kserve_inferences(feeds.v2_orders(spark, sf_dir)))
     resolve(named, catalog, "lineitem-v2-value")            # C1 + C2
     found = lookup(spark, catalog, "lineitem-v2-value")     # C3

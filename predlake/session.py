@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. Only applied where the session leaves them unset.
 SESSION_DEFAULTS = {
@@ -79,3 +82,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="predlake-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
+
+
+# --- what a run leaves behind ----------------------------------------------------
+
+_FOLDERS: list[tuple[SparkSession, str]] = []
+_KEPT: list[DataFrame] = []
+
+
+def scratch_folder(spark: SparkSession, what: str) -> str:
+    """A fresh folder for one run under the shared checkpoint folder. What is read from it later is read lazily,
+    so it is deleted when this process ends, and not before."""
+    return delete_at_exit(spark, f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}")
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Delete a folder that this process makes when it ends."""
+    _FOLDERS.append((spark, path))
+    return path
+
+
+@atexit.register
+def _delete_folders() -> None:
+    for spark, path in _FOLDERS:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session has been stopped, or its JVM is gone: the folder stays
+            return
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` persisted in memory and on disk (lost blocks are computed again); ``release_kept`` lets go of it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df)
+    return df
+
+
+def release_kept() -> None:
+    """Unpersist all that ``kept`` holds. Frames that still need it are computed from their sources."""
+    while _KEPT:
+        _KEPT.pop().unpersist()

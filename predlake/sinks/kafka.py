@@ -1,28 +1,14 @@
-"""K1: the target-topic sink (one JSON value per logged row).
+"""K1: the target-topic sink (one JSON value per logged row), in batch and for each micro-batch of a stream.
 
-Needs the Kafka connector at deploy time; the check runs before the query
-starts, so a missing package fails fast instead of mid-stream.
+Needs the Kafka connector at deploy time; without it the destination raises.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from predlake.sources.envelopes import kafka_available
-
 
 def to_messages(rows: DataFrame, key: str = "id") -> DataFrame:
     """``key`` / ``value`` columns: the row id and the whole row as JSON."""
     return rows.select(F.col(key).cast("string").alias("key"),
                        F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("value"))
-
-
-def write_topic_stream(rows: DataFrame, bootstrap: str, topic: str, checkpoint: str, **options: str):
-    if not kafka_available(rows.sparkSession):
-        raise RuntimeError("the Kafka connector package is not on the classpath")
-    w = (to_messages(rows).writeStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
-         .option("checkpointLocation", checkpoint))
-    for k, v in options.items():
-        w = w.option(k, v)
-    return w.start()

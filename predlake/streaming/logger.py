@@ -24,15 +24,13 @@ from predlake.plans.logger import (
     DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, SCHEMA_PROVIDERS, STREAM_PROCESSORS, datapoints, resolve_type,
 )
 from predlake.plans.spec import LoggerSpec, SpecError
-from predlake.session import checkpoint_dir
+from predlake.session import scratch_folder
 from predlake.sinks.parquet import DEFAULT_TRIGGER
 from predlake.sources.envelopes import read_envelopes
 from predlake.streaming.correlate import EXPIRED
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh folder for one run under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
+scratch = scratch_folder
 
 
 def check_types(spec: LoggerSpec) -> None:
