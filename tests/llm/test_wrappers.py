@@ -83,3 +83,74 @@ def test_query_equals_the_articles_by_hand(spark):
         inside = re.sub(r"<[^>]*$", "", pages[r.page_id].split("<article>", 1)[-1].split("</article>")[0] if "<article>" in pages[r.page_id] else "")
         want = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", inside)]
         assert r.text == "\n\n".join(b for b in want if b) and r.n_chars == len(r.text)
+
+
+def extracted(spark, pages):
+    rows = spark.createDataFrame([(i, f"http://{host}/", h, "", "") for i, (host, h) in enumerate(pages)], SCHEMA)
+    return {r.page_id: r.text for r in wrappers.extract_text(rows).collect()}
+
+
+def test_pages_of_any_depth(spark):
+    deep = ["<div>" * 5000 + "deep" + "</div>" * 5000, "<b>" * 5000 + "unclosed", "<p><b>" * 3000 + "mixed", "<ul><li>" * 3000 + "lists", "<article>" * 2000 + "articles"]
+    got = extracted(spark, [("deep.example", h) for h in deep] + [(f"alone{i}.example", h) for i, h in enumerate(deep)])
+    assert [got[i] for i in range(10)] == ["deep", "unclosed", "mixed", "lists", "articles"] * 2
+
+
+def test_signs_inside_quoted_attributes():
+    read = wrappers.main_text
+    assert read('<p title="x > y">hello</p>', None) == "hello"
+    assert read("<p title='a > b' data-x=\"<b>\">one<p class=q>two", None) == "one\n\ntwo"
+    assert read('<p title="never closed>text', None) == "text" and read("<p title=a\"b>text", None) == "text" and read("<p>it's 3 > 2 <b>\"so\"</b></p>", None) == "it's 3 > 2 \"so\""
+    assert read('<article title = "1 > 0" class=\'main\'><h1 id="a=b>c">T</h1>x</article>', None) == "T\n\nx"
+
+
+def test_all_articles_of_a_page(spark):
+    page = "<body><nav>menu</nav><article class=lead><h1>Head {0}</h1><p>short {0}</p></article><div class=teaser>teaser {0}</div><article class=story><p>" + "much longer text of {0} " * 9 + "</p></article></body>"
+    got = extracted(spark, [("two.example", page.format(f"n{i}")) for i in range(6)])
+    for i in range(6):
+        assert got[i] == f"Head n{i}\n\nshort n{i}\n\n" + (f"much longer text of n{i} " * 9).strip()
+
+
+def test_headings_of_an_article_header_and_plain_words_as_classes():
+    page = "<article><header><a class=nav href=/>up</a><h1>Title <i>here</i></h1><p>by someone</p></header><p class=legal>The law says so.</p><div class=side>On the other side</div><footer>tags</footer></article>"
+    assert wrappers.main_text(page, None) == "Title here\n\nThe law says so.\n\nOn the other side"
+
+
+def test_a_wrapper_is_as_large_as_the_template_whatever_the_slugs(spark):
+    page = "<body><div id=top>Our paper</div><article id='post-{0}' class='post category-{1} tag-{0}'><h1>Head {0}</h1><div class=x>Read on, friend</div><p class='p-{0}'>words of {0}</p></article></body>"
+    names = ["".join("abcdefghij"[int(c)] for c in str(i)) for i in range(1600)]
+    sizes = {}
+    for n in (100, 1600):
+        rows = spark.createDataFrame([(i, "http://slugs.example/", page.format(names[i], names[i][::-1]), "", "") for i in range(n)], SCHEMA)
+        sizes[n] = len(wrappers.wrappers(rows.selectExpr("'slugs.example' as host", "html")).first().wrapper)
+        got = {r.page_id: r.text for r in wrappers.extract_text(rows).collect()}
+        assert all(got[i] == f"Head {names[i]}\n\nwords of {names[i]}" for i in range(n))   # the shared line is known as such
+    assert sizes[1600] <= sizes[100] + 40 < 1500
+
+
+def test_sequences_are_aligned_in_order():
+    def whole(*pages):
+        w = wrappers.wrap(wrappers.parse(pages[0]))
+        for p in pages[1:]:
+            w = wrappers.align(w, wrappers.wrap(wrappers.parse(p)))
+        assert wrappers.expression(wrappers.loaded(wrappers.dumped(w))) == wrappers.expression(w)
+        return wrappers.expression(w)
+    assert whole("<dl><dt>a<dd>b<dt>c<dd>d</dl>", "<dl><dt>e<dd>f</dl>") == "<dl>(<dt>#</dt><dd>#</dd>)+</dl>"
+    assert whole("<h1>a</h1><p>x</p><h2>s</h2><p>y</p>", "<h1>a</h1><p>x</p><p>z</p><h2>s</h2>") == "<h1>a</h1>(<p>#</p>)+<h2>s</h2>(<p>y</p>)?"
+    assert whole("<ul><li>a<li>b<li>c</ul>", "<ul></ul>", "<ul><li>d</ul>") == "<ul>(<li>#</li>)+?</ul>"
+
+
+def test_a_wrapper_is_bounded_and_what_it_lacks_is_kept(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "WRAPPER_NODES", 40)
+    rare = "".join(f"<section class=s{chr(97 + i % 26)}{chr(97 + i // 26)}><h2>part {i}</h2><p>text {i}</p></section><hr>" for i in range(60))
+    w = wrappers.pruned(wrappers.wrap(wrappers.parse(f"<article><h1>T</h1>{rare}</article>")))
+    assert sum(1 for _ in wrappers.nodes_of(w)) == 40
+    got = wrappers.main_text(f"<article><h1>T</h1>{rare}</article>", w)
+    assert got == "T\n\n" + "\n\n".join(f"part {i}\n\ntext {i}" for i in range(60))
+
+
+def test_many_hosts_are_joined_by_salt_with_the_same_result(spark, monkeypatch):
+    pages = [(f"h{i % 3}.example", PAGE.format(f"n{i}")) for i in range(30)]
+    want = extracted(spark, pages)
+    monkeypatch.setattr(wrappers, "BROADCAST_CHARS", 0)
+    assert extracted(spark, pages) == want
