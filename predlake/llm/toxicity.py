@@ -1,5 +1,7 @@
 """Toxicity from a learned lexicon, matched by Levenshtein automata over a trie.
 
+An edit is a letter more, less or other, or two neighbours that have changed places.
+
 Learning finds the words and word beginnings that explain the labelled toxic
 documents (a greedy cover) and are hardly ever found in the others; with the
 words that begin like that, whose misspellings no beginning finds, they form a
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 from .common import labelled_sample, materialise, per_process, split_of
 
 FIT_ROWS = 20_000       # labelled documents at most
-FIT_TERMS = 20_000      # terms that the cover chooses from at most
 HELD_OUT = (3, 1)       # ids with crc32 mod 3 == 1 are never learned from
 TOXIC = 0.7             # predicted 1 from this score on
 LEAST_SUPPORT = 3       # toxic documents that an entry must explain, besides those that others explain
@@ -59,26 +60,30 @@ def whole_of(token: str) -> str:
 
 
 def allowed(entry: str) -> int:
-    """Edits that an entry may be misspelt by; beginnings of words must be exact."""
-    return 0 if entry.endswith("*") or len(entry) < 5 else 1 if len(entry) < 9 else 2
+    """Edits that an entry may be misspelt by; beginnings of words must be exact. What a short entry's misspellings
+    are worth, their log-odds decide, as they may be common words."""
+    return 0 if entry.endswith("*") or len(entry) < 3 else 1 if len(entry) < 9 else 2
 
 
 class Automaton:
     """The Levenshtein automaton of a lexicon, on its trie, made deterministic as words need it.
 
     A state is a set of (trie node, edits so far): all places in the trie that a word's
-    letters may have led to. A place is dropped once its edits exceed what any entry
+    letters may have led to; with a letter as well, the place is reached if that letter
+    comes next, as two have changed places. A place is dropped once its edits exceed what any entry
     below it allows, and the empty set ends a word early. Beginnings of words match where
-    their node is reached without an edit.
+    their node is reached without an edit. ``limits`` says how many edits an entry is worth
+    looking for, if fewer than it allows.
     """
 
-    def __init__(self, entries: list[str]) -> None:
+    def __init__(self, entries: list[str], limits: dict[str, int] | None = None) -> None:
+        self.limit = {e: allowed(e) if limits is None else min(limits[e], allowed(e)) for e in entries}
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[str]] = [[]]
         self.reach = [0]
         for e in entries:
             node = 0
-            self.reach[0] = max(self.reach[0], allowed(e))
+            self.reach[0] = max(self.reach[0], self.limit[e])
             for c in e.rstrip("*"):
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
@@ -86,7 +91,7 @@ class Automaton:
                     self.ends.append([])
                     self.reach.append(0)
                 node = self.children[node][c]
-                self.reach[node] = max(self.reach[node], allowed(e))
+                self.reach[node] = max(self.reach[node], self.limit[e])
             self.ends[node].append(e)
         self._forget()
 
@@ -98,8 +103,8 @@ class Automaton:
         self.places: list[frozenset] = []
         self._state({(0, 0)})
 
-    def _state(self, places: set[tuple[int, int]]) -> int:
-        todo = list(places)
+    def _state(self, places: set[tuple]) -> int:
+        todo = [p for p in places if len(p) == 2]
         while todo:  # a letter of the entry is missing in the word
             node, edits = todo.pop()
             for below in self.children[node].values():
@@ -110,9 +115,9 @@ class Automaton:
         if key not in self.ids:
             self.ids[key] = len(self.places)
             least: dict[str, int] = {}
-            for node, edits in key:
+            for node, edits in (p for p in key if len(p) == 2):
                 for e in self.ends[node]:
-                    if edits <= allowed(e) and edits < least.get(e, 9):
+                    if edits <= self.limit[e] and edits < least.get(e, 9):
                         least[e] = edits
             self.places.append(key)
             self.steps.append({})
@@ -123,11 +128,18 @@ class Automaton:
     def _step(self, state: int, letter: str) -> int:
         """The state after a letter; -1 if nothing can match any more."""
         after = set()
-        for node, edits in self.places[state]:
+        for node, edits, *next_letter in self.places[state]:
+            if next_letter:
+                if next_letter[0] == letter:
+                    after.add((node, edits))
+                continue
             for c, below in self.children[node].items():
                 d = edits + (c != letter)
                 if d <= self.reach[below]:
                     after.add((below, d))
+                swapped = self.children[below].get(letter) if c != letter else None
+                if swapped is not None and edits < self.reach[swapped]:
+                    after.add((swapped, edits + 1, c))
             if edits < self.reach[node]:
                 after.add((node, edits + 1))
         to = self._state(after) if after else -1
@@ -179,7 +191,8 @@ class Matcher:
     """``odds``: {entry: [log-odds by edits]}; with these only the strongest match of a word counts, else all of its fewest edits."""
 
     def __init__(self, entries: list[str], odds: dict[str, list[float]] | None = None) -> None:
-        self.lexicon = Automaton(entries)
+        # without evidence for a match it need not be found
+        self.lexicon = Automaton(entries, None if odds is None else {e: max((d for d, x in enumerate(odds[e]) if x > 0), default=0) for e in entries})
         self.odds = odds
         self.known: dict[str, tuple] = {}
         self.hits: set[str] = set()
@@ -324,11 +337,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     clean = (sample.where("y = 0").select("text_id", "y", "text").mapInPandas(_terms, "term string, text_id long, y int")
              .join(often, "term", "left_semi").groupBy("term").agg(F.count("*").alias("clean")))
     pure = (often.join(clean, "term", "left").fillna(0, ["clean"]).where(F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean")))
-            .orderBy(F.desc("toxic"), "term").limit(FIT_TERMS))
+            .select("term", "clean"))
     group = copy_groups([tuple(r) for r in sample.where("y = 1").select("text_id", "text").mapInPandas(
         _sketch, "text_id long, n int, least long").orderBy("text_id", "n").collect()])  # SKETCHES rows a toxic text of the sample
-    terms: dict[str, tuple[set[int], int]] = {}
-    for r in toxic.join(F.broadcast(pure), "term").groupBy("term").agg(
+    terms: dict[str, tuple[set[int], int]] = {}  # bounded by the words of the sample's toxic texts
+    for r in toxic.join(pure, "term").groupBy("term").agg(
             F.collect_set("text_id").alias("docs"), F.first("clean").alias("clean")).toLocalIterator():
         terms[r["term"]] = ({group[d] for d in r["docs"]}, r["clean"])
     chosen = cover(terms, n_toxic / (n_toxic + n_clean))
@@ -375,7 +388,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     Learns from ``fit_rows`` labelled documents at most, none of them held out. Only the
     text is scored. Null and empty texts, and all texts where no toxic one is labelled,
     get the prior alone. Repeated rows and null ids stay; columns of ``docs`` that are
-    named like the three new ones are replaced.
+    named like the three new ones are replaced. An empty table gives no rows.
     """
     model = train(docs, labels, fit_rows)
     key = f"toxicity:{sorted(model['entries'].items())}{sorted(model['kin'].items())}{model['prior']}"
