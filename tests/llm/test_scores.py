@@ -49,6 +49,45 @@ def test_quality_separates_repeats_and_signs(spark):
     assert len(held) > 40 and np.mean([p == y for p, y in held]) >= 0.97
 
 
+def test_vote_equals_a_plain_vote():
+    texts = corpus(60, 9)
+    y = np.array([i % 3 > 0 for i in range(60)], float)
+    model = quality.fit([quality.compressed(quality.terms(t)) for t in texts], y)
+    asked = [" ".join(t.split()[:9]) for t in texts[:20]] + [""]
+    got = quality.vote([quality.terms(t) for t in asked], model)
+    for t, p in zip(asked, got):
+        c = np.zeros(quality.TERMS)
+        at, n = quality.terms(t)
+        c[at] = (1 + np.log(n)) * model["idf"][at] if len(at) else 0
+        v = c @ model["basis"]
+        near = sorted(((float(v @ x) / max(np.linalg.norm(v), 1e-12), -k) for k, x in enumerate(model["vectors"])), reverse=True)[:quality.NEIGHBOURS]
+        w = [max(s, 0) ** quality.SHARPNESS for s, _ in near]
+        want = sum(a * y[-k] for a, (_, k) in zip(w, near)) / sum(w) if sum(w) else y.mean()
+        assert abs(p - want) < 1e-3
+
+
+def test_terms_tell_scripts_and_words_apart():
+    def vector(text):
+        c = np.zeros(quality.TERMS)
+        at, n = quality.terms(text)
+        c[at] = n
+        return c
+    assert (vector("мама мыла раму") != vector("папа пилу дали")).any() and (vector("ABC DEF") != vector("XYZ QRS")).any()
+    assert vector("a a b b b")[quality.REPEATED] == 3 and vector("a a b b b")[quality.REPEATED + 1] == 1
+    plain = quality.terms("one two  three\none 漢字")
+    assert plain[1].sum() == sum([19 - 1 + 2, 19 - 2 + 2, 5]) and len(quality.terms("")[0]) == 0 and quality.terms("x")[1].sum() == 1
+
+
+def test_repeated_rows_of_a_labelled_id_do_not_reach_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "same text of one id", "", "", "")] * 500 + [(2 + i, t, "", "", "") for i, t in enumerate(corpus(50))], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, 0, "") for i in range(60)], LABELS)
+    seen = []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, y: seen.append(len(rows)) or real(rows, y))
+    quality.quality_scores(docs, labels, fit_rows=20).count()
+    assert seen and seen[0] <= 20
+
+
 def test_held_out_labels_are_never_learned(spark):
     ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5 == 0]
     docs = spark.createDataFrame([(i, "some text", "", "", "") for i in range(300)], DOCS)
@@ -57,13 +96,14 @@ def test_held_out_labels_are_never_learned(spark):
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        new = [i + 1]
-        for j, y in enumerate(b):
-            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
-        row = new
-    return row[-1]
+    """Letters more, less or other, and neighbours that changed places."""
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j - 1] + (a[i - 1] != b[j - 1]), d[i - 1][j] + 1, d[i][j - 1] + 1)
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
 
 
 def test_automaton_equals_edit_distances():
@@ -74,11 +114,34 @@ def test_automaton_equals_edit_distances():
         for _ in range(rng.randint(0, 4)):
             i = rng.randrange(len(w) + 1)
             w[i:i + rng.randint(0, 1)] = rng.choice(["", "a", "s", "t", "w"])
+        if rng.random() < 0.5:
+            i = rng.randrange(max(1, len(w) - 1))
+            w[i:i + 2] = reversed(w[i:i + 2])
         w = "".join(w)
         assert automaton.spelt(w) == sorted((e, edits(w, e)) for e in entries if edits(w, e) <= toxicity.allowed(e)), w
     assert automaton.spelt("loweischaft") == [("lowei*", 0)] and automaton.spelt("lowfischaft") == []
 
 
+def test_swaps_and_short_entries_are_misspellings():
+    automaton = toxicity.Automaton(["idiot", "stupid", "scum", "dumb", "ass"])
+    for word, entry in [("idoit", "idiot"), ("stpuid", "stupid"), ("scumm", "scum"), ("duumb", "dumb"), ("dubm", "dumb"), ("as", "ass")]:
+        assert (entry, 1) in automaton.spelt(word)
+    # where misspellings of an entry are common words, they are worth nothing and are not looked for
+    matcher = toxicity.Matcher(["ass", "scum"], {"ass": [3.0, -1.0], "scum": [3.0, 1.0]})
+    assert [(e, d) for e, d, _ in matcher.matches("as soon as ass scmu")] == [("ass", 0), ("scum", 1)]
+
+
+def test_toxicity_finds_swapped_letters_and_short_words(spark):
+    rng, data = random.Random(14), []
+    for i, t in enumerate(corpus(700, 2)):
+        words, toxic = t.split(), i % 3 == 0
+        if toxic:
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "stupid", "scum", "dumb", "jerk"]))
+        data.append((i, " ".join(words), int(toxic)))
+    got = scored(spark, data, ["such an idoit here", "how stpuid is rain", "all scumm there", "so duumb a thing", "a jrek here", "a quiet day of rain"])
+    assert [r.predicted for r in got] == [1, 1, 1, 1, 1, 0]
+
+
 def test_context_separates_quotation_from_abuse():
     def factor(text):
         tokens = text.split()
