@@ -34,6 +34,7 @@ from predlake.session import scratch_folder
 
 HOT_ROWS = 1_000_000   # messages of one key and window that a task folds; more are sliced
 BROADCAST_KEYS = 10_000  # hot keys sent to all tasks at most; more are joined by a shuffle
+BUCKETS = 1 << 20      # keys are counted by their hash first: so many counts are shuffled by a task at most
 PLACE = ["timestamp", "partition", "offset", "_tie"]
 GROUP = ["event_id", "window_start", "_slice"]
 
@@ -48,15 +49,22 @@ def _keys(envelopes: DataFrame, window_start: Column) -> DataFrame:
 def find_hot_keys(envelopes: DataFrame, window_start: Column, rows: int) -> tuple[DataFrame, int] | None:
     """(event_id, window_start) of keys with more than ``rows`` messages, and all their messages' number; None if there are none.
 
-    One aggregate over headers and times: bodies are not read, and messages are counted before the exchange.
+    Headers and times are read, not bodies. Messages are counted by a hash of their key, which tasks
+    combine before the exchange; keys are told apart only in buckets that hold enough for a hot one.
     """
-    counts = (_keys(envelopes, window_start).groupBy("event_id", "window_start").agg(F.count("*").alias("n"))
-              .where((F.col("n") > rows) & F.col("event_id").isNotNull() & F.col("window_start").isNotNull()))
+    spark = envelopes.sparkSession
+    keyed = _keys(envelopes, window_start).select("event_id", "window_start").where(F.col("event_id").isNotNull() & F.col("window_start").isNotNull())
+    bucket = F.pmod(F.xxhash64("event_id", "window_start"), F.lit(BUCKETS))
+    full = [r["bucket"] for r in keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") > rows).collect()]
+    if not full:
+        return None
+    full = F.broadcast(spark.createDataFrame([(b,) for b in full], "_bucket long"))
+    counts = (keyed.withColumn("_bucket", bucket).join(full, "_bucket", "left_semi").groupBy("event_id", "window_start")
+              .agg(F.count("*").alias("n")).where(F.col("n") > rows))
     found = counts.limit(BROADCAST_KEYS + 1).collect()
     if not found:
         return None
     if len(found) <= BROADCAST_KEYS:
-        spark = envelopes.sparkSession
         keys = spark.createDataFrame([(r.event_id, r.window_start) for r in found], "event_id string, window_start timestamp")
         return F.broadcast(keys), sum(r.n for r in found)
     return counts.select("event_id", "window_start"), counts.agg(F.sum("n")).first()[0]

@@ -8,6 +8,7 @@ plugs in their own ``DataFrame -> DataFrame`` function.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -253,10 +254,10 @@ def fan_out(specs: Sequence[LoggerSpec], envelopes: DataFrame,
     across the union's branches). Each logger's typed columns are packed as
     JSON in ``data`` since the loggers' schemas differ.
     """
-    shared: dict[tuple, DataFrame] = {}
+    shared: dict[tuple[str, str], DataFrame] = {}
     out = None
     for spec in specs:
-        key = (spec.events.type, tuple(sorted(spec.events.config.items())))
+        key = (spec.events.type, json.dumps(spec.events.config, sort_keys=True, default=str))
         if key not in shared:
             proc = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)
             # parsed and paired once for all loggers on this feed

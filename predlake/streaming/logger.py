@@ -26,7 +26,7 @@ from predlake.plans.logger import (
 from predlake.plans.spec import LoggerSpec, SpecError
 from predlake.session import scratch_folder
 from predlake.sinks.parquet import DEFAULT_TRIGGER
-from predlake.sources.envelopes import read_envelopes
+from predlake.sources.envelopes import read_envelopes, stream_envelopes, stream_topic
 from predlake.streaming.correlate import EXPIRED
 
 
@@ -55,6 +55,17 @@ def _provided(spec: LoggerSpec, kept: DataFrame, catalog: str | None) -> PinnedS
     return provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
 
 
+def source_of(spark: SparkSession, spec: LoggerSpec) -> DataFrame:
+    """The stream that a spec's events come from: its topic where ``bootstrapServers`` is set (``options`` pass
+    through, such as ``maxOffsetsPerTrigger``), or the envelope files under ``path`` (``maxFilesPerTrigger`` at a time)."""
+    config = spec.events.config
+    if "bootstrapServers" in config:
+        return stream_topic(spark, config["bootstrapServers"], spec.topic, **{k: str(v) for k, v in (config.get("options") or {}).items()})
+    if "path" in config:
+        return stream_envelopes(spark, config["path"], max_files_per_trigger=config.get("maxFilesPerTrigger"))
+    raise SpecError("events need 'bootstrapServers' or a 'path'")
+
+
 class SchemaPins:
     """The schemas of a stream's loggers: given ones, and those pinned as micro-batches come."""
 
@@ -121,8 +132,7 @@ def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str
     ``schemas`` gets one by ``SchemaPins`` with ``catalog``. ``state_partitions`` (the
     session's shuffle partitions where not given) is fixed by the first run of a checkpoint.
     """
-    kinds = {(s.events.type, tuple(sorted(s.events.config.items()))) for s in specs}
-    if len(kinds) != 1:
+    if any(s.events != specs[0].events for s in specs):
         raise SpecError("loggers of one stream share their events type and its settings")
     for spec in specs:
         check_types(spec)

@@ -82,3 +82,26 @@ def test_a_stream_without_a_usable_message_pins_nothing_and_a_restart_reuses_the
     run(envelope("e3", "R", {"instances": [["text"]]}, T0 + dt.timedelta(seconds=3), 3), resp(3, 4, 4))
     assert lookup(spark, f"{base}/catalog", "s-value") == first
     assert [r.reason for r in read("q/s")] == ["type_mismatch"] and [r.id for r in read("lake/s")] == ["e1_0"]
+
+
+def test_sources_by_spec_and_bounded_micro_batches(spark):
+    from predlake.plans.spec import SpecError
+    from predlake.streaming.logger import source_of
+    base = scratch(spark, "source")
+    rows = [(None, '{"id":"%d","inputs":[{"a":%d}],"outputs":[{"b":1}]}' % (i, i), [], "t", 0, i, T0) for i in range(12)]
+    envelopes_df(spark, rows).repartition(4).write.parquet(f"{base}/landing")
+
+    def spec(**config):
+        return LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "json", "config": config},
+                                     "destination": {"type": "parquet", "config": {"url": f"{base}/lake"}}})
+    one = spec(path=f"{base}/landing", maxFilesPerTrigger=1)
+    query = run_loggers([one], source_of(spark, one), None, f"{base}/ckpt", catalog=f"{base}/catalog")
+    query.awaitTermination()
+    lake = spark.read.parquet(f"{base}/lake/s")
+    assert sorted(r.a for r in lake.collect()) == list(range(12)) and lake.select("logger_batch").distinct().count() == 4
+    with pytest.raises(RuntimeError, match="connector"):
+        source_of(spark, spec(bootstrapServers="broker:9092", options={"maxOffsetsPerTrigger": 10}))
+    with pytest.raises(SpecError):
+        source_of(spark, spec())
+    with pytest.raises(SpecError):
+        run_loggers([one, spec(path="/elsewhere")], source_of(spark, one), None, f"{base}/ckpt2")
