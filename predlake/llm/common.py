@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from predlake.session import delete_at_exit
 
 # Whole texts go to Python in batches of so many rows and bytes at most, which bounds what a task holds on both sides.
 BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
@@ -47,10 +48,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 
     It cuts the lineage: lost executors cost a re-read, not a recomputation,
-    and a table that is used twice is computed once.
+    and a table that is used twice is computed once. What is derived from it is read
+    lazily, so the folder is deleted when this process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = delete_at_exit(spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

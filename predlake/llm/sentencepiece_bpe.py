@@ -190,7 +190,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     Null and empty texts give just the two ids and an empty text. Repeated rows and
     null ids stay; other columns are not read. A task keeps the encodings of up to
-    KEPT_CHUNKS short chunks; long ones are encoded each time.
+    KEPT_CHUNKS short chunks; long ones are encoded each time. An empty table gives no rows.
     """
     return _map(docs, model_path, id_col, text_col, "ids array<int>, decoded string",
                 lambda ids, text: (np.frombuffer(ids, "<u4").astype(np.int32), text.decode("utf-8")))
