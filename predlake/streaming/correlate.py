@@ -115,18 +115,24 @@ class PairProcessor(StatefulProcessor):
                 ends.add(self._expires(entry[1]))
             elif entry in stored:
                 self.pending.removeKey(entry)
-        for end in ends:
-            self.handle.registerTimer(end)
+        if ends:   # one timer for a group: it clears what has expired by then and sets the next one
+            self.handle.registerTimer(min(ends))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """What is still pending of the windows that have expired leaves, request before response."""
         now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        left = []
         for entry, slot in list(self.pending.iterator()):
-            if self._expires(entry[1]) <= now:
-                for e in slot:
-                    if e is not None:
-                        yield _row(entry[0], entry[1], reason=EXPIRED, refused=tuple(e))
-                self.pending.removeKey(tuple(entry))
+            end = self._expires(entry[1])
+            if end > now:
+                left.append(end)
+                continue
+            for e in slot:
+                if e is not None:
+                    yield _row(entry[0], entry[1], reason=EXPIRED, refused=tuple(e))
+            self.pending.removeKey(tuple(entry))
+        if left:
+            self.handle.registerTimer(min(left))
 
     def close(self) -> None:
         pass
