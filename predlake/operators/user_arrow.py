@@ -3,8 +3,9 @@
 The user's function gets a batch of envelopes and returns one row for each, in the
 columns of PROCESSED: ``id``, ``model_name``, ``model_version``, ``occurred_at``, and
 ``inputs`` / ``outputs`` as lists of structs of a declared type. NumPy and pandas are at
-hand in the batch. A batch that raises is taken again row by row, so only the messages
-that raise are refused, with what was raised; they go to the quarantine like any other.
+hand in the batch. A batch that raises is taken again in parts, down to one row where
+need be, so only the messages that raise alone are refused, with what was raised; they go to the
+quarantine like any other.
 """
 
 from __future__ import annotations
@@ -33,29 +34,43 @@ def _guarded(fn: Processor, schema: T.StructType):
     arrow = to_arrow_schema(schema)
     made = [n for n in schema.names if n not in (*LOCATOR, "value", "_error")]
 
-    def rows(batch: pa.RecordBatch, errors: list[str | None] | None) -> pa.RecordBatch:
-        if errors is None:
-            out = fn(batch)
-            if out.num_rows != batch.num_rows:
-                raise ValueError(f"{out.num_rows} rows for {batch.num_rows} messages")
-            columns = {n: out.column(n).cast(arrow.field(n).type) for n in made}
-            errors = [None] * batch.num_rows
-        else:
-            columns = {n: pa.nulls(batch.num_rows, arrow.field(n).type) for n in made}
-        columns |= {n: batch.column(n) for n in LOCATOR} | {"value": batch.column("value").cast(pa.string()), "_error": pa.array(errors, pa.string())}
-        return pa.RecordBatch.from_arrays([columns[n].cast(arrow.field(n).type) for n in arrow.names], schema=arrow)
+    types = [arrow.field(n).type for n in made]
+    nothing = [pa.nulls(1, t) for t in types]
+
+    def processed(batch: pa.RecordBatch) -> list[pa.Array]:
+        """The made columns of a batch; raises where the function does or its result doesn't fit."""
+        out = fn(batch)
+        if out.num_rows != batch.num_rows:
+            raise ValueError(f"{out.num_rows} rows for {batch.num_rows} messages")
+        return [c if c.type == t else c.cast(t) for c, t in zip((out.column(n) for n in made), types)]
+
+    def taken(batch: pa.RecordBatch) -> tuple[list[list[pa.Array]], list[str | None]]:
+        """A batch in parts: one that raises is halved, the next after one that does not is twice as large."""
+        parts, errors, at, size = [], [], 0, max(1, batch.num_rows // 2)
+        while at < batch.num_rows:
+            size = min(size, batch.num_rows - at)
+            try:
+                parts.append(processed(batch.slice(at, size)))
+                errors += [None] * size
+                at, size = at + size, 2 * size
+            except Exception as e:
+                if size > 1:
+                    size //= 2
+                    continue
+                parts.append(nothing)
+                errors.append(f"{type(e).__name__}: {e}")
+                at += 1
+        return parts, errors
 
     def run(batches):
         for batch in batches:
             try:
-                yield rows(batch, None)
+                parts, errors = [processed(batch)], [None] * batch.num_rows
             except Exception:
-                for i in range(batch.num_rows):
-                    one = batch.slice(i, 1)
-                    try:
-                        yield rows(one, None)
-                    except Exception as e:
-                        yield rows(one, [f"{type(e).__name__}: {e}"])
+                parts, errors = taken(batch)
+            columns = {n: pa.concat_arrays([p[i] for p in parts]) if parts else pa.nulls(0, types[i]) for i, n in enumerate(made)}
+            columns |= {n: batch.column(n) for n in LOCATOR} | {"value": batch.column("value").cast(pa.string()), "_error": pa.array(errors, pa.string())}
+            yield pa.RecordBatch.from_arrays([columns[n].cast(arrow.field(n).type) for n in arrow.names], schema=arrow)
     return run
 
 

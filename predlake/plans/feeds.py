@@ -16,9 +16,19 @@ from predlake.model import REQUEST_TYPE, RESPONSE_TYPE
 N_TOPIC_PARTITIONS = 8
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table; wall-clock (NTZ) timestamps read as UTC instants."""
+TASKS_PER_CORE = 4
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A base table; wall-clock (NTZ) timestamps read as UTC instants.
+
+    A file of few row groups is read by few tasks whatever its number of rows, and a feed's
+    messages are built and parsed by the tasks that read them; so the narrow rows are spread over all
+    cores first. Not where the feed shuffles the table by a key next anyway.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        df = df.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     ntz = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     for c in ntz:
         df = df.withColumn(c, F.col(c).cast("timestamp"))
@@ -151,7 +161,7 @@ def order_messages(spark: SparkSession, sf_dir: str, size: int = MESSAGE_ROWS) -
     the window and the grouping share one shuffle on ``l_orderkey``.
     """
     from pyspark.sql import Window
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=False)
     w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     li = li.withColumn("_rn", F.row_number().over(w) - 1)
     li = li.withColumn("chunk", F.floor(F.col("_rn") / size)).withColumn("i", F.col("_rn") % size)
@@ -257,8 +267,8 @@ def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     (left join) ``[{quality, toxic}, {toxic}]`` -- unlabelled documents have
     empty dicts. No ``occurred_at``: the envelope time is used.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = table(spark, sf_dir, "labels")
+    d = table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang", "source", "n_chars")
+    lab = table(spark, sf_dir, "labels", spread=False)
     j = d.join(lab, "doc_id", "left")
     head = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"),
                               F.lit("doc-quality").alias("model_name")))

@@ -228,8 +228,14 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
     names = spec.column_names()
     if schema is None:
         provider = resolve_type(SCHEMA_PROVIDERS, "schema", spec.schema.type if spec.schema else "avro")
+        cached = None
+        if not inferences.isStreaming and not inferences.is_cached:
+            cached = inferences = kept(inferences)   # the provider reads them before the rows do
         named = name_columns(inferences, names["inputs"], names["outputs"])
         schema = provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
+        logged = datapoints(inferences, names["inputs"], names["outputs"], schema=schema)
+        logged.cached = cached
+        return logged
     return datapoints(inferences, names["inputs"], names["outputs"], schema=schema)
 
 
