@@ -34,3 +34,26 @@ def test_stream_equals_batch_and_restart(spark):
     assert 0 < len(first) < len(want)
     assert run(2, 3) == want                # restart: nothing lost, nothing twice
     assert run() == want                    # rerun on the same checkpoint: no new rows
+
+
+def test_loggers_of_one_stream_share_the_parse_of_their_schemas(spark, tmp_path, monkeypatch):
+    from predlake.plans import feeds
+    from predlake.plans.logger import EVENT_PROCESSORS
+    from predlake.plans.spec import LoggerSpec
+    from predlake.streaming.logger import pin_schema, pin_schemas
+    feeds.kserve_pairs(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/landed")
+    specs = [LoggerSpec.from_dict({"name": n, "topic": "t", "events": {"type": "kserve"}, "filters": {"modelName": n}, "destination": {"type": "parquet", "config": {"url": "/x"}}})
+             for n in ("view", "click")]
+    alone = {s.name: pin_schema(spark, s, f"{tmp_path}/landed") for s in specs}
+    parsed, kserve = [], EVENT_PROCESSORS["kserve"]
+    monkeypatch.setitem(EVENT_PROCESSORS, "kserve", lambda *a: parsed.append(1) or kserve(*a))
+    assert pin_schemas(spark, specs, f"{tmp_path}/landed") == alone and len(parsed) == 1
+
+
+def test_a_table_in_one_row_group_is_spread_over_all_cores(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from predlake.plans import feeds
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    df = feeds.table(spark, str(tmp_path), "events")
+    sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= spark.sparkContext.defaultParallelism
