@@ -128,3 +128,38 @@ def test_topic_messages_and_missing_connector(spark):
     assert [(m.key, m.value) for m in msgs] == [("a_0", '{"id":"a_0","occurred_at":"t","x y":1}')]
     with pytest.raises(RuntimeError, match="connector"):
         DESTINATIONS["kafka"](spark.range(1).select(F.col("id").cast("string").alias("id")), {"bootstrapServers": "none"}, "l")
+
+
+def test_a_batch_with_few_bad_rows_is_taken_in_parts(spark):
+    """A batch of n rows with one that raises takes about 2 log n calls, not n, and comes out as one batch in order."""
+    from pyspark.sql import types as T
+    from predlake.model import ENVELOPE
+    from predlake.operators.user_arrow import HEAD, LOCATOR, _guarded
+    schema = T.StructType([*T.DataType.fromDDL(HEAD).fields, *T.DataType.fromDDL("inputs array<struct<a: bigint>>, outputs array<struct<b: string>>").fields,
+                           *[ENVELOPE[c] for c in LOCATOR], *T.DataType.fromDDL("value string, _error string").fields])
+    calls = []
+
+    def counted(batch):
+        calls.append(batch.num_rows)
+        return numbers(batch)
+    n, bad = 1000, {17, 900, 999}
+    batch = pa.RecordBatch.from_pydict({"topic": ["t"] * n, "partition": pa.array([0] * n, pa.int32()), "offset": list(range(n)),
+                                        "timestamp": pa.array([T0] * n, pa.timestamp("us", "UTC")), "value": ["x" if i in bad else str(i) for i in range(n)]})
+    out = list(_guarded(counted, schema)([batch]))
+    assert len(out) == 1 and out[0].column("offset").to_pylist() == list(range(n))
+    assert {i for i, e in enumerate(out[0].column("_error").to_pylist()) if e} == bad
+    assert out[0].column("id").to_pylist() == [None if i in bad or i == 0 else str(i) for i in range(n)]
+    assert len(calls) < 100
+
+
+def test_rules_with_one_key_and_names_share_the_typed_rows(spark):
+    """An inference is typed once for the loggers that want the same of it: the exchange is before they are told apart."""
+    inf = parse_json_events(envelopes_df(spark, [(None, '{"id":"%d","model_name":"m","inputs":[[1],[2]],"outputs":[[3],[4]]}' % i, [], "t", 0, i, T0) for i in range(20)]))
+    rules = spark.createDataFrame([(f"l{i}", "m" if i % 2 else None, None, ["p"] if i % 3 else None, None) for i in range(100)] + [(None, "m", None, None, None)], routing.RULE_DDL)
+    index = routing.rule_index(rules, 16).collect()
+    assert len(index) == 4 and sum(r._slots for r in index) <= 16 + len(index) and sum(len(r._loggers) for r in index) == 101
+    plain, gathered = routing.route(inf, rules), routing.route(inf, rules, gathered=True)
+    rows = sorted(map(str, plain.select("logger", "id", "data").collect()))
+    assert len(rows) == 101 * 40 and rows == sorted(map(str, gathered.select("logger", "id", "data").collect()))
+    plan = gathered._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("explode(_loggers") < plan.index("Exchange")   # printed from the result down to the source
