@@ -221,7 +221,8 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
 
     ``inferences`` lets several loggers share one parsed + correlated frame.
     """
-    if inferences is None:
+    own = inferences is None
+    if own:
         # a processor may leave out early what the logger's own filter drops
         inferences = resolve_type(EVENT_PROCESSORS, "events", spec.events.type)(envelopes, {**spec.events.config, **(spec.filters or {})})
     inferences = filter_spec(inferences, spec.filters)
@@ -229,7 +230,7 @@ def run_logger(spec: LoggerSpec, envelopes: DataFrame, catalog: str | None = Non
     if schema is None:
         provider = resolve_type(SCHEMA_PROVIDERS, "schema", spec.schema.type if spec.schema else "avro")
         cached = None
-        if not inferences.isStreaming and not inferences.is_cached:
+        if own and not inferences.isStreaming:
             cached = inferences = kept(inferences)   # the provider reads them before the rows do
         named = name_columns(inferences, names["inputs"], names["outputs"])
         schema = provider(named, spec.schema.config if spec.schema else {}, spec.subject, catalog)
