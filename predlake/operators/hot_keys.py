@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from predlake.functions.barrier import where
+from predlake.functions.barrier import barrier, where
 from predlake.functions.headers import header
 from predlake.model import HEADER_ID
 from predlake.operators.envelope import classify
@@ -53,7 +53,8 @@ def find_hot_keys(envelopes: DataFrame, window_start: Column, rows: int) -> tupl
     combine before the exchange; keys are told apart only in buckets that hold enough for a hot one.
     """
     spark = envelopes.sparkSession
-    keyed = _keys(envelopes, window_start).select("event_id", "window_start").where(F.col("event_id").isNotNull() & F.col("window_start").isNotNull())
+    # the barrier keeps the headers from being read twice, by the filter and behind it
+    keyed = where(barrier(_keys(envelopes, window_start).select("event_id", "window_start")), F.col("event_id").isNotNull() & F.col("window_start").isNotNull())
     bucket = F.pmod(F.xxhash64("event_id", "window_start"), F.lit(BUCKETS))
     full = [r["bucket"] for r in keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") > rows).collect()]
     if not full:

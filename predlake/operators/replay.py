@@ -31,13 +31,14 @@ def _known(ledger: DataFrame, messages: DataFrame) -> Column:
     return same
 
 
-def _ledger(spark: SparkSession, url: str) -> DataFrame:
+def _ledger(spark: SparkSession, url: str) -> DataFrame | None:
+    """What was replayed; None before the first replay."""
     try:
         return spark.read.schema(LEDGER_DDL).parquet(url)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER_DDL)
+        return None
 
 
 def corrected(refused: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -59,10 +60,11 @@ def replay(spark: SparkSession, spec: LoggerSpec, quarantine: str, ledger: str,
     if spec.events.type == "kserve":
         raise SpecError("a paired event has no state left to be replayed in")
     number = FIRST_BATCH + len([n for n in names_in(spark, ledger) if n.startswith("replay=")])
-    refused = spark.read.schema(QUARANTINE).parquet(quarantine).withColumn("_text", F.xxhash64("value")).dropDuplicates(KEY)
+    refused = spark.read.schema(QUARANTINE).parquet(quarantine).withColumn("_text", F.xxhash64("value"))
     done = _ledger(spark, ledger)
-    fresh = refused.join(done, _known(done, refused), "left_anti")
-    fixed = corrected(fresh, rules).persist()
+    if done is not None:  # before copies are told apart: what is left to sort is new
+        refused = refused.join(done, _known(done, refused), "left_anti")
+    fixed = corrected(refused.dropDuplicates(KEY), rules).persist()
     try:
         n = fixed.count()
         if not n:

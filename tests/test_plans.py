@@ -37,3 +37,10 @@ def test_a_body_is_parsed_once(spark):
     assert plan.count("end of body") > 0
     body = [line for line in plan.split("\n") if "AS body#" in line]
     assert len(body) == 1 and body[0].count("from_json(StructField(body") == 1
+
+
+def test_a_reader_of_headers_and_times_has_no_bodies_made(spark):
+    for feed in (feeds.kserve_pairs, feeds.refused_pairs, feeds.v1_orders, feeds.v2_orders):
+        plan = feed(spark, SF).select("headers", "timestamp")._jdf.queryExecution().optimizedPlan().toString()
+        assert "to_json" not in plan, feed.__name__
+    assert "$.model_name" not in feeds.damaged_events(spark, SF)._jdf.queryExecution().optimizedPlan().toString()   # the type is a column of the table
