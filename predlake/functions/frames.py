@@ -179,10 +179,18 @@ def parse_body(text: str, payload: str = "") -> str:
 
     A payload key is NULL where absent and a VARIANT null where null.
     """
+    return let(whole_body(text, payload), lambda w: body_of(w, text))
+
+
+def whole_body(text: str, payload: str = "") -> str:
+    """The text read as the first field of an object; :func:`body_of` is the strict body of it, from a column that holds it."""
     payload = payload or ", ".join(f"{k}: variant" for k in PAYLOAD_KEYS)
     fields = f"id: variant, model_name: string, model_version: string, occurred_at: string, {payload}"
-    whole = f"from_json(concat('{{\"body\":', {text}, ',\"{_MARK}\":1}}'), 'struct<body: struct<{fields}>, `{_MARK}`: int>', {_STRICT})"
-    return let(whole, lambda w: f"IF({w}.`{_MARK}` = 1 AND {one_value(text)}, {w}.body, NULL)")
+    return f"from_json(concat('{{\"body\":', {text}, ',\"{_MARK}\":1}}'), 'struct<body: struct<{fields}>, `{_MARK}`: int>', {_STRICT})"
+
+
+def body_of(whole: str, text: str) -> str:
+    return f"IF({whole}.`{_MARK}` = 1 AND {one_value(text)}, {whole}.body, NULL)"
 
 
 def one_value(text: str) -> str:

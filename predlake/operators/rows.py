@@ -28,7 +28,8 @@ def _names_sql(frame: str, prefix: str, override: Sequence[str] | None) -> str:
                 f"named_struct('cols', {frame}.cols, 'rows', {frame}.rows, "
                 f"'err', 'column_count_mismatch'))")
     # Names exactly '0'..'n-1' (a RangeIndex, or such text keys) become X0.. / Y0..
-    is_positional = f"forall(transform({frame}.cols, (c, i) -> c = cast(i as string)), ok -> ok)"
+    # (most tables' first name tells that they are not).
+    is_positional = f"get({frame}.cols, 0) = '0' AND forall(transform({frame}.cols, (c, i) -> c = cast(i as string)), ok -> ok)"
     renamed = f"transform({frame}.cols, (c, i) -> concat('{prefix}', cast(i as string)))"
     return (f"named_struct('cols', IF({frame}.err IS NULL AND {is_positional}, {renamed}, {frame}.cols), "
             f"'rows', {frame}.rows, 'err', {frame}.err)")
@@ -47,7 +48,8 @@ def name_columns(inferences: DataFrame,
            .when(F.expr(f"arrays_overlap(transform(concat(inputs.cols, outputs.cols), c -> lower(c)), {reserved})"),
                  F.lit("reserved_column_name"))
            # A table's columns can't differ by case only
-           .when(F.expr("size(array_distinct(concat(inputs.cols, outputs.cols))) <> "
+           .when(F.expr("array_join(concat(inputs.cols, outputs.cols), '') <> lower(array_join(concat(inputs.cols, outputs.cols), '')) AND "
+                        "size(array_distinct(concat(inputs.cols, outputs.cols))) <> "
                         "size(array_distinct(transform(concat(inputs.cols, outputs.cols), c -> lower(c))))"),
                  F.lit("names_differ_by_case")))
     if "_reason" in df.columns:

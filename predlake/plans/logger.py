@@ -143,6 +143,7 @@ def _inferred_schema(named: DataFrame, config: dict, subject: str | None,
     return resolve(named, catalog, subject)
 
 
+READ_ONCE = {"parquet", "confluent-s3", "files", "kafka"}   # destinations that read their rows once; a user's own may not
 EACH_BATCH = {"evolving"}   # schema providers that a stream asks again in every micro-batch
 
 

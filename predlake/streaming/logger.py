@@ -21,7 +21,7 @@ from predlake.operators.filters import filter_spec as apply_filters
 from predlake.operators.rows import name_columns
 from predlake.operators.schema import PinnedSchema, lookup
 from predlake.plans.logger import (
-    DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, SCHEMA_PROVIDERS, STREAM_PROCESSORS, datapoints, resolve_type,
+    DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, READ_ONCE, SCHEMA_PROVIDERS, STREAM_PROCESSORS, datapoints, resolve_type,
 )
 from predlake.plans.spec import LoggerSpec, SpecError
 from predlake.session import scratch_folder
@@ -86,17 +86,21 @@ class SchemaPins:
         self.pinned = dict(schemas or {})
         self.catalog = catalog
 
-    def of(self, spec: LoggerSpec, kept: DataFrame) -> PinnedSchema | None:
-        """The schema for a micro-batch's inferences ``kept``; None while no usable one has been seen."""
-        each = bool(spec.schema) and spec.schema.type in EACH_BATCH
-        if spec.name in self.pinned and not each:
-            return self.pinned[spec.name]
-        spark = kept.sparkSession
-        if not each and self.catalog:
+    def known(self, spark: SparkSession, spec: LoggerSpec) -> PinnedSchema | None:
+        """The schema that a logger has before a micro-batch is read: given, pinned or registered."""
+        if spec.schema and spec.schema.type in EACH_BATCH:
+            return None
+        if spec.name not in self.pinned and self.catalog:
             found = lookup(spark, self.catalog, spec.subject)
             if found is not None:
                 self.pinned[spec.name] = found
-                return found
+        return self.pinned.get(spec.name)
+
+    def of(self, spec: LoggerSpec, kept: DataFrame) -> PinnedSchema | None:
+        """The schema for a micro-batch's inferences ``kept``; None while no usable one has been seen."""
+        found = self.known(kept.sparkSession, spec)
+        if found is not None:
+            return found
         names = spec.column_names()
         usable = where(name_columns(kept, names["inputs"], names["outputs"]), F.col("_reason").isNull())
         if usable.limit(1).count():
@@ -139,7 +143,8 @@ def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str
     Each micro-batch of inferences is kept while every logger filters, types and
     writes its rows through its destination (U3), under a folder named by the
     batch id that a repeated batch overwrites, so a restart neither loses nor
-    repeats rows. Refused rows go next to them under ``quarantine_url`` (Q1):
+    repeats rows. A batch that is read once only (one logger whose schema is known, without quarantine) goes
+    to its destination as it is made. Refused rows go next to them under ``quarantine_url`` (Q1):
     ``messages`` (refused by the parse), ``expired`` (late, or unpaired when their
     window ended) and one folder for each logger's typing. A logger without a schema in
     ``schemas`` gets one by ``SchemaPins`` with ``catalog``. ``state_partitions`` (the
@@ -153,7 +158,10 @@ def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str
     pins = SchemaPins(schemas, catalog)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        once = (len(specs) == 1 and not quarantine_url and specs[0].destination.type in READ_ONCE
+                and pins.known(spark, specs[0]) is not None)
+        if not once:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if quarantine_url:
                 expired = F.col("reason") == EXPIRED
@@ -177,7 +185,8 @@ def run_loggers(specs: list[LoggerSpec], envelopes: DataFrame, schemas: dict[str
                 if quarantine_url:
                     _write_batch(logged.quarantine, f"{quarantine_url}/{spec.name}", batch_id)
         finally:
-            batch.unpersist()
+            if not once:
+                batch.unpersist()
 
     old = stream_conf(spark, state_partitions)
     try:

@@ -57,3 +57,23 @@ def test_a_table_in_one_row_group_is_spread_over_all_cores(spark, tmp_path):
     df = feeds.table(spark, str(tmp_path), "events")
     sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 1000 and len(sizes) >= spark.sparkContext.defaultParallelism
+
+
+def test_a_batch_that_is_read_once_is_not_kept(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame
+    from predlake.model import ENVELOPE
+    body = F.concat(F.lit('{"id":"'), F.col("id").cast("string"), F.lit('","inputs":[{"x":1}],"outputs":[{"y":0.5}],"occurred_at":"2024-01-01T00:00:00Z"}'))
+    made = {"value": body, "offset": F.col("id"), "timestamp": F.timestamp_seconds("id")}
+    spec = LoggerSpec.from_dict({"name": "s", "topic": "t", "events": {"type": "json"}, "destination": {"type": "parquet", "config": {"url": f"{tmp_path}/lake"}}})
+    keeps, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: keeps.append(1) or persist(df, *a))
+
+    def run(lo, hi, **more):
+        spark.range(lo, hi).select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ENVELOPE]).write.mode("append").parquet(f"{tmp_path}/landing")
+        keeps.clear()
+        run_loggers([spec], stream_envelopes(spark, f"{tmp_path}/landing"), None, f"{tmp_path}/ckpt", 2, catalog=f"{tmp_path}/catalog", **more).awaitTermination()
+        return len(keeps), sorted(int(r.id.split("_")[0]) for r in spark.read.parquet(f"{tmp_path}/lake/s").collect())
+    assert run(0, 5) == (1, list(range(5)))            # its schema is inferred, then it is written
+    assert run(5, 9) == (0, list(range(9)))            # the schema is registered: written as it is parsed
+    assert run(9, 12, quarantine_url=f"{tmp_path}/q") == (1, list(range(12)))
