@@ -67,10 +67,14 @@ def parts_of(blocks: DataFrame) -> int:
 
 
 def meet(blocks: DataFrame, packed_queries: DataFrame, parts: int) -> DataFrame:
-    """Each block beside each slot of queries of its dimension, in the block's part."""
+    """Each block beside each slot of queries of its dimension, in the block's part.
+
+    Spark takes the slots for as small as their files, before they are repeated for each part, so it would gather all
+    copies on the driver to broadcast them: the join is by a sort, whatever the size.
+    """
     left = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
     right = packed_queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return left.join(right, ["dim", "part"])
+    return left.join(right.hint("merge"), ["dim", "part"])
 
 
 def longs(blob: bytes) -> np.ndarray:

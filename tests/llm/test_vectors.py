@@ -94,6 +94,15 @@ def test_shuffled_rows_do_not_grow_with_the_number_of_slots(spark, table, monkey
     assert met.select("block", "part").distinct().count() == 50      # a block is in one part only
 
 
+def test_copies_of_the_queries_are_not_gathered_on_the_driver(spark):
+    from predlake.llm.vectors import meet
+    blocks = spark.createDataFrame([(4, i) for i in range(40)], "dim int, block long")
+    queries = spark.createDataFrame([(4, s) for s in range(3)] + [(5, 9)], "dim int, slot int")
+    met = meet(blocks, queries, 7)
+    assert sorted((r.block, r.slot) for r in met.collect()) == [(b, s) for b in range(40) for s in range(3)]
+    assert "Broadcast" not in met._jdf.queryExecution().toString()
+
+
 def test_ann_query_recall_and_scores(spark, table):
     ids, x = table
     u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
