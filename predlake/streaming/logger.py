@@ -116,9 +116,10 @@ def stream_conf(spark: SparkSession, state_partitions: int | None = None) -> dic
 
     ``transformWithState`` requires the RocksDB state store; the number of
     state partitions is fixed by the first run of a checkpoint, so it is set
-    here rather than inherited from a batch-sized default.
+    here rather than inherited from a batch-sized default. Entries are not counted
+    as they are written: for that RocksDB would read each key first.
     """
-    want = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    want = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
     if state_partitions:
         want["spark.sql.shuffle.partitions"] = str(state_partitions)
     old = {k: spark.conf.get(k, None) for k in want}

@@ -146,3 +146,123 @@ def test_a_batch_touches_its_own_entries_only():
     p.pending.touched = 0
     assert len(list(p.handleInputRows(0, iter([_input(3, "S", 600, 900)]), _Timers(0)))) == 1
     assert p.pending.touched == 2 and len(p.pending.v) == 499
+
+
+# --- the processor as it runs in Spark: messages are texts, the state's calls go many at a time ---------------
+
+class _Api:
+    """The client's end of the state server: answers are there once a flush has sent their requests."""
+
+    def __init__(self):
+        from pyspark.serializers import CPickleSerializer
+        self.pickleSer, self.sockfile, self.sent, self.asked, self.flushes = CPickleSerializer(), self, b"", [], []
+
+    def write(self, data):
+        self.sent += data
+
+    def flush(self):
+        import pyspark.sql.streaming.proto.StateMessage_pb2 as proto
+        size, n = len(self.sent), 0
+        while self.sent:
+            length = int.from_bytes(self.sent[4:8], "big")
+            request = proto.StateRequest.FromString(self.sent[8:8 + length])
+            self.asked.append(request.stateVariableRequest.mapStateCall)
+            self.sent, n = self.sent[8 + length:], n + 1
+        self.flushes.append((n, size))
+
+    def _receive_proto_message(self):
+        call, self.store = self.asked.pop(0), self.__dict__.get("store", {})
+        if call.HasField("updateValue"):
+            self.store[call.updateValue.userKey] = call.updateValue.value
+        elif call.HasField("removeKey"):
+            self.store.pop(call.removeKey.userKey, None)
+        return 0, "", self.store.get(call.getValue.userKey, b"") if call.HasField("getValue") else b""
+
+    def _deserialize_from_bytes(self, data):
+        return self.pickleSer.loads(data)
+
+
+class _Client:
+    def __init__(self):
+        self._stateful_processor_api_client = _Api()
+
+
+class _State:
+    """A MapState of Spark's client."""
+    _stateName = "pending"
+
+    def __init__(self):
+        self._mapStateClient = _Client()
+        self.api = self._mapStateClient._stateful_processor_api_client
+
+    def _store(self):
+        return self.api.__dict__.get("store", {})
+
+    def exists(self):
+        return bool(self._store())
+
+    def iterator(self):
+        return iter([(self.api._deserialize_from_bytes(k), self.api._deserialize_from_bytes(v)) for k, v in self._store().items()])
+
+    def clear(self):
+        self._store().clear()
+
+
+def test_calls_of_the_state_go_many_at_a_time():
+    from predlake.streaming.entries import MOST_BYTES, MOST_CALLS, Entries
+    state = _State()
+    entries, keys = Entries(state), [(f"k{i}", i) for i in range(1000)]
+    entries.put([(k, (f"text {k[0]}", None)) for k in keys])
+    assert len(state.api.flushes) <= 10 and state.exists()
+    assert entries.get(keys[:3] + [("none", 1)]) == {k: (f"text {k[0]}", None) for k in keys[:3]}
+    entries.remove(keys[:400])
+    assert sorted(k for k, _ in entries.all()) == sorted(keys[400:]) and len(state.api.flushes) < 20
+    entries.put([(("long", i), ("x" * 20_000, None)) for i in range(3)] + [(("longer", 0), ("x" * 100_000, None))])
+    assert all(n <= MOST_CALLS and (n == 1 or size <= MOST_BYTES + 8 * n) for n, size in state.api.flushes)
+    entries.remove([], all_of_them=True)
+    assert not state.exists()
+
+
+def _packed(batches, expiry=WINDOW_MS):
+    """Texts out of the packed processor on one group, and what is pending; timers after each batch."""
+    import json
+    from predlake.streaming.correlate import PackedPairProcessor
+    p, handle, wm, out = PackedPairProcessor(WINDOW_MS, expiry), _Handle(), 0, []
+    handle.getMapState = lambda *a: _State()
+    p.init(handle)
+
+    def text(r):
+        us = {f: (r[f] - T0) // dt.timedelta(microseconds=1) + EPOCH * 1000 for f in ("window_start", "timestamp")}
+        return json.dumps({f: v for f, v in (r | us).items() if f != "_ms" and v is not None})
+    for batch in [*batches, []]:
+        if batch:
+            out += p.handleInputRows(0, iter([{"message": text(r)} for r in batch]), _Timers(wm))
+        for ms in sorted(t for t in handle.timers if t <= wm):
+            handle.timers.discard(ms)
+            out += p.handleExpiredTimer(None, _Timers(wm), _Info(ms))
+        wm = max([wm, *(r["_ms"] + EPOCH for r in batch)])
+    return [json.loads(t) for row in out for t in row.packed], [json.loads(t) for _, slot in p.entries.all() for t in slot if t]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(event, min_size=1, max_size=60), st.integers(1, 5), st.sampled_from([WINDOW_MS, 10 * WINDOW_MS]), st.booleans())
+def test_packed_messages_fold_as_rows_do(log, n_batches, expiry, in_order):
+    rows = [_input(key, kind, ms, off) for off, (key, kind, ms) in enumerate(log)]
+    for r, (_, kind, _) in zip(rows, log):
+        r["resp_id"] = None if kind == "N" else r["resp_id"]
+    rows = sorted(rows, key=lambda r: (r["timestamp"], r["offset"])) if in_order else rows
+    size = -(-len(rows) // n_batches)
+    batches = [rows[b:b + size] for b in range(0, len(rows), size)]
+    out, pending = _run([[r | {"event_id": r["event_id"]} for r in b] for b in batches], expiry)
+    got, waits = _packed(batches, expiry)
+    assert sorted((r["req"]["offset"], r["resp"]["offset"]) for r in got if "reason" not in r) == sorted((r.req.offset, r.resp.offset) for r in out if r.reason is None)
+    assert sorted((r["reason"], r["refused"]["offset"]) for r in got if "reason" in r) == sorted((r.reason, r.refused.offset) for r in out if r.reason)
+    assert sorted(m["offset"] for m in waits) == sorted(e[list(e).index("t") + 2] for _, slot in pending for e in slot if e)
+
+
+def test_a_text_keeps_what_a_message_says():
+    odd = _input(0, "R", 5, None, partition=None) | {"value": '{"a": "\u00e9\"\\ \n \U0001f600"}', "event_id": 'id "x"'}
+    refused = _input(0, "S", 7, 3, reason="malformed_body") | {"value": None}
+    out, pending = _packed([[odd, refused]])
+    assert [(r["reason"], r["refused"].get("value"), r["refused"]["offset"]) for r in out] == [("malformed_body", None, 3)]
+    assert [(m["event_id"], m["value"], m.get("offset")) for m in pending] == [('id "x"', odd["value"], None)]
