@@ -18,7 +18,9 @@ stand beside the newest one. The clock is the newest message time; it is a
 column of its own that is dropped before the grouping, so Spark keeps the watermark
 but drops no rows by it. The processor decides: a message of an expired window, and one
 that is still unpaired when its window expires, leaves as a row with the reason
-``window_expired`` (W3, Q1). Refused messages pass through with their reason and
+``window_expired`` (W3, Q1). The clock after a micro-batch is no earlier than the newest message of a
+group, so what is unpaired in a window that has expired by that message leaves at once and
+never enters the state: a replay's micro-batch spans many windows. Refused messages pass through with their reason and
 never touch the state. So every delivered message is in a pair, pending, refused,
 expired, or was replaced by a repeat (A1).
 """
@@ -51,6 +53,7 @@ BUCKETS_PER_PARTITION = 4   # default hash buckets of ce_id per state partition
 TIME_BUCKET = "1 day"      # default time bucket of a grouping key (a multiple of the window)
 _FIELDS = [f.split(" ")[0] for f in EVENT_DDL.split(", ")]
 _PLACE = [_FIELDS.index(f) for f in ("timestamp", "partition", "offset")]
+_TIME = _PLACE[0]
 _EVENT_ROW, _PAIR_ROW = Row(*_FIELDS), Row("event_id", "window_start", "req", "resp", "reason", "refused")
 
 # A message as text: times are micros; "reason" is there where it is refused.
@@ -105,6 +108,10 @@ class PairProcessor(StatefulProcessor):
         for x in rows:
             yield x["event_id"], _micros(x["window_start"]), x["reason"], tuple(x[f] for f in _FIELDS)
 
+    def _time(self, e) -> int:
+        """The time of an event in ms."""
+        return _micros(e[_TIME]) // 1000
+
     def _stored(self, e):
         """An event as the state keeps it."""
         return e
@@ -144,6 +151,7 @@ class PairProcessor(StatefulProcessor):
                 came.setdefault((event_id, start), []).append(e)
         stored = self.entries.get(came) if came and self.pending.exists() else {}
         put, gone, ends = [], [], []
+        clock = max(now, max((self._time(e) for events in came.values() for e in events), default=now))   # after this batch, at the least
         for entry, events in came.items():
             req, resp = map(self._loaded, stored.get(entry, (None, None)))
             if len(events) > 1:
@@ -156,7 +164,13 @@ class PairProcessor(StatefulProcessor):
                 if req is not None and resp is not None and resp[1] is not None:
                     yield self._out(*entry, req, resp)
                     req = resp = None
-            if req is not None or resp is not None:
+            waits = req is not None or resp is not None
+            if waits and self._expires(entry[1]) <= clock:
+                for e in (req, resp):
+                    if e is not None:
+                        yield self._out(*entry, reason=EXPIRED, refused=e)
+                waits = False
+            if waits:
                 put.append((entry, (self._stored(req), self._stored(resp))))
                 ends.append(entry[1])
             elif entry in stored:
@@ -193,6 +207,9 @@ class PackedPairProcessor(PairProcessor):
             m = json.loads(x["message"])
             yield m.get("event_id"), m.get("window_start"), m.get("reason"), self._event(m, x["message"])
 
+    def _time(self, e) -> int:
+        return e[_TIME] // 1000
+
     def _event(self, m: dict, text: str) -> tuple:
         return (*map(m.get, _FIELDS), text)
 

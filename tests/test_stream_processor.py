@@ -249,17 +249,28 @@ def _packed(batches, expiry=WINDOW_MS):
 def test_packed_messages_fold_as_rows_do(log, n_batches, expiry, in_order):
     rows = [_input(key, kind, ms, off) for off, (key, kind, ms) in enumerate(log)]
     for r, (_, kind, _) in zip(rows, log):
-        r["resp_id"] = None if kind == "N" else r["resp_id"]
+        r["resp_id"] = None if kind == "N" else r["resp_id"]   # a null id never completes a pair
     rows = sorted(rows, key=lambda r: (r["timestamp"], r["offset"])) if in_order else rows
     size = -(-len(rows) // n_batches)
     batches = [rows[b:b + size] for b in range(0, len(rows), size)]
-    out, pending = _run([[r | {"event_id": r["event_id"]} for r in b] for b in batches], expiry)
+    out, pending = _run(batches, expiry)
     got, waits = _packed(batches, expiry)
     assert sorted((r["req"]["offset"], r["resp"]["offset"]) for r in got if "reason" not in r) == sorted((r.req.offset, r.resp.offset) for r in out if r.reason is None)
     assert sorted((r["reason"], r["refused"]["offset"]) for r in got if "reason" in r) == sorted((r.reason, r.refused.offset) for r in out if r.reason)
     assert sorted(m["offset"] for m in waits) == sorted(e[list(e).index("t") + 2] for _, slot in pending for e in slot if e)
 
 
+def test_what_has_expired_by_the_end_of_its_batch_never_enters_the_state():
+    p = PairProcessor(WINDOW_MS, WINDOW_MS)
+    p.init(_Handle())
+    rows = [_input(i, "R", 1000 * i, i) for i in range(60)] + [_input(7, "S", 7_500, 100), _input(8, "N", 8_500, 101)]
+    out = list(p.handleInputRows(0, iter(rows), _Timers(EPOCH)))
+    assert [(r.req.offset, r.resp.offset) for r in out if r.reason is None] == [(7, 100)]
+    # the newest message is at 59 s: windows up to [30, 40) have expired
+    assert sorted(r.refused.offset for r in out if r.reason == "window_expired") == [i for i in range(40) if i != 7] + [101]
+    assert p.pending.touched == 20
+
+
 def test_a_text_keeps_what_a_message_says():
     odd = _input(0, "R", 5, None, partition=None) | {"value": '{"a": "\u00e9\"\\ \n \U0001f600"}', "event_id": 'id "x"'}
     refused = _input(0, "S", 7, 3, reason="malformed_body") | {"value": None}
