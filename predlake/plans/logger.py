@@ -98,7 +98,7 @@ def _kserve_processor(envelopes: DataFrame, config: dict) -> DataFrame:
     from predlake.operators.correlate import kserve_inferences
     from predlake.operators.hot_keys import HOT_ROWS
     return kserve_inferences(envelopes, window=config.get("window", "10 seconds"), hot_rows=config.get("hotRows", HOT_ROWS),
-                             model_name=config.get("modelName"), model_version=config.get("modelVersion"))
+                             with_rejects=config.get("refused", True), model_name=config.get("modelName"), model_version=config.get("modelVersion"))
 
 
 @stream_processor("kserve")
@@ -144,6 +144,7 @@ def _inferred_schema(named: DataFrame, config: dict, subject: str | None,
 
 
 READ_ONCE = {"parquet", "confluent-s3", "files", "kafka"}   # destinations that read their rows once; a user's own may not
+USABLE_ONLY = {"avro", "inferred", "evolving"}   # schema providers that read no refused message; a user's own may
 EACH_BATCH = {"evolving"}   # schema providers that a stream asks again in every micro-batch
 
 

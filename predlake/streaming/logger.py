@@ -21,7 +21,7 @@ from predlake.operators.filters import filter_spec as apply_filters
 from predlake.operators.rows import name_columns
 from predlake.operators.schema import PinnedSchema, lookup
 from predlake.plans.logger import (
-    DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, READ_ONCE, SCHEMA_PROVIDERS, STREAM_PROCESSORS, datapoints, resolve_type,
+    DESTINATIONS, EACH_BATCH, EVENT_PROCESSORS, READ_ONCE, SCHEMA_PROVIDERS, STREAM_PROCESSORS, USABLE_ONLY, datapoints, resolve_type,
 )
 from predlake.plans.spec import LoggerSpec, SpecError
 from predlake.session import scratch_folder
@@ -44,7 +44,7 @@ def pin_schema(spark: SparkSession, spec: LoggerSpec, landed: str,
                catalog: str | None = None) -> PinnedSchema:
     """C3, else C1 over landed envelopes (batch) + C2, by the spec's schema provider (U2), before a stream starts."""
     check_types(spec)
-    inf = EVENT_PROCESSORS[spec.events.type](read_envelopes(spark, landed), spec.events.config)
+    inf = _landed_inferences(spark, [spec], landed)
     return _provided(spec, apply_filters(inf, spec.filters), catalog)
 
 
@@ -54,13 +54,20 @@ def pin_schemas(spark: SparkSession, specs: list[LoggerSpec], landed: str, catal
         return {s.name: pin_schema(spark, s, landed, catalog) for s in specs}
     for s in specs:
         check_types(s)
-    inf = EVENT_PROCESSORS[specs[0].events.type](read_envelopes(spark, landed), specs[0].events.config).persist(StorageLevel.MEMORY_AND_DISK)
+    inf = _landed_inferences(spark, specs, landed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {s.name: _provided(s, apply_filters(inf, s.filters), catalog) for s in specs}
     finally:
         inf.unpersist()
 
 
+def _landed_inferences(spark: SparkSession, specs: list[LoggerSpec], landed: str) -> DataFrame:
+    """The landed envelopes as inferences; refused messages are not exchanged with the others where no provider reads them."""
+    events = specs[0].events
+    usable = all((s.schema.type if s.schema else "avro") in USABLE_ONLY for s in specs)
+    return EVENT_PROCESSORS[events.type](read_envelopes(spark, landed), {**events.config, "refused": False} if usable else events.config)
+
+
 def _provided(spec: LoggerSpec, kept: DataFrame, catalog: str | None) -> PinnedSchema:
     names = spec.column_names()
     named = name_columns(kept, names["inputs"], names["outputs"])

@@ -50,6 +50,21 @@ def test_loggers_of_one_stream_share_the_parse_of_their_schemas(spark, tmp_path,
     assert pin_schemas(spark, specs, f"{tmp_path}/landed") == alone and len(parsed) == 1
 
 
+def test_refused_messages_are_not_paired_for_a_schema(spark, tmp_path, monkeypatch):
+    from predlake.operators import correlate
+    from predlake.plans.logger import SCHEMA_PROVIDERS
+    feeds.refused_pairs(spark, SF).write.parquet(f"{tmp_path}/landed")
+    raw = {"name": "s", "topic": "t", "events": {"type": "kserve"}, "destination": {"type": "parquet", "config": {"url": "/x"}}}
+    want = datapoints(kserve_inferences(read_envelopes(spark, f"{tmp_path}/landed"))).schema
+    seen, pair = [], correlate.pair_events
+    monkeypatch.setattr(correlate, "pair_events", lambda ev, *a: seen.append(ev.where("_reason IS NOT NULL").count()) or pair(ev, *a))
+    assert pin_schema(spark, LoggerSpec.from_dict(raw), f"{tmp_path}/landed") == want and seen == [0]
+    # a user's provider still gets them
+    monkeypatch.setitem(SCHEMA_PROVIDERS, "own", lambda named, *a: seen.append(named.where("_reason IS NOT NULL").count()))
+    pin_schema(spark, LoggerSpec.from_dict(raw | {"schema": {"type": "own"}}), f"{tmp_path}/landed")
+    assert all(seen[1:]) and len(seen) == 3
+
+
 def test_a_table_in_one_row_group_is_spread_over_all_cores(spark, tmp_path):
     from pyspark.sql import functions as F
     from predlake.plans import feeds
