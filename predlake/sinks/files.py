@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import sys
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,7 @@ from pyspark.sql.types import StructType
 
 FORMAT = "logged_files"
 MANIFESTS = "manifests"
+STILL_S = 1.0   # after a failure: how long no task has made a file until none is expected any more
 
 # Executors need not have this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,12 +76,24 @@ class FilesWriter(DataSourceArrowWriter):
     def abort(self, messages: list[Written | None]) -> None:
         self._tidy(*_place(self.url))
 
-    def _tidy(self, files: fs.FileSystem, path: str) -> None:
+    def _tidy(self, files: fs.FileSystem, path: str) -> int:
         """Delete the batch's files that its manifest does not name: of tasks that were lost or repeated, or of an earlier attempt."""
         named = set(_manifest(files, f"{path}/{MANIFESTS}/{self.batch}.json"))
-        for info in files.get_file_info(fs.FileSelector(f"{path}/batch={self.batch}", allow_not_found=True)):
-            if f"batch={self.batch}/{info.base_name}" not in named:
-                _delete(files, info.path)
+        found = [info.path for info in files.get_file_info(fs.FileSelector(f"{path}/batch={self.batch}", allow_not_found=True))
+                 if f"batch={self.batch}/{info.base_name}" not in named]
+        for name in found:
+            _delete(files, name)
+        return len(found)
+
+    def settle(self) -> None:
+        """After a failure: the batch is aborted while its other tasks are being killed, and one may make its file after that."""
+        files, path = _place(self.url)
+        until = time.monotonic() + STILL_S
+        last = until + 10 * STILL_S
+        while time.monotonic() < min(until, last):
+            if self._tidy(files, path):
+                until = time.monotonic() + STILL_S
+            time.sleep(STILL_S / 10)
 
 
 def _delete(files: fs.FileSystem, path: str) -> None:
@@ -109,9 +123,12 @@ def write_batch(rows: DataFrame, config: dict[str, Any], logger_name: str) -> st
     """The rows of a batch under ``<url>/<logger_name>``; without a batch id in the config they are a batch of their own."""
     rows.sparkSession.dataSource.register(LoggedFiles)
     url = f"{config['url'].rstrip('/')}/{logger_name}"
-    batch = config.get("batch")
-    (rows.write.format(FORMAT).mode("append").option("url", url)
-     .option("batch", uuid.uuid4().hex if batch is None else f"{batch:09d}").save())
+    batch = uuid.uuid4().hex if config.get("batch") is None else f"{config['batch']:09d}"
+    try:
+        rows.write.format(FORMAT).mode("append").option("url", url).option("batch", batch).save()
+    except Exception:
+        FilesWriter(url, batch).settle()
+        raise
     return url
 
 

@@ -58,6 +58,16 @@ def test_a_failed_task_leaves_nothing(spark):
     assert ids(D.read_committed(spark, f"{url}/a", SCHEMA.struct_type())) == [0, 1, 2, 3]
 
 
+def test_a_killed_task_that_is_late_leaves_nothing(tmp_path):
+    import threading
+    os.makedirs(f"{tmp_path}/a/batch=7")
+    late = threading.Timer(0.4, lambda: open(f"{tmp_path}/a/batch=7/late.json", "w").close())
+    late.start()
+    D.FilesWriter(f"{tmp_path}/a", "7").settle()
+    late.join()
+    assert not glob.glob(f"{tmp_path}/a/batch=*/*")
+
+
 def test_snapshots_around_a_compaction(spark, monkeypatch):
     url = scratch(spark, "lake")
     path, struct = f"{url}/a", SCHEMA.struct_type()
